@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontamination import op2_decontamination
 from .recompression import op6_recompression
 from .suffix_array import op5_suffix_array
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_decontamination": op2_decontamination,
         "op5_suffix_array": op5_suffix_array,
         "op6_recompression": op6_recompression,
     }

@@ -20,7 +20,7 @@ def cut(df: DataFrame) -> DataFrame:
     before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
     try:
-        return df.checkpoint(eager=True)
+        return df.select("*").checkpoint(eager=True)  # a new frame takes the setting up
     finally:
         spark.conf.set(_CLEANUP, before)
 
