@@ -7,17 +7,31 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import op2_decontamination
+from . import line_dedup, mixing, quality_rules, secrets
+from .line_dedup import op9_line_dedup
+from .mixing import op8_mixing
+from .quality_rules import op4_quality_rules
 from .recompression import op6_recompression
+from .secrets import op7_secrets
 from .suffix_array import op5_suffix_array
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_decontamination": op2_decontamination,
+        "op4_quality_rules": op4_quality_rules,
         "op5_suffix_array": op5_suffix_array,
         "op6_recompression": op6_recompression,
+        "op7_secrets": op7_secrets,
+        "op8_mixing": op8_mixing,
+        "op9_line_dedup": op9_line_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op4_quality_rules": quality_rules.ORACLE_SQL,
+        "op7_secrets": secrets.ORACLE_SQL,
+        "op8_mixing": mixing.ORACLE_SQL,
+        "op9_line_dedup": line_dedup.ORACLE_SQL,
+    }
