@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .attention import op3_attention
+from .chat import op10_chat
 from .decontamination import op2_decontamination
-from . import line_dedup, mixing, quality_rules, secrets
+from . import chat, line_dedup, mixing, quality_rules, secrets
 from .line_dedup import op9_line_dedup
 from .mixing import op8_mixing
 from .quality_rules import op4_quality_rules
@@ -19,12 +21,14 @@ from .suffix_array import op5_suffix_array
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_decontamination": op2_decontamination,
+        "op3_attention": op3_attention,
         "op4_quality_rules": op4_quality_rules,
         "op5_suffix_array": op5_suffix_array,
         "op6_recompression": op6_recompression,
         "op7_secrets": op7_secrets,
         "op8_mixing": op8_mixing,
         "op9_line_dedup": op9_line_dedup,
+        "op10_chat": op10_chat,
     }
 
 
@@ -34,4 +38,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_secrets": secrets.ORACLE_SQL,
         "op8_mixing": mixing.ORACLE_SQL,
         "op9_line_dedup": line_dedup.ORACLE_SQL,
+        "op10_chat": chat.ORACLE_SQL,
     }
