@@ -36,9 +36,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def bucket_bits(spark: SparkSession) -> int:
-    """Bits of a hash that name a shuffle bucket: some buckets for each shuffle partition, so that they spread evenly."""
+    """Bits of a hash that name a shuffle bucket: a few buckets for each shuffle partition, so that they spread evenly."""
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    return min(16, max(6, (6 * parts - 1).bit_length()))
+    return min(16, max(10, (4 * parts - 1).bit_length()))
 
 
 def pack(key: np.ndarray, bits: int, columns: Iterable[np.ndarray], kind: int = 0) -> Iterator[tuple[int, int, bytes]]:
