@@ -11,6 +11,7 @@ from .chat import op10_chat
 from .decontamination import op2_decontamination
 from . import chat, line_dedup, mixing, quality_rules, secrets
 from .line_dedup import op9_line_dedup
+from .minhash import op1_minhash
 from .mixing import op8_mixing
 from .quality_rules import op4_quality_rules
 from .recompression import op6_recompression
@@ -20,6 +21,7 @@ from .suffix_array import op5_suffix_array
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_minhash": op1_minhash,
         "op2_decontamination": op2_decontamination,
         "op3_attention": op3_attention,
         "op4_quality_rules": op4_quality_rules,
