@@ -30,7 +30,6 @@ from .shared import batch
 
 #: Rounds of runs and pairs. A symbol then covers about (4/3)**ROUNDS words, 2**ROUNDS at most but for runs.
 ROUNDS = 3
-_FAR = np.int64(1 << 40)
 _PLACE = np.uint64((1 << 24) - 1)
 
 RESULT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string())])
@@ -45,6 +44,7 @@ def recompress(names: np.ndarray, bounds: np.ndarray, rounds: int) -> tuple[np.n
     """Symbols after some rounds, and for each the words [lo, hi) that decided it; over a document's end it is undecided."""
     doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     lo, hi = np.arange(len(names)), np.arange(1, len(names) + 1)
+    before, beyond = bounds[:-1] - 1, bounds[1:] + 1  # outside the document, so never inside a window of it
     for r in range(rounds):
         if not len(names):
             break
@@ -56,9 +56,9 @@ def recompress(names: np.ndarray, bounds: np.ndarray, rounds: int) -> tuple[np.n
         edge_l = np.concatenate(([True], doc[1:] != doc[:-1]))[first]
         edge_r = np.concatenate((doc[1:] != doc[:-1], [True]))[last]
         many = count > 1
-        # that a run begins and ends where it does is seen from its neighbours
-        run_lo = np.where(many, np.where(edge_l, -_FAR, lo[np.maximum(first - 1, 0)]), lo[first])
-        run_hi = np.where(many, np.where(edge_r, _FAR, hi[np.minimum(last + 1, len(hi) - 1)]), hi[last])
+        # the neighbours on both sides show where a run, or a single symbol, begins and ends
+        run_lo = np.where(edge_l, before[doc[first]], lo[np.maximum(first - 1, 0)])
+        run_hi = np.where(edge_r, beyond[doc[last]], hi[np.minimum(last + 1, len(hi) - 1)])
         names = np.where(many, K.mix(names[first] + count.astype(np.uint64) * np.uint64(0xA24BAED4963EE407)), names[first])
         lo, hi, doc = run_lo, run_hi, doc[first]
         right = (K.mix(names ^ np.uint64(0x1234567 + r)) & np.uint64(1)).astype(bool)
@@ -69,13 +69,13 @@ def recompress(names: np.ndarray, bounds: np.ndarray, rounds: int) -> tuple[np.n
         heads[:-1] = ~right[:-1] & right[1:] & next_in[:-1]
         tails = np.zeros(n, bool)
         tails[1:] = heads[:-1]
-        # its neighbours show that a symbol is no part of a run, and in which halves they fall
-        new_lo = np.where(prev_in, np.roll(lo, 1), -_FAR)
-        new_hi = np.where(next_in, np.roll(hi, -1), _FAR)
+        # a left symbol stays alone because of the one behind it, a right symbol because of the one before it
+        new_lo = np.where(~heads & right, np.where(prev_in, np.roll(lo, 1), before[doc]), lo)
+        new_hi = np.where(~heads & ~right, np.where(next_in, np.roll(hi, -1), beyond[doc]), hi)
         at = np.flatnonzero(heads)
         out = names.copy()
         out[at] = K.mix(names[at] * np.uint64(3) + K.mix(names[at + 1] + np.uint64(r)))
-        new_hi[at] = new_hi[at + 1]
+        new_hi[at] = hi[at + 1]
         keep = ~tails
         names, lo, hi, doc = out[keep], new_lo[keep], new_hi[keep], doc[keep]
     return names, lo, hi

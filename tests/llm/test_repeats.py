@@ -53,7 +53,7 @@ def test_bytes(spark, seed):
     assert all(hashlib.sha256(bytes(r.kept)).hexdigest() == r.kept_sha256 for r in got.values())
 
 
-@pytest.mark.parametrize("seed", [3, 4])
+@pytest.mark.parametrize("seed", [3, 4, 5])
 def test_words(spark, seed):
     rows = texts(seed)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
@@ -86,3 +86,20 @@ def test_odd_tables(spark):
     df = spark.createDataFrame([(None, t, 1, "x"), (2, t, None, None), (2, t, 1, "x"), (7, t, 1, "x")], "doc_id long, text string, codes int, doc string")
     assert sorted((r.doc_id or -1, r.n_removed) for r in suffix_array_dedup(df).collect()) == [(-1, 0), (2, 0), (2, 0), (7, len(t))]
     assert sorted((r.doc_id or -1, r.n_removed) for r in substring_dedup(df).collect()) == [(-1, 0), (2, 0), (2, 0), (7, 120)]
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_interior_symbols_are_decided_by_the_window(seed):
+    """Equal windows agree on their anchor whatever surrounds them, runs included."""
+    r = np.random.Generator(np.random.PCG64(seed))
+    alphabet = r.integers(1, 1 << 60, 2 + seed, dtype=np.uint64)
+    passage = np.repeat(alphabet[r.integers(0, len(alphabet), 60)], r.integers(1, 4, 60))[:100]
+    parts = [np.concatenate((alphabet[r.integers(0, len(alphabet), r.integers(0, 9))], passage, alphabet[r.integers(0, len(alphabet), r.integers(0, 9))])) for _ in range(80)]
+    codes, bounds = np.concatenate(parts), np.concatenate(([0], np.cumsum([len(p) for p in parts])))
+    for width in (12, 20, 50):
+        starts = window_starts(bounds, width)
+        _, name = interior_symbols(3)(codes, bounds, starts, width)
+        by_window = {}
+        for s, n in zip(starts, name):
+            by_window.setdefault(codes[s : s + width].tobytes(), set()).add(int(n))
+        assert all(len(v) == 1 for v in by_window.values())
