@@ -1,12 +1,72 @@
-"""Clean a corpus in stages, each on all its predecessor kept."""
+"""Clean a corpus in stages, each on all that its predecessor kept.
+
+A stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as
+Parquet and read again as the next stage's docs.  All stages but the last return
+the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from docmart.llm.attention import filter_quality
+from docmart.llm.decontamination import filter_contaminated
+from docmart.llm.line_dedup import line_dedup
+from docmart.llm.minhash import drop_near_duplicates
+from docmart.llm.mixing import mix_sources
+from docmart.llm.shared import shared_folder
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return filter_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Boilerplate lines of a source go; a document whose lines all go stays, with an empty text."""
+    out = line_dedup(docs).withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    return drop_near_duplicates(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which benchmark passages cover a twentieth or more go."""
+    return filter_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources get equal weights, in a global random order."""
+    return mix_sources(docs)
+
 
-STAGES: list = []
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality),
+    ("lines", lines),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("mixing", mixing),
+]
+#: SQL can express neither the classifier nor the near duplicates.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``; what a stage returns is kept in the cluster's shared folder."""
+    folder = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for k, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            docs.write.parquet(f"{folder}/{k}_{name}")
+            docs = spark.read.parquet(f"{folder}/{k}_{name}")
+    return docs

@@ -180,6 +180,19 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
+def filter_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_docs: int = TRAIN_DOCS, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose score is at least ``threshold``; cases as in :func:`quality_scores`."""
+    model = train(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), labels, train_docs)
+    place = docs.columns.index(text_col)
+
+    def run(batches):
+        for b in batches:
+            keep = [model.score(*encode(s)) >= threshold for s in K.slices(b.column(place))]
+            yield b.filter(pa.array(np.concatenate(keep))) if keep else b
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op3_attention(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return quality_scores(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))

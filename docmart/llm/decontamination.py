@@ -193,6 +193,15 @@ def _without(s: K.Slice, w: K.Words, hit: np.ndarray) -> list[str]:
     return [s.data[a:b][~gone[a:b]].tobytes().decode("utf-8", "replace") for a, b in zip(s.starts, s.ends, strict=True)]
 
 
+def automaton_of(benchmark: DataFrame, item_col: str, item_text_col: str, window: int, max_benchmark_bytes: int) -> Automaton:
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("string").alias("text")).where("item is not null and text is not null")
+    size = items.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    if size > max_benchmark_bytes:
+        raise ValueError(f"the benchmark has {size} bytes of text; the automaton is sent to tasks up to {max_benchmark_bytes}")
+    rows = sorted((r["item"], r["text"]) for r in items.collect())
+    return Automaton(zip([r[0] for r in rows], item_words([r[1] for r in rows]), strict=True), window)
+
+
 def decontamination_report(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -221,17 +230,26 @@ def decontamination_report(
     the benchmark's size is checked first; cut a larger one into parts and pass
     the documents through each.
     """
-    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("string").alias("text")).where("item is not null and text is not null")
-    size = items.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    if size > max_benchmark_bytes:
-        raise ValueError(f"the benchmark has {size} bytes of text; the automaton is sent to tasks up to {max_benchmark_bytes}")
-    rows = sorted((r["item"], r["text"]) for r in items.collect())
-    automaton = Automaton(zip([r[0] for r in rows], item_words([r[1] for r in rows]), strict=True), window)
+    automaton = automaton_of(benchmark, item_col, item_text_col, window, max_benchmark_bytes)
     schema = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, longest long" + ", clean_text string" * with_text
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return docs.mapInArrow(_scan(automaton, coverage_per_mille, max_hit, with_text), schema)
 
 
+def filter_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = 13, coverage_per_mille: int = 50, max_benchmark_bytes: int = 64 << 20) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that are not contaminated; cases as in :func:`decontamination_report`."""
+    scan = _scan(automaton_of(benchmark, item_col, item_text_col, window, max_benchmark_bytes), coverage_per_mille, None, False)
+    place = docs.columns.index(text_col)
+
+    def run(batches):
+        for b in batches:
+            rows = pa.RecordBatch.from_arrays([pa.array(range(b.num_rows), pa.int64()), b.column(place)], names=["id", "text"])
+            bad = [x.column(5).to_numpy(zero_copy_only=False) for x in scan([rows])]
+            yield b.filter(pa.array(~np.concatenate(bad))) if bad else b
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op2_decontamination(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return decontamination_report(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
