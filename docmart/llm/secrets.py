@@ -49,7 +49,8 @@ RULES = BASE + MORE
 
 def _matches(text: Column, rule: Rule, rule_no: int) -> Column:
     """Array of (rule_no, no, gap, n, m): characters before each match since the last, of the match, and of its group."""
-    lazily = F.lit(f"(?s)(.*?)({rule.pattern})")
+    # \\G: without it the search would start anew at every place behind the last match
+    lazily = F.lit(rf"(?s)\G(.*?)({rule.pattern})")
     part = lambda k: F.regexp_extract_all(text, lazily, F.lit(k))
     found = F.arrays_zip(part(1).alias("gap"), part(2).alias("all"), part(2 + rule.group).alias("value"))
     sized = F.transform(found, lambda x, i: F.struct(F.lit(rule_no).alias("rule_no"), i.alias("no"), F.length(x["gap"]).alias("gap"), F.length(x["all"]).alias("n"), F.length(x["value"]).alias("m")))
