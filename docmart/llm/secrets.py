@@ -49,7 +49,7 @@ RULES = BASE + MORE
 
 def _matches(text: Column, rule: Rule, rule_no: int) -> Column:
     """Array of (rule_no, no, gap, n, m): characters before each match since the last, of the match, and of its group."""
-    # \\G: without it the search would start anew at every place behind the last match
+    # \G: without it the search would start anew at every place behind the last match
     lazily = F.lit(rf"(?s)\G(.*?)({rule.pattern})")
     part = lambda k: F.regexp_extract_all(text, lazily, F.lit(k))
     found = F.arrays_zip(part(1).alias("gap"), part(2).alias("all"), part(2 + rule.group).alias("value"))
@@ -64,7 +64,7 @@ def scan_blobs(blobs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
         wanted = F.col("todo").isNull() | F.array_contains("todo", rule.name)
         parts.append(F.when(wanted, _matches(F.col("text"), rule, k)))
     none = F.array().cast("array<struct<rule_no:int,no:int,gap:int,n:int,m:int>>")
-    each = blobs.select("blob", F.explode(F.concat(*[F.coalesce(p, none) for p in parts])).alias("x")).select("blob", "x.*")
+    each = blobs.select("blob", F.explode(F.concat(*[F.coalesce(p, none) for p in parts])).alias("x")).select("blob", "x.*").distinct()
     before = Window.partitionBy("blob", "rule_no").orderBy("no").rowsBetween(Window.unboundedPreceding, 0)
     each = each.withColumn("end", F.sum(F.col("gap") + F.col("n")).over(before).cast("long"))
     least = F.element_at(F.array(*[F.lit(r.least) for r in rules]), F.col("rule_no") + 1)
@@ -89,7 +89,7 @@ def unseen_blobs(versions: DataFrame, ledger: DataFrame | None, rules: tuple[Rul
         first = first.withColumn("todo", todo)
     first = first.select(F.col("blob").alias("f_blob"), F.col("path").alias("f_path"), "todo")
     same = (F.col("blob") == F.col("f_blob")) & F.col("path").eqNullSafe(F.col("f_path"))
-    # Repeated rows may give a blob twice; findings are made distinct where they are gathered.
+    # Repeated rows may give a blob twice; its matches are made distinct before they are placed.
     return versions.join(first, same).select("blob", "text", "todo")
 
 
