@@ -14,7 +14,11 @@ from .predicates import contains_any
 from .rules import last_per_key
 
 _FUND = ("doc_id", "fund")
-_NO_ARR, _NO_KV = F.lit(None).cast("array<string>"), F.lit(None).cast(KV)
+
+
+def _none(name: str) -> Column:
+    """An absent list or dictionary."""
+    return F.lit(None).cast({"arr": "array<string>", "kv": KV}[name]).alias(name)
 
 
 def normalize_keys(fields: DataFrame) -> DataFrame:
@@ -65,7 +69,7 @@ def combine_keys(fields: DataFrame, rules: Sequence[tuple[str, Sequence[str]]])
     for new, keys in rules:
         place = F.array_position(F.array(*[F.lit(k) for k in keys]), F.col("key"))
         got = out.where(F.col("key").isin(*keys)).groupBy(*_FUND).agg(F.min("ord").alias("ord"), F.array_sort(F.collect_list(F.struct(place.alias("p"), F.coalesce("arr", F.array("s")).alias("x")))).alias("all"))
-        made = got.select(*_FUND, "ord", F.lit(new).alias("key"), F.lit("a").alias("kind"), F.lit(None).cast("string").alias("s"), F.flatten(F.transform("all", lambda x: x["x"])).alias("arr"), _NO_KV.alias("kv"))
+        made = got.select(*_FUND, "ord", F.lit(new).alias("key"), F.lit("a").alias("kind"), F.lit(None).cast("string").alias("s"), F.flatten(F.transform("all", lambda x: x["x"])).alias("arr"), _none("kv"))
         out = out.where(~F.col("key").isin(*keys, new)).unionByName(made.select(*fields.columns))
     return out
 
@@ -82,7 +86,7 @@ def promote_keys(fields: DataFrame, rules: Sequence[tuple[str, str, str]], searc
         fits = lambda x: x["k"].rlike(f"(?i){at_start}(?:{pattern})")  # noqa: B023, E731
         place = F.array_position(F.transform("kv", fits), F.lit(True))
         rows = out.withColumn("_at", F.when(is_section, place.cast("int")).otherwise(F.lit(0)))
-        moved = rows.where("_at > 0").select(*_FUND, (F.col("ord") + 200_000_000 + no).cast("int").alias("ord"), F.lit(new).alias("key"), F.lit("s").alias("kind"), F.element_at("kv", F.col("_at"))["v"].alias("s"), _NO_ARR.alias("arr"), _NO_KV.alias("kv"))
+        moved = rows.where("_at > 0").select(*_FUND, (F.col("ord") + 200_000_000 + no).cast("int").alias("ord"), F.lit(new).alias("key"), F.lit("s").alias("kind"), F.element_at("kv", F.col("_at"))["v"].alias("s"), _none("arr"), _none("kv"))
         left = rows.withColumn("kv", F.when(F.col("_at") > 0, F.filter("kv", lambda x, i: i != F.col("_at") - 1)).otherwise(F.col("kv"))).drop("_at")
         out = last_per_key(left.unionByName(moved.select(*fields.columns)))
     return out
@@ -128,7 +132,7 @@ def add_constants(fields: DataFrame, constants: dict[str, Column]) -> DataFrame:
     """Constant text fields for every fund, after its other fields."""
     funds = fields.select(*_FUND).distinct()
     items = F.array(*[F.struct(F.lit(k).alias("key"), v.cast("string").alias("s"), F.lit(900_000_000 + i).alias("ord")) for i, (k, v) in enumerate(constants.items())])
-    rows = funds.select(*_FUND, F.explode(items).alias("x")).select(*_FUND, F.col("x.ord").alias("ord"), F.col("x.key").alias("key"), F.lit("s").alias("kind"), F.col("x.s").alias("s"), _NO_ARR.alias("arr"), _NO_KV.alias("kv"))
+    rows = funds.select(*_FUND, F.explode(items).alias("x")).select(*_FUND, F.col("x.ord").alias("ord"), F.col("x.key").alias("key"), F.lit("s").alias("kind"), F.col("x.s").alias("s"), _none("arr"), _none("kv"))
     return last_per_key(fields.unionByName(rows.select(*fields.columns)))
 
 
@@ -137,7 +141,7 @@ def fill_defaults(fields: DataFrame, defaults: dict[str, str | None]) -> DataFra
     want = F.array(*[F.struct(F.lit(k).alias("key"), F.lit(v).cast("string").alias("s")) for k, v in sorted(defaults.items())])
     have = fields.groupBy(*_FUND).agg(F.collect_set("key").alias("have"))
     missing = have.select(*_FUND, F.explode(F.filter(want, lambda x: ~F.array_contains("have", x["key"]))).alias("x"))
-    rows = missing.select(*_FUND, F.lit(950_000_000).alias("ord"), F.col("x.key").alias("key"), F.lit("s").alias("kind"), F.col("x.s").alias("s"), _NO_ARR.alias("arr"), _NO_KV.alias("kv"))
+    rows = missing.select(*_FUND, F.lit(950_000_000).alias("ord"), F.col("x.key").alias("key"), F.lit("s").alias("kind"), F.col("x.s").alias("s"), _none("arr"), _none("kv"))
     return fields.unionByName(rows.select(*fields.columns))
 
 
@@ -146,7 +150,7 @@ def split_amounts(fields: DataFrame, keys: Sequence[str] = ("min_amt", "min_addl
     hit = F.col("key").isin(*keys) & (F.col("kind") == "d")
     get = lambda k: F.coalesce(kv_get(F.col("kv"), k), F.lit(""))
     two = F.array(F.struct(F.col("key").alias("key"), get("amt").alias("s"), F.lit(0).alias("d")), F.struct(F.concat(F.col("key"), F.lit("_multiple")).alias("key"), get("thraftr").alias("s"), F.lit(1).alias("d")))
-    made = fields.where(hit).select(*_FUND, "ord", F.explode(two).alias("x")).select(*_FUND, (F.col("ord") + F.col("x.d")).cast("int").alias("ord"), F.col("x.key").alias("key"), F.lit("s").alias("kind"), F.col("x.s").alias("s"), _NO_ARR.alias("arr"), _NO_KV.alias("kv"))
+    made = fields.where(hit).select(*_FUND, "ord", F.explode(two).alias("x")).select(*_FUND, (F.col("ord") + F.col("x.d")).cast("int").alias("ord"), F.col("x.key").alias("key"), F.lit("s").alias("kind"), F.col("x.s").alias("s"), _none("arr"), _none("kv"))
     return fields.where(~hit).unionByName(made.select(*fields.columns))
 
 
