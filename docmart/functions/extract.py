@@ -47,15 +47,27 @@ def pairs(keys: Column, values: Column) -> Column:
     return F.transform(zipped, lambda x: F.struct(strip(x["k"]).alias("k"), strip(x["v"]).alias("v")))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _first_wins(kv: Column) -> Column:
+    return F.filter(kv, lambda x, i: ~F.exists(F.slice(kv, F.lit(1), i), lambda y: y["k"] == x["k"]))
+
+
 def first_wins(kv: Column) -> Column:
     """Keep the first pair of each key, in order."""
-    return F.filter(kv, lambda x, i: ~F.exists(F.slice(kv, F.lit(1), i), lambda y: y["k"] == x["k"]))
+    return let(kv, _first_wins)
 
 
 def last_wins(kv: Column) -> Column:
     """Each key at its first place, with its last value."""
-    last = lambda x: F.element_at(F.filter(kv, lambda y: y["k"] == x["k"]), -1)["v"]
-    return F.transform(first_wins(kv), lambda x: F.struct(x["k"].alias("k"), last(x).alias("v")))
+    def use(all_: Column) -> Column:
+        last = lambda x: F.element_at(F.filter(all_, lambda y: y["k"] == x["k"]), -1)["v"]
+        return F.transform(_first_wins(all_), lambda x: F.struct(x["k"].alias("k"), last(x).alias("v")))
+
+    return let(kv, use)
 
 
 def kv_get(kv: Column, key: str) -> Column:
