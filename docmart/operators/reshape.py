@@ -130,6 +130,8 @@ def fan_out(funds: DataFrame, rules: Sequence[tuple[str, Sequence[str]]], fund:
 
 def add_constants(fields: DataFrame, constants: dict[str, Column]) -> DataFrame:
     """Constant text fields for every fund, after its other fields."""
+    if not constants:
+        return fields
     funds = fields.select(*_FUND).distinct()
     items = F.array(*[F.struct(F.lit(k).alias("key"), v.cast("string").alias("s"), F.lit(900_000_000 + i).alias("ord")) for i, (k, v) in enumerate(constants.items())])
     rows = funds.select(*_FUND, F.explode(items).alias("x")).select(*_FUND, F.col("x.ord").alias("ord"), F.col("x.key").alias("key"), F.lit("s").alias("kind"), F.col("x.s").alias("s"), _none("arr"), _none("kv"))
@@ -138,6 +140,8 @@ def add_constants(fields: DataFrame, constants: dict[str, Column]) -> DataFrame:
 
 def fill_defaults(fields: DataFrame, defaults: dict[str, str | None]) -> DataFrame:
     """Every expected key that a fund lacks, with its default."""
+    if not defaults:
+        return fields
     want = F.array(*[F.struct(F.lit(k).alias("key"), F.lit(v).cast("string").alias("s")) for k, v in sorted(defaults.items())])
     have = fields.groupBy(*_FUND).agg(F.collect_set("key").alias("have"))
     missing = have.select(*_FUND, F.explode(F.filter(want, lambda x: ~F.array_contains("have", x["key"]))).alias("x"))
