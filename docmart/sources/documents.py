@@ -78,9 +78,9 @@ def span_rows(docs: DataFrame, blocks: str = "blocks", by: Sequence[str] = ("doc
     return rows.withColumn("_rn", F.row_number().over(same)).where("_rn = 1").drop("_rn")
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
+def read_documents(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Output documents, one row for each record, with the file they came from; fields that drifted are read as they are."""
-    docs = spark.read.schema(DOCUMENT).option("multiLine", True).json(path)
+    docs = spark.read.schema(DOCUMENT).option("multiLine", multi_line).json(path)
     return docs.select(F.input_file_name().alias("file"), "metadata.*", F.explode_outer("records").alias("r")).select("file", "document_name", "file_type", "process_date", "r.value.*")
 
 
@@ -114,7 +114,7 @@ def sheet_name(c: Column) -> Column:
 def write_documents(documents: DataFrame, path: str) -> None:
     """One JSON document for each source file, in a folder of its name."""
     rows = documents.withColumn("document", F.col("metadata.document_name"))
-    rows.write.mode("overwrite").partitionBy("document").json(path)
+    rows.repartition("document").write.mode("overwrite").partitionBy("document").json(path)
 
 
 def write_sheets(rows: DataFrame, name: str, path: str) -> None:
