@@ -11,16 +11,11 @@ from pyspark.sql.window import Window
 from ..functions import text as T
 from ..functions.extract import KV, kv_get, last_wins
 from .predicates import contains_any
-from .rules import last_per_key
+from .rules import emit, last_per_key, row, same_row
 
 _FUND = ("doc_id", "fund")
 
 
-def _none(name: str) -> Column:
-    """An absent list or dictionary."""
-    return F.lit(None).cast({"arr": "array<string>", "kv": KV}[name]).alias(name)
-
-
 def normalize_keys(fields: DataFrame) -> DataFrame:
     """Normalised keys at both levels."""
     inner = F.transform("kv", lambda x: F.struct(T.normalize_key(x["k"]).alias("k"), x["v"].alias("v")))
@@ -31,13 +26,38 @@ def clone_keys(fields: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFrame
     """For each (new key, pattern): the first key that matches at its start is copied, replacing a field of the new name."""
     out = fields
     for no, (new, pattern) in enumerate(rules):
-        w = Window.partitionBy(*_FUND).orderBy("ord")
-        first = out.where(F.col("key").rlike(f"^(?:{pattern})")).withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-        copy = first.withColumn("key", F.lit(new)).withColumn("ord", (F.col("ord") + 100_000_000 * (no + 1)).cast("int"))
-        out = last_per_key(out.unionByName(copy))
+        hit = F.col("key").rlike(f"^(?:{pattern})")
+        first = F.min(F.when(hit, F.col("ord"))).over(Window.partitionBy(*_FUND))
+        rows = out.withColumn("_first", hit & (F.col("ord") == first))
+        copy = row(F.col("ord") + 100_000_000 * (no + 1), new, F.col("kind"), F.col("s"), F.col("arr"), F.col("kv"))
+        out = last_per_key(emit(rows, same_row(), F.when(F.col("_first"), copy)))
     return out
 
 
+def _into_one(fields: DataFrame, hit: Column, new: str, order: Column, lists_only: bool) -> DataFrame:
+    """The fields that are hit as one field ``new``; others stay, but for one of that name."""
+    group = F.when(hit, F.lit("")).otherwise(F.concat_ws("\x00", F.lit("-"), "key", "ord"))
+    alone = lambda v: F.array(F.struct(F.col("key").alias("k"), v.alias("v")))
+    kv = F.when(F.col("kind") == "d", F.col("kv")).when(F.col("kind") == "a", alone(F.array_join("arr", " "))).otherwise(alone(F.col("s")))
+    item = F.struct(order.alias("o"), kv.alias("kv"), F.coalesce("arr", F.array("s")).alias("arr"))
+    got = fields.groupBy(*_FUND, group.alias("_group")).agg(
+        F.min("ord").alias("ord"), F.min("key").alias("key"), F.min("kind").alias("kind"), F.max("s").alias("s"), F.every(F.col("kind") == "a").alias("_lists"), F.array_sort(F.collect_list(item)).alias("_all")
+    )
+    arr, pairs = F.flatten(F.transform("_all", lambda x: x["arr"])), F.flatten(F.transform("_all", lambda x: x["kv"]))
+    merged = F.col("_group") == ""
+    as_list = F.lit(lists_only) | F.col("_lists")
+    kind = F.when(merged, F.when(as_list, "a").otherwise("d")).otherwise(F.col("kind"))
+    out = got.select(
+        *_FUND, "ord", F.when(merged, F.lit(new)).otherwise(F.col("key")).alias("key"), kind.alias("kind"), F.when(~merged, F.col("s")).alias("s"),
+        F.when(F.when(merged, as_list).otherwise(F.col("kind") == "a"), arr).alias("arr"),
+        F.when(merged & ~as_list, last_wins(pairs)).when(~merged & (F.col("kind") == "d"), pairs).cast(KV).alias("kv"), merged.alias("_merged"),
+    )
+    stored = F.col("_merged") & ((F.coalesce(F.size("arr"), F.lit(0)) > 0) | (F.coalesce(F.size("kv"), F.lit(0)) > 0))
+    replaced = F.max(stored).over(Window.partitionBy(*_FUND))
+    out = out.withColumn("_stored", stored).withColumn("_replaced", replaced)
+    return out.where(F.col("_stored") | (~F.col("_merged") & ~(F.col("_replaced") & (F.col("key") == new)))).select("doc_id", "fund", "ord", "key", "kind", "s", "arr", "kv")
+
+
 def merge_keys(fields: DataFrame, rules: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:
     """For each (new key, patterns): matching fields become one.
 
@@ -47,19 +67,7 @@ def merge_keys(fields: DataFrame, rules: Sequence[tuple[str, Sequence[str]]]) ->
     """
     out = fields
     for new, patterns in rules:
-        hit = contains_any("key", patterns)
-        members = out.where(hit)
-        own = F.when(F.col("kind") == "d", F.col("kv")).when(F.col("kind") == "a", F.array(F.struct(F.col("key").alias("k"), F.array_join("arr", " ").alias("v")))).otherwise(F.array(F.struct(F.col("key").alias("k"), F.col("s").alias("v"))))
-        got = members.groupBy(*_FUND).agg(
-            F.min("ord").alias("ord"),
-            F.every(F.col("kind") == "a").alias("lists"),
-            F.array_sort(F.collect_list(F.struct("ord", own.alias("kv"), F.coalesce("arr", F.array().cast("array<string>")).alias("arr")))).alias("all"),
-        )
-        arr, kv = F.flatten(F.transform("all", lambda x: x["arr"])), last_wins(F.flatten(F.transform("all", lambda x: x["kv"])))
-        merged = got.select(
-            *_FUND, "ord", F.lit(new).alias("key"), F.when(F.col("lists"), "a").otherwise("d").alias("kind"), F.lit(None).cast("string").alias("s"), F.when(F.col("lists"), arr).alias("arr"), F.when(~F.col("lists"), kv.cast(KV)).alias("kv")
-        ).where((F.coalesce(F.size("arr"), F.lit(0)) > 0) | (F.coalesce(F.size("kv"), F.lit(0)) > 0))
-        out = out.where(~hit & (F.col("key") != new)).unionByName(merged.select(*fields.columns))
+        out = _into_one(out, contains_any("key", patterns), new, F.col("ord"), lists_only=False)
     return out
 
 
@@ -67,10 +75,8 @@ def combine_keys(fields: DataFrame, rules: Sequence[tuple[str, Sequence[str]]])
     """For each (new key, keys): lists are joined and texts appended, in the order of the keys."""
     out = fields
     for new, keys in rules:
-        place = F.array_position(F.array(*[F.lit(k) for k in keys]), F.col("key"))
-        got = out.where(F.col("key").isin(*keys)).groupBy(*_FUND).agg(F.min("ord").alias("ord"), F.array_sort(F.collect_list(F.struct(place.alias("p"), F.coalesce("arr", F.array("s")).alias("x")))).alias("all"))
-        made = got.select(*_FUND, "ord", F.lit(new).alias("key"), F.lit("a").alias("kind"), F.lit(None).cast("string").alias("s"), F.flatten(F.transform("all", lambda x: x["x"])).alias("arr"), _none("kv"))
-        out = out.where(~F.col("key").isin(*keys, new)).unionByName(made.select(*fields.columns))
+        place = F.array_position(F.array(*[F.lit(k) for k in keys]), F.col("key")).cast("int")
+        out = _into_one(out, F.col("key").isin(*keys), new, place, lists_only=True)
     return out
 
 
@@ -81,14 +87,13 @@ def promote_keys(fields: DataFrame, rules: Sequence[tuple[str, str, str]], searc
     """
     out = fields
     for no, (section, new, pattern) in enumerate(rules):
-        at_start = "" if search else "^"
+        start = "" if search else "^"
         is_section = (F.col("key").rlike(f"(?i){section}") if search else F.col("key") == section) & (F.col("kind") == "d")
-        fits = lambda x: x["k"].rlike(f"(?i){at_start}(?:{pattern})")  # noqa: B023, E731
-        place = F.array_position(F.transform("kv", fits), F.lit(True))
-        rows = out.withColumn("_at", F.when(is_section, place.cast("int")).otherwise(F.lit(0)))
-        moved = rows.where("_at > 0").select(*_FUND, (F.col("ord") + 200_000_000 + no).cast("int").alias("ord"), F.lit(new).alias("key"), F.lit("s").alias("kind"), F.element_at("kv", F.col("_at"))["v"].alias("s"), _none("arr"), _none("kv"))
-        left = rows.withColumn("kv", F.when(F.col("_at") > 0, F.filter("kv", lambda x, i: i != F.col("_at") - 1)).otherwise(F.col("kv"))).drop("_at")
-        out = last_per_key(left.unionByName(moved.select(*fields.columns)))
+        fits = F.transform("kv", lambda x: x["k"].rlike(f"(?i){start}(?:{pattern})"))  # noqa: B023
+        rows = out.withColumn("_at", F.when(is_section, F.array_position(fits, F.lit(True)).cast("int")).otherwise(F.lit(0)))
+        left = F.when(F.col("_at") > 0, F.filter("kv", lambda x, i: i != F.col("_at") - 1)).otherwise(F.col("kv"))
+        moved = row(F.col("ord") + 200_000_000 + no, new, "s", F.element_at("kv", F.col("_at"))["v"])
+        out = last_per_key(emit(rows, same_row(kv=left), F.when(F.col("_at") > 0, moved)))
     return out
 
 
@@ -128,34 +133,35 @@ def fan_out(funds: DataFrame, rules: Sequence[tuple[str, Sequence[str]]], fund:
     return funds.withColumn(fund, F.explode(names))
 
 
+def _with_extra(fields: DataFrame, extra: Column) -> DataFrame:
+    """Fields and, once for each fund, the rows of the array ``extra`` (which may use ``have``, the fund's keys)."""
+    w = Window.partitionBy(*_FUND)
+    rows = fields.withColumn("have", F.collect_set("key").over(w)).withColumn("_rn", F.row_number().over(w.orderBy("ord", "key")))
+    both = F.when(F.col("_rn") == 1, F.concat(F.array(same_row()), extra)).otherwise(F.array(same_row()))
+    return rows.select(F.explode(both).alias("x")).select("x.*")
+
+
 def add_constants(fields: DataFrame, constants: dict[str, Column]) -> DataFrame:
     """Constant text fields for every fund, after its other fields."""
     if not constants:
         return fields
-    funds = fields.select(*_FUND).distinct()
-    items = F.array(*[F.struct(F.lit(k).alias("key"), v.cast("string").alias("s"), F.lit(900_000_000 + i).alias("ord")) for i, (k, v) in enumerate(constants.items())])
-    rows = funds.select(*_FUND, F.explode(items).alias("x")).select(*_FUND, F.col("x.ord").alias("ord"), F.col("x.key").alias("key"), F.lit("s").alias("kind"), F.col("x.s").alias("s"), _none("arr"), _none("kv"))
-    return last_per_key(fields.unionByName(rows.select(*fields.columns)))
+    return last_per_key(_with_extra(fields, F.array(*[row(F.lit(900_000_000 + i), k, "s", v) for i, (k, v) in enumerate(constants.items())])))
 
 
 def fill_defaults(fields: DataFrame, defaults: dict[str, str | None]) -> DataFrame:
     """Every expected key that a fund lacks, with its default."""
     if not defaults:
         return fields
-    want = F.array(*[F.struct(F.lit(k).alias("key"), F.lit(v).cast("string").alias("s")) for k, v in sorted(defaults.items())])
-    have = fields.groupBy(*_FUND).agg(F.collect_set("key").alias("have"))
-    missing = have.select(*_FUND, F.explode(F.filter(want, lambda x: ~F.array_contains("have", x["key"]))).alias("x"))
-    rows = missing.select(*_FUND, F.lit(950_000_000).alias("ord"), F.col("x.key").alias("key"), F.lit("s").alias("kind"), F.col("x.s").alias("s"), _none("arr"), _none("kv"))
-    return fields.unionByName(rows.select(*fields.columns))
+    want = F.array(*[row(F.lit(950_000_000), k, "s", F.lit(v)) for k, v in sorted(defaults.items())])
+    return _with_extra(fields, F.filter(want, lambda x: ~F.array_contains("have", x["key"])))
 
 
 def split_amounts(fields: DataFrame, keys: Sequence[str] = ("min_amt", "min_addl_amt")) -> DataFrame:
     """{amt, thraftr} under a key becomes the key and ``key_multiple``."""
     hit = F.col("key").isin(*keys) & (F.col("kind") == "d")
     get = lambda k: F.coalesce(kv_get(F.col("kv"), k), F.lit(""))
-    two = F.array(F.struct(F.col("key").alias("key"), get("amt").alias("s"), F.lit(0).alias("d")), F.struct(F.concat(F.col("key"), F.lit("_multiple")).alias("key"), get("thraftr").alias("s"), F.lit(1).alias("d")))
-    made = fields.where(hit).select(*_FUND, "ord", F.explode(two).alias("x")).select(*_FUND, (F.col("ord") + F.col("x.d")).cast("int").alias("ord"), F.col("x.key").alias("key"), F.lit("s").alias("kind"), F.col("x.s").alias("s"), _none("arr"), _none("kv"))
-    return fields.where(~hit).unionByName(made.select(*fields.columns))
+    one, two = row(F.col("ord"), F.col("key"), "s", get("amt")), row(F.col("ord") + 1, F.concat(F.col("key"), F.lit("_multiple")), "s", get("thraftr"))
+    return emit(fields, F.when(hit, one).otherwise(same_row()), F.when(hit, two))
 
 
 def load_list(kv: Column) -> Column:

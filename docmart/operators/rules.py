@@ -43,6 +43,24 @@ def map_metric(c, keys: Sequence[tuple[str, str]]) -> Column:
     return F.coalesce(first_rule(key, keys, ignore_case=False), key)
 
 
+def row(ord_, key, kind, s=None, arr=None, kv=None) -> Column:
+    """A field of the same fund as the row at hand."""
+    typed = lambda v, t: (F.lit(None) if v is None else v).cast(t)
+    return F.struct(
+        F.col("doc_id"), F.col("fund"), ord_.cast("int").alias("ord"), (F.lit(key) if isinstance(key, str) else key).alias("key"), (F.lit(kind) if isinstance(kind, str) else kind).alias("kind"),
+        typed(s, "string").alias("s"), typed(arr, "array<string>").alias("arr"), typed(kv, KV).alias("kv"),
+    )
+
+
+def same_row(ord_: Column | None = None, kv: Column | None = None) -> Column:
+    return row(F.col("ord") if ord_ is None else ord_, F.col("key"), F.col("kind"), F.col("s"), F.col("arr"), F.col("kv") if kv is None else kv)
+
+
+def emit(fields: DataFrame, *items: Column) -> DataFrame:
+    """For each field the given rows, nulls left out: fields are added and replaced in one pass, without reading the table twice."""
+    return fields.select(F.explode(F.array_compact(F.array(*items))).alias("x")).select("x.*")
+
+
 def last_per_key(fields: DataFrame) -> DataFrame:
     """Of fields that ended up with one key, the last."""
     w = Window.partitionBy("doc_id", "fund", "key").orderBy(F.desc("ord"))
@@ -91,9 +109,9 @@ def apply_level(fields: DataFrame, level: Sequence[Dispatch]) -> DataFrame:
 
 def flatten(fields: DataFrame) -> DataFrame:
     """Dictionaries become fields with dotted keys, in place; lists and texts stay."""
-    rows = fields.where("kind = 'd'").select("doc_id", "fund", "ord", "key", F.posexplode("kv").alias("i", "x"))
-    inner = rows.select("doc_id", "fund", (F.col("ord") * 1000 + F.col("i")).cast("int").alias("ord"), F.concat_ws(".", "key", "x.k").alias("key"), F.lit("s").alias("kind"), F.col("x.v").alias("s"), F.lit(None).cast("array<string>").alias("arr"), F.lit(None).cast(KV).alias("kv"))
-    return fields.where("kind <> 'd'").withColumn("ord", (F.col("ord") * 1000).cast("int")).unionByName(inner)
+    at = F.col("ord") * 1000
+    inner = F.transform("kv", lambda x, i: row(at + i, F.concat_ws(".", F.col("key"), x["k"]), "s", x["v"]))
+    return fields.select(F.explode(F.when(F.col("kind") == "d", inner).otherwise(F.array(same_row(at)))).alias("x")).select("x.*")
 
 
 def refine(fields: DataFrame, heads: Sequence[tuple[str, str]], primary: Sequence[Dispatch], secondary: Sequence[Dispatch], tertiary: Sequence[Dispatch]) -> DataFrame:
@@ -116,11 +134,10 @@ def special_pass(fields: DataFrame, rules: Sequence[tuple[str, str, str, dict]])
     """For keys that match a special rule (pattern, new key, extractor, rule): the value computed for the new key, which replaces one of that name."""
     text = value_text()
     no = F.coalesce(*[F.when(F.col("key").rlike(f"(?i)^(?:{r[0]})"), F.lit(k)) for k, r in enumerate(rules)], F.lit(-1))
-    made = fields.withColumn("_no", no).where("_no >= 0")
+    rows = fields.withColumn("_no", no)
     key = F.coalesce(*[F.when(F.col("_no") == k, F.lit(r[1])) for k, r in enumerate(rules)])
     s = F.coalesce(*[F.when(F.col("_no") == k, EXTRACTORS[r[2]](text, r[3])) for k, r in enumerate(rules)])
-    made = made.select("doc_id", "fund", (F.col("ord") + 500_000_000).cast("int").alias("ord"), key.alias("key"), F.lit("s").alias("kind"), s.alias("s"), F.lit(None).cast("array<string>").alias("arr"), F.lit(None).cast(KV).alias("kv"))
-    return last_per_key(fields.unionByName(made))
+    return last_per_key(emit(rows, same_row(), F.when(F.col("_no") >= 0, row(F.col("ord") + 500_000_000, key, "s", s))))
 
 
 def rule_rows(spark, amc_key: str, table: str, rules: Sequence[tuple[str, ...]], vintage: str = "current") -> DataFrame:
