@@ -6,8 +6,8 @@ so a token's turn is found by binary search; the loss mask is what
 the spans of assistant texts and of tokens have in common.
 
 Template: ``<|role|>``, newline, text, newline, ``<|end|>``, newline for each turn.
-In roles and texts a backslash precedes every backslash and every ``<|`` or ``|>``,
-so control strings never occur inside them and one rule undoes it.
+In roles and texts a backslash precedes every backslash and every bar, so control
+strings, which all have a bar, never occur inside them and one rule undoes it.
 """
 
 from __future__ import annotations
@@ -27,8 +27,8 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 END = "\n<|end|>\n"
 #: Encode so many characters at a time: token objects are large.
 CHARS = 1 << 19
-_ESCAPE, _UNESCAPE = re.compile(r"\\|<\||\|>"), re.compile(r"\\(.)", re.DOTALL)
-_TURN = re.compile(r"(?<!\\)<\|((?:[^\\|]|\\.|\|(?!>))*)\|>\n", re.DOTALL)
+_ESCAPE, _UNESCAPE = re.compile(r"[\\|]"), re.compile(r"\\(.)", re.DOTALL)
+_TURN = re.compile(r"<\|((?:[^\\|]|\\.)*)\|>\n", re.DOTALL)
 
 
 def escape(text: str) -> str:
@@ -55,7 +55,7 @@ def parse(formatted: str) -> list[tuple[str, str]]:
     """The turns of a formatted conversation."""
     out, at = [], 0
     while m := _TURN.match(formatted, at):
-        stop = formatted.index(END, m.end())  # "<|" is escaped inside texts
+        stop = formatted.index(END, m.end())  # bars are escaped inside texts
         out.append((unescape(m[1]), unescape(formatted[m.end() : stop])))
         at = stop + len(END)
     return out
@@ -187,8 +187,7 @@ WITH c AS (
 ), l AS (
   SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS turns,
          coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '') AS loss,
-         sum(length(role) + length(text) + length(regexp_replace(role || text, '[^\\\\]', '', 'g'))
-             + len(regexp_extract_all(role, '<\\||\\|>')) + len(regexp_extract_all(text, '<\\||\\|>')) + {len("<||>") + 1 + len(END)}) AS formatted_chars
+         sum(length(role) + length(text) + length(regexp_replace(role || text, '[^\\\\|]', '', 'g')) + {len("<||>") + 1 + len(END)}) AS formatted_chars
   FROM c GROUP BY conv_id
 )
 SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars
