@@ -15,18 +15,30 @@ from .predicates import any_of
 def stack_tables(cells: DataFrame, by: Sequence[str] = ("doc_id",), pad: int = 1, horizontal: bool = False) -> DataFrame:
     """All tables of a document below each other (or beside), ``pad`` blank rows (columns) apart."""
     place = "col_no" if horizontal else "row_no"
-    sizes = cells.groupBy(*by, "table_no").agg((F.max(place) + 1 + pad).alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.partitionBy(*by).orderBy("table_no").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = sizes.withColumn("_off", before).drop("_n")
-    return cells.join(offsets, [*by, "table_no"]).withColumn(place, F.col(place) + F.col("_off")).drop("_off")
+    one = Window.partitionBy(*by, "table_no")
+    size = F.when(F.row_number().over(one.orderBy("row_no", "col_no")) == 1, F.max(place).over(one) + 1 + pad)
+    before = Window.partitionBy(*by).orderBy("table_no").rangeBetween(Window.unboundedPreceding, -1)
+    rows = cells.repartition(*by).withColumn("_size", size).withColumn("_off", F.coalesce(F.sum("_size").over(before), F.lit(0)))
+    return rows.withColumn(place, (F.col(place) + F.col("_off")).cast(cells.schema[place].dataType)).drop("_size", "_off")
+
+
+def _row_hits(keywords: Sequence[str]):
+    return F.count_if(normalize_alphanumeric("text").rlike(f"(?i){any_of(keywords)}"))
+
+
+def _column_hits(keywords: Sequence[str]):
+    return F.sum(F.regexp_count(normalize_alphanumeric("text"), F.lit(f"(?i){any_of(keywords)}")))
+
+
+def _or_zero(found: DataFrame, by: Sequence[str], place: str, thresh: int) -> DataFrame:
+    """Places with enough hits, or place 0 of a document without one."""
+    got = found.groupBy(*by).agg(F.collect_list(F.when(F.col("_n") >= thresh, F.col(place))).alias("_all"))
+    return got.select(*by, F.explode_outer("_all").alias(place)).withColumn(place, F.coalesce(place, F.lit(0)))
 
 
 def find_rows(cells: DataFrame, keywords: Sequence[str], thresh: int = 1, by: Sequence[str] = ("doc_id",)) -> DataFrame:
     """Rows with at least ``thresh`` cells that contain a keyword; a document without one has row 0."""
-    hit = normalize_alphanumeric("text").rlike(f"(?i){any_of(keywords)}")
-    rows = cells.groupBy(*by, "row_no").agg(F.count_if(hit).alias("hits")).where(F.col("hits") >= thresh).select(*by, "row_no")
-    none = cells.select(*by).distinct().join(rows.select(*by).distinct(), list(by), "left_anti").withColumn("row_no", F.lit(0).cast(cells.schema["row_no"].dataType))
-    return rows.unionByName(none)
+    return _or_zero(cells.groupBy(*by, "row_no").agg(_row_hits(keywords).alias("_n")), by, "row_no", thresh)
 
 
 def find_columns(cells: DataFrame, keywords: Sequence[str], thresh: int = 1, by: Sequence[str] = ("doc_id",)) -> DataFrame:
@@ -34,10 +46,13 @@ def find_columns(cells: DataFrame, keywords: Sequence[str], thresh: int = 1, by:
 
     Occurrences are counted cell by cell and summed, so no column is gathered in one place.
     """
-    n = F.regexp_count(normalize_alphanumeric("text"), F.lit(f"(?i){any_of(keywords)}"))
-    cols = cells.groupBy(*by, "col_no").agg(F.sum(n).alias("n")).where(F.col("n") >= thresh).select(*by, "col_no")
-    none = cells.select(*by).distinct().join(cols.select(*by).distinct(), list(by), "left_anti").withColumn("col_no", F.lit(0).cast(cells.schema["col_no"].dataType))
-    return cols.unionByName(none)
+    return _or_zero(cells.groupBy(*by, "col_no").agg(_column_hits(keywords).alias("_n")), by, "col_no", thresh)
+
+
+def with_first(cells: DataFrame, place: str, hits, thresh: int, by: Sequence[str]) -> DataFrame:
+    """Cells with ``_at``, the document's first row (column) with enough hits, or 0; windows over the document, no join."""
+    rows = cells.withColumn("_n", hits.over(Window.partitionBy(*by, place)))
+    return rows.withColumn("_at", F.coalesce(F.min(F.when(F.col("_n") >= thresh, F.col(place))).over(Window.partitionBy(*by)), F.lit(0))).drop("_n")
 
 
 def sub_grid(cells: DataFrame, rows: tuple[int, int], cols: tuple[int, int]) -> DataFrame:
@@ -49,16 +64,15 @@ def sub_grid(cells: DataFrame, rows: tuple[int, int], cols: tuple[int, int]) ->
 
 
 def drop_blank_lines(cells: DataFrame, by: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """Without rows and columns that have no text at all; two aggregates and semi-joins, so no row or column is one window."""
-    full = cells.where("text is not null")
-    rows, cols = full.select(*by, "row_no").distinct(), full.select(*by, "col_no").distinct()
-    return cells.join(rows, [*by, "row_no"], "left_semi").join(cols, [*by, "col_no"], "left_semi")
+    """Without rows and columns that have no text at all."""
+    texts = lambda place: F.count("text").over(Window.partitionBy(*by, place))
+    return cells.withColumn("_r", texts("row_no")).withColumn("_c", texts("col_no")).where("_r > 0 and _c > 0").drop("_r", "_c")
 
 
 def fill_titles(cells: DataFrame, by: Sequence[str] = ("doc_id",), title_col: int = 0) -> DataFrame:
     """Cells with the ``title`` of their row: the last text of the title column at or above it."""
-    titles = cells.where(F.col("col_no") == title_col).select(*by, "row_no", F.last("text", ignorenulls=True).over(Window.partitionBy(*by).orderBy("row_no")).alias("title"))
-    return cells.join(titles, [*by, "row_no"])
+    down = Window.partitionBy(*by).orderBy("row_no").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return cells.withColumn("title", F.last(F.when(F.col("col_no") == title_col, F.col("text")), ignorenulls=True).over(down))
 
 
 def collect_by_title(titled: DataFrame, by: Sequence[str] = ("doc_id",), title_col: int = 0) -> DataFrame:
@@ -74,18 +88,15 @@ def clean_cells(cells: DataFrame, steps: Sequence[str] = ("newline_to_space", "c
 
 def scheme_table(cells: DataFrame, keywords: Sequence[str], width: int, by: Sequence[str] = ("doc_id",)) -> DataFrame:
     """Stack, find the keyword column, slice from it, clean, fill titles down, collect by title."""
-    stacked = stack_tables(cells, by, pad=0)
-    at = find_columns(stacked, keywords, by=by).groupBy(*by).agg(F.min("col_no").alias("_c"))
-    part = stacked.join(at, list(by)).where(F.col("col_no").between(F.col("_c"), F.col("_c") + width - 1)).withColumn("col_no", F.col("col_no") - F.col("_c")).drop("_c")
+    stacked = with_first(stack_tables(cells, by, pad=0), "col_no", _column_hits(keywords), 1, by)
+    part = stacked.where(F.col("col_no").between(F.col("_at"), F.col("_at") + width - 1)).withColumn("col_no", F.col("col_no") - F.col("_at")).drop("_at")
     return collect_by_title(fill_titles(clean_cells(part), by), by)
 
 
 def manager_table(cells: DataFrame, keywords: Sequence[str], order: dict[int, str], by: Sequence[str] = ("doc_id",), thresh: int = 1) -> DataFrame:
     """Stack, cut below the keyword row, clean, drop blank lines, name columns by ``order``."""
-    stacked = stack_tables(cells, by, pad=0)
-    at = find_rows(stacked, keywords, thresh, by).groupBy(*by).agg(F.min("row_no").alias("_r"))
-    part = stacked.join(at, list(by)).where(F.col("row_no") > F.col("_r")).drop("_r")
-    part = drop_blank_lines(clean_cells(part), by)
+    stacked = with_first(stack_tables(cells, by, pad=0), "row_no", _row_hits(keywords), thresh, by)
+    part = drop_blank_lines(clean_cells(stacked.where(F.col("row_no") > F.col("_at")).drop("_at")), by)
     return part.groupBy(*by, "row_no").agg(*[F.max(F.when(F.col("col_no") == k, F.col("text"))).alias(v) for k, v in order.items()])
 
 
@@ -93,8 +104,8 @@ def allocation_rows(cells: DataFrame, keywords: Sequence[str], n: int, by: Seque
     """The rows [m + 1, m + 3 + n) below the first keyword row m, each as one cleaned text."""
     from ..functions.text import normalize_alphanumeric_keep
 
-    at = find_rows(cells, keywords, 1, by).groupBy(*by).agg(F.min("row_no").alias("_r"))
-    part = cells.join(at, list(by)).where((F.col("row_no") > F.col("_r")) & (F.col("row_no") < F.col("_r") + 3 + n))
+    rows = with_first(cells.repartition(*by), "row_no", _row_hits(keywords), 1, by)
+    part = rows.where((F.col("row_no") > F.col("_at")) & (F.col("row_no") < F.col("_at") + 3 + n))
     texts = F.array_sort(F.collect_list(F.struct("col_no", F.coalesce("text", F.lit("")).alias("t"))))
     return part.groupBy(*by, "row_no").agg(normalize_alphanumeric_keep(F.array_join(F.transform(texts, lambda x: x["t"]), " "), keep).alias("text"))
 

@@ -65,11 +65,12 @@ def merge_header_lines(spans: DataFrame, header_size: float, region: Sequence[st
     spans = spans.withColumn("line_y", F.ceil("y"))
     first = F.min(order).over(Window.partitionBy(*line))
     spans = spans.withColumn("group_ord", first)
-    heads = spans.where(F.col("size") == header_size)
-    texts = F.filter(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col("text").alias("t")))), lambda x: x["t"]), lambda t: strip(t) != "")
-    merged = heads.groupBy(*line, "group_ord").agg(F.array_join(texts, " ").alias("text"), F.min(order).alias(order)).where("text <> ''")
-    columns = [*line, "group_ord", order, "text"]
-    return merged.select(*columns).unionByName(spans.where(F.col("size") != header_size).select(*columns))
+    head = F.col("size") == header_size
+    item = F.struct(F.col(order).alias("o"), F.col("text").alias("t"))
+    got = spans.groupBy(*line, "group_ord", F.when(head, F.lit(None)).otherwise(F.col(order)).alias("_own")).agg(F.min(order).alias(order), F.array_sort(F.collect_list(item)).alias("_all"))
+    texts = F.filter(F.transform("_all", lambda x: x["t"]), lambda t: strip(t) != "")
+    text = F.when(head, F.array_join(texts, " ")).otherwise(F.col("_all")[0]["t"])
+    return got.select(*line, "group_ord", order, text.alias("text")).where(~head | (F.col("text") != ""))
 
 
 def section_name(c) -> Column:

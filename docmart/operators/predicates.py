@@ -48,14 +48,13 @@ def clip_regions(spans: DataFrame, boxes: DataFrame) -> DataFrame:
     ``boxes(amc_key, region_no, page, x0, y0, x1, y1)``: a box with a page replaces that page's general box
     of the same region.  Joined on the fund house; the table is a few rows each.
     """
-    b = boxes.select("amc_key", "region_no", F.col("page").alias("box_page"), "x0", "y0", "x1", "y1")
+    region = ["amc_key", "region_no"]
+    own = boxes.where("page is not null").groupBy(*region).agg(F.collect_set("page").alias("own_pages"))
+    b = boxes.withColumnRenamed("page", "box_page").join(own, region, "left").withColumn("own_pages", F.coalesce("own_pages", F.array().cast("array<int>")))
     inside = (F.col("x") >= F.col("x0")) & (F.col("x") < F.col("x1")) & (F.col("y") >= F.col("y0")) & (F.col("y") < F.col("y1"))
-    special = b.where("box_page is not null").select("amc_key", "region_no", F.col("box_page").alias("page")).distinct().withColumn("special", F.lit(True))
-    general = spans.join(b.where("box_page is null"), "amc_key").where(inside)
-    general = general.join(special, ["amc_key", "region_no", "page"], "left_anti")
-    own = spans.join(b.where("box_page is not null"), (spans["amc_key"] == b["amc_key"]) & (spans["page"] == b["box_page"])).drop(b["amc_key"]).where(inside)
-    columns = [*spans.columns, "region_no"]
-    return general.select(*columns).unionByName(own.select(*columns))
+    page = F.col("page").cast("int")
+    here = F.when(F.col("box_page").isNull(), ~F.array_contains("own_pages", page)).otherwise(F.col("box_page") == page)
+    return spans.join(b, "amc_key").where(inside & here).select(*spans.columns, "region_no")
 
 
 def split_by_line(spans: DataFrame, line_x: float, side: str = "both", block: Sequence[str] = ("doc_id", "page", "block_no")) -> DataFrame:

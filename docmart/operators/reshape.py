@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from ..functions import text as T
 from ..functions.extract import KV, kv_get, last_wins
 from .predicates import contains_any
-from .rules import emit, last_per_key, row, same_row
+from .rules import each, emit, last_per_key, row, same_row
 
 _FUND = ("doc_id", "fund")
 
@@ -138,7 +138,7 @@ def _with_extra(fields: DataFrame, extra: Column) -> DataFrame:
     w = Window.partitionBy(*_FUND)
     rows = fields.withColumn("have", F.collect_set("key").over(w)).withColumn("_rn", F.row_number().over(w.orderBy("ord", "key")))
     both = F.when(F.col("_rn") == 1, F.concat(F.array(same_row()), extra)).otherwise(F.array(same_row()))
-    return rows.select(F.explode(both).alias("x")).select("x.*")
+    return each(rows, both)
 
 
 def add_constants(fields: DataFrame, constants: dict[str, Column]) -> DataFrame:
@@ -208,7 +208,7 @@ def merge_and_select(fields: DataFrame, rules: dict) -> DataFrame:
     from .predicates import select_keys
     from .rules import map_keys, special_pass
 
-    out = clone_keys(fields, rules.get("clone", ()))
+    out = clone_keys(fields.repartition("doc_id", "fund"), rules.get("clone", ()))  # the chain's one exchange
     out = merge_keys(out, rules.get("merge", ()))
     out = clone_keys(out, rules.get("clone", ()))
     out = select_keys(out, rules["select"])

@@ -47,7 +47,7 @@ def row(ord_, key, kind, s=None, arr=None, kv=None) -> Column:
     """A field of the same fund as the row at hand."""
     typed = lambda v, t: (F.lit(None) if v is None else v).cast(t)
     return F.struct(
-        F.col("doc_id"), F.col("fund"), ord_.cast("int").alias("ord"), (F.lit(key) if isinstance(key, str) else key).alias("key"), (F.lit(kind) if isinstance(kind, str) else kind).alias("kind"),
+        ord_.cast("int").alias("ord"), (F.lit(key) if isinstance(key, str) else key).alias("key"), (F.lit(kind) if isinstance(kind, str) else kind).alias("kind"),
         typed(s, "string").alias("s"), typed(arr, "array<string>").alias("arr"), typed(kv, KV).alias("kv"),
     )
 
@@ -56,9 +56,14 @@ def same_row(ord_: Column | None = None, kv: Column | None = None) -> Column:
     return row(F.col("ord") if ord_ is None else ord_, F.col("key"), F.col("kind"), F.col("s"), F.col("arr"), F.col("kv") if kv is None else kv)
 
 
+def each(fields: DataFrame, rows: Column) -> DataFrame:
+    """The rows of an array for each field. Document and fund stay outside it, so Spark knows that their partitioning holds."""
+    return fields.select("doc_id", "fund", F.explode(rows).alias("x")).select("doc_id", "fund", "x.*")
+
+
 def emit(fields: DataFrame, *items: Column) -> DataFrame:
     """For each field the given rows, nulls left out: fields are added and replaced in one pass, without reading the table twice."""
-    return fields.select(F.explode(F.array_compact(F.array(*items))).alias("x")).select("x.*")
+    return each(fields, F.array_compact(F.array(*items)))
 
 
 def last_per_key(fields: DataFrame) -> DataFrame:
@@ -111,7 +116,7 @@ def flatten(fields: DataFrame) -> DataFrame:
     """Dictionaries become fields with dotted keys, in place; lists and texts stay."""
     at = F.col("ord") * 1000
     inner = F.transform("kv", lambda x, i: row(at + i, F.concat_ws(".", F.col("key"), x["k"]), "s", x["v"]))
-    return fields.select(F.explode(F.when(F.col("kind") == "d", inner).otherwise(F.array(same_row(at)))).alias("x")).select("x.*")
+    return each(fields, F.when(F.col("kind") == "d", inner).otherwise(F.array(same_row(at))))
 
 
 def refine(fields: DataFrame, heads: Sequence[tuple[str, str]], primary: Sequence[Dispatch], secondary: Sequence[Dispatch], tertiary: Sequence[Dispatch]) -> DataFrame:
@@ -121,6 +126,7 @@ def refine(fields: DataFrame, heads: Sequence[tuple[str, str]], primary: Sequenc
     """
     from .layout import suffix_canonical
 
+    fields = fields.repartition("doc_id", "fund")
     rows = apply_level(fields.withColumn("key", map_header("key", heads)), primary)
     rows = rows.withColumn("kv", F.transform("kv", lambda x: F.struct(normalize_key(x["k"]).alias("k"), x["v"].alias("v"))))
     named = suffix_canonical(rows.withColumnRenamed("key", "header").withColumnRenamed("ord", "section_no"), ["doc_id", "fund"])
