@@ -87,10 +87,11 @@ def unseen_blobs(versions: DataFrame, ledger: DataFrame | None, rules: tuple[Rul
         first = first.join(seen, "blob", "left").withColumn("todo", F.array_except(names, F.coalesce("seen", F.array().cast("array<string>")))).where(F.size("todo") > 0)
     else:
         first = first.withColumn("todo", todo)
-    first = first.select(F.col("blob").alias("f_blob"), F.col("path").alias("f_path"), "todo")
-    same = (F.col("blob") == F.col("f_blob")) & F.col("path").eqNullSafe(F.col("f_path"))
+    # Joined on blob and path as one key: by the blob alone, all paths of a very common blob would meet in one task.
+    whole = F.concat_ws(":", "blob", F.coalesce(F.concat(F.lit("p"), F.col("path").cast("string")), F.lit("")))
+    first = first.select(whole.alias("whole"), "todo")
     # Repeated rows may give a blob twice; its matches are made distinct before they are placed.
-    return versions.join(first, same).select("blob", "text", "todo")
+    return versions.withColumn("whole", whole).join(first, "whole").select("blob", "text", "todo")
 
 
 def scan_secrets(docs: DataFrame, ledger: DataFrame | None = None, known: DataFrame | None = None, rules: tuple[Rule, ...] = RULES, path_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
