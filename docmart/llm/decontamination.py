@@ -252,4 +252,22 @@ def filter_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "
 
 def op2_decontamination(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return decontamination_report(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontamination_report(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).drop("longest")
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+ORACLE_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS ws FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS ws FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+bw AS (SELECT DISTINCT item, n, array_to_string(ws[i:i + n - 1], ' ') AS g
+       FROM (SELECT item, ws, least(13, len(ws)) AS n, unnest(range(1, len(ws) - least(13, len(ws)) + 2)) AS i FROM b WHERE len(ws) > 0)),
+dw AS (SELECT rid, n, i, array_to_string(ws[i:i + n - 1], ' ') AS g
+       FROM (SELECT rid, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM bw) WHERE len(ws) >= n)),
+h AS (SELECT rid, item, i, n FROM dw JOIN bw USING (n, g)),
+p AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM h) GROUP BY rid),
+t AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item FROM h) GROUP BY rid)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN p USING (rid) LEFT JOIN t USING (rid)
+"""

@@ -153,3 +153,14 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def op6_recompression(spark, sf_dir: str) -> DataFrame:
     return substring_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+
+
+ORACLE_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+w AS (SELECT rid, doc_id, i, array_to_string(ws[i:i + 49], ' ') AS g FROM (SELECT rid, doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM d WHERE len(ws) >= 50)),
+m AS (SELECT rid, i FROM (SELECT rid, i, doc_id, min(doc_id) OVER (PARTITION BY g) AS least_id FROM w) WHERE doc_id > least_id),
+x AS (SELECT DISTINCT rid, unnest(range(i, i + 50)) AS p FROM m),
+k AS (SELECT rid, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM d),
+a AS (SELECT k.rid, count(x.p) AS n_removed, string_agg(word, ' ' ORDER BY k.p) FILTER (x.p IS NULL) AS kept FROM k LEFT JOIN x ON k.rid = x.rid AND k.p = x.p GROUP BY k.rid)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN a USING (rid)
+"""
