@@ -42,6 +42,19 @@ def wide_rows(records: DataFrame, static: Sequence[str], metrics: Sequence[str]
     return records.select("doc_id", "fund", *[F.coalesce(k, F.lit("")).alias(k) for k in static], *load_columns(F.col("load")), *[metric(m) for m in metrics])
 
 
+#: The text columns of the funds table.
+FUND_TEXTS = ("amc_name", "benchmark_index", "main_scheme_name", "mutual_fund_name", "monthly_aaum_date", "monthly_aaum_value", "scheme_launch_date", "min_addl_amt", "min_addl_amt_multiple", "min_amt", "min_amt_multiple")
+
+
+def funds_table(records: DataFrame, amc_id: Column, entered: Column, month: Column, data_from: str) -> DataFrame:
+    """The funds table: key and load columns, the texts ('' where absent), and typed companions of amounts and the launch date."""
+    have = set(records.columns)
+    texts = [(F.coalesce(c, F.lit("")) if c in have else F.lit("")).alias(c) for c in FUND_TEXTS]
+    out = records.select("doc_id", amc_id.alias("amc_id"), entered.alias("entered_time"), month.alias("amc_for_month"), F.lit(data_from).alias("data_from"), *texts)
+    numbers = {f"{c}_num": F.col(c).try_cast("double") for c in ("min_amt", "min_addl_amt")}
+    return out.withColumns(numbers | {"launch_date": F.try_to_timestamp("scheme_launch_date", F.lit("yyyyMMdd")).cast("date")})
+
+
 def managers_table(records: DataFrame, people: str = "fund_manager") -> DataFrame:
     """One row for each manager."""
     return records.select("doc_id", "fund", F.posexplode(people).alias("manager_no", "m")).select("doc_id", "fund", "manager_no", "m.*")

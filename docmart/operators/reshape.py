@@ -224,3 +224,20 @@ def merge_and_select(fields: DataFrame, rules: dict) -> DataFrame:
     metric = F.filter(F.transform("kv", lambda x: F.struct(x["k"].alias("k"), T.clean_metric("fund", x["k"], x["v"]).alias("v"))), lambda x: x["v"].isNotNull())
     out = out.withColumn("s", s).withColumn("kv", F.when(F.col("key") == "metrics", metric).otherwise(F.col("kv")))
     return assemble_records(out, rules["record"])
+
+
+def merge_and_select_scheme(fields: DataFrame, rules: dict) -> DataFrame:
+    """The chain of scheme documents: clone, merge, clone, select, map, split amounts, defaults, special rules, promote by search, constants, delete, then assembly."""
+    from .predicates import delete_keys, select_keys
+    from .rules import map_keys, special_pass
+
+    out = clone_keys(fields.repartition("doc_id", "fund"), rules.get("clone", ()))  # the chain's one exchange
+    out = clone_keys(merge_keys(out, rules.get("merge", ())), rules.get("clone", ()))
+    out = map_keys(select_keys(out, rules["select"]), rules.get("map", ()))
+    out = fill_defaults(split_amounts(out), rules.get("defaults", {}))
+    out = special_pass(out, rules["special"]) if rules.get("special") else out
+    out = promote_keys(out, rules.get("promote", ()), search=True)
+    out = add_constants(out, rules.get("constants", {}))
+    out = delete_keys(out, rules["delete"]) if rules.get("delete") else out
+    amounts = F.when(F.col("key").rlike("^min_"), T.clean_amount_any(F.col("s"))).otherwise(F.col("s"))
+    return assemble_records(out.withColumn("s", amounts), rules["record"])

@@ -164,7 +164,10 @@ def r7(spark, d):
     return table(spark, d, "nation").select("n_nationkey", value.alias("value"))
 
 
-@query("s7_rule_rows", None)
+@query("s7_rule_rows", """
+SELECT n_name, amc_key, 'headers' AS rule_table, priority, name, pattern, vintage FROM nation JOIN (VALUES
+  ('r0', 0, 'benchmark', 'benchmark', 'current'), ('r0', 1, 'load', 'load structure|loads', 'current'), ('r0', 2, 'lines', 'fund lines', 'current'), ('r1', 0, 'benchmark', 'benchmark', '2020')
+) v(amc_key, priority, name, pattern, vintage) ON amc_key = 'r' || n_regionkey""")
 def s7(spark, d):
     """Rule blocks as long rows with priority, joined to the houses that use them."""
     rules = R.rule_rows(spark, "r0", "headers", _HEADS).unionByName(R.rule_rows(spark, "r1", "headers", _HEADS[:1], "2020"))
@@ -208,6 +211,21 @@ def k16(spark, d):
     return r.select("doc_id", *CHAIN["record"], loads.alias("loads"), F.concat(F.lit("port_turnover_ratio:"), metric("port_turnover_ratio")).alias("turnover"), metric("avg_maturity").cast("double").alias("maturity"), F.size("metrics").alias("n_metrics"))
 
 
+_SCHEME_SQL = """
+SELECT p_partkey AS doc_id, p_brand || ' TRI' AS benchmark_index, CAST(p_size * 100 AS VARCHAR) AS min_amt, 'Nil' AS entry_note, '10' AS face_value, 0 AS n_loads FROM part"""
+
+
+@query("k16b_scheme_chain", _SCHEME_SQL)
+def k16b(spark, d):
+    """The chain of scheme documents: promotion by search, constants, deletion at the end."""
+    rules = {
+        "merge": [("load", ["load structure"])], "select": ["benchmark", "min", "load", "fund lines"], "map": [("benchmark_index", "Benchmark Index"), ("min_amt", "Min Amount")],
+        "promote": [("load", "entry_note", "entry")], "constants": {"face_value": F.lit("10")}, "delete": ["^load$", "fund lines"], "record": ["benchmark_index", "min_amt", "entry_note", "face_value"],
+    }
+    r = K.merge_and_select_scheme(base_fields(spark, d), rules)
+    return r.select("doc_id", *rules["record"], F.size("load").alias("n_loads"))
+
+
 @query("k15_documents", "SELECT CAST(p_partkey AS VARCHAR) AS document_name, 'FS' AS file_type, 1 AS n_records, p_name || ' Fund' AS fund FROM part")
 def k15(spark, d):
     docs = K.documents_of(records(spark, d), "20250101")

@@ -197,10 +197,13 @@ def a2(spark, d):
     return table(spark, d, "part").groupBy(S.sheet_name(F.col("p_brand")).alias("sheet")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("a3_funds", "SELECT p_partkey AS doc_id, p_name || ' Fund' AS fund, p_brand || ' TRI' AS benchmark_index, p_size * 100.0 AS min_amt_num, DATE '2015-01-01' + to_months(CAST(p_size % 9 AS INT)) + to_days(CAST(p_partkey % 28 AS INT)) AS launch_date FROM part".replace("DATE '2015", "TIMESTAMP '2015"))
+@query("a3_funds", """
+SELECT p_partkey AS doc_id, p_partkey % 7 AS amc_id, '2025-02-01' AS entered_time, 'jan_25' AS amc_for_month, 'factsheet' AS data_from, '' AS amc_name, p_brand || ' TRI' AS benchmark_index,
+ '' AS main_scheme_name, '' AS mutual_fund_name, '' AS monthly_aaum_date, '' AS monthly_aaum_value, '20150' || (1 + p_size % 9) || lpad(CAST(1 + p_partkey % 28 AS VARCHAR), 2, '0') AS scheme_launch_date,
+ '' AS min_addl_amt, '' AS min_addl_amt_multiple, CAST(p_size * 100 AS VARCHAR) AS min_amt, CAST(1 + p_size % 5 AS VARCHAR) AS min_amt_multiple, p_size * 100.0 AS min_amt_num, CAST(NULL AS DOUBLE) AS min_addl_amt_num,
+ CAST(DATE '2015-01-01' + to_months(CAST(p_size % 9 AS INT)) + to_days(CAST(p_partkey % 28 AS INT)) AS DATE) AS launch_date FROM part""")
 def a3(spark, d):
-    r = Q.records(spark, d)
-    return r.select("doc_id", "fund", "benchmark_index", F.col("min_amt").try_cast("double").alias("min_amt_num"), F.try_to_timestamp("scheme_launch_date", F.lit("yyyyMMdd")).cast("timestamp_ntz").alias("launch_date"))
+    return M.funds_table(Q.records(spark, d), F.col("doc_id") % 7, F.lit("2025-02-01"), F.lit("jan_25"), "factsheet")
 
 
 @query("a4_managers", "SELECT s_suppkey AS doc_id, i AS manager_no, 'N' || i AS name FROM (SELECT s_suppkey, unnest(range(1 + s_suppkey % 3)) AS i FROM supplier)")
@@ -326,6 +329,16 @@ def s11(spark, d):
     return spark.read.parquet(path).groupBy("run", "status").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("s12_mart_tables", "SELECT p_partkey AS doc_id, p_brand || ' TRI' AS benchmark_index, 'Nil' AS entry_load, p_size || '%' AS exit_load FROM part")
+def s12(spark, d):
+    """Mart tables written and joined again, with Parquet where a database would be."""
+    path = work_folder(spark)
+    r = Q.records(spark, d)
+    r.select("doc_id", "benchmark_index").write.parquet(f"{path}/funds")
+    r.select("doc_id", *M.load_columns(F.col("load"))).write.parquet(f"{path}/loads")
+    return M.read_mart(spark.read.parquet(f"{path}/funds"), spark.read.parquet(f"{path}/loads"), r.select("doc_id"), ["doc_id"])
+
+
 # ingest
 
 _EVENT_SCHEMA = Ty.StructType([Ty.StructField("file_name", Ty.LongType()), Ty.StructField("ts", Ty.TimestampNTZType()), Ty.StructField("event_type", Ty.StringType()), Ty.StructField("value", Ty.DoubleType())])
