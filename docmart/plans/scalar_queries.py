@@ -118,15 +118,18 @@ _SPAN_KEYS = ("Inception Date", "Benchmark", "Entry Load", "Exit Load", "Minimum
 _SPAN_SQL = "p_brand || ' TRI' AS benchmark, CAST(p_size AS VARCHAR) || '% within 365 days' AS exit_load, 'Nil' AS entry_load, 6 AS n"
 
 
-def _span(flag: bool):
-    def kv():
-        return E.keyword_spans("text", [k.lower() for k in _SPAN_KEYS] if flag else _SPAN_KEYS, ignore_case=flag)
+def _spans_query(name: str, ignore_case: bool) -> None:
+    keys = [k.lower() for k in _SPAN_KEYS] if ignore_case else _SPAN_KEYS
 
-    return [lambda: E.kv_get(kv(), "benchmark").alias("benchmark"), lambda: E.kv_get(kv(), "exit load").alias("exit_load"), lambda: E.kv_get(kv(), "entry load").alias("entry_load"), lambda: F.size(kv()).alias("n")]
+    @query(name, f"SELECT p_partkey AS doc_id, {_SPAN_SQL} FROM part")
+    def run(spark, d):
+        facts = view(spark, d, FACT).select("doc_id", E.keyword_spans("text", keys, ignore_case=ignore_case).alias("kv"))
+        get = lambda k, n: E.kv_get(F.col("kv"), k).alias(n)
+        return facts.select("doc_id", get("benchmark", "benchmark"), get("exit load", "exit_load"), get("entry load", "entry_load"), F.size("kv").alias("n"))
 
 
-_on_fact("e3_keyword_spans", _SPAN_SQL, *_span(True))
-_on_fact("e4_keyword_spans_case", _SPAN_SQL, *_span(False))
+_spans_query("e3_keyword_spans", True)
+_spans_query("e4_keyword_spans_case", False)
 _on_fact("e5_generic", "p_brand AS benchmark, CAST(p_size AS VARCHAR) AS maturity", lambda: E.generic_text("text", r"Benchmark (\S+) TRI").alias("benchmark"), lambda: E.kv_get(E.generic_pairs("text", r"(Maturity) (\d+)"), "Maturity").alias("maturity"))
 _on_fact("e6_generic_full", "p_brand AS benchmark, concat(p_name, ' Fund') AS missed", lambda: E.generic_text("text", r"Benchmark (\S+) TRI", full_on_miss=True).alias("benchmark"), lambda: E.generic_text("fund", r"no such text (\d+)", full_on_miss=True).alias("missed"))
 _on_fact("e7_no_blanks", "CAST(p_size * 100 AS VARCHAR) AS amount", lambda: E.generic_text(E.without_blanks("text"), r"AmountRs\.(\d+)and").alias("amount"))
