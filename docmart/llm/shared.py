@@ -25,6 +25,15 @@ def cut(df: DataFrame) -> DataFrame:
         spark.conf.set(_CLEANUP, before)
 
 
+def fitted(df: DataFrame, rows_per_task: int = 100_000) -> tuple[DataFrame, int]:
+    """A cut table in as many partitions as its rows need, and the number of rows.
+
+    Few rows then take few tasks, and a table of one partition is joined and grouped without an exchange.
+    """
+    n = df.count()
+    return df.coalesce(max(1, -(-n // rows_per_task))), n
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; where none is set (a single machine), a new temporary one."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
