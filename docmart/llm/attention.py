@@ -24,8 +24,8 @@ from . import kernels as K
 from .shared import batch
 
 PASSAGE_WORDS = 128
-#: The bound on the training sample, in documents and in passages of one document.
-TRAIN_DOCS, TRAIN_PASSAGES = 6000, 64
+#: The bound on the training sample, in documents and in passages of all of them; a document is taken whole or not at all.
+TRAIN_DOCS, TRAIN_PASSAGES = 6000, 6000 * 64
 HELD_OUT_OF = 5
 THRESHOLD = 0.3
 
@@ -126,6 +126,15 @@ def fit(x: np.ndarray, at: np.ndarray, y: np.ndarray, hidden: int = 32, gates: i
 
 
 _BAG = pa.schema([("doc_id", pa.int64()), ("quality", pa.int32()), ("x", pa.binary())])
+_SIZE = pa.schema([("doc_id", pa.int64()), ("n", pa.int64())])
+
+
+def _sizes(batches):
+    """The number of passages of each document."""
+    for b in batches:
+        for s in K.slices(b.column(1)):
+            n_words = np.diff(s.words(K.SPACED_WORD).first())
+            yield batch(_SIZE, b.column(0).take(pa.array(s.rows)), np.maximum(1, -(-n_words // PASSAGE_WORDS)))
 
 
 def _bags(batches):
@@ -134,7 +143,7 @@ def _bags(batches):
         for s in K.slices(b.column(1)):
             x, at = encode(s)
             rows = pa.array(s.rows)
-            yield batch(_BAG, ids.take(rows), quality.take(rows), [x[i : min(j, i + TRAIN_PASSAGES)].tobytes() for i, j in zip(at[:-1], at[1:], strict=True)])
+            yield batch(_BAG, ids.take(rows), quality.take(rows), [x[i:j].tobytes() for i, j in zip(at[:-1], at[1:], strict=True)])
 
 
 def held_out(doc_id: Column) -> Column:
@@ -142,11 +151,21 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Model:
-    """Fit on at most ``train_docs`` labelled documents that are not held out, chosen by a hash of the id."""
+    """Fit on at most ``train_docs`` labelled documents that are not held out, chosen by a hash of the id, of ``TRAIN_PASSAGES`` passages together."""
     usable = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).where("doc_id is not null and quality in (0, 1)").where(~held_out(F.col("doc_id")))
     usable = usable.groupBy("doc_id").agg(F.min("quality").alias("quality"))
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_docs)
-    rows = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "quality").mapInArrow(_bags, "doc_id long, quality int, x binary").collect()
+    sample = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "quality")
+    sizes = sample.mapInArrow(_sizes, "doc_id long, n long").groupBy("doc_id").agg(F.sum("n").alias("n")).select("doc_id", "n", F.xxhash64("doc_id").alias("place")).collect()
+    total, fit_in = 0, []
+    for r in sorted(sizes, key=lambda r: (r["place"], r["doc_id"])):
+        total += r["n"]
+        if fit_in and total > TRAIN_PASSAGES:
+            break
+        fit_in.append(r["doc_id"])
+    if len(fit_in) < len(sizes):
+        sample = sample.join(F.broadcast(docs.sparkSession.createDataFrame([(k,) for k in fit_in], "doc_id long")), "doc_id", "left_semi")
+    rows = sample.mapInArrow(_bags, "doc_id long, quality int, x binary").collect()
     bags = sorted((r["doc_id"], r["quality"], bytes(r["x"])) for r in rows)
     if len({q for _, q, _ in bags}) < 2:  # nothing to tell apart: the score is the share of label 1, or a half
         share = (sum(q for _, q, _ in bags) + 1) / (len(bags) + 2)

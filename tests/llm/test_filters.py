@@ -41,6 +41,22 @@ def labelled(spark, n=400):
     return spark.createDataFrame(rows, "doc_id long, text string, score string"), spark.createDataFrame(labels + [(1, None, 0), (None, 1, 0), (5, 7, 0)], "doc_id long, quality int, toxic int")
 
 
+def test_training_takes_whole_documents(spark, monkeypatch):
+    """Passages after the 64th take part; a bound on passages leaves documents out, whole."""
+    r = random.Random(6)
+    long = [" ".join(["word"] * 128 * 66 + [prose(r, 600) if k % 2 else junk(r, 600)]) for k in range(60)]
+    docs = spark.createDataFrame(list(enumerate(long)), "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(A, "fit", lambda x, at, y: seen.append((x, at, y)))
+    A.train(docs, labels)
+    x, at, y = seen.pop()
+    assert set((at[1:] - at[:-1]).tolist()) == {71}
+    monkeypatch.setattr(A, "TRAIN_PASSAGES", 10 * 71 + 5)
+    A.train(docs, labels)
+    assert (seen[0][1][1:] - seen[0][1][:-1]).tolist() == [71] * 10
+
+
 def test_classifier_on_held_out_documents(spark):
     docs, labels = labelled(spark)
     got = A.quality_scores(docs, labels).collect()
