@@ -57,12 +57,14 @@ def encode(s: K.Slice) -> tuple[np.ndarray, np.ndarray]:
         c = _CLASSES[s.data]
         pair = c.astype(np.int64) * 8
         pair[:-1] += c[1:]
+        ends = s.ends[s.ends > s.starts] - 1  # behind a document's last byte stands a blank, not the next document
+        pair[ends] = c[ends].astype(np.int64) * 8 + _CLASSES[0x20]
         counts = np.bincount(row * 64 + pair[own], minlength=at[-1] * 64).reshape(-1, 64)
         x[:, :64] = np.sqrt(counts / np.maximum(counts.sum(1, keepdims=True), 1))
         names = w.hashes() ^ K.mix(place.astype(np.uint64))
         distinct = np.unique(names, return_index=True)[1]
         words = np.bincount(place, minlength=at[-1])
-        x[:, 64] = 1 - np.bincount(place[distinct], minlength=at[-1]) / np.maximum(words, 1)
+        x[:, 64] = (words - np.bincount(place[distinct], minlength=at[-1])) / np.maximum(words, 1)
         x[:, 65] = np.log1p(words)
     return x, at
 
@@ -89,7 +91,21 @@ class Model:
         return x, h, t, g, alpha, bag, 1 / (1 + np.exp(-(bag @ p["z"] + p["z0"])))
 
     def score(self, x: np.ndarray, at: np.ndarray) -> np.ndarray:
-        return self.forward(x, at)[-1].astype(np.float64)
+        """In double precision and rounded, so that a score does not depend on the other documents of the slice."""
+        return np.round(self.forward(x.astype(np.float64), at)[-1], 9)
+
+    def gradients(self, x: np.ndarray, at: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
+        """Of the mean log loss of the bags, with respect to each weight."""
+        p, size = self.p, np.diff(at)
+        xs, h, t, g, alpha, bag, out = self.forward(x, at)
+        d = ((out - y) / len(y)).astype(x.dtype)
+        d_bag = np.repeat(d[:, None] * p["z"], size, axis=0)
+        d_alpha = (d_bag * h).sum(1)
+        d_e = alpha * (d_alpha - np.repeat(np.add.reduceat(alpha * d_alpha, at[:-1]), size))
+        d_t, d_g = d_e[:, None] * p["a"] * g, d_e[:, None] * p["a"] * t
+        d_t, d_g = d_t * (1 - t * t), d_g * g * (1 - g)
+        d_h = (alpha[:, None] * d_bag + d_t @ p["v"].T + d_g @ p["u"].T) * (1 - h * h)
+        return {"w": xs.T @ d_h, "b": d_h.sum(0), "v": h.T @ d_t, "u": h.T @ d_g, "a": (t * g).T @ d_e, "z": bag.T @ d, "z0": d.sum(keepdims=True)}
 
 
 def fit(x: np.ndarray, at: np.ndarray, y: np.ndarray, hidden: int = 32, gates: int = 16, epochs: int = 60, seed: int = 11) -> Model:
@@ -107,17 +123,8 @@ def fit(x: np.ndarray, at: np.ndarray, y: np.ndarray, hidden: int = 32, gates: i
             size = np.diff(at)[pick]
             rows = np.repeat(at[pick], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
             own = np.concatenate(([0], np.cumsum(size)))
-            xs, h, t, g, alpha, bag, out = model.forward(x[rows], own)
-            d = ((out - y[pick]) / len(pick)).astype(np.float32)
-            d_bag = np.repeat(d[:, None] * p["z"], size, axis=0)
-            d_alpha = (d_bag * h).sum(1)
-            d_e = alpha * (d_alpha - np.repeat(np.add.reduceat(alpha * d_alpha, own[:-1]), size))
-            d_t, d_g = d_e[:, None] * p["a"] * g, d_e[:, None] * p["a"] * t
-            d_t, d_g = d_t * (1 - t * t), d_g * g * (1 - g)
-            d_h = (alpha[:, None] * d_bag + d_t @ p["v"].T + d_g @ p["u"].T) * (1 - h * h)
-            grad = {"w": xs.T @ d_h, "b": d_h.sum(0), "v": h.T @ d_t, "u": h.T @ d_g, "a": (t * g).T @ d_e, "z": bag.T @ d, "z0": d.sum(keepdims=True)}
             step += 1
-            for k, v in grad.items():
+            for k, v in model.gradients(x[rows], own, y[pick]).items():
                 v = v + 1e-4 * p[k]
                 first[k] = 0.9 * first[k] + 0.1 * v
                 second[k] = 0.999 * second[k] + 0.001 * v * v
@@ -150,8 +157,8 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")), F.lit(HELD_OUT_OF)) == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Model:
-    """Fit on at most ``train_docs`` labelled documents that are not held out, chosen by a hash of the id, of ``TRAIN_PASSAGES`` passages together."""
+def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, train_passages: int = TRAIN_PASSAGES) -> Model:
+    """Fit on at most ``train_docs`` labelled documents that are not held out, chosen by a hash of the id, of ``train_passages`` passages together."""
     usable = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).where("doc_id is not null and quality in (0, 1)").where(~held_out(F.col("doc_id")))
     usable = usable.groupBy("doc_id").agg(F.min("quality").alias("quality"))
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_docs)
@@ -160,7 +167,7 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> M
     total, fit_in = 0, []
     for r in sorted(sizes, key=lambda r: (r["place"], r["doc_id"])):
         total += r["n"]
-        if fit_in and total > TRAIN_PASSAGES:
+        if fit_in and total > train_passages:
             break
         fit_in.append(r["doc_id"])
     if len(fit_in) < len(sizes):
@@ -182,7 +189,7 @@ _SCORE = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_docs: int = TRAIN_DOCS, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score and predicted for every document.
 
-    Scores depend on the text alone.  Labels with a null or other quality than 0
+    Scores depend on the text alone, all of it however long, and not on what else is scored with it.  Labels with a null or other quality than 0
     and 1 are ignored; a document labelled both ways counts as 0.  A null or empty text is
     one empty passage and has a score too.  Without labels of both kinds the score is
     the same for all.  Null ids are scored and not held out; repeated rows get equal scores; other columns are ignored.
@@ -200,7 +207,11 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
 
 def filter_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_docs: int = TRAIN_DOCS, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose score is at least ``threshold``; cases as in :func:`quality_scores`."""
+    """The rows of ``docs``, with all their columns, whose score is at least ``threshold``.
+
+    Cases as in :func:`quality_scores`: a null or empty text is scored as one empty passage, rows with null ids or
+    repeated rows each by their own text, and columns of any other name pass through.
+    """
     model = train(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), labels, train_docs)
     place = docs.columns.index(text_col)
 

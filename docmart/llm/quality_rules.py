@@ -2,7 +2,8 @@
 
 Each rule says which documents it rejects.  Its cost and its selectivity are
 measured on a sample in the cluster's own tasks; rules then run in order of
-rejections per second, each on what all before it left.  The order changes the
+rejections per second, each on what all before it left.  What an earlier rule has counted
+goes along, so a later one does not count it again.  The order changes the
 work, never the verdict.
 """
 
@@ -29,8 +30,23 @@ LETTER = UPPER | K.byte_class([(0x61, 0x7A), (0x80, 0xFF)])
 class Facts:
     """What the rules look at, for all documents of a slice; each is computed when first asked for."""
 
-    def __init__(self, s: K.Slice):
-        self.slice = s
+    #: Figures by document.
+    COUNTS = ("n_words", "word_chars", "n_symbols", "n_upper", "n_letters", "n_digits", "n_lines", "n_dup_lines", "n_repeat_words")
+
+    def __init__(self, s: K.Slice, keep: np.ndarray | None = None):
+        self._of, self._keep = s, keep
+
+    @cached_property
+    def slice(self) -> K.Slice:
+        return self._of if self._keep is None or self._keep.all() else subset(self._of, self._keep)
+
+    def only(self, keep: np.ndarray) -> Facts:
+        """The facts of some documents; what was counted stays, and no text is copied before a rule asks for it."""
+        whole = np.ones(len(self._of.rows), bool) if self._keep is None else self._keep.copy()
+        whole[np.flatnonzero(whole)[~keep]] = False
+        rest = Facts(self._of, whole)
+        rest.__dict__ |= {k: self.__dict__[k][keep] for k in self.COUNTS if k in self.__dict__}
+        return rest
 
     @cached_property
     def words(self) -> K.Words:
@@ -148,18 +164,17 @@ VERDICT = pa.schema([("doc_id", pa.int64()), ("kept", pa.bool_()), ("rejected_by
 MEASURED = pa.schema([("rule", pa.string()), ("docs", pa.int64()), ("rejected", pa.int64()), ("seconds", pa.float64())])
 
 
-def cascade(s: K.Slice, rules: tuple[Rule, ...], facts: Facts | None = None) -> tuple[np.ndarray, np.ndarray]:
+def cascade(facts: Facts, rules: tuple[Rule, ...]) -> tuple[np.ndarray, np.ndarray]:
     """Which documents stay, and the place of the rule that rejected each other one; later rules see only what is left."""
-    by = np.full(len(s.rows), -1)
-    live, facts = np.arange(len(s.rows)), facts or Facts(s)
+    n = len(facts._of.rows) if facts._keep is None else int(facts._keep.sum())
+    by, live = np.full(n, -1), np.arange(n)
     for k, rule in enumerate(rules):
         if not len(live):
             break
         out = rule.rejects(facts)
         by[live[out]] = k
         if out.any():
-            live = live[~out]
-            facts = Facts(subset(facts.slice, ~out))
+            live, facts = live[~out], facts.only(~out)
     return by < 0, by
 
 
@@ -170,15 +185,22 @@ def subset(s: K.Slice, keep: np.ndarray) -> K.Slice:
     return K.Slice(s.rows[keep], data, end - size, end)
 
 
-def measure(docs: DataFrame, rules: tuple[Rule, ...], sample_docs: int, seed: int) -> list[dict]:
-    """Seconds and rejections of each rule, alone, over a sample of about ``sample_docs`` documents."""
+def measure(docs: DataFrame, rules: tuple[Rule, ...], sample_docs: int, seed: int, given: tuple[str, ...] = ()) -> list[dict]:
+    """Seconds and rejections of each rule, alone, over a sample of about ``sample_docs`` documents.
+
+    ``given`` names the facts that are counted anyhow; a rule's seconds are what it takes besides them.
+    """
 
     def run(batches):
         for b in batches:
             for s in K.slices(b.column(1)):
+                known = Facts(s)
+                for name in given:
+                    getattr(known, name)
                 for rule in rules:
+                    facts = known.only(np.ones(len(s.rows), bool))
                     began = time.process_time()
-                    out = rule.rejects(Facts(s))
+                    out = rule.rejects(facts)
                     yield batch(MEASURED, [rule.name], [len(out)], [int(out.sum())], [time.process_time() - began])
 
     n = docs.count()
@@ -200,8 +222,8 @@ def _input(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def quality_verdicts(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = 2000, seed: int = 7) -> DataFrame:
     """doc_id, kept, and the rule that rejected (null if kept), by the cascade in its measured order.
 
-    A null text counts as empty, and an empty one as without words; ids may be
-    null or repeat, other columns are ignored.  ``kept`` is the same for any
+    A null text counts as empty, and an empty one as without words; a text is judged whole, however long; ids may be
+    null or repeat, other columns of any name are ignored, an empty table gives an empty one.  ``kept`` is the same for any
     order; which of several failing rules is named depends on the order.
     """
     docs = _input(docs, id_col, text_col)
@@ -212,34 +234,37 @@ def quality_verdicts(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: s
         for b in batches:
             ids = b.column(0).cast(pa.int64())
             for s in K.slices(b.column(1)):
-                kept, by = cascade(s, rules)
+                kept, by = cascade(Facts(s), rules)
                 yield batch(VERDICT, ids.take(pa.array(s.rows)), kept, names.take(pa.array(by, mask=kept)))
 
     return docs.mapInArrow(run, "doc_id long, kept boolean, rejected_by string")
 
 
-SCORED = pa.schema([("doc_id", pa.int64()), *((c, pa.int64()) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), ("base_failed", pa.bool_()), ("kept", pa.bool_())])
+#: The figures of the report.
+FIGURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+SCORED = pa.schema([("doc_id", pa.int64()), *((c, pa.int64()) for c in FIGURES), ("base_failed", pa.bool_()), ("kept", pa.bool_())])
 
 
 def quality_report(docs: DataFrame, more: tuple[Rule, ...] = MORE, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = 2000, seed: int = 7) -> DataFrame:
     """The base figures and verdict of every document, and whether the cascade keeps it.
 
-    The cascade runs on the figures that the report has at hand.  Returns
+    All rules, the base ones too, run in the measured order, on the figures that the report has at hand
+    and with costs measured besides them.  Returns
     doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, kept.  Nulls, empty texts and repeats as in :func:`quality_verdicts`.
     """
     docs = _input(docs, id_col, text_col)
-    rules = ordered(BASE + more, measure(docs, BASE + more, sample_docs, seed))
+    rules = ordered(BASE + more, measure(docs, BASE + more, sample_docs, seed, FIGURES))
 
     def run(batches):
         for b in batches:
             ids = b.column(0).cast(pa.int64())
             for s in K.slices(b.column(1)):
                 f = Facts(s)
-                base = np.logical_or.reduce([r.rejects(f) for r in BASE])
-                kept = np.zeros(len(s.rows), bool)
-                kept[~base], _ = cascade(subset(s, ~base), tuple(r for r in rules if r not in BASE))
-                yield batch(SCORED, ids.take(pa.array(s.rows)), f.n_words, f.word_chars, f.n_symbols, f.n_dup_lines, f.n_repeat_words, base, kept)
+                figures = [getattr(f, name) for name in FIGURES]
+                kept, _ = cascade(f, rules)
+                base = np.logical_or.reduce([r.rejects(f) for r in BASE])  # from the figures alone
+                yield batch(SCORED, ids.take(pa.array(s.rows)), *figures, base, kept)
 
     return docs.mapInArrow(run, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean")
 

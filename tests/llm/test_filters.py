@@ -6,6 +6,7 @@ import re
 from collections import Counter
 from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
 
 import corpus_pipeline
@@ -52,8 +53,7 @@ def test_training_takes_whole_documents(spark, monkeypatch):
     A.train(docs, labels)
     x, at, y = seen.pop()
     assert set((at[1:] - at[:-1]).tolist()) == {71}
-    monkeypatch.setattr(A, "TRAIN_PASSAGES", 10 * 71 + 5)
-    A.train(docs, labels)
+    A.train(docs, labels, train_passages=10 * 71 + 5)
     assert (seen[0][1][1:] - seen[0][1][:-1]).tolist() == [71] * 10
 
 
@@ -76,6 +76,56 @@ def test_classifier_without_labels(spark):
     assert A.quality_scores(docs.limit(0), labels).count() == 0
 
 
+def plain_score(model, x):
+    """The forward pass for one bag, written out."""
+    p = {k: v.tolist() for k, v in model.p.items()}
+    dot = lambda v, m, j: sum(a * row[j] for a, row in zip(v, m))
+    hs, es = [], []
+    for row in x.tolist():
+        row = [(a - m) / s for a, m, s in zip(row, model.mean.tolist(), model.scale.tolist())]
+        h = [math.tanh(dot(row, p["w"], j) + p["b"][j]) for j in range(len(p["b"]))]
+        es.append(sum(math.tanh(dot(h, p["v"], j)) / (1 + math.exp(-dot(h, p["u"], j))) * p["a"][j] for j in range(len(p["a"]))))
+        hs.append(h)
+    total = sum(math.exp(e) for e in es)
+    bag = [sum(math.exp(e) / total * h[j] for e, h in zip(es, hs)) for j in range(len(p["b"]))]
+    return 1 / (1 + math.exp(-(sum(b * z for b, z in zip(bag, p["z"])) + p["z0"][0])))
+
+
+def small_model(r, width, hidden=4, gates=3):
+    shape = {"w": (width, hidden), "b": (hidden,), "v": (hidden, gates), "u": (hidden, gates), "a": (gates,), "z": (hidden,), "z0": (1,)}
+    return A.Model(r.random(width), r.random(width) + 0.5, {k: r.normal(0, 0.5, s) for k, s in shape.items()})
+
+
+def test_forward_pass_and_gradients():
+    r = np.random.Generator(np.random.PCG64(1))
+    model, at, y = small_model(r, 5), np.array([0, 1, 4, 9]), np.array([1.0, 0.0, 1.0])
+    x = r.random((9, 5))
+    assert np.allclose(model.score(x, at), [plain_score(model, x[i:j]) for i, j in zip(at, at[1:])], atol=1e-8)
+    loss = lambda: -np.mean([math.log(s if t else 1 - s) for s, t in zip([plain_score(model, x[i:j]) for i, j in zip(at, at[1:])], y)])
+    for k, got in model.gradients(x, at, y).items():
+        for place in np.ndindex(got.shape):
+            kept = model.p[k][place]
+            model.p[k][place] = kept + 1e-5
+            above = loss()
+            model.p[k][place] = kept - 1e-5
+            below = loss()
+            model.p[k][place] = kept
+            assert abs((above - below) / 2e-5 - got[place]) < 1e-6, (k, place)
+
+
+def test_a_text_scores_the_same_in_any_company(spark):
+    r = random.Random(8)
+    texts = [r.choice([prose, junk])(r, r.choice([1, 30, 127, 128, 400])) + r.choice(["", "!", " ", "\n"]) for _ in range(120)] + ["", None, "x", "x", " "]
+    model = small_model(np.random.Generator(np.random.PCG64(2)), A.WIDTH)
+    alone = [float(model.score(*A.encode(next(K.slices(pa.array([t], pa.string())))))[0]) for t in texts]
+    for limit in (1 << 20, 3000, 500):
+        together = np.concatenate([model.score(*A.encode(s)) for s in K.slices(pa.array(texts), limit)])
+        assert together.tolist() == alone
+    docs, labels = labelled(spark, 120)
+    one, many = ({(g.doc_id, g.score) for g in A.quality_scores(docs.repartition(n), labels).collect()} for n in (1, 7))
+    assert one == many
+
+
 def test_passages_cover_the_whole_text():
     s = next(K.slices(pa.array(["a b " * 200, None, " ", "é " * 128])))
     x, at = A.encode(s)
@@ -121,11 +171,29 @@ def test_cascade_order():
     seen = []
     look = lambda name, out: Q.Rule(name, lambda f: (seen.append((name, len(f.n_words))), out(f))[1])
     s = next(K.slices(pa.array(["a", "a b", "a b c"])))
-    kept, by = Q.cascade(s, (look("one", lambda f: f.n_words == 2), look("two", lambda f: f.n_words == 3)))
+    kept, by = Q.cascade(Q.Facts(s), (look("one", lambda f: f.n_words == 2), look("two", lambda f: f.n_words == 3)))
     assert kept.tolist() == [True, False, False] and by.tolist() == [-1, 0, 1]
     assert seen == [("one", 3), ("two", 2)]
 
 
+def test_facts_go_along_with_what_is_left():
+    s = next(K.slices(pa.array(["A b\nA b", "c", "D e f", ""])))
+    f = Q.Facts(s)
+    f.n_words, f.n_dup_lines
+    rest = f.only(np.array([True, False, True, False]))
+    assert {"n_words", "n_dup_lines"} <= set(rest.__dict__)
+    assert rest.n_words.tolist() == [4, 3] and rest.n_dup_lines.tolist() == [1, 0] and rest.n_upper.tolist() == [2, 1]
+
+
+def test_quality_of_odd_tables(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string, kept string, n_words string")
+    assert Q.quality_report(empty).count() == 0 and Q.quality_verdicts(empty).count() == 0
+    long = "word " * 400_000
+    df = spark.createDataFrame([(1, long, "x", "y"), (None, None, None, None), (2, "", "x", "y"), (2, "", "x", "y")], empty.schema)
+    got = sorted((g.doc_id or 0, g.n_words, g.n_repeat_words, g.kept) for g in Q.quality_report(df).collect())
+    assert got == [(0, 0, 0, False), (1, 400_000, 400_000, False), (2, 0, 0, False), (2, 0, 0, False)]
+
+
 # 8
 
 
