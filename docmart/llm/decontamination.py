@@ -5,28 +5,36 @@ stream through it; after each word it knows the longest string of items that
 ends there.  Where that is at least a window long, the window's words are hit and the
 state names the items that have it.  Whole stretches that no item can match are skipped
 first: a vectorised look-up finds the places whose short word strings occur in some item.
+
+One automaton holds ``PART_BYTES`` of item text.  A larger benchmark is cut into parts by item.
+Each part's automaton streams over the documents; hit places and items of the parts are then merged by text.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .shared import batch
+from .shared import batch, cut
 
 REPORT = pa.schema(
     [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string()), ("contaminated", pa.bool_()), ("longest", pa.int64()), ("clean_text", pa.string())]
 )
 
 
+#: Item text of one automaton. One of 1 MB takes about 110 MB of a task's memory (measured), so 2 MB about 220.
+PART_BYTES = 2 << 20
+
+
 class Automaton:
-    """Generalised suffix automaton over word names, with the items of each state."""
+    """Generalised suffix automaton over word names, with the items of each state at which a window ends."""
 
     def __init__(self, items: Iterable[tuple[str, list[int]]], window: int):
         self.window = window
@@ -37,15 +45,14 @@ class Automaton:
             last = 0
             for w in words:
                 last = self._add(last, w)
-        self.items: list[set[str]] = [set() for _ in self.next]
+        self.items: dict[int, set[str]] = {}
         self.whole: dict[tuple[int, int], set[str]] = {}
         for item, words in items:
             state = 0
-            for w in words:
-                state = at = self.next[state][w]
-                while at > 0 and item not in self.items[at]:
-                    self.items[at].add(item)
-                    at = self.link[at]
+            for k, w in enumerate(words):
+                state = self.next[state][w]
+                if k + 1 >= window:
+                    self.items.setdefault(self.part(state, window), set()).add(item)
             if len(words) < window:
                 self.whole.setdefault((self.part(state, len(words)), len(words)), set()).add(item)
         self.short = sorted({n for _, n in self.whole})
@@ -149,36 +156,99 @@ def item_words(texts: list[str | None]) -> list[list[int]]:
     return out
 
 
-def _scan(automaton: Automaton, per_mille: int, max_hit: int | None, with_text: bool):
+class Hits:
+    """Hit words, items and longest match of the documents of a slice, by one automaton."""
+
+    def __init__(self, automaton: Automaton, s: K.Slice):
+        self.words = w = _words(s)
+        names = w.hashes()
+        self.hit = np.zeros(len(names), bool)
+        self.items: dict[int, set[str]] = {}
+        self.longest = np.zeros(len(s.rows), np.int64)
+        for x, y in automaton.candidates(names, w.doc) if len(names) else ():
+            d = int(w.doc[x])
+            for i, n, found, length in automaton.stream(names[x:y].tolist()):
+                self.hit[x + i - n + 1 : x + i + 1] = True
+                self.items.setdefault(d, set()).update(found)
+                self.longest[d] = max(self.longest[d], length)
+
+
+@dataclass(frozen=True)
+class Limits:
+    """When a document counts as contaminated: hit words are a share of at least ``per_mille``, or more than ``max_hit``."""
+
+    per_mille: int = 50
+    max_hit: int | None = None
+
+    def exceeded(self, n_hit: np.ndarray, n_words: np.ndarray) -> np.ndarray:
+        bad = (n_hit > 0) & (1000 * n_hit >= self.per_mille * n_words)
+        return bad if self.max_hit is None else bad | (n_hit > self.max_hit)
+
+
+def _report(s: K.Slice, w: K.Words, hit: np.ndarray, items: list[list[str]], longest: np.ndarray, limits: Limits, with_text: bool) -> list:
+    """The columns after doc_id."""
+    first = w.first()
+    n_words = np.diff(first)
+    n_hit = np.diff(np.concatenate(([0], np.cumsum(hit)))[first])
+    digests = [hashlib.sha256(",".join(x).encode()).hexdigest() for x in items]
+    columns = [n_words, n_hit, [len(x) for x in items], digests, limits.exceeded(n_hit, n_words), longest]
+    return columns + [_without(s, w, hit)] * with_text
+
+
+def _scan(automaton: Automaton, limits: Limits, with_text: bool):
+    schema = REPORT if with_text else pa.schema(list(REPORT)[:-1])
+
+    def run(batches):
+        for b in batches:
+            ids = b.column(0).cast(pa.int64())
+            for s in K.slices(b.column(1)):
+                h = Hits(automaton, s)
+                items = [sorted(h.items.get(d, ())) for d in range(len(s.rows))]
+                yield batch(schema, ids.take(pa.array(s.rows)), *_report(s, h.words, h.hit, items, h.longest, limits, with_text))
+
+    return run
+
+
+_PART = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("n_words", pa.int64()), ("longest", pa.int64()), ("runs", pa.list_(pa.int64())), ("items", pa.list_(pa.string()))])
+_PART_SQL = "h1 long, h2 long, n_words long, longest long, runs array<bigint>, items array<string>"
+
+
+def _scan_part(automaton: Automaton):
+    """Of each text with hits: its name, and the runs of hit words as starts and ends in turn."""
+
+    def run(batches):
+        for b in batches:
+            for s in K.slices(b.column(2)):
+                h = Hits(automaton, s)
+                first = h.words.first()
+                have = sorted(h.items)
+                if have:
+                    runs = [np.stack(K.runs(h.hit[first[d] : first[d + 1]]), 1).ravel().tolist() for d in have]
+                    at = pa.array(s.rows[have])
+                    yield batch(_PART, b.column(0).take(at), b.column(1).take(at), np.diff(first)[have], h.longest[have], runs, [sorted(h.items[d]) for d in have])
+
+    return run
+
+
+def _finish(limits: Limits, with_text: bool):
+    """Rows (doc_id, text, longest, runs, items) to the report; null where a text has no hits."""
     schema = REPORT if with_text else pa.schema(list(REPORT)[:-1])
 
     def run(batches):
         for b in batches:
             ids = b.column(0).cast(pa.int64())
+            longest = b.column(2).fill_null(0).to_numpy(zero_copy_only=False)
             for s in K.slices(b.column(1)):
                 w = _words(s)
-                first = w.first()
-                names = w.hashes()
-                hit = np.zeros(len(names), bool)
-                items: dict[int, set[str]] = {}
-                longest = np.zeros(len(s.rows), np.int64)
-                for x, y in automaton.candidates(names, w.doc) if len(names) else ():
-                    d = int(w.doc[x])
-                    for i, n, found, length in automaton.stream(names[x:y].tolist()):
-                        hit[x + i - n + 1 : x + i + 1] = True
-                        items.setdefault(d, set()).update(found)
-                        longest[d] = max(longest[d], length)
-                n_words = np.diff(first)
-                n_hit = np.diff(np.concatenate(([0], np.cumsum(hit)))[first])
-                bad = (n_hit > 0) & (1000 * n_hit >= per_mille * n_words)
-                if max_hit is not None:
-                    bad |= n_hit > max_hit
-                names_of = [sorted(items.get(d, ())) for d in range(len(s.rows))]
-                digests = [hashlib.sha256(",".join(x).encode()).hexdigest() for x in names_of]
-                columns = [ids.take(pa.array(s.rows)), n_words, n_hit, [len(x) for x in names_of], digests, bad, longest]
-                if with_text:
-                    columns.append(_without(s, w, hit))
-                yield batch(schema, *columns)
+                first, hit = w.first(), np.zeros(len(w.doc), bool)
+                items: list[list[str]] = []
+                for k, r in enumerate(s.rows):
+                    runs = b.column(3)[int(r)]
+                    if runs.is_valid:
+                        ends = runs.values.to_numpy().reshape(-1, 2) + first[k]
+                        hit[first[k] : first[k + 1]] = K.covered(int(first[k + 1]), ends[:, 0], ends[:, 1])[first[k] :]
+                    items.append(sorted(b.column(4)[int(r)].as_py() or ()))
+                yield batch(schema, ids.take(pa.array(s.rows)), *_report(s, w, hit, items, longest[s.rows], limits, with_text))
 
     return run
 
@@ -193,13 +263,41 @@ def _without(s: K.Slice, w: K.Words, hit: np.ndarray) -> list[str]:
     return [s.data[a:b][~gone[a:b]].tobytes().decode("utf-8", "replace") for a, b in zip(s.starts, s.ends, strict=True)]
 
 
-def automaton_of(benchmark: DataFrame, item_col: str, item_text_col: str, window: int, max_benchmark_bytes: int) -> Automaton:
+def automata_of(benchmark: DataFrame, item_col: str, item_text_col: str, window: int, part_bytes: int) -> tuple[int, Iterator[Automaton]]:
+    """The number of parts, and their automata, one at a time. Rows of one item are in one part."""
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("string").alias("text")).where("item is not null and text is not null")
     size = items.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    if size > max_benchmark_bytes:
-        raise ValueError(f"the benchmark has {size} bytes of text; the automaton is sent to tasks up to {max_benchmark_bytes}")
-    rows = sorted((r["item"], r["text"]) for r in items.collect())
-    return Automaton(zip([r[0] for r in rows], item_words([r[1] for r in rows]), strict=True), window)
+    parts = max(1, -(-size // part_bytes))
+
+    def of(k: int) -> Automaton:
+        own = items.where(F.pmod(F.xxhash64("item"), F.lit(parts)) == k)
+        rows = sorted((r["item"], r["text"]) for r in own.collect())  # about part_bytes
+        return Automaton(zip([r[0] for r in rows], item_words([r[1] for r in rows]), strict=True), window)
+
+    return parts, (of(k) for k in range(parts))
+
+
+def _named(docs: DataFrame, text: Column) -> DataFrame:
+    return docs.withColumns({"h1": F.xxhash64(text), "h2": F.xxhash64(F.lit(7), text)})
+
+
+def _merged_hits(texts: DataFrame, automata: Iterator[Automaton]) -> DataFrame:
+    """``texts(h1, h2, text)`` to one row for each text with hits in some part: the runs and items of all parts together."""
+    found = None
+    for automaton in automata:
+        part = cut(texts.mapInArrow(_scan_part(automaton), _PART_SQL).dropDuplicates(["h1", "h2"]))
+        found = part if found is None else found.unionByName(part)
+    return found.groupBy("h1", "h2").agg(F.first("n_words").alias("n_words"), F.max("longest").alias("longest"), F.flatten(F.collect_list("runs")).alias("runs"), F.flatten(F.collect_list("items")).alias("items"))
+
+
+def _overlaid(batches):
+    """The number of hit words of each row, from runs that may overlap."""
+    for b in batches:
+        n = [int(K.covered(int(w), x.values.to_numpy()[::2], x.values.to_numpy()[1::2]).sum()) for w, x in zip(b.column(2).to_pylist(), b.column(4), strict=True)]
+        yield batch(_HIT, b.column(0), b.column(1), b.column(2), n)
+
+
+_HIT = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64())])
 
 
 def decontamination_report(
@@ -213,7 +311,7 @@ def decontamination_report(
     coverage_per_mille: int = 50,
     max_hit: int | None = None,
     with_text: bool = False,
-    max_benchmark_bytes: int = 64 << 20,
+    part_bytes: int = PART_BYTES,
 ) -> DataFrame:
     """What each document shares with the benchmark.
 
@@ -224,21 +322,39 @@ def decontamination_report(
     at which a window ends) and, with ``with_text``, clean_text: the text without
     the hit spans.
 
-    A null text has no words and is never contaminated.  Items without an id or
-    without words are ignored, equal ids are one item.  Repeated rows get equal
-    results; other columns are ignored.  The automaton goes to every task, so
-    the benchmark's size is checked first; cut a larger one into parts and pass
-    the documents through each.
+    A null text has no words and is never contaminated; a text is read whole, however long.  Items without
+    an id or without words are ignored, equal ids are one item.  Repeated rows get equal
+    results; an empty table, or an empty benchmark, gives no hits; other columns, of any name, are ignored.
+    A benchmark of over ``part_bytes`` is scanned in parts, with the same result.
     """
-    automaton = automaton_of(benchmark, item_col, item_text_col, window, max_benchmark_bytes)
+    limits = Limits(coverage_per_mille, max_hit)
     schema = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, longest long" + ", clean_text string" * with_text
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return docs.mapInArrow(_scan(automaton, coverage_per_mille, max_hit, with_text), schema)
+    parts, automata = automata_of(benchmark, item_col, item_text_col, window, part_bytes)
+    if parts == 1:
+        return docs.mapInArrow(_scan(next(automata), limits, with_text), schema)
+    named = _named(docs, F.coalesce("text", F.lit("")))
+    found = _merged_hits(named.select("h1", "h2", "text"), automata)
+    rows = named.join(found, ["h1", "h2"], "left").select("doc_id", "text", "longest", "runs", "items")
+    return rows.mapInArrow(_finish(limits, with_text), schema)
 
 
-def filter_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = 13, coverage_per_mille: int = 50, max_benchmark_bytes: int = 64 << 20) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that are not contaminated; cases as in :func:`decontamination_report`."""
-    scan = _scan(automaton_of(benchmark, item_col, item_text_col, window, max_benchmark_bytes), coverage_per_mille, None, False)
+def filter_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = 13, coverage_per_mille: int = 50, part_bytes: int = PART_BYTES) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that are not contaminated.
+
+    Cases as in :func:`decontamination_report`: rows with a null or empty text stay, repeated rows go or stay
+    together, ids are not looked at, and columns of any name pass through.
+    """
+    limits = Limits(coverage_per_mille)
+    parts, automata = automata_of(benchmark, item_col, item_text_col, window, part_bytes)
+    if parts > 1:
+        whole = docs.select(F.struct("*").alias("row"))
+        named = _named(whole, F.coalesce(F.col("row")[text_col].cast("string"), F.lit("")))
+        found = _merged_hits(named.select("h1", "h2", F.col("row")[text_col].cast("string").alias("text")), automata)
+        hits = found.mapInArrow(_overlaid, "h1 long, h2 long, n_words long, n_hit long")
+        bad = hits.where((F.col("n_hit") > 0) & (1000 * F.col("n_hit") >= limits.per_mille * F.col("n_words")))
+        return named.join(bad.select("h1", "h2"), ["h1", "h2"], "left_anti").select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    scan = _scan(next(automata), limits, False)
     place = docs.columns.index(text_col)
 
     def run(batches):

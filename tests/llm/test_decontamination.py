@@ -4,7 +4,7 @@ import hashlib
 import random
 import re
 
-from docmart.llm.decontamination import decontamination_report
+from docmart.llm.decontamination import decontamination_report, filter_contaminated
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -48,6 +48,44 @@ def test_against_brute_force(spark):
         assert all(len(words(g.clean_text)) == g.n_words - g.n_hit for g in got)
 
 
+def test_parts_of_a_large_benchmark(spark):
+    """A benchmark cut into parts gives what it gives whole: hits of parts overlap, items are told apart."""
+    r = random.Random(17)
+    some = ["the", "of", "É", "a1", "q"]
+    items = [(k, " ".join(r.choices(some[: r.choice([2, 5])], k=r.choice([5, 13, 14, 30])))) for k in range(40)] + [(3, "once more the of the of"), (None, "the of"), (50, None)]
+    docs = [(d, " ".join(r.choices(some, k=r.randint(0, 90)))) for d in range(50)]
+    docs += [(100 + k, f"zz {t} yy") for k, (_, t) in enumerate(items)] + [(None, items[0][1]), (7, docs[7][1]), (200, None), (201, "")]
+    df = spark.createDataFrame([(*d, "x") for d in docs], "doc_id long, text string, h1 string").repartition(3)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    key = lambda rows: sorted((g.doc_id or -1, *g[1:]) for g in rows)
+    whole = decontamination_report(df, bench, with_text=True).collect()
+    parts = decontamination_report(df, bench, with_text=True, part_bytes=150).collect()
+    assert key(whole) == key(parts) and sum(g.contaminated for g in whole) > 20
+    kept = [sorted((g.doc_id or -1, g.text or "", g.h1) for g in filter_contaminated(df, bench, part_bytes=n).collect()) for n in (150, 1 << 20)]
+    assert kept[0] == kept[1] == sorted((g.doc_id or -1, t or "", "x") for (d, t), g in zip(docs, sorted_like(docs, whole)) if not g.contaminated)
+
+
+def sorted_like(docs, report):
+    by = {(g.doc_id, g.clean_text, g.n_words): g for g in report}
+    by_id = {}
+    for g in by.values():
+        by_id[g.doc_id] = g
+    return [by_id[d] for d, _ in docs]
+
+
+def test_odd_documents(spark):
+    item = " ".join(f"w{k}" for k in range(20))
+    long = "pad " * 300_000 + item + " pad" * 300_000
+    docs = spark.createDataFrame([(1, long, "a", 1), (2, None, "b", 2), (None, item, "c", 3), (4, "", "d", 4), (4, "", "d", 4)], "doc_id long, text string, item_id string, n_hit int")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    for part_bytes in (1 << 20, 10):
+        got = sorted((g.doc_id or 0, g.n_words, g.n_hit, g.contaminated) for g in decontamination_report(docs, bench, part_bytes=part_bytes).collect())
+        assert got == [(0, 20, 20, True), (1, 600_020, 20, False), (2, 0, 0, False), (4, 0, 0, False), (4, 0, 0, False)]
+        kept = filter_contaminated(docs, bench, part_bytes=part_bytes)
+        assert kept.columns == docs.columns and sorted(g.n_hit for g in kept.collect()) == [1, 2, 4, 4]
+        assert filter_contaminated(docs.limit(0), bench, part_bytes=part_bytes).count() == 0
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "one two"), (None, "x")], "doc_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")
