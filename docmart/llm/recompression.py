@@ -10,8 +10,8 @@ neighbours only: alongside each symbol goes the stretch of words that decided
 it, and inside any window every symbol decided by that window's words
 alone is made in each occurrence of the window.  After ``ROUNDS`` rounds the least of these
 interior symbols is the window's anchor; a window that has none (one long run,
-say) is its own anchor.  Shared anchors are then verified by the stretch and the
-window itself in :mod:`docmart.llm.repeats`.
+say) is its own anchor.  :mod:`docmart.llm.repeats` finds the symbols that several documents share on Spark,
+and verifies the windows around them word for word.
 """
 
 from __future__ import annotations
@@ -25,19 +25,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .repeats import removed_tokens, repeated_spans
+from .repeats import Kind, Tokens, gathered, place_bits, removed_tokens, repeated_spans
 from .shared import batch
 
 #: Rounds of runs and pairs. A symbol then covers about (4/3)**ROUNDS words, 2**ROUNDS at most but for runs.
 ROUNDS = 3
-_PLACE = np.uint64((1 << 24) - 1)
 
 RESULT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string())])
 
 
-def word_tokens(s: K.Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_tokens(s: K.Slice) -> Tokens:
+    """Words, and their bytes with one space between."""
     w = s.words(K.SPACED_WORD)
-    return w.hashes(0), w.hashes(1), w.first()
+    length = w.end - w.start
+    begin = np.cumsum(length + 1) - (length + 1)
+    data = np.full(int((length + 1).sum()), 0x20, np.uint8)
+    data[np.repeat(begin - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))] = s.data[K.SPACED_WORD[s.data]]
+    return Tokens(w.hashes(0), w.first(), data, begin, begin + length)
+
+
+def word_windows(data, start, length, n, width):
+    length = length.astype(np.int64)
+    text, at = gathered(data, start, length), np.cumsum(length) - length
+    space = np.flatnonzero(text == 0x20)
+    begins, ends = np.sort(np.concatenate((at, space + 1))), np.sort(np.concatenate((at + length, space)))
+    words = n + width - 1
+    first = np.repeat(np.cumsum(words) - words - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+    return begins[first] + np.repeat(start - at, n), ends[first + width - 1] - begins[first]
 
 
 def recompress(names: np.ndarray, bounds: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -88,7 +102,8 @@ def interior_symbols(rounds: int):
         names, lo, hi = recompress(codes, bounds, rounds)
         a = np.searchsorted(np.minimum.accumulate(lo[::-1])[::-1], starts)
         b = np.searchsorted(np.maximum.accumulate(hi), starts + width, side="right")
-        keyed = (names & ~_PLACE) | (np.arange(len(names), dtype=np.uint64) & _PLACE)
+        place_of = place_bits(len(names))
+        keyed = (names & ~place_of) | np.arange(len(names), dtype=np.uint64)
         best = np.full(len(starts), np.iinfo(np.uint64).max)
         length = b - a
         level, table = 0, keyed
@@ -101,7 +116,7 @@ def interior_symbols(rounds: int):
             table = np.minimum(table[: len(table) - (1 << level)], table[1 << level :])
             level += 1
         some = length > 0
-        place = np.where(some, (best & _PLACE).astype(np.int64), len(names) + starts)
+        place = np.where(some, (best & place_of).astype(np.int64), len(names) + starts)
         name = np.empty(len(starts), np.uint64)
         name[some] = names[place[some]]
         own = starts[~some]
@@ -140,13 +155,13 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     the input.  Returns doc_id, n_words, n_removed, kept_sha256 and, with
     ``with_text``, the kept words joined by one space.
 
-    A null or blank text has no words; one of fewer than ``width`` is kept whole.
+    A null or blank text has no words; one of fewer than ``width`` is kept whole, and one of any length is judged whole.
     A null id has no order: its row is kept whole and removes nothing.
     Repeated rows get equal results; if rows of one id hold different texts, their
     removed places are pooled and cut to each text's length.  Other columns are ignored.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
-    spans = repeated_spans(docs, word_tokens, interior_symbols(rounds), width)
+    spans = repeated_spans(docs, Kind(word_tokens, interior_symbols(rounds), word_windows, width))
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * with_text
     return docs.join(spans, "doc", "left").select("doc", "text", "codes").mapInArrow(_finish(width, with_text), schema)
 

@@ -2,28 +2,28 @@
 
 A *window* is ``width`` consecutive tokens of one document.  A token is removed
 if a window over it also starts in a document with a smaller id.  Shipping every
-window through a shuffle would move many times the input, so windows are sorted
-in passes, each of which settles most of what is left:
+window through a shuffle would move many times the input, so windows are sorted in two passes:
 
 1. Every window is named by an *anchor*, a place in it that depends on nothing
    but the window's own tokens, so equal windows have equal anchors.  Windows
    next to each other mostly share one; such a *stretch* (a dozen or more windows)
-   is one item ``(anchor name, stretch name, doc, first window, windows)``.
-   Items are dealt by anchor.  A stretch that equals one of a smaller document
-   is settled: all its windows are repeats.  An anchor that only one stretch
-   has, or only one document, is settled too: nothing in it is repeated.
-2. What remains, stretches that agree in the anchor but not in full (the ends
-   of repeats, mostly), is taken apart into windows, dealt by the 128-bit name
-   of the window; equal names in a smaller document are repeats.
-
-Copies inside one batch are settled before the shuffle, so a passage that a
-third of all documents share sends a row for each batch and not for each document.
-Names of a stretch join two 64-bit hashes, names of a window too.
+   is one small item ``(anchor name, doc, first window, windows)``.  Items are dealt by anchor.  An anchor that only
+   one document has is done: nothing in it is repeated.
+2. Of the anchors that are left, the text of each stretch is sent, dealt by anchor again, and sorted there by its real bytes:
+   first whole stretches, then the windows of those that differ, in most-significant-digit passes.  What is
+   equal to the last byte in a smaller document is a repeat.
+
+Names are 64-bit hashes; they only deal and sieve, so two anchors with one name cost time and change nothing.
+Copies inside one batch are sorted out before each shuffle, so a passage that a third of all documents share sends a
+row for each batch and not for each document.  The stretches of an anchor with over ``HOT`` of them are dealt
+as single windows by the windows' names, so that no bucket gathers all that stands around a common passage.
+A bucket holds about ``BUCKET_BYTES`` of text whatever the input, and a task settles one at a time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -31,29 +31,65 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .shared import batch, bucket_bits, cut, ids_of, pack, unpack
+from .shared import batch, cut, ids_of, pack, unpack
 
-PACKED = pa.schema([("bucket", pa.int32()), ("kind", pa.int8()), ("blob", pa.binary())])
+PACKED = pa.schema([("bucket", pa.int64()), ("kind", pa.int8()), ("blob", pa.binary())])
+PACKED_SQL, SPANS_SQL = "bucket long, kind byte, blob binary", "doc long, code long"
 SPANS = pa.schema([("doc", pa.int64()), ("code", pa.int64())])
-_STRETCH = [np.uint64, np.uint64, np.int64, np.int32, np.uint8]
-_WINDOW = [np.uint64, np.uint64, np.int64, np.int32]
-#: Flush packed rows after so many bytes of text: the working memory of a task.
+#: A stretch: anchor name, document, first window and number of windows; with 0 windows, an anchor that so many stretches of a batch have.
+_ITEM = [np.uint64, np.int64, np.int32, np.uint8]
+_MEMBER = [np.uint64, np.int64, np.int64]
+_TEXT = [np.uint64, np.int64, np.int32, np.uint8, np.int32]
+#: Flush packed rows after so many bytes of text, or of stretches: the working memory of a task.
 FLUSH_BYTES = 16 << 20
+#: Input text of a shuffle partition and of a bucket in it.
+PART_BYTES, BUCKET_BYTES = 64 << 20, 2 << 20
+HOT = 1 << 14
 
-#: tokens(slice) -> (first code, second code, token index of each document's start and of the end)
-Tokens = Callable[[K.Slice], tuple[np.ndarray, np.ndarray, np.ndarray]]
-#: anchors(codes, bounds, width) -> (anchor place and name for each window start of ``starts``)
+
+@dataclass
+class Tokens:
+    """Tokens of a slice: hashes, the index of each document's first and the number at the end, and the bytes data[start:end] of each.
+
+    Runs of tokens in ``data`` are equal if and only if the tokens are.
+    """
+
+    codes: np.ndarray
+    bounds: np.ndarray
+    data: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+
+
+#: anchors(codes, bounds, starts, width) -> (anchor place and name for each window start of ``starts``)
 Anchors = Callable[[np.ndarray, np.ndarray, np.ndarray, int], tuple[np.ndarray, np.ndarray]]
+#: windows(data, start, length, n, width) -> (start, length) of all windows of stretches of n windows each, in order
+Windows = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int], tuple[np.ndarray, np.ndarray]]
+
+
+@dataclass(frozen=True)
+class Kind:
+    """What tokens are, how windows are anchored, and where the windows of a stretch begin and end."""
+
+    tokens: Callable[[K.Slice], Tokens]
+    anchors: Anchors
+    windows: Windows
+    width: int
 
 
-def _code(a: np.ndarray, n: np.ndarray, still_open: np.ndarray | int) -> np.ndarray:
-    return (a.astype(np.int64) << 9) | (n.astype(np.int64) << 1) | still_open
+def _code(at: np.ndarray, n: np.ndarray | int, hot: np.ndarray | int = 0) -> np.ndarray:
+    return (at.astype(np.int64) << 9) | (np.asarray(n, np.int64) << 1) | hot
 
 
 def _decode(code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return code >> 9, (code >> 1) & 255, (code & 1).astype(bool)
 
 
+def place_bits(n: int) -> np.uint64:
+    """A mask for places 0..n-1 in the low bits of a name; of equal high bits the leftmost is least, in any occurrence of a window."""
+    return np.uint64((1 << max(24, int(n).bit_length())) - 1)
+
+
 def window_starts(bounds: np.ndarray, width: int) -> np.ndarray:
     """Starts of the windows that lie within one document."""
     n = int(bounds[-1])
@@ -64,158 +100,295 @@ def window_starts(bounds: np.ndarray, width: int) -> np.ndarray:
     return at[at + width <= bounds[1:][doc]]
 
 
-def _first_of_equal(keys: list[np.ndarray], doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Order by keys and document; where a key begins in that order; the smallest document of each item's key."""
-    order = np.lexsort((doc, *reversed(keys)))
-    new = np.zeros(len(order), bool)
-    new[:1] = True
-    for k in keys:
-        k = k[order]
-        new[1:] |= k[1:] != k[:-1]
-    doc = doc[order]
-    return order, new, doc[new][np.cumsum(new) - 1] if len(doc) else doc
+def _rows(parts: list) -> Iterator[pa.RecordBatch]:
+    if parts:
+        yield batch(PACKED, *zip(*parts, strict=True))
+
+
+def _buckets(batches) -> Iterator[tuple[int, int, np.ndarray]]:
+    for b in batches:
+        kinds, blobs = b.column(1).to_numpy(), b.column(2)
+        for i, bucket in enumerate(b.column(0).to_numpy()):
+            yield int(bucket), int(kinds[i]), np.frombuffer(blobs[i].as_buffer(), np.uint8)
+
+
+def _spans(doc: np.ndarray, code: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for i in range(0, len(doc), 1 << 20):
+        yield batch(SPANS, doc[i : i + (1 << 20)], code[i : i + (1 << 20)])
+
 
+# pass 1
 
-def stretches_of(tokens: Tokens, anchors: Anchors, width: int, bits: int):
-    """Pass 1, before the shuffle: the stretches of each batch, less what the batch itself settles."""
+
+def _stretches(kind: Kind, t: Tokens) -> tuple[np.ndarray, ...]:
+    """Of each stretch: its document in the slice, first window (in tokens of the slice), number of windows, anchor name."""
+    starts = window_starts(t.bounds, kind.width)
+    if not len(starts):
+        return starts, starts, starts, starts.astype(np.uint64)
+    place, name = kind.anchors(t.codes, t.bounds, starts, kind.width)
+    doc = np.searchsorted(t.bounds, starts, side="right") - 1
+    new = np.ones(len(starts), bool)
+    new[1:] = (place[1:] != place[:-1]) | (doc[1:] != doc[:-1])
+    new = np.flatnonzero(new)
+    return doc[new], starts[new], np.diff(np.append(new, len(starts))), name[new]
+
+
+def anchors_of(kind: Kind, bits: int):
+    """Before the shuffle: the anchors of each batch; of those that several of its documents have one row, and the members apart."""
 
     def flush(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        name, full, doc, at, n = (np.concatenate(p) for p in parts)
-        order, _, least = _first_of_equal([name, full], doc)
-        name, full, doc, at, n = (x[order] for x in (name, full, doc, at, n))
-        settled = doc > least
-        rows = [*pack(name[~settled], bits, [x[~settled] for x in (name, full, doc, at, n)])]
-        rows += pack(name[settled], bits, [doc[settled], _code(at[settled], n[settled], 0)], kind=1)
-        if rows:
-            yield batch(PACKED, *zip(*rows, strict=True))
+        name, doc, at, n = (np.concatenate(p) for p in parts)
+        order = np.argsort(name, kind="stable")
+        name, doc, at, n = name[order], doc[order], at[order], n[order]
+        where = np.flatnonzero(np.concatenate(([True], name[1:] != name[:-1])))
+        size = np.diff(np.append(where, len(name)))
+        several = np.minimum.reduceat(doc, where) < np.maximum.reduceat(doc, where)
+        member = np.repeat(several, size)
+        rows = [*pack(name[~member], bits, [x[~member] for x in (name, doc, at, n)])]
+        first = where[several]
+        rows += pack(name[first], bits, [name[first], doc[first], size[several].astype(np.int32), np.zeros(len(first), np.uint8)])
+        rows += pack(name[member], bits, [name[member], doc[member], _code(at[member], n[member])], kind=1)
+        yield from _rows(rows)
 
     def run(batches):
-        parts: list[list[np.ndarray]] = [[] for _ in _STRETCH]
+        parts: list[list[np.ndarray]] = [[] for _ in _ITEM]
         size = 0
         for b in batches:
             ids = ids_of(b.column(0))
             for s in K.slices(b.column(1)):
-                first, _, bounds = tokens(s)
-                starts = window_starts(bounds, width)
-                if len(starts):
-                    place, name = anchors(first, bounds, starts, width)
-                    doc = np.searchsorted(bounds, starts, side="right") - 1
-                    new = np.ones(len(starts), bool)
-                    new[1:] = (place[1:] != place[:-1]) | (doc[1:] != doc[:-1])
-                    new = np.flatnonzero(new)
-                    at, n = starts[new], np.diff(np.append(new, len(starts)))
-                    pre = K.prefix(first)
-                    for p, x in zip(parts, (name[new], K.ranges(pre, at, at + n - 1 + width), ids[s.rows[doc[new]]], (at - bounds[doc[new]]).astype(np.int32), n.astype(np.uint8)), strict=True):
+                t = kind.tokens(s)
+                doc, at, n, name = _stretches(kind, t)
+                if len(doc):
+                    for p, x in zip(parts, (name, ids[s.rows[doc]], (at - t.bounds[doc]).astype(np.int32), n.astype(np.uint8)), strict=True):
                         p.append(x)
                 size += len(s.data)
                 if size >= FLUSH_BYTES:
                     if parts[0]:
                         yield from flush(parts)
-                    parts, size = [[] for _ in _STRETCH], 0
+                    parts, size = [[] for _ in _ITEM], 0
         if parts[0]:
             yield from flush(parts)
 
     return run
 
 
-def settle_stretches(batches):
-    """Pass 1, after the shuffle: repeats of a whole stretch, and stretches that stay open."""
-    open_blobs: list[bytes] = []
-    for b in batches:
-        kinds, blobs = b.column(1).to_numpy(), b.column(2).to_pylist()
-        if done := [x for x, k in zip(blobs, kinds, strict=True) if k]:
-            yield batch(SPANS, *unpack(done, [np.int64, np.int64]))
-        open_blobs += [x for x, k in zip(blobs, kinds, strict=True) if not k]
-    name, full, doc, at, n = unpack(open_blobs, _STRETCH)
-    del open_blobs
-    if not len(name):
-        return
-    order, new, least = _first_of_equal([name, full], doc)
-    name, doc, at, n = name[order], doc[order], at[order], n[order]
-    anchor = np.concatenate(([True], name[1:] != name[:-1]))
-    group, where = np.cumsum(anchor) - 1, np.flatnonzero(anchor)
-    several = (np.add.reduceat(new.astype(np.int64), where) > 1) & (np.maximum.reduceat(doc, where) > np.minimum.reduceat(doc, where))
-    settled = doc > least
-    keep = settled | several[group]
-    for i in range(0, int(keep.sum()), 1 << 20):
-        at_ = np.flatnonzero(keep)[i : i + (1 << 20)]
-        yield batch(SPANS, doc[at_], _code(at[at_], n[at_], (~settled[at_]).astype(np.int64)))
-
-
-def windows_of(tokens: Tokens, width: int, bits: int):
-    """Pass 2, before the shuffle: the windows of open stretches."""
+def shared_anchors(batches):
+    """After the shuffle, in the order of bucket and kind: the stretches whose anchor several documents have, and whether it is hot."""
+
+    def settle(blobs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        name, doc, at, n = unpack(blobs, _ITEM)
+        order = np.argsort(name, kind="stable")
+        name, doc, at, n = name[order], doc[order], at[order], n[order]
+        where = np.flatnonzero(np.concatenate(([True], name[1:] != name[:-1])))
+        several = (np.minimum.reduceat(n, where) == 0) | (np.minimum.reduceat(doc, where) < np.maximum.reduceat(doc, where))
+        hot = np.add.reduceat(np.where(n == 0, at, 1), where) > HOT
+        size = np.diff(np.append(where, len(name)))
+        keep = np.repeat(several, size) & (n > 0)
+        return doc[keep], _code(at[keep], n[keep], np.repeat(hot, size)[keep].astype(np.int64)), name[where[hot]]
+
+    last, waiting, hot = None, [], np.empty(0, np.uint64)
+    for bucket, kind, blob in _buckets(batches):
+        if waiting and (kind or bucket != last):
+            doc, code, hot = settle(waiting)
+            waiting = []
+            yield from _spans(doc, code)
+        last = bucket
+        if kind:  # these anchors have a row of kind 0 in the bucket, so hot is known
+            name, doc, code = unpack([blob], _MEMBER)
+            yield from _spans(doc, code | np.isin(name, hot))
+        else:
+            waiting.append(blob)
+    if waiting:
+        yield from _spans(*settle(waiting)[:2])
+
+
+# pass 2
+
+
+def repeated(data: np.ndarray, start: np.ndarray, length: np.ndarray, name: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Which strings data[start:start+length] of a name also stand in a smaller document, by a radix sort of their bytes.
+
+    Most significant digits of eight bytes first.  After each pass, a group that only one document is left in is done.
+    """
+    found = np.zeros(len(start), bool)
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    digits = np.ndarray((len(data) + 1,), ">u8", padded, strides=(1,))
+    live, keys, depth = np.arange(len(start)), [name, length], 0
+    while len(live):
+        order = np.lexsort(keys[::-1])
+        live = live[order]
+        new = np.zeros(len(live), bool)
+        new[0] = True
+        for k in keys:
+            k = k[order]
+            new[1:] |= k[1:] != k[:-1]
+        where = np.flatnonzero(new)
+        own = doc[live]
+        least = np.minimum.reduceat(own, where)
+        several = (least < np.maximum.reduceat(own, where))[np.cumsum(new) - 1]
+        ended = several & (length[live] <= depth)  # the lengths of a group are equal
+        found[live[ended]] = own[ended] > least[np.cumsum(new) - 1][ended]
+        go_on = several & ~ended
+        live, group = live[go_on], np.cumsum(new)[go_on]
+        digit = digits[start[live] + depth].astype(np.uint64)
+        over = np.clip(8 - (length[live] - depth), 0, 7).astype(np.uint64) * np.uint64(8)
+        keys = [group, (digit >> over) << over]
+        depth += 8
+    return found
+
+
+def gathered(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The strings one after another."""
+    parts, step = [], max(1, (1 << 20) // max(1, int(length.mean()) if len(length) else 1))
+    for i in range(0, len(start), step):
+        n = length[i : i + step]
+        begin = np.cumsum(n) - n
+        parts.append(data[np.repeat(start[i : i + step] - begin, n) + np.arange(int(n.sum()))])
+    return np.concatenate(parts) if parts else np.empty(0, np.uint8)
+
+
+def _pack_texts(bits: int, name, doc, at, n, length, start, data) -> Iterator[tuple[int, int, bytes]]:
+    """Rows (bucket, 0, blob): the number of items, their columns, and their bytes."""
+    bucket = (name >> np.uint64(64 - bits)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    bucket, columns = bucket[order], [x[order] for x in (name, doc, at, n, length)]
+    where = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(bucket) else []
+    for a, b in zip(where, [*where[1:], len(bucket)], strict=True):
+        own = order[a:b]
+        yield int(bucket[a]), 0, np.int64(b - a).tobytes() + b"".join(c[a:b].tobytes() for c in columns) + gathered(data, start[own], length[own]).tobytes()
+
+
+def _unpack_texts(blobs: list[np.ndarray]) -> list[np.ndarray]:
+    width = sum(np.dtype(t).itemsize for t in _TEXT)
+    heads, data = [], []
+    for blob in blobs:
+        n = int(blob[:8].view(np.int64)[0])
+        heads.append(unpack([blob[8 : 8 + n * width].tobytes()], _TEXT))
+        data.append(blob[8 + n * width :])
+    return [np.concatenate(x) for x in zip(*heads, strict=True)] + [np.concatenate(data)]
+
+
+def texts_of(kind: Kind, bits: int):
+    """Before the shuffle: the texts of shared stretches (rows doc, text, codes), without those that the batch itself has in a smaller document."""
+    width = kind.width
 
     def flush(parts) -> Iterator[pa.RecordBatch]:
-        one, two, doc, at = (np.concatenate(p) for p in parts)
-        order, _, least = _first_of_equal([one, two], doc)
-        one, two, doc, at = (x[order] for x in (one, two, doc, at))
-        settled = doc > least
-        rows = [*pack(one[~settled], bits, [x[~settled] for x in (one, two, doc, at)])]
-        rows += pack(one[settled], bits, [doc[settled], _code(at[settled], np.ones(int(settled.sum())), 0)], kind=1)
-        if rows:
-            yield batch(PACKED, *zip(*rows, strict=True))
+        name, doc, at, n, length, data = (np.concatenate(p) for p in parts)
+        start = np.cumsum(length.astype(np.int64)) - length
+        gone = repeated(data, start, length, name, doc)
+        rows = [*_pack_texts(bits, *(x[~gone] for x in (name, doc, at, n, length, start)), data)]
+        rows += pack(name[gone], bits, [doc[gone], _code(at[gone], n[gone])], kind=1)
+        yield from _rows(rows)
 
     def run(batches):
-        parts: list[list[np.ndarray]] = [[] for _ in _WINDOW]
+        parts: list[list[np.ndarray]] = [[] for _ in range(6)]
         size = 0
         for b in batches:
             ids, codes = ids_of(b.column(0)), b.column(2)
             for s in K.slices(b.column(1)):
-                first, second, bounds = tokens(s)
-                where = []
+                t = kind.tokens(s)
+                doc, at, n, name = _stretches(kind, t)
+                if not len(doc):
+                    continue
+                take, hot = np.zeros(len(doc), bool), np.zeros(len(doc), bool)
                 for k, row in enumerate(s.rows):
-                    at, n, still = _decode(codes[int(row)].values.to_numpy())
-                    a, c = K.runs(K.covered(int(bounds[k + 1] - bounds[k]), at[still], at[still] + n[still]))
-                    where += [np.arange(x, y) + bounds[k] for x, y in zip(a, c, strict=True)]
-                if where:
-                    at = np.concatenate(where)
-                    doc = np.searchsorted(bounds, at, side="right") - 1
-                    for p, x in zip(parts, (K.ranges(K.prefix(first), at, at + width), K.ranges(K.prefix(second), at, at + width), ids[s.rows[doc]], (at - bounds[doc]).astype(np.int32)), strict=True):
+                    code = codes[int(row)].values.to_numpy()
+                    a, z = np.searchsorted(doc, (k, k + 1))
+                    place, _, is_hot = _decode(code)
+                    own = np.searchsorted(at[a:z] - t.bounds[k], place)
+                    own = np.minimum(own, z - a - 1)  # rows of one id with several texts share their codes
+                    if z > a:
+                        take[a + own], hot[a + own] = True, is_hot
+                hot &= take
+                for own, single in ((take & ~hot, False), (hot, True)):
+                    d, first, m, called = doc[own], at[own], n[own], name[own]
+                    if not len(d):
+                        continue
+                    if single:
+                        first = np.repeat(first - (np.cumsum(m) - m), m) + np.arange(int(m.sum()))
+                        d = np.repeat(d, m)
+                        called = K.ranges(K.prefix(t.codes), first, first + width)
+                        m = np.ones(len(d), np.int64)
+                    begin, stop = t.start[first], t.end[first + m - 2 + width]
+                    text = gathered(t.data, begin, stop - begin)
+                    for p, x in zip(parts, (called, ids[s.rows[d]], (first - t.bounds[d]).astype(np.int32), m.astype(np.uint8), (stop - begin).astype(np.int32), text), strict=True):
                         p.append(x)
-                    size += 32 * len(at)
-                if size >= 2 * FLUSH_BYTES:
+                    size += len(text) + 25 * len(d)
+                if size >= FLUSH_BYTES:
                     yield from flush(parts)
-                    parts, size = [[] for _ in _WINDOW], 0
+                    parts, size = [[] for _ in range(6)], 0
         if parts[0]:
             yield from flush(parts)
 
     return run
 
 
-def settle_windows(batches):
-    """Pass 2, after the shuffle: windows that a smaller document has."""
-    open_blobs: list[bytes] = []
-    for b in batches:
-        kinds, blobs = b.column(1).to_numpy(), b.column(2).to_pylist()
-        if done := [x for x, k in zip(blobs, kinds, strict=True) if k]:
-            yield batch(SPANS, *unpack(done, [np.int64, np.int64]))
-        open_blobs += [x for x, k in zip(blobs, kinds, strict=True) if not k]
-    one, two, doc, at = unpack(open_blobs, _WINDOW)
-    del open_blobs
-    order, _, least = _first_of_equal([one, two], doc)
-    doc, at = doc[order], at[order]
-    found = np.flatnonzero(doc > least)
-    for i in range(0, len(found), 1 << 20):
-        f = found[i : i + (1 << 20)]
-        yield batch(SPANS, doc[f], _code(at[f], np.ones(len(f)), 0))
-
-
-def repeated_spans(docs: DataFrame, tokens: Tokens, anchors: Anchors, width: int) -> DataFrame:
+def settle_texts(kind: Kind):
+    """After the shuffle, in the order of bucket: windows that stand in a smaller document, first by whole stretches."""
+
+    def settle(blobs: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        name, doc, at, n, length, data = _unpack_texts(blobs)
+        start = np.cumsum(length.astype(np.int64)) - length
+        gone = repeated(data, start, length, name, doc)
+        yield from _spans(doc[gone], _code(at[gone], n[gone]))
+        left = np.flatnonzero(~gone)
+        left = left[np.argsort(name[left], kind="stable")]
+        if not len(left):
+            return
+        where = np.flatnonzero(np.concatenate(([True], name[left][1:] != name[left][:-1])))
+        several = np.minimum.reduceat(doc[left], where) < np.maximum.reduceat(doc[left], where)
+        left = left[np.repeat(several, np.diff(np.append(where, len(left))))]
+        total = np.cumsum(n[left].astype(np.int64))
+        part = total // (1 << 20)
+        _, group = np.unique(name[left], return_inverse=True)
+        # about a million windows at a time, all of a name together
+        part = part[np.searchsorted(group, group)]
+        for p in np.unique(part):
+            own = left[part == p]
+            m = n[own].astype(np.int64)
+            begin, size = kind.windows(data, start[own], length[own], m, kind.width)
+            first = np.repeat(at[own] - (np.cumsum(m) - m), m) + np.arange(int(m.sum()))
+            of = np.repeat(own, m)
+            hit = repeated(data, begin, size, name[of], doc[of])
+            yield from _spans(doc[of[hit]], _code(first[hit], 1))
+
+    def run(batches):
+        last, waiting = None, []
+        for bucket, settled, blob in _buckets(batches):
+            if settled:
+                yield from _spans(*unpack([blob], [np.int64, np.int64]))
+                continue
+            if waiting and bucket != last:
+                yield from settle(waiting)
+                waiting = []
+            last = bucket
+            waiting.append(blob)
+        if waiting:
+            yield from settle(waiting)
+
+    return run
+
+
+def dealt(docs: DataFrame) -> tuple[int, int]:
+    """Shuffle partitions, and the bits of a name that are its bucket, for the bytes of text that there are."""
+    spark = docs.sparkSession
+    size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism, -(-size // PART_BYTES))
+    return parts, max(4, (max(4 * parts, size // BUCKET_BYTES) - 1).bit_length())
+
+
+def repeated_spans(docs: DataFrame, kind: Kind) -> DataFrame:
     """``docs(doc, text)`` to ``(doc, codes)``: packed runs of windows that start in a smaller document too."""
-    if not 2 <= width <= 128:
+    if not 2 <= kind.width <= 128:
         raise ValueError("the width of a window must be from 2 to 128 tokens")
-    bits = bucket_bits(docs.sparkSession)
-    packed, spans = "bucket int, kind byte, blob binary", "doc long, code long"
-    by_doc = lambda df: df.groupBy("doc").agg(F.collect_list("code").alias("codes"))
     # Null ids have no order, so such rows neither remove nor are removed.
     docs = docs.where(F.col("doc").isNotNull())
-    one = docs.mapInArrow(stretches_of(tokens, anchors, width, bits), packed).repartition("bucket").mapInArrow(settle_stretches, spans)
-    one = cut(by_doc(one))
-    still = one.where(F.exists("codes", lambda c: c.bitwiseAND(1) == 1))
-    two = docs.join(still, "doc").select("doc", "text", "codes").mapInArrow(windows_of(tokens, width, bits), packed)
-    two = cut(by_doc(two.repartition("bucket").mapInArrow(settle_windows, spans)))
-    settled = one.select("doc", F.filter("codes", lambda c: c.bitwiseAND(1) == 0).alias("codes"))
-    return settled.unionByName(two).groupBy("doc").agg(F.flatten(F.collect_list("codes")).alias("codes"))
+    parts, bits = dealt(docs)
+    by_bucket = lambda df: df.repartition(parts, "bucket").sortWithinPartitions("bucket", "kind")
+    by_doc = lambda df: df.groupBy("doc").agg(F.collect_list("code").alias("codes"))
+    shared = cut(by_doc(by_bucket(docs.mapInArrow(anchors_of(kind, bits), PACKED_SQL)).mapInArrow(shared_anchors, SPANS_SQL)))
+    texts = docs.join(shared, "doc").select("doc", "text", "codes").mapInArrow(texts_of(kind, bits), PACKED_SQL)
+    return cut(by_doc(by_bucket(texts).mapInArrow(settle_texts(kind), SPANS_SQL)))
 
 
 def removed_tokens(codes: pa.Scalar, n: int, width: int) -> np.ndarray:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Iterable, Iterator
 
@@ -35,21 +36,17 @@ def fitted(df: DataFrame, rows_per_task: int = 100_000) -> tuple[DataFrame, int]
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where none is set (a single machine), a new temporary one."""
+    """The folder of ``spark.checkpoint.dir``; where none is set, on a single machine only, a new temporary one."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="docmart-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(found)
     return found
 
 
-def bucket_bits(spark: SparkSession) -> int:
-    """Bits of a hash that name a shuffle bucket: a few buckets for each shuffle partition, so that they spread evenly."""
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    return min(16, max(10, (4 * parts - 1).bit_length()))
-
-
 def pack(key: np.ndarray, bits: int, columns: Iterable[np.ndarray], kind: int = 0) -> Iterator[tuple[int, int, bytes]]:
     """Rows (bucket, kind, blob): the columns of all items whose key has the same leading bits, one after another."""
     if not len(key):
@@ -63,7 +60,7 @@ def pack(key: np.ndarray, bits: int, columns: Iterable[np.ndarray], kind: int =
         yield int(bucket[a]), kind, b"".join(c[a:b].tobytes() for c in columns)
 
 
-def unpack(blobs: list[bytes], types: list[np.dtype]) -> list[np.ndarray]:
+def unpack(blobs: list[bytes] | list[np.ndarray], types: list[np.dtype]) -> list[np.ndarray]:
     """The columns of packed rows, joined."""
     parts: list[list[np.ndarray]] = [[] for _ in types]
     width = sum(np.dtype(t).itemsize for t in types)

@@ -1,12 +1,11 @@
 """Operator 5: repeated byte strings, by a depth-limited radix sort of suffixes.
 
-Suffixes are compared through ``width`` bytes only.  They are sorted by
-most-significant digits, where the first digit is the ``DIGIT``-byte string at
-the suffix's sampled place (the one with the least hash among those in its first
-``width`` bytes: a place that equal suffixes agree on), the second the stretch
-of text around it, the last the whole window.  After each pass a group with one
-member, or of one document, is done; groups left equal after the last pass are
-exactly the repeated windows.  :mod:`docmart.llm.repeats` runs the passes.
+Suffixes are compared through ``width`` bytes only, by most-significant digits.  The first digit is the
+``DIGIT``-byte string at the suffix's sampled place (the one with the least hash among those in its first
+``width`` bytes: a place that equal suffixes agree on); a digit that only one document has ends the sort of its
+suffixes.  The others are sorted by their real bytes, eight at a time: first the stretches of suffixes that
+share a place, then the suffixes of stretches that differ.  After each pass a group of one document is done;
+groups left equal after the last pass are exactly the repeated windows.  :mod:`docmart.llm.repeats` runs the passes.
 """
 
 from __future__ import annotations
@@ -19,18 +18,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .repeats import removed_tokens, repeated_spans
+from .repeats import Kind, Tokens, place_bits, removed_tokens, repeated_spans
 from .shared import batch
 
 #: Bytes of the first digit; at most ``width``.
 DIGIT = 24
-_PLACE = np.uint64((1 << 24) - 1)
 
 RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
 
 
-def byte_tokens(s: K.Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return K.BYTE_CODES[0][s.data], K.BYTE_CODES[1][s.data], np.append(s.starts, s.ends[-1:])
+def byte_tokens(s: K.Slice) -> Tokens:
+    at = np.arange(len(s.data))
+    return Tokens(K.BYTE_CODES[0][s.data], np.append(s.starts, s.ends[-1:]), s.data, at, at + 1)
+
+
+def byte_windows(data, start, length, n, width):
+    begin = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+    return begin, np.full(len(begin), width)
 
 
 def first_digits(digit: int):
@@ -38,17 +42,9 @@ def first_digits(digit: int):
 
     def anchors(codes, bounds, starts, width):
         names = K.rolling(K.prefix(codes), min(digit, width))
-        span = width - min(digit, width) + 1
-        if len(names) <= int(_PLACE):
-            best = K.sliding_min((names & ~_PLACE) | np.arange(len(names), dtype=np.uint64), span)
-            place = (best[starts] & _PLACE).astype(np.int64)
-        else:  # a single text of over 16 MB: in parts
-            place = np.empty(len(starts), np.int64)
-            for a in range(0, len(names), int(_PLACE) - width):
-                part = names[a : a + int(_PLACE)]
-                best = K.sliding_min((part & ~_PLACE) | np.arange(len(part), dtype=np.uint64), span)
-                own = (starts >= a) & (starts < a + min(len(best), int(_PLACE) - width))
-                place[own] = (best[starts[own] - a] & _PLACE).astype(np.int64) + a
+        place_of = place_bits(len(names))
+        best = K.sliding_min((names & ~place_of) | np.arange(len(names), dtype=np.uint64), width - min(digit, width) + 1)
+        place = (best[starts] & place_of).astype(np.int64)
         return place, names[place]
 
     return anchors
@@ -81,14 +77,14 @@ def suffix_array_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ``with_text``, the remaining bytes as ``kept`` (cutting bytes can split a
     character, so they are binary).
 
-    A null text is empty; a text under ``width`` bytes is kept whole.  A null
+    A null text is empty; a text under ``width`` bytes is kept whole, and one of any length is judged whole.  A null
     id has no order: its row is kept whole and removes nothing.  Repeated rows
     get equal results, and equal ids never remove each other; if rows of one id
     hold different texts, their removed places are pooled and cut to each text's
     length.  Other columns are ignored.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
-    spans = repeated_spans(docs, byte_tokens, first_digits(digit), width)
+    spans = repeated_spans(docs, Kind(byte_tokens, first_digits(digit), byte_windows, width))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
     return docs.join(spans, "doc", "left").select("doc", "text", "codes").mapInArrow(_finish(width, with_text), schema)
 
