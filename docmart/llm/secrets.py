@@ -4,17 +4,21 @@ Every version of every path is addressed by its content.  The ledger lists the
 (blob, rule, version) triples that were scanned; a run scans only the triples that
 are missing, once for each distinct blob, and joins the findings back to all paths
 that hold it.  A new rule or a new version of one scans old blobs with
-that rule alone.
+that rule alone.  :class:`Ledger` keeps both tables in a folder, a part for each finished run.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .shared import shared_folder
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -101,18 +105,63 @@ def scan_secrets(docs: DataFrame, ledger: DataFrame | None = None, known: DataFr
     earlier runs returned; blob findings are the known ones and the new ones.  By path: (path, blob,
     findings), an array of (begin, rule_no, end, kind) in order, begin and end in code points, end exclusive.
 
-    A null text is an empty blob.  Null and repeated paths are paths like any
-    other; repeated rows give repeated rows.  Other columns are ignored.
+    A null text is an empty blob; a text is scanned whole, however long.  Null and repeated paths are paths like any
+    other; repeated rows give repeated rows; an empty table gives empty ones.  Other columns, of any name, are ignored.
     """
     versions = versions_of(docs, path_col, text_col)
     blobs = unseen_blobs(versions, ledger, rules)
     found = scan_blobs(blobs, rules)
     if known is not None:
         found = found.unionByName(known)
-    by_blob = found.groupBy("blob").agg(F.array_sort(F.collect_set(F.struct("begin", "rule_no", "end", "kind"))).alias("findings"))
-    by_path = versions.select("path", "blob").join(by_blob, "blob", "left")
     scanned = blobs.select("blob", F.explode(F.coalesce("todo", F.array(*[F.lit(r.name) for r in rules]))).alias("rule")).distinct()
-    return by_path.select("path", "blob", F.coalesce("findings", F.array().cast("array<struct<begin:bigint,rule_no:int,end:bigint,kind:string>>")).alias("findings")), found.distinct(), scanned
+    return by_path(versions, found), found.distinct(), scanned
+
+
+def by_path(versions: DataFrame, found: DataFrame) -> DataFrame:
+    """Findings of all blobs, joined back to the paths; the few blobs with findings meet the paths, so a very common one is a skewed join, not a skewed group."""
+    by_blob = found.groupBy("blob").agg(F.array_sort(F.collect_set(F.struct("begin", "rule_no", "end", "kind"))).alias("findings"))
+    joined = versions.select("path", "blob").join(by_blob, "blob", "left")
+    return joined.select("path", "blob", F.coalesce("findings", F.array().cast("array<struct<begin:bigint,rule_no:int,end:bigint,kind:string>>")).alias("findings"))
+
+
+class Ledger:
+    """Scanned (blob, rule) pairs and findings in a folder that the cluster shares.
+
+    Each run writes a part of its own and names it in ``parts`` last, so what a
+    broken run has left behind is never read, and is scanned again.
+    """
+
+    SCANNED, FOUND = "blob string, rule string", "blob string, kind string, rule string, begin long, end long"
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder.rstrip("/")
+
+    def parts(self) -> list[str]:
+        try:
+            rows = self.spark.read.schema("part string").json(f"{self.folder}/parts").collect()  # one row a run
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return []
+        return sorted(r["part"] for r in rows)
+
+    def read(self, table: str, schema: str) -> DataFrame | None:
+        paths = [f"{self.folder}/{part}/{table}" for part in self.parts()]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else None
+
+    def scan(self, docs: DataFrame, rules: tuple[Rule, ...] = RULES, path_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+        """Scan what the ledger lacks, add it, and return the findings of all paths by the rules given, as :func:`scan_secrets` does."""
+        versions = versions_of(docs, path_col, text_col)
+        blobs = unseen_blobs(versions, self.read("scanned", self.SCANNED), rules)
+        part = uuid.uuid4().hex
+        named = F.element_at(F.array(*[F.lit(r.name) for r in rules]), F.col("rule_no") + 1).alias("rule")
+        scan_blobs(blobs, rules).select("blob", "kind", named, "begin", "end").distinct().write.parquet(f"{self.folder}/{part}/found")
+        names = F.array(*[F.lit(r.name) for r in rules])
+        blobs.select("blob", F.explode(F.coalesce("todo", names)).alias("rule")).distinct().write.parquet(f"{self.folder}/{part}/scanned")
+        self.spark.createDataFrame([(part,)], "part string").coalesce(1).write.mode("append").json(f"{self.folder}/parts")
+        number = F.array_position(names, F.col("rule")).cast("int") - 1
+        found = self.read("found", self.FOUND).select("blob", "kind", number.alias("rule_no"), "begin", "end").where("rule_no >= 0")
+        return by_path(versions, found)
 
 
 def _joined(findings: Column) -> Column:
@@ -120,11 +169,12 @@ def _joined(findings: Column) -> Column:
 
 
 def op7_secrets(spark, sf_dir: str) -> DataFrame:
-    by_path, _, _ = scan_secrets(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    ledger = Ledger(spark, f"{shared_folder(spark)}/secret-ledger-{uuid.uuid4().hex}")
+    paths = ledger.scan(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     n = lambda kind: F.size(F.filter("findings", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
     base = F.filter("findings", lambda x: x["rule_no"] < len(BASE))
     digest = F.sha2(F.encode(_joined(base), "UTF-8"), 256)
-    return by_path.select(F.col("path").alias("doc_id"), *[n(r.kind) for r in BASE], digest.alias("base_sha256"), _joined(F.col("findings")).alias("spans"))
+    return paths.select(F.col("path").alias("doc_id"), *[n(r.kind) for r in BASE], digest.alias("base_sha256"), _joined(F.col("findings")).alias("spans"))
 
 
 def _sql() -> str:

@@ -3,7 +3,7 @@
 import random
 import re
 
-from docmart.llm.secrets import BASE, RULES, Rule, scan_secrets
+from docmart.llm.secrets import BASE, RULES, Ledger, Rule, scan_secrets
 
 
 def expected(text, rules):
@@ -45,3 +45,27 @@ def test_ledger(spark):
     _, _, scanned = scan_secrets(second, ledger, found, newer)
     assert sorted(r.rule for r in scanned.collect()) == ["access@1", "assign@1", "hex@2", "hex@2"]
     assert scan_secrets(first.limit(0))[0].count() == 0
+
+
+def test_ledger_in_a_folder(spark, tmp_path):
+    """Runs over successive versions scan what is new, a new rule version scans old blobs with that rule alone, and a broken run leaves nothing behind."""
+    ledger = Ledger(spark, str(tmp_path / "ledger"))
+    schema = "doc_id long, text string, blob string, found int"
+    first = spark.createDataFrame([(1, "token = abcdefghijkl", "x", 1), (2, "nothing", "x", 1), (5, None, None, None)], schema)
+    kinds = lambda df: {r.path: [x.kind for x in r.findings] for r in df.collect()}
+    scanned = lambda: sorted((r.blob[:4], r.rule) for r in ledger.read("scanned", ledger.SCANNED).collect())
+    assert ledger.parts() == [] and kinds(ledger.scan(first, BASE)) == {1: ["assign"], 2: [], 5: []}
+    assert len(scanned()) == 3 * len(BASE)
+    second = spark.createDataFrame([(1, "token = abcdefghijkl0", "x", 1), (3, "token = abcdefghijkl", "x", 1), (4, "0123456789abcd", "x", 1), (4, "0123456789abcd", "x", 1)], schema)
+    before = len(scanned())
+    assert kinds(ledger.scan(second, BASE)) == {1: ["assign"], 3: ["assign"], 4: []}
+    assert len(scanned()) - before == 2 * len(BASE)
+    newer = (*BASE[:2], Rule("hex", r"[0-9a-f]{12,}", least=12, version=2))
+    before = len(scanned())
+    (tmp_path / "ledger" / "broken" / "found").mkdir(parents=True)
+    got = kinds(ledger.scan(second, newer))
+    assert got == {1: ["assign"], 3: ["assign"], 4: ["hex"]}
+    assert {r for _, r in set(scanned())} == {"assign@1", "access@1", "hex@1", "hex@2"} and len(scanned()) - before == 3
+    whole = kinds(scan_secrets(second, rules=newer)[0])
+    assert whole == got and kinds(ledger.scan(second, newer)) == got
+    assert ledger.scan(first.limit(0), newer).count() == 0
