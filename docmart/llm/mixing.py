@@ -70,7 +70,9 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, id_col
     ident = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
     packed = docs.select(F.struct("*").alias("row"), ident.alias("ident"), source.alias("source_key"))
     drawn = packed.join(source_rates(docs, weights, source, target_rows), "source_key")
-    count = F.aggregate(F.sequence(F.lit(1), F.col("draws")), F.lit(0), lambda acc, j: acc + F.size(F.filter("cdf", lambda c: c <= uniform(seeds, F.col("ident"), j.cast("string")))))
+    # all draws first: inside the inversion a digest would be taken again for each of its steps
+    drawn = drawn.withColumn("at", F.transform(F.sequence(F.lit(1), F.col("draws")), lambda j: uniform(seeds, F.col("ident"), j.cast("string"))))
+    count = F.aggregate("at", F.lit(0), lambda acc, u: acc + F.size(F.filter("cdf", lambda c: c <= u)))
     drawn = drawn.withColumn("copies", count).where("copies > 0")
     rows = drawn.select("row", "ident", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies").cast("long"))).alias("mix_copy"))
     rows = rows.withColumn("mix_order", F.md5(F.concat_ws(":", seeds, F.col("ident"), F.col("mix_copy").cast("string"), F.lit("order"))))
