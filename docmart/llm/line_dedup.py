@@ -24,7 +24,7 @@ def _lines(text: Column) -> Column:
 
 def boilerplate(docs: DataFrame, host: Column, ratio: float, min_pages: int) -> DataFrame:
     """(host, name) of lines on at least ``min_pages`` pages of a host and on more than ``ratio`` of them."""
-    pages = docs.select(host.alias("host"), F.explode(F.array_distinct(F.filter(_lines("text"), lambda x: F.length(F.trim(x)) > 0))).alias("line"))
+    pages = docs.select(host.alias("host"), F.explode(F.array_distinct(F.filter(_lines("text"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))).alias("line"))
     counts = pages.groupBy("host", _name(F.col("line")).alias("name")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
     totals = docs.groupBy(host.alias("host")).agg(F.count(F.lit(1)).alias("pages"))
     return counts.join(totals, "host").where(F.col("n") > ratio * F.col("pages")).select("host", "name")
@@ -35,7 +35,7 @@ def line_dedup(docs: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES
 
     Returns the input's columns, the text without those lines, and ``line_total``
     and ``line_dropped``, the numbers of lines before and of those that went.
-    Lines end at a newline and are compared whole; blank ones always stay.
+    Lines end at a newline and are compared whole, however long; blank ones, of white space alone, always stay.
 
     A null text stays null with 0 lines but counts as a page; a null host is a
     host of its own.  Ids may be null or repeat: a page is a row.  Input
@@ -63,10 +63,10 @@ def op9_line_dedup(spark, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "line_total", "line_dropped", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
 
 
-ORACLE_SQL = f"""
+ORACLE_SQL = rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, text, source FROM documents),
 l AS (SELECT rid, doc_id, source, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM d WHERE text IS NOT NULL),
-c AS (SELECT source, line, count(DISTINCT rid) AS n FROM l WHERE length(trim(line)) > 0 GROUP BY ALL),
+c AS (SELECT source, line, count(DISTINCT rid) AS n FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY ALL),
 t AS (SELECT source, count(*) AS pages FROM d GROUP BY ALL),
 b AS (SELECT c.source, line FROM c JOIN t ON c.source IS NOT DISTINCT FROM t.source WHERE n >= {MIN_PAGES} AND n > {RATIO} * pages),
 k AS (SELECT l.rid, l.i, l.line, b.line IS NOT NULL AS bad FROM l LEFT JOIN b ON l.source IS NOT DISTINCT FROM b.source AND l.line = b.line),
