@@ -40,11 +40,13 @@ SPANS = pa.schema([("doc", pa.int64()), ("code", pa.int64())])
 _ITEM = [np.uint64, np.int64, np.int32, np.uint8]
 _MEMBER = [np.uint64, np.int64, np.int64]
 _TEXT = [np.uint64, np.int64, np.int32, np.uint8, np.int32]
-#: Flush packed rows after so many bytes of text, or of stretches: the working memory of a task.
-FLUSH_BYTES = 16 << 20
+#: Flush packed rows after so many bytes of text (first pass) and of stretches (second pass): the working memory of a task.
+FLUSH_BYTES, FLUSH_TEXTS = 16 << 20, 8 << 20
 #: Input text of a shuffle partition and of a bucket in it.
 PART_BYTES, BUCKET_BYTES = 64 << 20, 2 << 20
 HOT = 1 << 14
+#: Windows of a stretch at most.
+LONGEST = 255
 
 
 @dataclass
@@ -125,10 +127,12 @@ def _stretches(kind: Kind, t: Tokens) -> tuple[np.ndarray, ...]:
     starts = window_starts(t.bounds, kind.width)
     if not len(starts):
         return starts, starts, starts, starts.astype(np.uint64)
-    place, name = kind.anchors(t.codes, t.bounds, starts, kind.width)
+    _, name = kind.anchors(t.codes, t.bounds, starts, kind.width)
     doc = np.searchsorted(t.bounds, starts, side="right") - 1
     new = np.ones(len(starts), bool)
-    new[1:] = (place[1:] != place[:-1]) | (doc[1:] != doc[:-1])
+    new[1:] = (name[1:] != name[:-1]) | (doc[1:] != doc[:-1])
+    first = np.flatnonzero(new)  # a run of one name, as in a text that repeats itself, is cut into stretches of a bounded length
+    new[(np.arange(len(starts)) - first[np.cumsum(new) - 1]) % LONGEST == 0] = True
     new = np.flatnonzero(new)
     return doc[new], starts[new], np.diff(np.append(new, len(starts))), name[new]
 
@@ -314,7 +318,7 @@ def texts_of(kind: Kind, bits: int):
                     for p, x in zip(parts, (called, ids[s.rows[d]], (first - t.bounds[d]).astype(np.int32), m.astype(np.uint8), (stop - begin).astype(np.int32), text), strict=True):
                         p.append(x)
                     size += len(text) + 25 * len(d)
-                if size >= FLUSH_BYTES:
+                if size >= FLUSH_TEXTS:
                     yield from flush(parts)
                     parts, size = [[] for _ in range(6)], 0
         if parts[0]:

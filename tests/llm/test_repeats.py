@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 
+from docmart.llm import repeats as R
 from docmart.llm.recompression import interior_symbols, substring_dedup
 from docmart.llm.repeats import window_starts
 from docmart.llm.suffix_array import first_digits, suffix_array_dedup
@@ -103,3 +104,60 @@ def test_interior_symbols_are_decided_by_the_window(seed):
         for s, n in zip(starts, name):
             by_window.setdefault(codes[s : s + width].tobytes(), set()).add(int(n))
         assert all(len(v) == 1 for v in by_window.values())
+
+
+def test_hot_anchors_and_buckets(spark, monkeypatch):
+    """With every shared anchor hot, and with one bucket for everything, results are the same."""
+    rows = texts(9)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    want = brute(rows, lambda b: b, 50, bytes), brute(rows, lambda b: b.split(), 20, b" ".join)
+    for hot, bits in ((0, None), (R.HOT, 0)):
+        # the settings are read where tasks are made, so they go along as the kind's own functions would
+        monkeypatch.setattr(R, "shared_anchors", with_hot(R.shared_anchors, hot))
+        if bits is not None:
+            monkeypatch.setattr(R, "dealt", lambda docs: (3, 1))
+        got = {r.doc_id: (r.n_bytes, r.n_removed, r.kept_sha256) for r in suffix_array_dedup(df).collect()}
+        assert got == want[0]
+        got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup(df, width=20).collect()}
+        assert got == want[1]
+
+
+def with_hot(fn, hot):
+    def run(batches):
+        R.HOT = hot
+        yield from fn(batches)
+
+    return run
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_radix_sort(seed):
+    r = np.random.Generator(np.random.PCG64(seed))
+    data = r.integers(0, 3, 3000).astype(np.uint8)
+    start = r.integers(0, 2900, 700)
+    length = r.choice([1, 7, 8, 9, 16, 31], 700)
+    name = r.integers(0, 2, 700).astype(np.uint64)
+    doc = r.integers(0, 40, 700)
+    least = {}
+    keys = [(int(n), data[s : s + k].tobytes()) for n, s, k in zip(name, start, length)]
+    for k, d in zip(keys, doc.tolist()):
+        least[k] = min(least.get(k, d), d)
+    assert R.repeated(data, start, length, name, doc).tolist() == [d > least[k] for k, d in zip(keys, doc.tolist())]
+
+
+def test_places_of_long_texts():
+    """Beyond 2**24 tokens a place takes more bits, so none wraps."""
+    assert R.place_bits(10) == (1 << 24) - 1 and R.place_bits((1 << 24) + 5) == (1 << 25) - 1
+    for n in ((1 << 24) - 1, 1 << 24, 40_000_000):
+        assert n <= R.place_bits(n)
+
+
+def test_one_long_text_and_runs(spark):
+    """A text of two million bytes that repeats itself, and one run, beside short ones that share parts of them."""
+    long = "abcdefghij " * 180_000
+    rows = [(1, "x" * 200_000), (2, long), (3, long[77:400]), (4, "x" * 70 + "y"), (5, "y" * 49)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.n_removed for r in suffix_array_dedup(df).collect()}
+    assert got == {1: 0, 2: 0, 3: 323, 4: 70, 5: 0}
+    got = {r.doc_id: r.n_removed for r in substring_dedup(df, width=20).collect()}
+    assert got == {1: 0, 2: 0, 3: 29, 4: 0, 5: 0}
