@@ -45,6 +45,7 @@ FLUSH_BYTES, FLUSH_TEXTS = 16 << 20, 8 << 20
 #: Input text of a shuffle partition and of a bucket in it.
 PART_BYTES, BUCKET_BYTES = 64 << 20, 2 << 20
 HOT = 1 << 14
+_CODEC = pa.Codec("zstd", compression_level=3)
 #: Windows of a stretch at most.
 LONGEST = 255
 
@@ -252,23 +253,24 @@ def gathered(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndar
 
 
 def _pack_texts(bits: int, name, doc, at, n, length, start, data) -> Iterator[tuple[int, int, bytes]]:
-    """Rows (bucket, 0, blob): the number of items, their columns, and their bytes."""
+    """Rows (bucket, 0, blob): the number of items and of bytes, the columns, and the bytes, compressed: they are most of what is shuffled."""
     bucket = (name >> np.uint64(64 - bits)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
+    order = np.lexsort((name, bucket))  # texts of one name side by side
     bucket, columns = bucket[order], [x[order] for x in (name, doc, at, n, length)]
     where = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(bucket) else []
     for a, b in zip(where, [*where[1:], len(bucket)], strict=True):
         own = order[a:b]
-        yield int(bucket[a]), 0, np.int64(b - a).tobytes() + b"".join(c[a:b].tobytes() for c in columns) + gathered(data, start[own], length[own]).tobytes()
+        text = gathered(data, start[own], length[own])
+        yield int(bucket[a]), 0, np.array([b - a, len(text)], np.int64).tobytes() + b"".join(c[a:b].tobytes() for c in columns) + _CODEC.compress(text, asbytes=True)
 
 
 def _unpack_texts(blobs: list[np.ndarray]) -> list[np.ndarray]:
     width = sum(np.dtype(t).itemsize for t in _TEXT)
     heads, data = [], []
     for blob in blobs:
-        n = int(blob[:8].view(np.int64)[0])
-        heads.append(unpack([blob[8 : 8 + n * width].tobytes()], _TEXT))
-        data.append(blob[8 + n * width :])
+        n, size = (int(x) for x in np.frombuffer(blob, np.int64, 2))
+        heads.append(unpack([blob[16 : 16 + n * width].tobytes()], _TEXT))
+        data.append(np.frombuffer(_CODEC.decompress(blob[16 + n * width :], size), np.uint8))
     return [np.concatenate(x) for x in zip(*heads, strict=True)] + [np.concatenate(data)]
 
 
