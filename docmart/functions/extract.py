@@ -7,33 +7,40 @@ and repeated keys matter, which a map would lose.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import _c, strip, title_case
+from .text import _c, let, strip, title_case
 
 KV = "array<struct<k:string,v:string>>"
 
 
 def joined(c, escape: str | None = None) -> Column:
-    """A list of lines (or a text) as one text, without what ``escape`` matches, stripped."""
+    """A text without what ``escape`` matches, stripped."""
     text = _c(c)
     return strip(F.regexp_replace(text, escape, "")) if escape else text
 
 
-def find_all(text: Column, pattern: str, group: int | None = None) -> Column:
-    """All matches: the only group if there is one, else the whole match."""
+def join_list(lines: Column) -> Column:
+    """A list of lines as one text, a blank between."""
+    return F.array_join(lines, " ")
+
+
+def find_all(text: Column, pattern: str, group: int | None = None, ignore_case: bool = True) -> Column:
+    """All matches, case aside: the only group if there is one, else the whole match."""
     if group is None:
-        group = 1 if re.compile(_python(pattern)).groups == 1 else 0
-    return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+        group = 1 if groups(pattern) == 1 else 0
+    return F.regexp_extract_all(text, F.lit("(?iu)" * ignore_case + pattern), F.lit(group))
 
 
 def _python(pattern: str) -> str:
     """The pattern as Python reads it, to count its groups."""
-    return re.sub(r"\(\?[iUsm]+\)", "", pattern).replace(r"\p{L}", "A").replace(r"\p{N}", "0")
+    return re.sub(r"\(\?[iuUsm]+\)", "", pattern).replace(r"\p{L}", "A").replace(r"\p{N}", "0")
 
 
 def groups(pattern: str) -> int:
@@ -42,14 +49,9 @@ def groups(pattern: str) -> int:
 
 def pairs(keys: Column, values: Column) -> Column:
     """(k, v) structs of two arrays, cut to the shorter."""
-    n = F.least(F.size(keys), F.size(values))
-    zipped = F.arrays_zip(F.slice(keys, F.lit(1), n).alias("k"), F.slice(values, F.lit(1), n).alias("v"))
-    return F.transform(zipped, lambda x: F.struct(strip(x["k"]).alias("k"), strip(x["v"]).alias("v")))
-
-
-def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once, however often ``use`` mentions it."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+    zipped = F.arrays_zip(keys.alias("k"), values.alias("v"))
+    whole = F.filter(zipped, lambda x: x["k"].isNotNull() & x["v"].isNotNull())
+    return F.transform(whole, lambda x: F.struct(strip(x["k"]).alias("k"), strip(x["v"]).alias("v")))
 
 
 def _first_wins(kv: Column) -> Column:
@@ -77,12 +79,16 @@ def kv_get(kv: Column, key: str) -> Column:
 def keyword_spans(c, keywords: Sequence[str], escape: str | None = None, ignore_case: bool = False) -> Column:
     """For consecutive keywords: the text between one and the next (or the end); a key's first occurrence wins."""
     text = joined(c, escape)
-    flags = "(?is)" if ignore_case else "(?s)"
-    found = []
-    for start, end in zip(keywords, keywords[1:], strict=False):
+    flags = "(?isu)" if ignore_case else "(?s)"
+
+    def span(start: str, end: str) -> Column:
+        # one scan gives key and text; neither can hold the end of line that stands between them
         lazily = rf"{flags}(\b{start}\b)\s*(.*?)\s*(?:\b{end}\b|$)"
-        found.append(pairs(F.transform(find_all(text, lazily, 1), F.lower), find_all(text, lazily, 2)))
-    return first_wins(F.flatten(F.array(*found)))
+        found = F.regexp_extract_all(text, F.lit(lazily), F.lit(0))
+        part = lambda x, g: F.regexp_extract(x, rf"{flags}^(\b{start}\b)\s*(.*?)\s*(?:\b{end}\b)?$", g)
+        return F.transform(found, lambda x: F.struct(strip(F.lower(part(x, 1))).alias("k"), strip(part(x, 2)).alias("v")))
+
+    return first_wins(F.flatten(F.array(*[span(a, b) for a, b in zip(keywords, keywords[1:], strict=False)])))
 
 
 def first_match(c, pattern: str, otherwise: Column | None = None, escape: str | None = None) -> Column:
@@ -109,7 +115,7 @@ def without_blanks(c) -> Column:
 def metric_zip(c, key: str, value: str, escape: str | None = None, first: bool = True) -> Column:
     """The k-th key match with the k-th value match."""
     text = joined(c, escape)
-    kv = pairs(find_all(text, f"(?i){key}", 0), find_all(text, value, 0))
+    kv = pairs(find_all(text, key, 0), find_all(text, value, 0))
     return first_wins(kv) if first else last_wins(kv)
 
 
@@ -209,22 +215,73 @@ def benchmark(c, pattern: str, remove: str | None = None, repair: Sequence[tuple
     for bad, good in repair:
         text = F.regexp_replace(text, f"(?i){bad}", good)
     if remove:
-        text = F.regexp_replace(text, remove, "")
+        text = F.regexp_replace(text, f"(?iu){remove}", "")
     return first_match(text, pattern, otherwise=text if else_text else None)
 
 
-#: Extractors by name: (text, rule) -> column. ``register_extractor`` adds one.
-EXTRACTORS: dict[str, Callable[[Column, dict], Column]] = {
-    "text": lambda c, rule: generic_text(c, rule["pattern"], rule.get("escape"), rule.get("full_on_miss", True)),
-    "pairs": lambda c, rule: generic_pairs(c, rule["pattern"], rule.get("escape")),
-    "scheme": lambda c, rule: keyword_spans(c, rule["keywords"], rule.get("escape"), rule.get("ignore_case", False)),
-    "amount": lambda c, rule: amount_pair(c, rule["pattern"], rule.get("escape")),
-    "load": lambda c, rule: load_pair(c, rule["pattern"]),
-    "metrics": lambda c, rule: metric_zip(c, rule["key"], rule["value"], rule.get("escape")),
-    "aligned": lambda c, rule: positional_pairs(c, rule["key"], rule["value"], rule.get("escape")),
+def people(c, name: str, since: str, exp: str, how: str = "pad", escape: str | None = None) -> Column:
+    """Managers from the matches of three patterns, zipped as ``how`` says (:func:`zip_people`)."""
+    text = joined(c, escape)
+    return zip_people(*[find_all(text, p) for p in (name, since, exp)], how)
+
+
+def as_json(rows: Column) -> Column:
+    """A list of structs as a list of texts, for a field of kind ``m``."""
+    return F.transform(rows, lambda x: F.to_json(x))
+
+
+@dataclass(frozen=True)
+class Extractor:
+    """``build(text, rule)`` makes a column when the plan is made; ``kind`` says what it returns.
+
+    Kinds: ``s`` a text, ``a`` a list of texts, ``d`` an array of (k, v), ``m`` a list of JSON texts. ``source`` is what it reads: the value
+    as ``text``, the ``key``, ``both``, or a dictionary's ``values``; a rule's own ``source`` comes first.
+    """
+
+    build: Callable[[Column, dict], Column]
+    kind: str | Callable[[dict], str] = "s"
+    source: str = "text"
+
+    def kind_of(self, rule: dict) -> str:
+        return self.kind(rule) if callable(self.kind) else self.kind
+
+
+def _generic(c: Column, rule: dict) -> Column:
+    if groups(rule["pattern"]) >= 2:
+        return generic_pairs(c, rule["pattern"], rule.get("escape"))
+    return generic_text(c, rule["pattern"], rule.get("escape"), rule.get("full_on_miss", False))
+
+
+#: Extractors by name. ``register_extractor`` adds one.
+EXTRACTORS: dict[str, Extractor] = {
+    "identity": Extractor(lambda c, rule: c),
+    "join": Extractor(lambda c, rule: joined(c, rule.get("escape"))),
+    "text": Extractor(lambda c, rule: generic_text(c, rule["pattern"], rule.get("escape"), rule.get("full_on_miss", True))),
+    "pairs": Extractor(lambda c, rule: generic_pairs(c, rule["pattern"], rule.get("escape")), "d"),
+    "generic": Extractor(_generic, lambda rule: "d" if groups(rule["pattern"]) >= 2 else "s"),
+    "no_blanks": Extractor(lambda c, rule: _generic(without_blanks(c), rule), lambda rule: "d" if groups(rule["pattern"]) >= 2 else "s"),
+    "first_or_text": Extractor(lambda c, rule: first_match(c, rule["pattern"], otherwise=joined(c, rule.get("escape")), escape=rule.get("escape"))),
+    "first": Extractor(lambda c, rule: first_match(c, rule["pattern"], escape=rule.get("escape"))),
+    "scheme": Extractor(lambda c, rule: keyword_spans(c, rule["keywords"], rule.get("escape"), rule.get("ignore_case", False)), "d"),
+    "amount": Extractor(lambda c, rule: amount_pair(c, rule["pattern"], rule.get("escape")), "d"),
+    "load": Extractor(lambda c, rule: load_pair(c, rule["pattern"]), "d"),
+    "lump": Extractor(lambda c, rule: lump_pair(c, rule["pattern"], rule.get("escape")), "d"),
+    "metrics": Extractor(lambda c, rule: metric_zip(c, rule["key"], rule["value"], rule.get("escape"), rule.get("first", True)), "d"),
+    "aligned": Extractor(lambda c, rule: positional_pairs(c, rule["key"], rule["value"], rule.get("escape"), rule.get("skip_repeats", True)), "d"),
+    "managers": Extractor(lambda c, rule: as_json(managers(c, rule["pattern"], rule["fields"], rule.get("escape"))), "m"),
+    "people": Extractor(lambda c, rule: as_json(people(c, rule["name"], rule["since"], rule["exp"], rule.get("how", "pad"), rule.get("escape"))), "m"),
+    "assets": Extractor(lambda c, rule: as_json(restructure_assets(asset_rows(c, rule["pattern"], rule["order"]))), "m"),
+    "benchmark": Extractor(lambda c, rule: benchmark(c, rule["pattern"], rule.get("remove"), else_text=rule.get("else_text", False))),
+    "date": Extractor(lambda c, rule: F.array(F.struct(F.lit("inception_date").alias("k"), date_from_key(c, rule["pattern"]).alias("v"))), "d", "key"),
 }
 
 
-def register_extractor(name: str, build: Callable[[Column, dict], Column]) -> None:
-    """Make an extractor available to dispatch rules; it builds a column when the plan is made."""
-    EXTRACTORS[name] = build
+def register_extractor(name: str, build: Callable[[Column, dict], Column], kind: str | Callable[[dict], str] = "s", source: str = "text") -> None:
+    """Make an extractor available to dispatch rules; it builds a column of the given kind when the plan is made."""
+    EXTRACTORS[name] = Extractor(build, kind, source)
+
+
+def register_pandas_extractor(name: str, fn: Callable, kind: str = "s") -> None:
+    """Make ``fn(text: Series, rule: Series) -> Series`` an extractor: Arrow batches of values, and the rule as JSON beside each."""
+    udf = F.pandas_udf(fn, {"s": "string", "a": "array<string>", "d": KV, "m": "array<string>"}[kind])
+    register_extractor(name, lambda c, rule: udf(c, F.lit(json.dumps(rule))), kind)

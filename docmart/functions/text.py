@@ -6,13 +6,18 @@ through ``(?U)``; patterns are literals, so they are compiled once per task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -176,23 +181,26 @@ def clean_metric(fund, name, value, turnover_as_is: str = "(?!)") -> Column:
     read as one number.
     """
     fund, name = _c(fund), _c(name)
-    v = strip(value)
-    hundredfold = lambda x: (F.expr("try_cast(null as double)") if x is None else x.try_cast("double") * 100).cast("bigint").cast("string")
-    times = strip(F.regexp_replace(v, "(?i)times?$", ""))
-    turnover = (
-        F.when(F.lower(fund).rlike(turnover_as_is), v)
-        .when(v.rlike("(?i)times?$"), F.when(is_numeric(times), hundredfold(times)).otherwise(times))
-        .when(v.endswith("%"), strip(F.regexp_replace(v, "%+$", "")))
-        .when(is_numeric(v), hundredfold(v))
-        .otherwise(v)
-    )
-    percent = F.when(v.endswith("%"), strip(F.regexp_replace(v, "%+$", ""))).otherwise(v)
-    low = F.lower(v)
-    divide = F.when(low.contains("day"), 365).when(low.contains("month"), 12).otherwise(1)
-    digits = F.regexp_replace(v, "[^0-9.]+", "")
-    duration = F.when(is_numeric(digits), F.round(digits.try_cast("double") / divide, 4).cast("string")).otherwise(digits)
-    out = F.when(name == "port_turnover_ratio", turnover).when(name.isin("std_dev", "ytm", "tracking_error"), percent).when(name.isin("avg_maturity", "macaulay", "mod_duration"), duration).otherwise(v)
-    return F.when(~strip(out).rlike("(?i)^NA$"), out)
+
+    def cleaned(v: Column) -> Column:
+        hundredfold = lambda x: (F.expr("try_cast(null as double)") if x is None else x.try_cast("double") * 100).cast("bigint").cast("string")
+        times = strip(F.regexp_replace(v, "(?i)times?$", ""))
+        turnover = (
+            F.when(F.lower(fund).rlike(turnover_as_is), v)
+            .when(v.rlike("(?i)times?$"), F.when(is_numeric(times), hundredfold(times)).otherwise(times))
+            .when(v.endswith("%"), strip(F.regexp_replace(v, "%+$", "")))
+            .when(is_numeric(v), hundredfold(v))
+            .otherwise(v)
+        )
+        percent = F.when(v.endswith("%"), strip(F.regexp_replace(v, "%+$", ""))).otherwise(v)
+        low = F.lower(v)
+        divide = F.when(low.contains("day"), 365).when(low.contains("month"), 12).otherwise(1)
+        digits = F.regexp_replace(v, "[^0-9.]+", "")
+        duration = F.when(is_numeric(digits), F.round(digits.try_cast("double") / divide, 4).cast("string")).otherwise(digits)
+        out = F.when(name == "port_turnover_ratio", turnover).when(name.isin("std_dev", "ytm", "tracking_error"), percent).when(name.isin("avg_maturity", "macaulay", "mod_duration"), duration).otherwise(v)
+        return out
+
+    return let(let(strip(value), cleaned), lambda out: F.when(~strip(out).rlike("(?i)^NA$"), out))
 
 
 def clean_manager_name(c, stop_words: str = r"\b(?:mr|mrs|ms|dr|shri|smt)\b\.?") -> Column:

@@ -76,10 +76,15 @@ def fill_titles(cells: DataFrame, by: Sequence[str] = ("doc_id",), title_col: in
 
 
 def collect_by_title(titled: DataFrame, by: Sequence[str] = ("doc_id",), title_col: int = 0) -> DataFrame:
-    """Per title, as a key, the texts of its cells by row and column; blank ones are left out."""
+    """Per title, as a key, the texts of its cells by row and column; blank ones are left out.
+
+    Titles that differ but have one key: the one that starts last keeps it.
+    """
     body = titled.where((F.col("col_no") != title_col) & F.col("title").isNotNull() & (F.coalesce(strip("text"), F.lit("")) != ""))
     cells = F.array_sort(F.collect_list(F.struct("row_no", "col_no", "text")))
-    return body.groupBy(*by, normalize_key("title").alias("title")).agg(F.transform(cells, lambda x: x["text"]).alias("texts"))
+    own = body.groupBy(*by, normalize_key("title").alias("key"), "title").agg(F.min("row_no").alias("_at"), cells.alias("_cells"))
+    last = own.groupBy(*by, "key").agg(F.max(F.struct("_at", "_cells")).alias("x"))
+    return last.select(*by, F.col("key").alias("title"), F.transform("x._cells", lambda x: x["text"]).alias("texts"))
 
 
 def clean_cells(cells: DataFrame, steps: Sequence[str] = ("newline_to_space", "collapse", "strip", "blank_to_null")) -> DataFrame:
@@ -100,14 +105,20 @@ def manager_table(cells: DataFrame, keywords: Sequence[str], order: dict[int, st
     return part.groupBy(*by, "row_no").agg(*[F.max(F.when(F.col("col_no") == k, F.col("text"))).alias(v) for k, v in order.items()])
 
 
-def allocation_rows(cells: DataFrame, keywords: Sequence[str], n: int, by: Sequence[str] = ("doc_id",), keep: str = "%") -> DataFrame:
-    """The rows [m + 1, m + 3 + n) below the first keyword row m, each as one cleaned text."""
+def allocation_rows(cells: DataFrame, keywords: Sequence[str], n: int, by: Sequence[str] = ("doc_id",), keep: str = "%", names: DataFrame | None = None) -> DataFrame:
+    """The rows [m + 1, m + 3 + n) below the first keyword row m, each as one cleaned text.
+
+    ``names(*by, clip_text)`` gives the text of the clip that names the scheme, which stands beside the rows as ``scheme``.
+    """
     from ..functions.text import normalize_alphanumeric_keep
 
     rows = with_first(cells.repartition(*by), "row_no", _row_hits(keywords), 1, by)
     part = rows.where((F.col("row_no") > F.col("_at")) & (F.col("row_no") < F.col("_at") + 3 + n))
     texts = F.array_sort(F.collect_list(F.struct("col_no", F.coalesce("text", F.lit("")).alias("t"))))
-    return part.groupBy(*by, "row_no").agg(normalize_alphanumeric_keep(F.array_join(F.transform(texts, lambda x: x["t"]), " "), keep).alias("text"))
+    got = part.groupBy(*by, "row_no").agg(normalize_alphanumeric_keep(F.array_join(F.transform(texts, lambda x: x["t"]), " "), keep).alias("text"))
+    if names is None:
+        return got
+    return got.join(names.select(*by, normalize_alphanumeric_keep("clip_text", keep).alias("scheme")), list(by), "left")
 
 
 def scheme_side_table(cells: DataFrame, name_col: int, value_cols: Sequence[int], name_pattern: str, by: Sequence[str] = ("doc_id",), sep: str | None = None) -> DataFrame:

@@ -78,17 +78,31 @@ def section_name(c) -> Column:
     return F.lower(F.regexp_replace(strip(F.regexp_replace(_c(c), r"(?U)[^\w\s]", "")), r"(?U)\s+", "_"))
 
 
-def sections(rows: DataFrame, by: Sequence[str], order: str = "ord", header: str = "is_header", body: str = "is_body") -> DataFrame:
-    """Body rows with the section they belong to: number, and the name of its header ('before' ahead of the first)."""
+def sections(rows: DataFrame, by: Sequence[str], order: str = "ord", header: str = "is_header", body: str = "is_body", regions: bool = False) -> DataFrame:
+    """Body rows with the section they belong to: number, and the name of its header ('before' ahead of the first).
+
+    With ``regions``, rows come from :func:`region_starts`, and a boundary between regions begins a section of the region's
+    name, so what follows it is not under the last header of the region before.
+    """
     w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("section_no", F.sum(F.col(header).cast("int")).over(w))
-    named = F.last(F.when(F.col(header), section_name("text")), ignorenulls=True).over(w)
-    return rows.withColumn("header", F.coalesce(named, F.lit("before"))).where(F.col(header) | F.col(body))
+    starts, name, kept = F.col(header), F.when(F.col(header), section_name("text")), F.col(header) | F.col(body)
+    if regions:
+        inner = F.col("region_start") & (F.row_number().over(Window.partitionBy(*by).orderBy(order)) > 1) & ~F.col(header)
+        rows = rows.withColumn("_boundary", inner)
+        starts, name, kept = starts | F.col("_boundary"), F.coalesce(name, F.when(F.col("_boundary"), F.col("region_header"))), kept | F.col("_boundary")
+    rows = rows.withColumn("section_no", F.sum(starts.cast("int")).over(w))
+    rows = rows.withColumn("header", F.coalesce(F.last(name, ignorenulls=True).over(w), F.lit("before"))).where(kept)
+    return rows.drop("_boundary")
+
+
+def _is_body(rows: DataFrame) -> Column:
+    """A boundary row is kept for its section's name; its text counts only if it is body text."""
+    return F.col("is_body") if "is_body" in rows.columns else F.lit(True)
 
 
 def section_lines(rows: DataFrame, by: Sequence[str], order: str = "ord", header: str = "is_header") -> DataFrame:
     """One row for each section with its lines in order; an empty 'before' has none and does not appear."""
-    lines = F.array_sort(F.collect_list(F.when(~F.col(header), F.struct(F.col(order).alias("o"), F.col("text").alias("t")))))
+    lines = F.array_sort(F.collect_list(F.when(~F.col(header) & _is_body(rows), F.struct(F.col(order).alias("o"), F.col("text").alias("t")))))
     return rows.groupBy(*by, "section_no", "header").agg(F.transform(lines, lambda x: x["t"]).alias("lines"))
 
 

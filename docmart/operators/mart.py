@@ -6,9 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.text import normalize_alphanumeric
+from ..sources.documents import cut
 
 
 def pivot_last(rows: DataFrame, by: Sequence[str], name: str, value: str, order: str, names: Sequence[str], default: str | None = "") -> DataFrame:
@@ -55,9 +57,31 @@ def funds_table(records: DataFrame, amc_id: Column, entered: Column, month: Colu
     return out.withColumns(numbers | {"launch_date": F.try_to_timestamp("scheme_launch_date", F.lit("yyyyMMdd")).cast("date")})
 
 
-def managers_table(records: DataFrame, people: str = "fund_manager") -> DataFrame:
-    """One row for each manager."""
-    return records.select("doc_id", "fund", F.posexplode(people).alias("manager_no", "m")).select("doc_id", "fund", "manager_no", "m.*")
+def _facts(records: DataFrame, amc_id: Column, entered: Column, month: Column, data_from: str) -> list[Column]:
+    """The key columns of a fact row: house, document, scheme, time, month and source."""
+    return [amc_id.alias("amc_id"), F.col("doc_id"), F.col("fund").alias("main_scheme_name"), entered.alias("entered_time"), month.alias("amc_for_month"), F.lit(data_from).alias("data_from")]
+
+
+def managers_table(records: DataFrame, amc_id: Column, entered: Column, month: Column, data_from: str, people: str = "fund_manager") -> DataFrame:
+    """One row for each manager: the key columns and name, since, qualification and experience ('' where absent)."""
+    rows = records.select(*_facts(records, amc_id, entered, month, data_from), F.explode(people).alias("m"))
+    texts = [F.coalesce(F.col("m")[c], F.lit("")).alias(c) for c in ("name", "managing_fund_since", "qualification", "total_exp")]
+    return rows.select("amc_id", "doc_id", "main_scheme_name", "entered_time", "amc_for_month", "data_from", *texts)
+
+
+def loads_table(records: DataFrame, amc_id: Column, entered: Column, month: Column, data_from: str) -> DataFrame:
+    """One row for each record: the key columns, entry and exit load, both spellings of the type."""
+    return records.select(*_facts(records, amc_id, entered, month, data_from), *load_columns(F.col("load")))
+
+
+#: The normalised tables and the columns that make their rows unique, besides document and scheme.
+NORMALISED = {
+    "asset_allocation": ("instrument_type", "risk_level"),
+    "benchmarks": ("benchmark_index",),
+    "field_locations": ("field_name", "page_no"),
+    "managers": ("name", "since", "qualification", "experience"),
+    "loads": ("type", "value"),
+}
 
 
 def normalised(records: DataFrame, child: str, key: Sequence[str]) -> DataFrame:
@@ -66,24 +90,71 @@ def normalised(records: DataFrame, child: str, key: Sequence[str]) -> DataFrame:
     return rows.dropDuplicates(["doc_id", "fund", *key]).withColumn("is_migrated", F.lit(False))
 
 
-def distinct_keys(rows: DataFrame, maps: Sequence[str]) -> DataFrame:
-    """All keys in the map columns, lower snake, with the column they are in."""
+def normalised_tables(records: DataFrame, locations: DataFrame, common: Sequence[str], assets: str | None = None) -> dict[str, DataFrame]:
+    """All normalised tables of assembled records: common texts, allocations, benchmarks, locations, managers and loads."""
+    def texts(x: Column, names: dict[str, str]) -> Column:
+        return F.struct(*[x[old].alias(new) for new, old in names.items()])
+
+    people = {"name": "name", "since": "managing_fund_since", "qualification": "qualification", "experience": "total_exp"}
+    shaped = records.withColumns({
+        "_managers": F.transform("fund_manager", lambda x: texts(x, people)),
+        "_loads": F.transform("load", lambda x: texts(x, {"type": "type", "value": "comment"})),
+        "_benchmarks": F.when(F.coalesce("benchmark_index", F.lit("")) != "", F.array(F.struct("benchmark_index"))),
+    })
+    out = {"common": records.select("doc_id", "fund", *[F.coalesce(c, F.lit("")).alias(c) for c in common]).dropDuplicates(["doc_id", "fund"]).withColumn("is_migrated", F.lit(False))}
+    for name in ("managers", "loads", "benchmarks"):
+        out[name] = normalised(shaped, f"_{name}", NORMALISED[name])
+    place = locations.select("doc_id", "fund", F.col("field").alias("field_name"), F.col("page").alias("page_no"))
+    out["field_locations"] = place.dropDuplicates(["doc_id", "fund", *NORMALISED["field_locations"]]).withColumn("is_migrated", F.lit(False))
+    if assets:
+        shaped = records.withColumn("_assets", F.transform(assets, lambda x: F.struct(x["instrument_type"].alias("instrument_type"), x["risk_profile"].alias("risk_level"), x["allocation"].alias("allocation"))))
+        out["asset_allocation"] = normalised(shaped, "_assets", NORMALISED["asset_allocation"])
+    return out
+
+
+def distinct_keys(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """All keys at every depth of the given columns, lower snake, with the column they are in and their depth (1 at the top).
+
+    Depth ends where the declared type does: maps give their keys, structs their fields, and lists are looked into.
+    """
     from ..functions.text import normalize_key
 
-    parts = [rows.select(F.lit(m).alias("level"), F.explode(F.map_keys(m)).alias("key")) for m in maps]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("level", normalize_key("key").alias("key")).distinct()
+    def inside(value: Column, kind: T.DataType, depth: int) -> list[Column]:
+        """Arrays of (depth, key) of a value."""
+        item = lambda k: F.struct(F.lit(depth).alias("depth"), k.alias("key"))
+        if isinstance(kind, T.MapType):
+            below = inside_each(F.map_values(value), kind.valueType, depth + 1)
+            return [F.transform(F.map_keys(value), item), *below]
+        if isinstance(kind, T.StructType):
+            own = F.when(value.isNotNull(), F.array(*[item(F.lit(f.name)) for f in kind.fields]))
+            return [own, *[x for f in kind.fields for x in inside(value[f.name], f.dataType, depth + 1)]]
+        if isinstance(kind, T.ArrayType):
+            return inside_each(value, kind.elementType, depth)
+        return []
 
+    def inside_each(values: Column, kind: T.DataType, depth: int) -> list[Column]:
+        empty = F.array().cast("array<struct<depth:int,key:string>>")
+        if not inside(F.lit(None), kind, depth):
+            return []
+        return [F.flatten(F.transform(values, lambda x: F.concat(*[F.coalesce(p, empty) for p in inside(x, kind, depth)])))]
 
-def page_report(hits: DataFrame, titles: DataFrame, page: Sequence[str] = ("doc_id", "page"), width: int = 5) -> DataFrame:
-    """Page, title, hit count and the hits spread over ``idx_1`` … ``idx_width``."""
-    return titles.join(hits, list(page), "left").select(*page, "title", F.coalesce("n_hits", F.lit(0)).alias("n_hits"), *[F.get("hits", F.lit(i)).alias(f"idx_{i + 1}") for i in range(width)])
+    empty = F.array().cast("array<struct<depth:int,key:string>>")
 
+    def at(level: str, part: Column) -> Column:
+        return F.transform(F.coalesce(part, empty), lambda x: F.struct(F.lit(level).alias("level"), x["depth"].alias("depth"), x["key"].alias("key")))
 
-def run_summary(ledger: DataFrame, by: Sequence[str] = ("run", "status"), name: str = "file_name") -> DataFrame:
-    return ledger.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(name)).alias("files"))
+    found = [at(c, part) for c in columns for part in inside(F.col(c), rows.schema[c].dataType, 1)]
+    return rows.select(F.explode(F.concat(*found)).alias("x")).select("x.level", "x.depth", normalize_key(F.col("x.key")).alias("key")).distinct()
+
+
+def page_report(hits: DataFrame, titles: DataFrame, terms: Sequence[str], page: Sequence[str] = ("doc_id", "page")) -> DataFrame:
+    """Page, title, hit count and the hits spread over ``idx_1`` … as many as there are terms, so that no hit is left out."""
+    return titles.join(hits, list(page), "left").select(*page, "title", F.coalesce("n_hits", F.lit(0)).alias("n_hits"), *[F.get("hits", F.lit(i)).alias(f"idx_{i + 1}") for i in range(len(terms))])
+
+
+def run_summary(ledger: DataFrame, by: Sequence[str] = ("run", "status")) -> DataFrame:
+    """Documents by run and status; the files themselves are the ledger's rows."""
+    return ledger.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
 
 
 def scheme_ids(names: DataFrame, name: str, schemes: Sequence[tuple[int, str]]) -> DataFrame:
@@ -114,12 +185,15 @@ def read_mart(funds: DataFrame, loads: DataFrame, metrics: DataFrame, key: Seque
 
 
 def union_sources(sources: dict[str, DataFrame], name: str) -> DataFrame:
-    """Rows of several sources with a ``source`` tag; the tag and the name come first, missing columns are null."""
-    parts = [df.withColumn("source", F.lit(tag)) for tag, df in sources.items()]
+    """Rows of several sources with a ``source`` tag; the tag and the name come first, missing columns are null.
+
+    A source without the name column has nothing to compare and is skipped, as are rows without a name.
+    """
+    parts = [df.withColumn("source", F.lit(tag)) for tag, df in sources.items() if name in df.columns]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
-    return out.select("source", name, *[c for c in out.columns if c not in ("source", name)])
+    return out.where(F.col(name).isNotNull()).select("source", name, *[c for c in out.columns if c not in ("source", name)])
 
 
 def diff_sources(a: DataFrame, b: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
@@ -138,11 +212,17 @@ def dimension_keys(names: DataFrame, known: DataFrame, name: str, key: str) -> D
 
 
 def dense_dimension_keys(names: DataFrame, known: DataFrame, name: str, key: str) -> DataFrame:
-    """New names get the next numbers in order of the name; numbered by range, so no single task orders them all."""
-    fresh = names.select(name).distinct().join(known.select(name), name, "left_anti").withColumn("_b", F.substring(name, 1, 1))
-    sizes = fresh.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    offset = F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    sizes = sizes.withColumn("_off", offset)
+    """New names get the next numbers in order of the name.
+
+    Names are dealt by ranges; each range counts its own, and the counts of the ranges, one row each, give its
+    first number. Rows of a range are numbered within it, so no task orders them all.
+    """
+    fresh = names.where(F.col(name).isNotNull()).select(name).distinct().join(known.select(name), name, "left_anti")
+    ranges = fresh.repartitionByRange(name).withColumn("_part", F.spark_partition_id())
+    ranges = cut(ranges)  # the ranges must not change between counting and numbering
+    sizes = ranges.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min(name).alias("_from"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     top = known.agg(F.coalesce(F.max(key), F.lit(0)).alias("_top"))
-    numbered = fresh.join(sizes, "_b").withColumn("_rn", F.row_number().over(Window.partitionBy("_b").orderBy(name))).crossJoin(F.broadcast(top))  # one row
-    return known.select(name, key).unionByName(numbered.select(name, (F.col("_top") + F.col("_off") + F.col("_rn")).cast(known.schema[key].dataType).alias(key)))
+    offsets = sizes.withColumn("_off", before).crossJoin(F.broadcast(top)).select("_part", (F.col("_off") + F.col("_top")).alias("_off"))  # one row a range; top is one row
+    numbered = ranges.join(offsets, "_part").withColumn("_rn", F.row_number().over(Window.partitionBy("_part").orderBy(name)))
+    return known.select(name, key).unionByName(numbered.select(name, (F.col("_off") + F.col("_rn")).cast(known.schema[key].dataType).alias(key)))

@@ -70,26 +70,40 @@ def drop_stop_words(spans: DataFrame, words: DataFrame) -> DataFrame:
     return spans.join(words.select(F.lower("word").alias("_word")).distinct(), F.lower("text") == F.col("_word"), "left_anti")
 
 
-def select_keys(fields: DataFrame, patterns: Sequence[str]) -> DataFrame:
-    """Fields whose key matches a pattern at its start, case aside."""
-    return fields.where(starts_with_any("key", patterns))
+def matches(condition: Column) -> Column:
+    """A condition that is unknown, as for a house without rules, does not hold."""
+    return F.coalesce(condition, F.lit(False))
 
 
-def delete_keys(fields: DataFrame, patterns: Sequence[str]) -> DataFrame:
-    return fields.where(~contains_any("key", patterns))
+def _where(fields: DataFrame, patterns, test, keep: bool) -> DataFrame:
+    from .rules import by_house
 
+    hit = matches(by_house(patterns, lambda p: test("key", p)))
+    return fields.where(hit if keep else ~hit)
 
-def drop_keys(fields: DataFrame, patterns: Sequence[str]) -> DataFrame:
-    return fields.where(~contains_any("key", patterns, ignore_case=False))
 
+def select_keys(fields: DataFrame, patterns) -> DataFrame:
+    """Fields whose key matches a pattern at its start, case aside. Patterns are a list, here and below, or lists by house."""
+    return _where(fields, patterns, starts_with_any, True)
 
-def keep_keys(fields: DataFrame, patterns: Sequence[str]) -> DataFrame:
-    return fields.where(contains_any("key", patterns, ignore_case=False))
+
+def delete_keys(fields: DataFrame, patterns) -> DataFrame:
+    return _where(fields, patterns, contains_any, False)
+
+
+def drop_keys(fields: DataFrame, patterns) -> DataFrame:
+    return _where(fields, patterns, lambda c, p: contains_any(c, p, ignore_case=False), False)
+
+
+def keep_keys(fields: DataFrame, patterns) -> DataFrame:
+    return _where(fields, patterns, lambda c, p: contains_any(c, p, ignore_case=False), True)
 
 
 def drop_keys_at_any_level(fields: DataFrame, patterns: Sequence[str]) -> DataFrame:
-    """Without fields that have a matching name anywhere on their dotted path."""
-    return fields.where(~F.exists(F.split("key", r"\."), lambda p: p.rlike(any_of(patterns))))
+    """Without fields that have a matching name anywhere on their dotted path, and without matching names inside dictionaries."""
+    gone = any_of(patterns)
+    rows = fields.where(~F.exists(F.split("key", r"\."), lambda p: p.rlike(gone)))
+    return rows.withColumn("kv", F.filter("kv", lambda x: ~F.exists(F.split(x["k"], r"\."), lambda p: p.rlike(gone))))
 
 
 def drop_empty(fields: DataFrame) -> DataFrame:

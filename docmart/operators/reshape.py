@@ -10,8 +10,8 @@ from pyspark.sql.window import Window
 
 from ..functions import text as T
 from ..functions.extract import KV, kv_get, last_wins
-from .predicates import contains_any
-from .rules import each, emit, last_per_key, row, same_row
+from .predicates import contains_any, matches
+from .rules import by_house, each, emit, in_steps, last_per_key, owner, row, same_row
 
 _FUND = ("doc_id", "fund")
 
@@ -22,25 +22,29 @@ def normalize_keys(fields: DataFrame) -> DataFrame:
     return fields.withColumn("key", T.normalize_key("key")).withColumn("kv", inner)
 
 
-def clone_keys(fields: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFrame:
-    """For each (new key, pattern): the first key that matches at its start is copied, replacing a field of the new name."""
+def clone_keys(fields: DataFrame, rules) -> DataFrame:
+    """For each (new key, pattern): the first key that matches at its start is copied, replacing a field of the new name.
+
+    Here and below rules are a list, or lists by house (:class:`~docmart.operators.rules.Houses`) that take effect on their house's funds.
+    """
     out = fields
-    for no, (new, pattern) in enumerate(rules):
-        hit = F.col("key").rlike(f"^(?:{pattern})")
+    for no, step in enumerate(in_steps(rules)):
+        hit = matches(by_house(step, lambda r: F.col("key").rlike(f"^(?:{r[1]})")))
         first = F.min(F.when(hit, F.col("ord"))).over(Window.partitionBy(*_FUND))
-        rows = out.withColumn("_first", hit & (F.col("ord") == first))
-        copy = row(F.col("ord") + 100_000_000 * (no + 1), new, F.col("kind"), F.col("s"), F.col("arr"), F.col("kv"))
+        rows = out.withColumn("_first", matches(hit & (F.col("ord") == first)))
+        copy = row(F.col("ord") + 100_000_000 * (no + 1), by_house(step, lambda r: F.lit(r[0])), F.col("kind"), F.col("s"), F.col("arr"), F.col("kv"))
         out = last_per_key(emit(rows, same_row(), F.when(F.col("_first"), copy)))
     return out
 
 
-def _into_one(fields: DataFrame, hit: Column, new: str, order: Column, lists_only: bool) -> DataFrame:
+def _into_one(fields: DataFrame, hit: Column, new: Column, order: Column, lists_only: bool) -> DataFrame:
     """The fields that are hit as one field ``new``; others stay, but for one of that name."""
+    own = owner(fields)
     group = F.when(hit, F.lit("")).otherwise(F.concat_ws("\x00", F.lit("-"), "key", "ord"))
     alone = lambda v: F.array(F.struct(F.col("key").alias("k"), v.alias("v")))
     kv = F.when(F.col("kind") == "d", F.col("kv")).when(F.col("kind") == "a", alone(F.array_join("arr", " "))).otherwise(alone(F.col("s")))
     item = F.struct(order.alias("o"), kv.alias("kv"), F.coalesce("arr", F.array("s")).alias("arr"))
-    got = fields.groupBy(*_FUND, group.alias("_group")).agg(
+    got = fields.groupBy(*own, group.alias("_group")).agg(
         F.min("ord").alias("ord"), F.min("key").alias("key"), F.min("kind").alias("kind"), F.max("s").alias("s"), F.every(F.col("kind") == "a").alias("_lists"), F.array_sort(F.collect_list(item)).alias("_all")
     )
     arr, pairs = F.flatten(F.transform("_all", lambda x: x["arr"])), F.flatten(F.transform("_all", lambda x: x["kv"]))
@@ -48,17 +52,17 @@ def _into_one(fields: DataFrame, hit: Column, new: str, order: Column, lists_onl
     as_list = F.lit(lists_only) | F.col("_lists")
     kind = F.when(merged, F.when(as_list, "a").otherwise("d")).otherwise(F.col("kind"))
     out = got.select(
-        *_FUND, "ord", F.when(merged, F.lit(new)).otherwise(F.col("key")).alias("key"), kind.alias("kind"), F.when(~merged, F.col("s")).alias("s"),
-        F.when(F.when(merged, as_list).otherwise(F.col("kind") == "a"), arr).alias("arr"),
+        *own, "ord", F.when(merged, new).otherwise(F.col("key")).alias("key"), kind.alias("kind"), F.when(~merged, F.col("s")).alias("s"),
+        F.when(F.when(merged, as_list).otherwise(F.col("kind").isin("a", "m")), arr).alias("arr"),
         F.when(merged & ~as_list, last_wins(pairs)).when(~merged & (F.col("kind") == "d"), pairs).cast(KV).alias("kv"), merged.alias("_merged"),
     )
     stored = F.col("_merged") & ((F.coalesce(F.size("arr"), F.lit(0)) > 0) | (F.coalesce(F.size("kv"), F.lit(0)) > 0))
     replaced = F.max(stored).over(Window.partitionBy(*_FUND))
     out = out.withColumn("_stored", stored).withColumn("_replaced", replaced)
-    return out.where(F.col("_stored") | (~F.col("_merged") & ~(F.col("_replaced") & (F.col("key") == new)))).select("doc_id", "fund", "ord", "key", "kind", "s", "arr", "kv")
+    return out.where(F.col("_stored") | (~F.col("_merged") & ~(F.col("_replaced") & F.coalesce(F.col("key") == new, F.lit(False))))).select(*own, "ord", "key", "kind", "s", "arr", "kv")
 
 
-def merge_keys(fields: DataFrame, rules: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:
+def merge_keys(fields: DataFrame, rules) -> DataFrame:
     """For each (new key, patterns): matching fields become one.
 
     Lists are joined; dictionaries are united, later keys win; with other kinds among
@@ -66,33 +70,36 @@ def merge_keys(fields: DataFrame, rules: Sequence[tuple[str, Sequence[str]]]) ->
     An empty result is not stored.  Rules run in order on what the one before left.
     """
     out = fields
-    for new, patterns in rules:
-        out = _into_one(out, contains_any("key", patterns), new, F.col("ord"), lists_only=False)
+    for step in in_steps(rules):
+        hit = matches(by_house(step, lambda r: contains_any("key", r[1])))
+        out = _into_one(out, hit, by_house(step, lambda r: F.lit(r[0])), F.col("ord"), lists_only=False)
     return out
 
 
-def combine_keys(fields: DataFrame, rules: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:
+def combine_keys(fields: DataFrame, rules) -> DataFrame:
     """For each (new key, keys): lists are joined and texts appended, in the order of the keys."""
     out = fields
-    for new, keys in rules:
-        place = F.array_position(F.array(*[F.lit(k) for k in keys]), F.col("key")).cast("int")
-        out = _into_one(out, F.col("key").isin(*keys), new, place, lists_only=True)
+    for step in in_steps(rules):
+        place = by_house(step, lambda r: F.array_position(F.array(*[F.lit(k) for k in r[1]]), F.col("key")).cast("long"))
+        out = _into_one(out, matches(place > 0), by_house(step, lambda r: F.lit(r[0])), place, lists_only=True)
     return out
 
 
-def promote_keys(fields: DataFrame, rules: Sequence[tuple[str, str, str]], search: bool = False) -> DataFrame:
+def promote_keys(fields: DataFrame, rules, search: bool = False) -> DataFrame:
     """For each (section, new key, pattern): the first sub-key of the section that matches moves to the top level.
 
     The section is named exactly and the pattern stands at the start or, with ``search``, both are searched for.
     """
-    out = fields
-    for no, (section, new, pattern) in enumerate(rules):
-        start = "" if search else "^"
-        is_section = (F.col("key").rlike(f"(?i){section}") if search else F.col("key") == section) & (F.col("kind") == "d")
-        fits = F.transform("kv", lambda x: x["k"].rlike(f"(?i){start}(?:{pattern})"))  # noqa: B023
-        rows = out.withColumn("_at", F.when(is_section, F.array_position(fits, F.lit(True)).cast("int")).otherwise(F.lit(0)))
+    out, start = fields, "" if search else "^"
+
+    def place(r) -> Column:
+        is_section = (F.col("key").rlike(f"(?i){r[0]}") if search else F.col("key") == r[0]) & (F.col("kind") == "d")
+        return F.when(is_section, F.array_position(F.transform("kv", lambda x: x["k"].rlike(f"(?i){start}(?:{r[2]})")), F.lit(True)).cast("int"))
+
+    for no, step in enumerate(in_steps(rules)):
+        rows = out.withColumn("_at", F.coalesce(by_house(step, place), F.lit(0)))
         left = F.when(F.col("_at") > 0, F.filter("kv", lambda x, i: i != F.col("_at") - 1)).otherwise(F.col("kv"))
-        moved = row(F.col("ord") + 200_000_000 + no, new, "s", F.element_at("kv", F.col("_at"))["v"])
+        moved = row(F.col("ord") + 200_000_000 + no, by_house(step, lambda r: F.lit(r[1])), "s", F.element_at("kv", F.col("_at"))["v"])
         out = last_per_key(emit(rows, same_row(kv=left), F.when(F.col("_at") > 0, moved)))
     return out
 
@@ -107,24 +114,25 @@ def merge_two(a: Column, b: Column, kind: str) -> Column:
 
 
 def merge_named(fields: DataFrame, key: str, other: str) -> DataFrame:
-    """Fields ``…key`` and ``…other`` under the same path as one; unlike kinds become a list of both texts."""
+    """Fields ``…key`` and ``…other`` under the same path as one; unlike kinds become a list of both texts. One pass over the fund's fields by path."""
     path = F.regexp_extract("key", r"^(.*\.)?[^.]+$", 1)
     name = F.regexp_extract("key", r"([^.]+)$", 1)
-    rows = fields.withColumn("_path", path).withColumn("_name", name)
-    a = rows.where(F.col("_name") == key).select(*_FUND, "_path", *[F.col(c).alias(f"a_{c}") for c in ("ord", "key", "kind", "s", "arr", "kv")])
-    b = rows.where(F.col("_name") == other).select(*_FUND, "_path", *[F.col(c).alias(f"b_{c}") for c in ("kind", "s", "arr", "kv")])
-    both = a.join(b, [*_FUND, "_path"])
-    same = F.col("a_kind") == F.col("b_kind")
-    text = lambda p: F.when(F.col(f"{p}_kind") == "s", F.col(f"{p}_s")).when(F.col(f"{p}_kind") == "a", F.array_join(f"{p}_arr", " ")).otherwise(F.array_join(F.transform(f"{p}_kv", lambda x: x["v"]), " "))
-    made = both.select(
-        *_FUND, F.col("a_ord").alias("ord"), F.col("a_key").alias("key"), F.when(same, F.col("a_kind")).otherwise("a").alias("kind"),
-        F.when(same & (F.col("a_kind") == "s"), merge_two(F.col("a_s"), F.col("b_s"), "s")).alias("s"),
-        F.when(same & (F.col("a_kind") == "a"), merge_two(F.col("a_arr"), F.col("b_arr"), "a")).when(~same, F.array(text("a"), text("b"))).alias("arr"),
-        F.when(same & (F.col("a_kind") == "d"), merge_two(F.col("a_kv"), F.col("b_kv"), "d")).alias("kv"),
-    )
-    pair = F.col("_name").isin(key, other)
-    lone = rows.where(pair).join(both.select(*_FUND, "_path").distinct(), [*_FUND, "_path"], "left_anti")
-    return rows.where(~pair).select(*fields.columns).unionByName(lone.select(*fields.columns)).unionByName(made.select(*fields.columns))
+    own = owner(fields)
+    # fields of other names are groups of their own
+    group = F.when(name.isin(key, other), path).otherwise(F.concat_ws("\x00", F.lit("-"), "key", "ord"))
+    item = F.struct("ord", "key", "kind", "s", "arr", "kv")
+    side = lambda cond: F.array_compact(F.collect_list(F.when(cond, item)))
+    rows = fields.groupBy(*own, group.alias("_group")).agg(side(name == key).alias("a"), side(name == other).alias("b"), side(~name.isin(key, other)).alias("c"))
+    text = lambda x: F.when(x["kind"] == "s", x["s"]).when(x["kind"] == "d", F.array_join(F.transform(x["kv"], lambda y: y["v"]), " ")).otherwise(F.array_join(x["arr"], " "))
+    a, b = F.get("a", F.lit(0)), F.get("b", F.lit(0))
+    same = a["kind"] == b["kind"]
+    made = row(
+        a["ord"], a["key"], F.when(same, a["kind"]).otherwise("a"), F.when(same & (a["kind"] == "s"), merge_two(a["s"], b["s"], "s")),
+        F.when(same & (a["kind"] == "a"), merge_two(a["arr"], b["arr"], "a")).when(~same, F.array(text(a), text(b))), F.when(same & (a["kind"] == "d"), merge_two(a["kv"], b["kv"], "d")),
+    )
+    both = (F.size("a") > 0) & (F.size("b") > 0)
+    out = F.when(both, F.array(made)).otherwise(F.concat("a", "b", "c"))
+    return rows.select(*own, F.explode(out).alias("x")).select(*own, "x.*")
 
 
 def fan_out(funds: DataFrame, rules: Sequence[tuple[str, Sequence[str]]], fund: str = "fund") -> DataFrame:
@@ -141,19 +149,24 @@ def _with_extra(fields: DataFrame, extra: Column) -> DataFrame:
     return each(rows, both)
 
 
-def add_constants(fields: DataFrame, constants: dict[str, Column]) -> DataFrame:
-    """Constant text fields for every fund, after its other fields."""
+def add_constants(fields: DataFrame, constants) -> DataFrame:
+    """Constant text fields for every fund, after its other fields; ``{key: value}``, or that by house."""
     if not constants:
         return fields
-    return last_per_key(_with_extra(fields, F.array(*[row(F.lit(900_000_000 + i), k, "s", v) for i, (k, v) in enumerate(constants.items())])))
+    want = by_house(constants, lambda c: F.array(*[row(F.lit(900_000_000 + i), k, "s", v) for i, (k, v) in enumerate(c.items())]))
+    return last_per_key(_with_extra(fields, F.coalesce(want, _no_rows())))
 
 
-def fill_defaults(fields: DataFrame, defaults: dict[str, str | None]) -> DataFrame:
-    """Every expected key that a fund lacks, with its default."""
+def fill_defaults(fields: DataFrame, defaults) -> DataFrame:
+    """Every expected key that a fund lacks, with its default; ``{key: default}``, or that by house."""
     if not defaults:
         return fields
-    want = F.array(*[row(F.lit(950_000_000), k, "s", F.lit(v)) for k, v in sorted(defaults.items())])
-    return _with_extra(fields, F.filter(want, lambda x: ~F.array_contains("have", x["key"])))
+    want = by_house(defaults, lambda d: F.array(*[row(F.lit(950_000_000), k, "s", F.lit(v)) for k, v in sorted(d.items())]))
+    return _with_extra(fields, F.filter(F.coalesce(want, _no_rows()), lambda x: ~F.array_contains("have", x["key"])))
+
+
+def _no_rows() -> Column:
+    return F.array().cast(f"array<struct<ord:bigint,key:string,kind:string,s:string,arr:array<string>,kv:{KV}>>")
 
 
 def split_amounts(fields: DataFrame, keys: Sequence[str] = ("min_amt", "min_addl_amt")) -> DataFrame:
@@ -164,35 +177,73 @@ def split_amounts(fields: DataFrame, keys: Sequence[str] = ("min_amt", "min_addl
     return emit(fields, F.when(hit, one).otherwise(same_row()), F.when(hit, two))
 
 
-def load_list(kv: Column) -> Column:
-    """Sub-keys that name an entry or exit load, with a text, as (type, comment); both may hold for one."""
+def load_list(kv: Column, item: str = "comment") -> Column:
+    """Sub-keys that name an entry or exit load, with a text, as (type, comment); both may hold for one. Scheme documents name the text ``value``."""
     def one(kind: str, pattern: str) -> Column:
-        return F.transform(F.filter(kv, lambda x: x["k"].rlike(f"(?i){pattern}") & (x["v"] != "")), lambda x: F.struct(F.lit(kind).alias("type"), x["v"].alias("comment")))
+        return F.transform(F.filter(kv, lambda x: x["k"].rlike(f"(?i){pattern}") & (x["v"] != "")), lambda x: F.struct(F.lit(kind).alias("type"), x["v"].alias(item)))
 
     return F.concat(one("entry_load", "entry"), one("exit_load", "exit"))
 
 
-def field_locations(records: DataFrame, pages: DataFrame) -> DataFrame:
-    """(doc, fund, field, page, scheme_count): the first page of a fund, counted from 1, for every emitted field."""
-    first = pages.select(*_FUND, (F.array_min("pages") + 1).cast("string").alias("page"))
+def scheme_loads(fields: DataFrame, key: str = "load") -> DataFrame:
+    """Load dictionaries of scheme documents as lists of JSON texts {type, value}; loads of another kind stay untouched."""
+    hit = (F.col("key") == key) & (F.col("kind") == "d")
+    rows = F.transform(load_list(F.col("kv"), "value"), lambda x: F.to_json(x))
+    return fields.withColumns({"kind": F.when(hit, F.lit("m")).otherwise(F.col("kind")), "arr": F.when(hit, rows).otherwise(F.col("arr")), "kv": F.when(~hit, F.col("kv"))})
+
+
+PEOPLE = "array<struct<managing_fund_since:string,name:string,qualification:string,total_exp:string>>"
+
+
+def field_names(keys: Sequence[str]) -> Column:
+    """The names of all fields that a record emits: its texts, ``metrics_<name>``, ``load_<type>`` and ``fund_manager_<attribute>``."""
+    texts = F.array_compact(F.array(*[F.when(F.col(k).isNotNull(), F.lit(k)) for k in keys]))
+    metrics = F.transform("metrics", lambda x: F.concat(F.lit("metrics_"), x["name"]))
+    loads = F.transform("load", lambda x: F.concat(F.lit("load_"), x["type"]))
+    people = F.when(F.size("fund_manager") > 0, F.array(*[F.lit(f"fund_manager_{a}") for a in ("managing_fund_since", "name", "qualification", "total_exp")]))
+    return F.array_distinct(F.concat(texts, metrics, loads, F.coalesce(people, F.array().cast("array<string>"))))
+
+
+def field_locations(records: DataFrame, pages: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(doc_id, fund, field, page, scheme_count): every emitted field of a record with its first page, counted from 1, and the document's number of funds.
+
+    ``pages(doc_id, fund, pages)`` are places from 0. The funds of a document are few, so they are numbered in one window.
+    """
+    numbered = records.join(pages.select(*_FUND, (F.array_min("pages") + 1).cast("string").alias("page")), list(_FUND))
     fund_no = F.dense_rank().over(Window.partitionBy("doc_id").orderBy("fund"))
-    numbered = records.join(first, list(_FUND)).withColumn("_n", fund_no)
-    return numbered.withColumn("scheme_count", F.max("_n").over(Window.partitionBy("doc_id"))).drop("_n")
+    counted = numbered.withColumn("_n", fund_no).withColumn("scheme_count", F.max("_n").over(Window.partitionBy("doc_id")))
+    return counted.select(*_FUND, F.explode(field_names(keys)).alias("field"), "page", "scheme_count")
+
+
+def with_locations(records: DataFrame, locations: DataFrame) -> DataFrame:
+    """Records with ``field_location``, the list of (field, page) of their fields; a record has some dozens."""
+    places = locations.groupBy(*_FUND).agg(F.array_sort(F.collect_list(F.struct("field", "page"))).alias("field_location"))
+    return records.join(places, list(_FUND), "left")
+
+
+def group_locations(records: DataFrame, pages: DataFrame, groups: dict[str, Sequence[str]]) -> DataFrame:
+    """Locations in scheme documents: (doc_id, fund, field, page), every present field of a group with that group's page, from ``pages(doc_id, group, page)``."""
+    named = F.filter(F.array(*[F.when(F.col(k).isNotNull(), F.struct(F.lit(g).alias("group"), F.lit(k).alias("field"))) for g, ks in groups.items() for k in ks]), lambda x: x.isNotNull())
+    fields = records.select(*_FUND, F.explode(named).alias("x")).select(*_FUND, "x.*")
+    return fields.join(pages, ["doc_id", "group"]).select(*_FUND, "field", F.col("page").cast("string").alias("page"))
 
 
 def assemble_records(fields: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row for each fund with the chosen text keys, whitespace-normalised, and its loads and metrics.
+    """One row for each fund with the chosen text keys, whitespace-normalised, its loads, metrics and managers.
 
-    Null or empty metrics go, benchmark noise and load comments are cleaned.
+    Null or empty metrics go, benchmark noise and load comments are cleaned, managers stay if there are any. A chosen key of
+    another kind than text is left out, as are unknown kinds.
     """
     text = T.normalize_whitespace(F.col("s"))
-    columns = [F.max(F.when((F.col("key") == k) & (F.col("kind") == "s"), T.clean_leading_noise(text) if "benchmark" in k else text)).alias(k) for k in keys]
+    columns = [F.max(F.when((F.col("key") == k) & (F.col("kind") == "s"), T.clean_leading_noise(text) if "benchmark" in k else text)).alias(k) for k in sorted(keys)]
     loads = F.max(F.when((F.col("key") == "load") & (F.col("kind") == "d"), F.col("kv"))).alias("_load")
     metrics = F.max(F.when((F.col("key") == "metrics") & (F.col("kind") == "d"), F.col("kv"))).alias("_metrics")
-    got = fields.groupBy(*_FUND).agg(*columns, loads, metrics)
+    people = F.max(F.when((F.col("key") == "fund_manager") & (F.col("kind") == "m"), F.col("arr"))).alias("_people")
+    got = fields.groupBy(*owner(fields)).agg(*columns, loads, metrics, people)
     cleaned = F.transform(load_list(F.coalesce("_load", F.array().cast(KV))), lambda x: F.struct(T.clean_leading_noise(x["comment"]).alias("comment"), x["type"].alias("type")))
     named = F.transform(F.filter(F.coalesce("_metrics", F.array().cast(KV)), lambda x: F.coalesce(x["v"], F.lit("")) != ""), lambda x: F.struct(x["k"].alias("name"), x["v"].alias("value")))
-    return got.select(*_FUND, *keys, cleaned.alias("load"), named.alias("metrics"))
+    persons = F.from_json(F.concat(F.lit("["), F.array_join(F.coalesce("_people", F.array().cast("array<string>")), ","), F.lit("]")), PEOPLE)
+    return got.select(*owner(fields), *sorted(keys), persons.alias("fund_manager"), cleaned.alias("load"), named.alias("metrics"))
 
 
 def documents_of(records: DataFrame, run_date: str, file_type: str = "FS") -> DataFrame:
@@ -204,7 +255,10 @@ def documents_of(records: DataFrame, run_date: str, file_type: str = "FS") -> Da
 
 
 def merge_and_select(fields: DataFrame, rules: dict) -> DataFrame:
-    """The full chain from refined fields to records, in this order: clone, merge, clone, select, map, split amounts, defaults, key names, promote, value clean-up, assembly."""
+    """The full chain from refined fields to records, in this order: clone, merge, clone, select, map, split amounts, defaults, key names, metric names, special rules, promote, value and manager clean-up, assembly.
+
+    Every part of ``rules`` may be by house; ``metrics`` maps metric names, ``stop_words`` is a pattern that goes from managers' names.
+    """
     from .predicates import select_keys
     from .rules import map_keys, special_pass
 
@@ -216,14 +270,38 @@ def merge_and_select(fields: DataFrame, rules: dict) -> DataFrame:
     out = split_amounts(out)
     out = fill_defaults(out, rules.get("defaults", {}))
     out = normalize_keys(out)
+    out = map_metrics(out, rules.get("metrics", ()))
     out = special_pass(out, rules["special"]) if rules.get("special") else out
     out = promote_keys(out, rules.get("promote", ()))
-    s = F.col("s")
+    return assemble_records(clean_values(out, rules.get("stop_words")), rules["record"])
+
+
+def map_metrics(fields: DataFrame, keys) -> DataFrame:
+    """The canonical names of the metrics in ``metrics``; ``[(name, pattern)]``, or that by house. A later metric of one name wins."""
+    from .rules import map_metric
+
+    if not keys:
+        return fields
+    hit = (F.col("key") == "metrics") & (F.col("kind") == "d")
+    named = F.transform("kv", lambda x: F.struct(F.coalesce(by_house(keys, lambda k: map_metric(x["k"], k)), x["k"]).alias("k"), x["v"].alias("v")))
+    return fields.withColumn("kv", F.when(hit, last_wins(named)).otherwise(F.col("kv")))
+
+
+def clean_values(fields: DataFrame, stop_words: str | None = None) -> DataFrame:
+    """Values by the kind of their key: currency, launch date, amounts, metrics and managers."""
+    s, key = F.col("s"), F.col("key")
     amounts = ["min_amt", "min_addl_amt", "min_amt_multiple", "min_addl_amt_multiple"]
-    s = F.when(F.col("key") == "monthly_aaum_value", T.clean_currency(s)).when(F.col("key") == "scheme_launch_date", T.date_to_yyyymmdd(s)).when(F.col("key").isin(*amounts), T.clean_amount("fund", s)).otherwise(s)
+    s = F.when(key == "monthly_aaum_value", T.clean_currency(s)).when(key == "scheme_launch_date", T.date_to_yyyymmdd(s)).when(key.isin(*amounts), T.clean_amount("fund", s)).otherwise(s)
     metric = F.filter(F.transform("kv", lambda x: F.struct(x["k"].alias("k"), T.clean_metric("fund", x["k"], x["v"]).alias("v"))), lambda x: x["v"].isNotNull())
-    out = out.withColumn("s", s).withColumn("kv", F.when(F.col("key") == "metrics", metric).otherwise(F.col("kv")))
-    return assemble_records(out, rules["record"])
+
+    def person(x: Column) -> Column:
+        m = F.from_json(x, "managing_fund_since string, name string, qualification string, total_exp string")
+        clean = lambda c: T.clean_manager_name(c, stop_words) if stop_words else T.clean_manager_name(c)
+        return F.to_json(F.struct(m["managing_fund_since"].alias("managing_fund_since"), clean(m["name"]).alias("name"), m["qualification"].alias("qualification"), m["total_exp"].alias("total_exp")))
+
+    people = F.filter(F.transform("arr", person), lambda x: F.get_json_object(x, "$.name") != "")
+    is_people = (key == "fund_manager") & (F.col("kind") == "m")
+    return fields.withColumns({"s": s, "kv": F.when(key == "metrics", metric).otherwise(F.col("kv")), "arr": F.when(is_people, people).otherwise(F.col("arr"))})
 
 
 def merge_and_select_scheme(fields: DataFrame, rules: dict) -> DataFrame:

@@ -6,7 +6,8 @@ literal conditions, each compiled once, of which the first that holds decides.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -16,8 +17,9 @@ from pyspark.sql.window import Window
 from ..functions.extract import EXTRACTORS, KV
 from ..functions.text import _c, key_to_alnum_underscore, normalize_key, strip
 
-#: A field row: text in ``s``, list in ``arr``, dictionary in ``kv``, as ``kind`` says (s, a, d).
-FIELDS = f"doc_id bigint, fund string, ord int, key string, kind string, s string, arr array<string>, kv {KV}"
+#: A field row: text in ``s``, list in ``arr``, dictionary in ``kv``, as ``kind`` says (s, a, d; m: a list of JSON texts in ``arr``).
+#: ``amc_key`` may stand beside doc_id and fund; with it, rules can differ by fund house.
+FIELDS = f"doc_id bigint, fund string, ord bigint, key string, kind string, s string, arr array<string>, kv {KV}"
 
 
 def first_rule(c: Column, rules: Sequence[tuple[str, str]], ignore_case: bool = True, at_start: bool = True) -> Column:
@@ -43,11 +45,35 @@ def map_metric(c, keys: Sequence[tuple[str, str]]) -> Column:
     return F.coalesce(first_rule(key, keys, ignore_case=False), key)
 
 
+def owner(fields: DataFrame) -> list[str]:
+    """The columns that say whose a field is: document and fund, and the fund house where the table has it."""
+    return [c for c in ("doc_id", "fund", "amc_key") if c in fields.columns]
+
+
+def by_house(rules, build: Callable[[object], Column]) -> Column:
+    """``build(rule)`` for all fields or, of rules by house ``{amc_key: rule}``, for the fields of each; null where a house has none."""
+    if not isinstance(rules, Houses):
+        return build(rules)
+    return F.coalesce(*[F.when(F.col("amc_key") == house, build(rule)) for house, rule in rules.items()])
+
+
+class Houses(dict):
+    """Rules by fund house, all in one plan: an operator takes its k-th rule of each house in its k-th step."""
+
+
+def in_steps(rules) -> list:
+    """The rules in order or, of lists by house, the k-th of each house together."""
+    if not isinstance(rules, Houses):
+        return list(rules)
+    longest = max(map(len, rules.values()), default=0)
+    return [Houses({h: r[k] for h, r in rules.items() if k < len(r)}) for k in range(longest)]
+
+
 def row(ord_, key, kind, s=None, arr=None, kv=None) -> Column:
     """A field of the same fund as the row at hand."""
     typed = lambda v, t: (F.lit(None) if v is None else v).cast(t)
     return F.struct(
-        ord_.cast("int").alias("ord"), (F.lit(key) if isinstance(key, str) else key).alias("key"), (F.lit(kind) if isinstance(kind, str) else kind).alias("kind"),
+        ord_.cast("long").alias("ord"), (F.lit(key) if isinstance(key, str) else key).alias("key"), (F.lit(kind) if isinstance(kind, str) else kind).alias("kind"),
         typed(s, "string").alias("s"), typed(arr, "array<string>").alias("arr"), typed(kv, KV).alias("kv"),
     )
 
@@ -58,7 +84,8 @@ def same_row(ord_: Column | None = None, kv: Column | None = None) -> Column:
 
 def each(fields: DataFrame, rows: Column) -> DataFrame:
     """The rows of an array for each field. Document and fund stay outside it, so Spark knows that their partitioning holds."""
-    return fields.select("doc_id", "fund", F.explode(rows).alias("x")).select("doc_id", "fund", "x.*")
+    own = owner(fields)
+    return fields.select(*own, F.explode(rows).alias("x")).select(*own, "x.*")
 
 
 def emit(fields: DataFrame, *items: Column) -> DataFrame:
@@ -72,44 +99,70 @@ def last_per_key(fields: DataFrame) -> DataFrame:
     return fields.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
-def map_keys(fields: DataFrame, keys: Sequence[tuple[str, str]]) -> DataFrame:
-    return last_per_key(fields.withColumn("key", map_key("key", keys)))
+def map_keys(fields: DataFrame, keys) -> DataFrame:
+    """Keys by their map, ``[(name, pattern)]`` or :class:`Houses` of them; a house without one keeps its keys."""
+    return last_per_key(fields.withColumn("key", F.coalesce(by_house(keys, lambda k: map_key("key", k)), F.col("key"))))
 
 
 @dataclass(frozen=True)
 class Dispatch:
-    """Keys that match ``key_pattern`` at their start go to an extractor with a rule; ``kind`` is what it returns."""
+    """Keys that match ``key_pattern`` at their start go to an extractor with a rule; ``house`` is the fund house it is for, None for all."""
 
     key_pattern: str
     extractor: str
     rule: dict = field(default_factory=dict)
+    house: str | None = None
 
     @property
     def kind(self) -> str:
-        return "s" if self.extractor == "text" else "d"
+        return EXTRACTORS[self.extractor].kind_of(self.rule)
+
+    def applies(self) -> Column:
+        fits = F.col("key").rlike(f"(?i)^(?:{self.key_pattern})")
+        return fits if self.house is None else (F.col("amc_key") == self.house) & fits
+
+    def value(self) -> Column:
+        e = EXTRACTORS[self.extractor]
+        return e.build(source_text(self.rule.get("source", e.source)), self.rule)
 
 
 def value_text() -> Column:
     """A field's value as one text."""
     pairs = F.array_join(F.transform("kv", lambda x: F.concat_ws(" ", x["k"], x["v"])), " ")
-    return F.when(F.col("kind") == "a", F.array_join("arr", " ")).when(F.col("kind") == "d", pairs).otherwise(F.col("s"))
+    return F.when(F.col("kind").isin("a", "m"), F.array_join("arr", " ")).when(F.col("kind") == "d", pairs).otherwise(F.col("s"))
+
+
+def source_text(source: str) -> Column:
+    """What an extractor reads: the value as text, the key, both, or the values of a dictionary without its keys."""
+    if source == "key":
+        return F.col("key")
+    if source == "both":
+        return F.concat_ws(" ", F.col("key"), value_text())
+    if source == "values":
+        return F.when(F.col("kind") == "d", F.array_join(F.transform("kv", lambda x: x["v"]), " ")).otherwise(value_text())
+    return value_text()
 
 
 def apply_level(fields: DataFrame, level: Sequence[Dispatch]) -> DataFrame:
-    """One level of dispatch: the first rule whose pattern fits the key extracts; other fields pass through.
+    """One level of dispatch: the first rule for the field's house whose pattern fits the key extracts; other fields pass through.
 
-    An extractor that returns null leaves the field as it was.
+    An extractor that returns null leaves the field as it was or, where its rule says ``"on_miss": "empty"``, an empty dictionary.
     """
-    text = value_text()
-    no = F.coalesce(*[F.when(F.col("key").rlike(f"(?i)^(?:{d.key_pattern})"), F.lit(k)) for k, d in enumerate(level)], F.lit(-1))
+    no = F.coalesce(*[F.when(d.applies(), F.lit(k)) for k, d in enumerate(level)], F.lit(-1))
     rows = fields.withColumn("_no", no)
-    s = F.coalesce(*[F.when(F.col("_no") == k, EXTRACTORS[d.extractor](text, d.rule)) for k, d in enumerate(level) if d.kind == "s"], F.lit(None).cast("string"))
-    kv = F.coalesce(*[F.when(F.col("_no") == k, EXTRACTORS[d.extractor](text, d.rule)) for k, d in enumerate(level) if d.kind == "d"], F.lit(None).cast(KV))
-    rows = rows.withColumn("_s", s).withColumn("_kv", kv)
-    kind = F.when(F.col("_s").isNotNull(), "s").when(F.col("_kv").isNotNull(), "d").otherwise(F.col("kind"))
-    changed = F.col("_s").isNotNull() | F.col("_kv").isNotNull()
-    keep = lambda new, old: F.when(changed, F.col(new)).otherwise(F.col(old)).alias(old) if new else F.when(~changed, F.col(old)).alias(old)
-    return rows.select("doc_id", "fund", "ord", "key", kind.alias("kind"), keep("_s", "s"), keep(None, "arr"), keep("_kv", "kv"))
+
+    def of(kinds: str, type_: str) -> Column:
+        return F.coalesce(*[F.when(F.col("_no") == k, d.value()) for k, d in enumerate(level) if d.kind in kinds], F.lit(None).cast(type_))
+
+    rows = rows.withColumns({"_s": of("s", "string"), "_arr": of("am", "array<string>"), "_kv": of("d", KV)})
+    kind_of = F.coalesce(*[F.when(F.col("_no") == k, F.lit(d.kind)) for k, d in enumerate(level)], F.lit("s"))
+    empty = [k for k, d in enumerate(level) if d.rule.get("on_miss") == "empty"]
+    missed = F.col("_no").isin(empty) & F.coalesce("_s", F.array_join("_arr", ""), F.when(F.col("_kv").isNotNull(), "")).isNull()
+    rows = rows.withColumn("_missed", missed).withColumn("_kv", F.when(F.col("_missed"), F.array().cast(KV)).otherwise(F.col("_kv")))
+    changed = F.col("_s").isNotNull() | F.col("_arr").isNotNull() | F.col("_kv").isNotNull()
+    kind = F.when(F.col("_missed"), F.lit("d")).when(changed, kind_of).otherwise(F.col("kind"))
+    keep = lambda c: F.when(changed, F.col(f"_{c}")).otherwise(F.col(c)).alias(c)
+    return rows.select(*owner(fields), "ord", "key", kind.alias("kind"), keep("s"), keep("arr"), keep("kv"))
 
 
 def flatten(fields: DataFrame) -> DataFrame:
@@ -119,15 +172,15 @@ def flatten(fields: DataFrame) -> DataFrame:
     return each(fields, F.when(F.col("kind") == "d", inner).otherwise(F.array(same_row(at))))
 
 
-def refine(fields: DataFrame, heads: Sequence[tuple[str, str]], primary: Sequence[Dispatch], secondary: Sequence[Dispatch], tertiary: Sequence[Dispatch]) -> DataFrame:
+def refine(fields: DataFrame, heads, primary: Sequence[Dispatch], secondary: Sequence[Dispatch], tertiary: Sequence[Dispatch]) -> DataFrame:
     """Three levels: canonical head, primary extraction, key normalisation and suffixes, flattening, then the other levels.
 
-    Each level sees what the one before made; of equal keys the later overwrites.
+    Each level sees what the one before made; of equal keys the later overwrites. ``heads`` may be by house, as dispatch rules are.
     """
     from .layout import suffix_canonical
 
     fields = fields.repartition("doc_id", "fund")
-    rows = apply_level(fields.withColumn("key", map_header("key", heads)), primary)
+    rows = apply_level(fields.withColumn("key", F.coalesce(by_house(heads, lambda h: map_header("key", h)), map_header("key", ()))), primary)
     rows = rows.withColumn("kv", F.transform("kv", lambda x: F.struct(normalize_key(x["k"]).alias("k"), x["v"].alias("v"))))
     named = suffix_canonical(rows.withColumnRenamed("key", "header").withColumnRenamed("ord", "section_no"), ["doc_id", "fund"])
     rows = flatten(named.withColumnRenamed("header", "key").withColumnRenamed("section_no", "ord").select(*fields.columns))
@@ -136,16 +189,66 @@ def refine(fields: DataFrame, heads: Sequence[tuple[str, str]], primary: Sequenc
     return rows
 
 
-def special_pass(fields: DataFrame, rules: Sequence[tuple[str, str, str, dict]]) -> DataFrame:
-    """For keys that match a special rule (pattern, new key, extractor, rule): the value computed for the new key, which replaces one of that name."""
-    text = value_text()
-    no = F.coalesce(*[F.when(F.col("key").rlike(f"(?i)^(?:{r[0]})"), F.lit(k)) for k, r in enumerate(rules)], F.lit(-1))
+def special_pass(fields: DataFrame, rules: Sequence[tuple]) -> DataFrame:
+    """For keys that match a special rule (pattern, new key, extractor, rule, house or none): the value computed for the new key, which replaces one of that name."""
+    level = [Dispatch(r[0], r[2], r[3], r[4] if len(r) > 4 else None) for r in rules]
+    no = F.coalesce(*[F.when(d.applies(), F.lit(k)) for k, d in enumerate(level)], F.lit(-1))
     rows = fields.withColumn("_no", no)
+    of = lambda kinds, type_: F.coalesce(*[F.when(F.col("_no") == k, d.value()) for k, d in enumerate(level) if d.kind in kinds], F.lit(None).cast(type_))
     key = F.coalesce(*[F.when(F.col("_no") == k, F.lit(r[1])) for k, r in enumerate(rules)])
-    s = F.coalesce(*[F.when(F.col("_no") == k, EXTRACTORS[r[2]](text, r[3])) for k, r in enumerate(rules)])
-    return last_per_key(emit(rows, same_row(), F.when(F.col("_no") >= 0, row(F.col("ord") + 500_000_000, key, "s", s))))
+    kind = F.coalesce(*[F.when(F.col("_no") == k, F.lit(d.kind)) for k, d in enumerate(level)])
+    made = row(F.col("ord") + 500_000_000, key, kind, of("s", "string"), of("am", "array<string>"), of("d", KV))
+    return last_per_key(emit(rows, same_row(), F.when(F.col("_no") >= 0, made)))
+
+
+RULE_ROWS = "amc_key string, rule_table string, priority int, name string, pattern string, vintage string"
 
 
 def rule_rows(spark, amc_key: str, table: str, rules: Sequence[tuple[str, ...]], vintage: str = "current") -> DataFrame:
     """A rule block as long rows; the order of the block is the priority."""
-    return spark.createDataFrame([(amc_key, table, k, *map(str, r[:2]), vintage) for k, r in enumerate(rules)], "amc_key string, rule_table string, priority int, name string, pattern string, vintage string")
+    return spark.createDataFrame([(amc_key, table, k, *map(str, r[:2]), vintage) for k, r in enumerate(rules)], RULE_ROWS)
+
+
+def read_rules(spark, path: str) -> DataFrame:
+    """Rule files, JSON lines ``{amc_key, vintage, rules: {table: [[name, pattern], ...]}}``, as long rows."""
+    blocks = spark.read.schema("amc_key string, vintage string, rules map<string, array<array<string>>>").json(path)
+    rows = blocks.select("amc_key", F.coalesce("vintage", F.lit("current")).alias("vintage"), F.explode("rules").alias("rule_table", "block"))
+    rows = rows.select("amc_key", "rule_table", "vintage", F.posexplode("block").alias("priority", "r"))
+    return rows.select("amc_key", "rule_table", "priority", F.get("r", F.lit(0)).alias("name"), F.get("r", F.lit(1)).alias("pattern"), "vintage")
+
+
+def houses(rules: DataFrame, table: str, vintage: str = "current") -> Houses:
+    """One table of all houses' rules, of the vintage, or else of ``current`` where a house has none of it: {amc_key: [(name, pattern)]} in priority order.
+
+    Rules make the plan, so they come to the driver: a few hundred short rows a house.
+    """
+    rows = rules.where((F.col("rule_table") == table) & F.col("vintage").isin(vintage, "current")).orderBy("amc_key", "priority").collect()
+    found: dict[str, dict[str, list]] = {}
+    for r in rows:
+        found.setdefault(r["amc_key"], {}).setdefault(r["vintage"], []).append((r["name"], r["pattern"]))
+    return Houses({h: by.get(vintage) or by["current"] for h, by in found.items()})
+
+
+def dispatches(rules: DataFrame, level: str, vintage: str = "current") -> list[Dispatch]:
+    """Dispatch rules of all houses: in rows of table ``level`` the name is the key's pattern and the pattern JSON ``{extractor, ...rule}``."""
+    out = []
+    for house, own in houses(rules, level, vintage).items():
+        for key_pattern, text in own:
+            rule = json.loads(text)
+            out.append(Dispatch(key_pattern, rule.pop("extractor"), rule, house))
+    return out
+
+
+def with_house(fields: DataFrame, documents: DataFrame) -> DataFrame:
+    """Fields with the ``amc_key`` of their document; documents without a house are skipped. ``documents(doc_id, amc_key)``."""
+    return fields.join(documents.where("amc_key is not null").select("doc_id", "amc_key"), "doc_id")
+
+
+def skipped(houses_: DataFrame, known: DataFrame, key: str = "amc_key") -> DataFrame:
+    """Houses that a run asks for and no rules or parameters are known of."""
+    return houses_.join(known.select(key).distinct(), key, "left_anti")
+
+
+def lookup(rows: DataFrame, params: DataFrame, key: str = "amc_key") -> DataFrame:
+    """Rows with the parameters of their house; rows of a house without any are skipped. A few parameters a house, so the join is Spark's to choose."""
+    return rows.join(params, key)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from ..functions.text import is_alpha, is_alphanumeric, is_numeric, normalize_ke
 from ..operators import predicates as P
 from ..operators import reshape as K
 from ..operators import rules as R
+from ..sources.documents import work_folder
 from .harness import FACT, query, table, view
 
 #: The fields of each fund: key -> (kind, SQL of the value as text; '|' between items, '=' inside pairs).
@@ -59,8 +62,8 @@ def flat(fields: DataFrame) -> DataFrame:
     return fields.select("doc_id", "key", "kind", value.alias("value"))
 
 
-def _on_fields(name: str, fn, fields: dict[str, tuple[str, str]]) -> None:
-    @query(name, rows_sql(fields))
+def _on_fields(name: str, fn, fields: dict[str, tuple[str, str]], more: str | None = None) -> None:
+    @query(name, rows_sql(fields) + (f" UNION ALL {more}" if more else ""))
     def run(spark, d):
         return flat(fn(base_fields(spark, d)))
 
@@ -73,7 +76,7 @@ _on_fields("f6_select_keys", lambda f: P.select_keys(f, ["benchmark", "min"]), {
 _on_fields("f7_delete_keys", lambda f: P.delete_keys(f, ["amount", "two$"]), but("Min Amount", "Fund Lines Two"))
 _on_fields("f8_drop_keys", lambda f: P.drop_keys(f, ["Lines", "blank"]), but("Fund Lines", "Fund Lines Two"))
 _on_fields("f8b_keep_keys", lambda f: P.keep_keys(f, ["Lines", "blank"]), {k: BASE[k] for k in ("Fund Lines", "Fund Lines Two")})
-_on_fields("f9_drop_nested", lambda f: P.drop_keys_at_any_level(f, ["^Date$"]), but("Launch.Date"))
+_on_fields("f9_drop_nested", lambda f: P.drop_keys_at_any_level(f, ["^Date$", "^entry", "^beta$"]), {**but("Launch.Date", "Load Structure", "Metrics"), "Load Structure": ("d", "'exit load=' || p_size || '%'"), "Metrics": ("d", "'port_turnover_ratio=' || (p_size % 7) || '.5 times|avg_maturity=' || p_size || ' days'")})
 _on_fields("f10_drop_empty", P.drop_empty, but("Blank"))
 _on_fields("k1_flatten", R.flatten, {
     **but("Min Amount", "Load Structure", "Metrics"),
@@ -102,19 +105,40 @@ def k12(spark, d):
     return f.select("doc_id", F.explode(K.load_list(F.col("kv"))).alias("x")).select("doc_id", "x.type", "x.comment")
 
 
+_on_fields("k12b_scheme_loads", lambda f: K.scheme_loads(f.withColumn("key", F.when(F.col("key").isin("Load Structure", "Blank"), "load").otherwise(F.col("key")))).withColumn("kind", F.when(F.col("kind") == "m", "a").otherwise(F.col("kind"))), {
+    **but("Load Structure", "Blank"), "load": ("a", """'{"type":"entry_load","value":"Nil"}|{"type":"exit_load","value":"' || p_size || '%"}'"""),
+}, more="SELECT p_partkey, 'load', 's', '' FROM part")
+
+
 @query("k8_fan_out", "SELECT p_partkey, CASE WHEN p_brand LIKE '%1' THEN unnest(['A', 'B']) ELSE p_brand END AS fund FROM (SELECT p_partkey, p_brand FROM part WHERE p_brand LIKE '%1') UNION ALL SELECT p_partkey, p_brand FROM part WHERE p_brand NOT LIKE '%1'")
 def k8(spark, d):
     return K.fan_out(table(spark, d, "part").select("p_partkey", F.col("p_brand").alias("fund")), [("1$", ["A", "B"])])
 
 
-@query("k14_locations", "SELECT p_partkey // 10 AS doc_id, p_partkey AS fund, CAST(p_size + 1 AS VARCHAR) AS page, count(*) OVER (PARTITION BY p_partkey // 10) AS scheme_count FROM part")
+def pages(spark, d) -> DataFrame:
+    """The pages of each fund, from 0."""
+    part = table(spark, d, "part")
+    return part.select(F.col("p_partkey").cast("long").alias("doc_id"), F.concat("p_name", F.lit(" Fund")).alias("fund"), F.array("p_size", F.col("p_size") + 3).alias("pages"))
+
+
+_EMITTED = "['benchmark_index', 'min_amt', 'load_entry_load', 'load_exit_load', 'metrics_port_turnover_ratio', 'metrics_avg_maturity', 'fund_manager_managing_fund_since', 'fund_manager_name', 'fund_manager_qualification', 'fund_manager_total_exp']"
+
+
+@query("k14_locations", f"SELECT p_partkey // 10 AS doc_id, p_partkey AS part, unnest({_EMITTED}) AS field, CAST(p_size + 1 AS VARCHAR) AS page, scheme_count FROM (SELECT *, count(*) OVER (PARTITION BY p_partkey // 10) AS scheme_count FROM part)")
 def k14(spark, d):
-    part = table(spark, d, "part").select(F.floor(F.col("p_partkey") / 10).cast("long").alias("doc_id"), F.col("p_partkey").alias("fund"), "p_size")
-    pages = part.select("doc_id", "fund", F.array("p_size", F.col("p_size") + 3).alias("pages"))
-    return K.field_locations(part.select("doc_id", "fund"), pages).select("doc_id", "fund", "page", F.col("scheme_count").cast("long").alias("scheme_count"))
+    """Ten funds a document; every emitted field with its fund's first page."""
+    ten = lambda df: df.withColumn("fund", F.col("doc_id").cast("string")).withColumn("doc_id", F.floor(F.col("doc_id") / 10).cast("long"))
+    got = K.field_locations(ten(records(spark, d)), ten(pages(spark, d)), ["benchmark_index", "min_amt"])
+    return got.select("doc_id", F.col("fund").cast("long").alias("part"), "field", "page", F.col("scheme_count").cast("long").alias("scheme_count"))
 
 
-_HEADS = [("benchmark", "benchmark"), ("load", "load structure|loads"), ("lines", "fund lines")]
+@query("k14b_group_locations", "SELECT p_partkey AS doc_id, unnest(['benchmark_index', 'min_amt', 'min_amt_multiple']) AS field, unnest([CAST(p_size AS VARCHAR), '7', '7']) AS page FROM part")
+def k14b(spark, d):
+    """Locations by field group, as scheme documents have them."""
+    part = table(spark, d, "part").select(F.col("p_partkey").cast("long").alias("doc_id"), "p_size")
+    found = F.explode(F.array(F.struct(F.lit("index").alias("group"), F.col("p_size").cast("int").alias("page")), F.struct(F.lit("amounts").alias("group"), F.lit(7).alias("page")))).alias("x")
+    groups = {"index": ["benchmark_index"], "amounts": ["min_amt", "min_amt_multiple"]}
+    return K.group_locations(records(spark, d), part.select("doc_id", found).select("doc_id", "x.*"), groups).select("doc_id", "field", "page")
 
 
 @query("r1_header_map", r"""
@@ -134,45 +158,103 @@ def r3(spark, d):
     return e.groupBy("event_type", R.map_metric(F.concat(F.lit(" "), F.upper("event_type"), F.lit("--")), [("c_metric", "c")]).alias("metric")).agg(F.count(F.lit(1)).alias("n"))
 
 
-_LEVEL = [R.Dispatch("benchmark", "text", {"pattern": r"(Brand#\d+)"}), R.Dispatch("min", "pairs", {"pattern": r"(amt) (\d+)"}), R.Dispatch("blank", "text", {"pattern": "(x)", "full_on_miss": False})]
-_on_fields("r4_dispatch", lambda f: R.apply_level(f, _LEVEL), {**BASE, "Benchmark Index": ("s", "p_brand"), "Min Amount": ("d", "'amt=' || (p_size * 100)")})
+def _rule(extractor: str, pattern: str, **rule) -> str:
+    return json.dumps({"extractor": extractor, "pattern": pattern} | rule)
 
 
-def _refined(f: DataFrame) -> DataFrame:
-    heads = [("benchmark", "benchmark"), ("min_amount", "min amount"), ("lines", "fund lines"), ("load", "load")]
-    primary = [R.Dispatch("min_amount", "pairs", {"pattern": r"(amt|thraftr) (\d+)"})]
-    secondary = [R.Dispatch("benchmark", "text", {"pattern": r"(Brand#\d+)"})]
-    tertiary = [R.Dispatch(r"load\.exit", "text", {"pattern": r"(\d+)%"})]
-    return R.refine(f.where("key in ('Benchmark Index', 'Min Amount', 'Load Structure', 'Fund Lines', 'Fund Lines Two')"), heads, primary, secondary, tertiary)
+#: Rule files of three houses, one with an older vintage; patterns in any case.
+_BLOCKS = [
+    {"amc_key": "h0", "rules": {
+        "headers": [["benchmark", "BENCHMARK"], ["min_amount", "min amount"], ["lines", "fund lines"], ["load", "load"]],
+        "primary": [["min_amount", _rule("generic", r"(AMT|thraftr) (\d+)")]],
+        "secondary": [["benchmark", _rule("generic", r"(brand#\d+)")]],
+        "tertiary": [[r"load\.exit", _rule("text", r"(\d+)%")]],
+    }},
+    {"amc_key": "h1", "rules": {
+        "headers": [["index", "benchmark"], ["load", "load structure"]],
+        "primary": [["index", _rule("benchmark", r"BRAND#(\d+)")], ["load", _rule("load", r"ENTRY load (\S+) exit load (\S+)")]],
+        "secondary": [["fund lines two", _rule("generic", r"no such (\d+)", on_miss="empty")]],
+    }},
+    {"amc_key": "h1", "vintage": "2019", "rules": {"headers": [["old_index", "benchmark"]]}},
+    {"amc_key": "h2", "rules": {"headers": [["benchmark", "benchmark"]], "primary": [["benchmark", _rule("text", "tri", source="both")]]}},
+]
+
+
+def rule_files(spark) -> DataFrame:
+    """The blocks written as rule files, one a house and vintage, and read."""
+    path = work_folder(spark)
+    lines = spark.createDataFrame([(json.dumps(b), f"{b['amc_key']}-{b.get('vintage', 'current')}") for b in _BLOCKS], "value string, file string")
+    lines.write.partitionBy("file").text(path)
+    return R.read_rules(spark, path)
+
+
+def housed(spark, d) -> DataFrame:
+    """The fields with a house for each document; a quarter of the documents have a house without rules."""
+    f = base_fields(spark, d)
+    return R.with_house(f, f.select("doc_id").distinct().withColumn("amc_key", F.concat(F.lit("h"), F.col("doc_id") % 4)))
+
+
+def rows_by_house(by_house: dict[int, dict[str, tuple[str, str]]]) -> str:
+    return " UNION ALL ".join(f"SELECT p_partkey AS doc_id, '{k}' AS key, '{kind}' AS kind, {v} AS value FROM part WHERE p_partkey % 4 = {h}" for h, fields in by_house.items() for k, (kind, v) in fields.items())
+
+
+_TRI = "regexp_extract(p_brand, '[0-9]+')"
+
+
+@query("r4_dispatch", rows_by_house({
+    0: BASE, 1: {**but("Load Structure"), "Load Structure": ("d", "'entry_load=Nil|exit_load=' || p_size || '%'")}, 2: {**but("Benchmark Index"), "Benchmark Index": ("s", "'TRI'")}, 3: BASE,
+}))
+def r4(spark, d):
+    """The first level of three houses in one plan, from their rule files; a house without rules keeps its fields."""
+    return flat(R.apply_level(housed(spark, d), R.dispatches(rule_files(spark), "primary")))
+
+
+_METRICS_FLAT = {"Metrics.port_turnover_ratio": ("s", "(p_size % 7) || '.5 times'"), "Metrics.avg_maturity": ("s", "p_size || ' days'"), "Metrics.beta": ("s", "''")}
+_AMOUNT_FLAT = {"Min Amount.amt": ("s", "CAST(p_size * 100 AS VARCHAR)"), "Min Amount.thraftr": ("s", "CAST(1 + p_size % 5 AS VARCHAR)")}
+_LOAD_FLAT = {"Load Structure.entry_load": ("s", "'Nil'"), "Load Structure.exit_load": ("s", "p_size || '%'")}
+_REST = {**_METRICS_FLAT, "LaunchDate": BASE["Launch.Date"], "Blank": BASE["Blank"]}
+
+
+@query("r5_refine", rows_by_house({
+    0: {**_REST, "benchmark": ("s", "p_brand"), "min_amount.amt": ("s", "CAST(p_size * 100 AS VARCHAR)"), "min_amount.thraftr": ("s", "CAST(1 + p_size % 5 AS VARCHAR)"),
+        "load.entry_load": ("s", "'Nil'"), "load.exit_load": ("s", "CAST(p_size AS VARCHAR)"), "lines": BASE["Fund Lines"], "lines_bravo": BASE["Fund Lines Two"]},
+    1: {**_REST, **_AMOUNT_FLAT, "index": ("s", _TRI), "load.entry_load": ("s", "'Nil'"), "load.exit_load": ("s", "p_size || '%'"), "Fund Lines": BASE["Fund Lines"], "Fund Lines Two": ("d", "''")},
+    2: {**_REST, **_AMOUNT_FLAT, **_LOAD_FLAT, "benchmark": ("s", "'TRI'"), "Fund Lines": BASE["Fund Lines"], "Fund Lines Two": BASE["Fund Lines Two"]},
+    3: {**_REST, **_AMOUNT_FLAT, **_LOAD_FLAT, "Benchmark Index": BASE["Benchmark Index"], "Fund Lines": BASE["Fund Lines"], "Fund Lines Two": BASE["Fund Lines Two"]},
+}))
+def r5(spark, d):
+    """All levels, over all fields, with the rules of three houses in one plan."""
+    rules = rule_files(spark)
+    return flat(R.refine(housed(spark, d), R.houses(rules, "headers"), *[R.dispatches(rules, t) for t in ("primary", "secondary", "tertiary")]))
 
 
-_on_fields("r5_refine", _refined, {
-    "benchmark": ("s", "p_brand"),
-    "min_amount.amt": ("s", "CAST(p_size * 100 AS VARCHAR)"), "min_amount.thraftr": ("s", "CAST(1 + p_size % 5 AS VARCHAR)"),
-    "load.entry_load": ("s", "'Nil'"), "load.exit_load": ("s", "CAST(p_size AS VARCHAR)"),
-    "lines": BASE["Fund Lines"], "lines_bravo": BASE["Fund Lines Two"],
-})
 _on_fields("r6_special", lambda f: R.special_pass(f, [("Launch", "launch_year", "text", {"pattern": r"(\d{4})$"}), ("Benchmark", "Blank", "text", {"pattern": r"(\d+)"})]), {**but("Blank"), "launch_year": ("s", "'2015'"), "Blank": ("s", "regexp_extract(p_brand, '[0-9]+')")})
 
 
-@query("r7_amc_rules", "SELECT n_nationkey, CASE n_regionkey WHEN 0 THEN lower(n_name) WHEN 1 THEN n_name ELSE 'none' END AS value FROM nation")
+@query("r7_amc_rules", rows_by_house({
+    0: {**but("Benchmark Index", "Fund Lines Two"), "benchmark_index": BASE["Benchmark Index"]},
+    1: {"Benchmark Index": BASE["Benchmark Index"], "Min Amount": BASE["Min Amount"], "first": BASE["Benchmark Index"], "amc_name": ("s", "'House One'")},
+    2: {}, 3: {**BASE, "amc_name": ("s", "'Other'")},
+}))
 def r7(spark, d):
-    """Per-house overrides as rows: the house picks the branch, houses without one take the default."""
-    amc = F.concat(F.lit("r"), F.col("n_regionkey").cast("string"))
-    policies = {"r0": F.lower("n_name"), "r1": F.col("n_name")}
-    value = F.coalesce(*[F.when(amc == k, v) for k, v in policies.items()], F.lit("none"))
-    return table(spark, d, "nation").select("n_nationkey", value.alias("value"))
+    """Overrides by house in one plan: each operator takes every house's own rules, and leaves a house without any alone."""
+    f = housed(spark, d)
+    f = P.delete_keys(f, R.Houses({"h0": ["two$"], "h2": ["."]}))
+    f = K.clone_keys(f, R.Houses({"h1": [("first", "Benchmark")]}))
+    f = R.map_keys(f, R.Houses({"h0": [("benchmark_index", "Benchmark")]}))
+    f = P.select_keys(f, R.Houses({"h0": ["."], "h1": ["benchmark", "min", "first"], "h3": ["."]}))
+    return flat(K.add_constants(f, R.Houses({"h1": {"amc_name": F.lit("House One")}, "h3": {"amc_name": F.lit("Other")}})))
 
 
 @query("s7_rule_rows", """
-SELECT n_name, amc_key, 'headers' AS rule_table, priority, name, pattern, vintage FROM nation JOIN (VALUES
-  ('r0', 0, 'benchmark', 'benchmark', 'current'), ('r0', 1, 'load', 'load structure|loads', 'current'), ('r0', 2, 'lines', 'fund lines', 'current'), ('r1', 0, 'benchmark', 'benchmark', '2020')
-) v(amc_key, priority, name, pattern, vintage) ON amc_key = 'r' || n_regionkey""")
+SELECT n_name, amc_key, priority, name FROM nation JOIN (VALUES
+  ('h0', 0, 'benchmark'), ('h0', 1, 'min_amount'), ('h0', 2, 'lines'), ('h0', 3, 'load'), ('h1', 0, 'old_index'), ('h2', 0, 'benchmark')
+) v(amc_key, priority, name) ON amc_key = 'h' || n_regionkey""")
 def s7(spark, d):
-    """Rule blocks as long rows with priority, joined to the houses that use them."""
-    rules = R.rule_rows(spark, "r0", "headers", _HEADS).unionByName(R.rule_rows(spark, "r1", "headers", _HEADS[:1], "2020"))
-    houses = table(spark, d, "nation").select("n_name", F.concat(F.lit("r"), F.col("n_regionkey").cast("string")).alias("amc_key"))
-    return houses.join(F.broadcast(rules), "amc_key")  # a rule table, a few rows a house
+    """The header rules of each house from its files, the vintage 2019 where there is one, joined to the houses that use them."""
+    old = R.houses(rule_files(spark), "headers", "2019")
+    rules = spark.createDataFrame([(h, k, name) for h, block in old.items() for k, (name, _) in enumerate(block)], "amc_key string, priority int, name string")
+    return R.lookup(table(spark, d, "nation").select("n_name", F.concat(F.lit("h"), F.col("n_regionkey").cast("string")).alias("amc_key")), rules).select("n_name", "amc_key", "priority", "name")
 
 
 @query("f11_types", "SELECT p_partkey, p_size % 3 = 0 AS numeric, p_size % 3 IN (0, 1) AS alphanumeric, p_size % 3 = 1 AS alpha FROM part")
@@ -185,8 +267,10 @@ def f11(spark, d):
 CHAIN = {
     "clone": [("benchmark_copy", "Benchmark")],
     "merge": [("load", ["load structure"])],
-    "select": ["benchmark", "min", "load", "metrics", "launch"],
-    "map": [("benchmark_index", "Benchmark Index"), ("min_amt", "Min Amount"), ("scheme_launch_date", "Launch")],
+    "select": ["benchmark", "min", "load", "metrics", "launch", "managed"],
+    "map": [("benchmark_index", "Benchmark Index"), ("min_amt", "Min Amount"), ("scheme_launch_date", "Launch"), ("metrics", "Metrics"), ("load", "load")],
+    "metrics": [("port_turnover_ratio", "turnover"), ("avg_maturity", "avg")],
+    "special": [("managed_by", "fund_manager", "managers", {"pattern": r"(MR\. \w+ \w+) \w* ?SINCE (\d+), (\d+ years)", "fields": ("name", "managing_fund_since", "total_exp")})],
     "defaults": {"exchange_listed": "", "min_addl_amt": ""},
     "record": ["benchmark_index", "min_amt", "min_amt_multiple", "scheme_launch_date", "exchange_listed"],
 }
@@ -194,12 +278,22 @@ _RECORD_SQL = """
 SELECT p_partkey AS doc_id, p_brand || ' TRI' AS benchmark_index, CAST(p_size * 100 AS VARCHAR) AS min_amt, CAST(1 + p_size % 5 AS VARCHAR) AS min_amt_multiple,
   '20150' || (1 + p_size % 9) || lpad(CAST(1 + p_partkey % 28 AS VARCHAR), 2, '0') AS scheme_launch_date, '' AS exchange_listed,
   'entry_load:Nil|exit_load:' || p_size || '%' AS loads,
-  'port_turnover_ratio:' || ((p_size % 7) * 100 + 50) AS turnover, round(p_size / CAST(365 AS DOUBLE), 4) AS maturity, 2 AS n_metrics
+  'port_turnover_ratio:' || ((p_size % 7) * 100 + 50) AS turnover, round(p_size / CAST(365 AS DOUBLE), 4) AS maturity, 2 AS n_metrics,
+  'Asha ' || CASE WHEN p_size % 2 = 0 THEN 'Rao' ELSE 'Sen' END || '/' || (2000 + p_size % 20) || '/' || (1 + p_size % 30) || ' Years|Second Person/2011/9 Years' AS managers
 FROM part"""
 
 
+def with_managers(spark, d) -> DataFrame:
+    """The fields and, for each fund, a text that names two managers, one with a repeated word."""
+    who = F.concat(F.lit("Mr. asha "), F.when(F.col("p_size") % 2 == 0, "rao").otherwise("sen"), F.lit(" since "), (2000 + F.col("p_size") % 20).cast("string"), F.lit(", "), (1 + F.col("p_size") % 30).cast("string"), F.lit(" Years; mr. Second Person since 2011, 9 years; Mr. x 1 since 1, 2 years"))
+    part = table(spark, d, "part")
+    none = F.lit(None)
+    more = part.select(F.col("p_partkey").cast("long").alias("doc_id"), F.concat("p_name", F.lit(" Fund")).alias("fund"), F.lit(50).alias("ord"), F.lit("Managed By").alias("key"), F.lit("s").alias("kind"), who.alias("s"), none.cast("array<string>").alias("arr"), none.cast(E.KV).alias("kv"))
+    return base_fields(spark, d).unionByName(more)
+
+
 def records(spark, d) -> DataFrame:
-    return K.merge_and_select(base_fields(spark, d), CHAIN)
+    return K.merge_and_select(with_managers(spark, d), CHAIN)
 
 
 @query("k16_chain", _RECORD_SQL)
@@ -208,7 +302,8 @@ def k16(spark, d):
     r = records(spark, d)
     metric = lambda n: F.get(F.filter("metrics", lambda x: x["name"] == n), F.lit(0))["value"]
     loads = F.array_join(F.transform("load", lambda x: F.concat(x["type"], F.lit(":"), x["comment"])), "|")
-    return r.select("doc_id", *CHAIN["record"], loads.alias("loads"), F.concat(F.lit("port_turnover_ratio:"), metric("port_turnover_ratio")).alias("turnover"), metric("avg_maturity").cast("double").alias("maturity"), F.size("metrics").alias("n_metrics"))
+    people = F.array_join(F.transform("fund_manager", lambda x: F.concat_ws("/", x["name"], x["managing_fund_since"], x["total_exp"])), "|")
+    return r.select("doc_id", *CHAIN["record"], loads.alias("loads"), F.concat(F.lit("port_turnover_ratio:"), metric("port_turnover_ratio")).alias("turnover"), metric("avg_maturity").cast("double").alias("maturity"), F.size("metrics").alias("n_metrics"), people.alias("managers"))
 
 
 _SCHEME_SQL = """
@@ -226,10 +321,13 @@ def k16b(spark, d):
     return r.select("doc_id", *rules["record"], F.size("load").alias("n_loads"))
 
 
-@query("k15_documents", "SELECT CAST(p_partkey AS VARCHAR) AS document_name, 'FS' AS file_type, 1 AS n_records, p_name || ' Fund' AS fund FROM part")
+@query("k15_documents", "SELECT CAST(p_partkey AS VARCHAR) AS document_name, 'FS' AS file_type, 1 AS n_records, p_name || ' Fund' AS fund, 2 AS n_managers, 10 AS n_locations, CAST(p_size + 1 AS VARCHAR) AS page FROM part")
 def k15(spark, d):
-    docs = K.documents_of(records(spark, d), "20250101")
-    return docs.select("metadata.document_name", "metadata.file_type", F.size("records").alias("n_records"), F.col("records")[0]["value"]["fund"].alias("fund"))
+    """Documents of records with managers and the locations of their fields."""
+    r = records(spark, d)
+    docs = K.documents_of(K.with_locations(r, K.field_locations(r, pages(spark, d), ["benchmark_index", "min_amt"])), "20250101")
+    value = F.col("records")[0]["value"]
+    return docs.select("metadata.document_name", "metadata.file_type", F.size("records").alias("n_records"), value["fund"].alias("fund"), F.size(value["fund_manager"]).alias("n_managers"), F.size(value["field_location"]).alias("n_locations"), value["field_location"][0]["page"].alias("page"))
 
 
 @query("minimum_slice", "SELECT p_partkey AS doc_id, p_name || ' Fund' AS fund, p_brand || ' TRI' AS benchmark_index, CAST(p_size * 100 AS VARCHAR) AS min_amt, CAST(1 + p_size % 5 AS VARCHAR) AS min_amt_multiple FROM part")

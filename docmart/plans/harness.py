@@ -43,13 +43,15 @@ FROM lineitem JOIN part ON l_partkey = p_partkey"""
 TURNS = """
 SELECT conv_id AS doc_id, turn AS ord, role = 'user' AS is_header, role <> 'user' AS is_body, text FROM conversations"""
 
+#: Ten orders make a document, whose odd rows are its second table, so that documents grow in number and not in size.
 CELLS = """
-SELECT table_no AS doc_id, row_no % 2 AS table_no, cast(row_no / 2 AS int) AS row_no, col_no,
-  CASE col_no WHEN 0 THEN CASE WHEN row_no % 4 <> 0 THEN NULL ELSE p_name END WHEN 1 THEN p_brand ELSE cast(p_size AS varchar(9)) END AS text
-FROM (SELECT l_orderkey % 97 AS table_no, p_name, p_brand, p_size,
-        row_number() OVER (PARTITION BY l_orderkey % 97 ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1 AS row_no
+SELECT doc_id, row_no % 2 AS table_no, cast(row_no / 2 AS int) AS row_no, col_no,
+  CASE col_no WHEN 0 THEN CASE WHEN row_no % 4 > 1 THEN NULL ELSE p_name END WHEN 1 THEN CASE WHEN row_no % 7 = 0 THEN NULL ELSE p_brand END
+    WHEN 2 THEN cast(p_size AS varchar(9)) ELSE NULL END AS text
+FROM (SELECT cast(floor(l_orderkey / 10) AS bigint) AS doc_id, p_name, p_brand, p_size,
+        row_number() OVER (PARTITION BY cast(floor(l_orderkey / 10) AS bigint) ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1 AS row_no
       FROM lineitem JOIN part ON l_partkey = p_partkey) a
-CROSS JOIN (SELECT 0 AS col_no UNION ALL SELECT 1 UNION ALL SELECT 2) b"""
+CROSS JOIN (SELECT 0 AS col_no UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3) b"""
 
 
 def view(spark: SparkSession, d: str, sql: str) -> DataFrame:

@@ -103,6 +103,19 @@ def l4(spark, d):
     return L.region_starts(rows, ["doc_id"]).select("doc_id", "span_no", "region_start", "region_header")
 
 
+@query("l4b_region_sections", f"""
+WITH o AS (SELECT *, row_number() OVER w AS ord, coalesce(lag(page) OVER w <> page, false) AS start, size >= 40 AS head FROM ({SPANS}) WINDOW w AS (PARTITION BY doc_id ORDER BY page, y, x, span_no)),
+n AS (SELECT *, sum(CAST(head AS INT) + CAST(start AND NOT head AS INT)) OVER (PARTITION BY doc_id ORDER BY ord ROWS UNBOUNDED PRECEDING) AS sec FROM o)
+SELECT doc_id, sec AS section_no, coalesce(max(CASE WHEN head THEN lower(replace(text, ' ', '_')) WHEN start THEN 'region_' || page END), 'before') AS header, string_agg(text, '|' ORDER BY ord) FILTER (size <= 25 AND NOT head) AS lines
+FROM n WHERE head OR start OR size <= 25 GROUP BY doc_id, sec""")
+def l4b(spark, d):
+    """Sections that begin at headers and at region boundaries; what follows a boundary is under the region's own name."""
+    rows = L.reading_order(view(spark, d, SPANS).withColumn("region_no", F.col("page")), ["doc_id"], ["page", "y", "x", "span_no"])
+    rows = L.region_starts(rows, ["doc_id"]).withColumns({"is_header": F.col("size") >= 40, "is_body": F.col("size") <= 25})
+    secs = L.section_lines(L.sections(rows, ["doc_id"], regions=True), ["doc_id"])
+    return secs.select("doc_id", "section_no", "header", F.when(F.size("lines") > 0, F.array_join("lines", "|")).alias("lines"))
+
+
 @query("l5_fund_pages", f"SELECT doc_id, CASE WHEN page = 3 THEN 'b' ELSE 'a' END AS fund, array_to_string(list_sort(list(DISTINCT page)), ',') AS pages FROM ({SPANS}) GROUP BY ALL")
 def l5(spark, d):
     pages = view(spark, d, SPANS).select("doc_id", "page", F.when(F.col("page") == 3, "b").otherwise("a").alias("fund"))
@@ -153,12 +166,14 @@ def l9(spark, d):
 
 
 @query("l10_canonical_suffix", f"""
-SELECT page, block_no, CASE WHEN rn = 1 THEN 'head' WHEN rn <= 11 THEN 'head_' || (['bravo', 'charlie', 'delta', 'echo', 'foxtrot', 'golf', 'hotel', 'india', 'juliett', 'kilo'])[rn - 1] ELSE 'head_exhausted' END AS header, section_no
-FROM (SELECT page, block_no, section_no, row_number() OVER (PARTITION BY page, block_no ORDER BY section_no) AS rn, count(*) OVER (PARTITION BY page, block_no) AS n
-      FROM (SELECT DISTINCT page, block_no, doc_id AS section_no FROM ({SPANS}) WHERE doc_id <= 60)) WHERE rn <= 11 OR rn = n""")
+SELECT doc_id, section_no, CASE WHEN rn = 1 THEN 'head' WHEN rn <= 11 THEN 'head_' || (['bravo', 'charlie', 'delta', 'echo', 'foxtrot', 'golf', 'hotel', 'india', 'juliett', 'kilo'])[rn - 1] ELSE 'head_exhausted' END AS header
+FROM (SELECT doc_id, section_no, row_number() OVER (PARTITION BY doc_id ORDER BY section_no) AS rn, count(*) OVER (PARTITION BY doc_id) AS n
+      FROM (SELECT doc_id, ord * 10 + i AS section_no FROM ({TURNS}), range(0, 7) t(i))) WHERE rn <= 11 OR rn = n""")
 def l10(spark, d):
-    secs = view(spark, d, SPANS).where("doc_id <= 60").select("page", "block_no", F.col("doc_id").alias("section_no"), F.lit("head").alias("header")).distinct()
-    return L.suffix_canonical(secs, ["page", "block_no"]).select("page", "block_no", "header", "section_no")
+    """Seven sections a turn, so that long conversations run past the alphabet."""
+    turns = view(spark, d, TURNS).select("doc_id", F.col("ord").cast("long").alias("ord"), F.explode(F.sequence(F.lit(0), F.lit(6))).alias("i"))
+    secs = turns.select("doc_id", (F.col("ord") * 10 + F.col("i")).alias("section_no"), F.lit("head").alias("header"))
+    return L.suffix_canonical(secs, ["doc_id"]).select("doc_id", "section_no", "header")
 
 
 @query("l11_snap_lines", None)
@@ -217,8 +232,8 @@ def t13(spark, d):
 
 
 @query("a9_page_report", f"""
-SELECT doc_id, page, CASE WHEN page = 3 THEN '' ELSE 'Fund ' || (doc_id % 5) END AS title, n_hits, hits[1] AS idx_1, hits[2] AS idx_2, hits[3] AS idx_3 FROM ({_PAGE_HITS})""")
+SELECT doc_id, page, CASE WHEN page = 3 THEN '' ELSE 'Fund ' || (doc_id % 5) END AS title, n_hits, hits[1] AS idx_1, hits[2] AS idx_2, hits[3] AS idx_3, hits[4] AS idx_4 FROM ({_PAGE_HITS})""")
 def a9(spark, d):
     from ..operators.mart import page_report
 
-    return page_report(page_hits(spark, d), _titles(spark, d).drop("amc_key"), width=3)
+    return page_report(page_hits(spark, d), _titles(spark, d).drop("amc_key"), WORDS)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import extract as E
 from ..functions import text as T
+from ..operators import rules as R
 from .harness import FACT, query, table, view
 
 
@@ -99,9 +100,12 @@ def n20(spark, d):
     )
 
 
-@query("n21_manager", "SELECT s_suppkey, 'Supplier' AS value FROM supplier")
+@query("n21_manager", "SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN 'Supplier ' || CASE WHEN s_suppkey % 2 = 0 THEN 'Anand' ELSE 'Bose' END WHEN 1 THEN CASE WHEN s_suppkey % 2 = 0 THEN 'Anand Rao' ELSE 'Bose Rao' END END AS value FROM supplier")
 def n21(spark, d):
-    return table(spark, d, "supplier").select("s_suppkey", T.clean_manager_name(F.concat(F.lit("Mr. "), F.lower("s_name"), F.lit(" supplier"))).alias("value"))
+    who = F.when(F.col("s_suppkey") % 2 == 0, "ANAND").otherwise("bose")
+    k = F.col("s_suppkey") % 3
+    text = F.when(k == 0, F.concat(F.lit("Mr. "), F.regexp_extract("s_name", "(?i)(supplier)", 1), F.lit(" supplier, "), who)).when(k == 1, F.concat(F.lit("dr "), who, F.lit(" (rao) RAO 12"))).otherwise("Ms. 12 x")
+    return table(spark, d, "supplier").select("s_suppkey", T.clean_manager_name(text).alias("value"))
 
 
 def _on_fact(name: str, sql_columns: str, *columns) -> None:
@@ -111,8 +115,8 @@ def _on_fact(name: str, sql_columns: str, *columns) -> None:
         return view(spark, d, FACT).select("doc_id", *built)
 
 
-_on_fact("e1_identity", "concat(p_name, ' Fund') AS value", lambda: F.col("fund").alias("value"))
-_on_fact("e2_join", "concat(p_name, ' Fund') AS value", lambda: F.array_join(F.split("fund", " "), " ").alias("value"))
+_on_fact("e1_identity", "concat(p_name, ' Fund') AS value", lambda: E.EXTRACTORS["identity"].build(F.col("fund"), {}).alias("value"))
+_on_fact("e2_join", "concat(p_name, ' Fund') AS value", lambda: E.join_list(F.split("fund", " ")).alias("value"))
 
 _SPAN_KEYS = ("Inception Date", "Benchmark", "Entry Load", "Exit Load", "Minimum Amount", "Turnover", "EOL")
 _SPAN_SQL = "p_brand || ' TRI' AS benchmark, CAST(p_size AS VARCHAR) || '% within 365 days' AS exit_load, 'Nil' AS entry_load, 6 AS n"
@@ -130,41 +134,44 @@ def _spans_query(name: str, ignore_case: bool) -> None:
 
 _spans_query("e3_keyword_spans", True)
 _spans_query("e4_keyword_spans_case", False)
-_on_fact("e5_generic", "p_brand AS benchmark, CAST(p_size AS VARCHAR) AS maturity", lambda: E.generic_text("text", r"Benchmark (\S+) TRI").alias("benchmark"), lambda: E.kv_get(E.generic_pairs("text", r"(Maturity) (\d+)"), "Maturity").alias("maturity"))
-_on_fact("e6_generic_full", "p_brand AS benchmark, concat(p_name, ' Fund') AS missed", lambda: E.generic_text("text", r"Benchmark (\S+) TRI", full_on_miss=True).alias("benchmark"), lambda: E.generic_text("fund", r"no such text (\d+)", full_on_miss=True).alias("missed"))
-_on_fact("e7_no_blanks", "CAST(p_size * 100 AS VARCHAR) AS amount", lambda: E.generic_text(E.without_blanks("text"), r"AmountRs\.(\d+)and").alias("amount"))
-_on_fact("e8_first_or_text", "p_brand AS benchmark, concat(p_name, ' Fund') AS missed", lambda: E.first_match("text", r"Benchmark (\S+) TRI").alias("benchmark"), lambda: E.first_match("fund", r"(\d{9})", otherwise=F.col("fund")).alias("missed"))
-_on_fact("e9_metric_zip", "CAST(p_size % 7 AS VARCHAR) || '.5 times' AS turnover, CAST(p_size AS VARCHAR) || ' days' AS maturity", *[(lambda k=k, n=n: E.kv_get(E.metric_zip("text", "Turnover|Average Maturity", r"\d[\d.]* (?:times|days(?= EOL))"), k).alias(n)) for k, n in (("Turnover", "turnover"), ("Average Maturity", "maturity"))])
+_on_fact("e5_generic", "p_brand AS benchmark, CAST(p_size AS VARCHAR) AS maturity", lambda: E.generic_text("text", r"BENCHMARK (\S+) tri").alias("benchmark"), lambda: E.kv_get(E.generic_pairs("text", r"(Maturity) (\d+)"), "Maturity").alias("maturity"))
+_on_fact("e6_generic_full", "p_brand AS benchmark, concat(p_name, ' Fund') AS missed", lambda: E.generic_text("text", r"BENCHMARK (\S+) tri", full_on_miss=True).alias("benchmark"), lambda: E.generic_text("fund", r"no such text (\d+)", full_on_miss=True).alias("missed"))
+_on_fact("e7_no_blanks", "CAST(p_size * 100 AS VARCHAR) AS amount", lambda: E.generic_text(E.without_blanks("text"), r"amountRS\.(\d+)AND").alias("amount"))
+_on_fact("e8_first_or_text", "p_brand AS benchmark, concat(p_name, ' Fund') AS missed", lambda: E.first_match("text", r"BENCHMARK (\S+) tri").alias("benchmark"), lambda: E.first_match("fund", r"(\d{9})", otherwise=F.col("fund")).alias("missed"))
+_on_fact("e9_metric_zip", "CAST(p_size % 7 AS VARCHAR) || '.5 times' AS turnover, CAST(p_size AS VARCHAR) || ' days' AS maturity", *[(lambda k=k, n=n: E.kv_get(E.metric_zip("text", "Turnover|Average Maturity", r"\d[\d.]* (?:TIMES|days(?= eol))"), k).alias(n)) for k, n in (("Turnover", "turnover"), ("Average Maturity", "maturity"))])
 _on_fact("e10_aligned", "CAST(p_size % 7 AS VARCHAR) || '.5' AS turnover, CAST(p_size AS VARCHAR) AS maturity, CAST(p_size * 100 AS VARCHAR) AS amount", *[(lambda k=k, n=n: E.kv_get(E.positional_pairs("text", "turnover|average maturity|minimum amount", r"\d+(?:\.\d+)?"), k).alias(n)) for k, n in (("Turnover", "turnover"), ("Average Maturity", "maturity"), ("Minimum Amount", "amount"))])
-_on_fact("e11_load", "'Nil' AS entry_load, CAST(p_size AS VARCHAR) || '%' AS exit_load", *[(lambda k=k: E.kv_get(E.load_pair("text", r"Entry Load (\w+) Exit Load (\d+%)"), k).alias(k)) for k in ("entry_load", "exit_load")])
-_on_fact("e12_amount", "CAST(p_size * 100 AS VARCHAR) AS amt, CAST(1 + p_size % 5 AS VARCHAR) AS thraftr", *[(lambda k=k: E.kv_get(E.amount_pair("text", r"Amount Rs\.(\d+) and multiples of (\d+)"), k).alias(k)) for k in ("amt", "thraftr")])
-_on_fact("e13_lump", "CAST(p_size * 100 AS VARCHAR) AS min_amt, CAST(1 + p_size % 5 AS VARCHAR) AS add_amt", *[(lambda k=k: E.kv_get(E.lump_pair("text", r"Rs\.(\d*) and multiples of (\d*)"), k).alias(k)) for k in ("min_amt", "add_amt")])
+_on_fact("e11_load", "'Nil' AS entry_load, CAST(p_size AS VARCHAR) || '%' AS exit_load", *[(lambda k=k: E.kv_get(E.load_pair("text", r"entry load (\w+) EXIT load (\d+%)"), k).alias(k)) for k in ("entry_load", "exit_load")])
+_on_fact("e12_amount", "CAST(p_size * 100 AS VARCHAR) AS amt, CAST(1 + p_size % 5 AS VARCHAR) AS thraftr", *[(lambda k=k: E.kv_get(E.amount_pair("text", r"amount rs\.(\d+) AND multiples of (\d+)"), k).alias(k)) for k in ("amt", "thraftr")])
+_on_fact("e13_lump", "CAST(p_size * 100 AS VARCHAR) AS min_amt, CAST(1 + p_size % 5 AS VARCHAR) AS add_amt", *[(lambda k=k: E.kv_get(E.lump_pair("text", r"RS\.(\d*) And Multiples of (\d*)"), k).alias(k)) for k in ("min_amt", "add_amt")])
 
 
 @query("e14_managers", "SELECT s_suppkey, 'Supplier' AS name, CAST(1 + s_suppkey % 30 AS VARCHAR) || ' Years' AS total_exp, '' AS qualification FROM supplier")
 def e14(spark, d):
     text = F.concat(F.lit("Managed by SUPPLIER, "), (1 + F.col("s_suppkey") % 30).cast("string"), F.lit(" years of experience"))
-    m = E.managers(text, r"by (\w+), (\d+ years)", ("name", "total_exp"))
+    m = E.managers(text, r"BY (\w+), (\d+ YEARS)", ("name", "total_exp"))
     return table(spark, d, "supplier").select("s_suppkey", F.explode(m).alias("m")).select("s_suppkey", "m.name", "m.total_exp", "m.qualification")
 
 
 @query("e15_manager_rows", "SELECT s_suppkey, 'Supplier' AS name, CAST(s_suppkey % 30 AS VARCHAR) AS total_exp FROM supplier WHERE s_suppkey % 2 = 0")
 def e15(spark, d):
     row = F.struct(F.when(F.col("s_suppkey") % 2 == 0, "Supplier, CFA").otherwise("-").alias("name"), F.concat((F.col("s_suppkey") % 30).cast("string"), F.lit(" yrs")).alias("total_exp"))
-    got = E.managers_from_rows(F.array(row), {"name": r"Supplier", "total_exp": r"\d+"})
+    got = E.managers_from_rows(F.array(row), {"name": r"SUPPLIER", "total_exp": r"\d+"})
     return table(spark, d, "supplier").select("s_suppkey", F.explode(got).alias("m")).select("s_suppkey", "m.name", "m.total_exp")
 
 
 @query("e16_benchmark", "SELECT p_partkey, p_brand AS value, '' AS missed FROM part")
 def e16(spark, d):
     text = F.concat(F.lit("Index: "), "p_brand", F.lit(" TRI"))
-    return table(spark, d, "part").select("p_partkey", E.first_match(text, r"Index: (\S+)").alias("value"), E.first_match(text, r"Bench: (\S+)").alias("missed"))
+    return table(spark, d, "part").select("p_partkey", E.first_match(text, r"INDEX: (\S+)").alias("value"), E.first_match(text, r"Bench: (\S+)").alias("missed"))
 
 
 @query("e17_date_from_key", "SELECT o_orderkey, strftime(o_orderdate, '%d/%m/%Y') AS inception_date FROM orders")
 def e17(spark, d):
-    key = F.concat(F.lit("inception_date "), F.date_format("o_orderdate", "dd/MM/yyyy"), F.lit(" onwards"))
-    return table(spark, d, "orders").select("o_orderkey", E.date_from_key(key, r"\d{2}/\d{2}/\d{4}").alias("inception_date"))
+    """The key holds the date; the field becomes {inception_date: ...}."""
+    key = F.concat(F.lit("Inception_Date "), F.date_format("o_orderdate", "dd/MM/yyyy"), F.lit(" onwards"))
+    rows = table(spark, d, "orders").select(F.col("o_orderkey").alias("doc_id"), F.lit("f").alias("fund"), F.lit(0).cast("long").alias("ord"), key.alias("key"), F.lit("s").alias("kind"), F.lit("no date").alias("s"), F.lit(None).cast("array<string>").alias("arr"), F.lit(None).cast(E.KV).alias("kv"))
+    got = R.apply_level(rows, [R.Dispatch("inception", "date", {"pattern": r"\d{2}/\d{2}/\d{4}"})])
+    return got.select(F.col("doc_id").alias("o_orderkey"), E.kv_get(F.col("kv"), "inception_date").alias("inception_date"))
 
 
 _ASSET_SQL = """
@@ -173,7 +180,7 @@ SELECT p_partkey, p_brand AS instrument_type, CAST(p_size AS VARCHAR) AS min, CA
 
 def _asset_rows(spark, d):
     text = F.concat("p_brand", F.lit(" "), F.col("p_size").cast("string"), F.lit(" - "), (F.col("p_size") + 50).cast("string"), F.lit(" "), F.when(F.col("p_size") > 25, "High").otherwise("Low"))
-    return table(spark, d, "part").select("p_partkey", E.asset_rows(text, r"(Brand#\d+) (\d+) - (\d+) (High|Low)", ("instrument_type", "min", "max", "risk_profile")).alias("rows"))
+    return table(spark, d, "part").select("p_partkey", E.asset_rows(text, r"(brand#\d+) (\d+) - (\d+) (HIGH|low)", ("instrument_type", "min", "max", "risk_profile")).alias("rows"))
 
 
 @query("e18_assets", _ASSET_SQL)
@@ -217,6 +224,19 @@ def m5(spark, d):
     return part.select("p_partkey", repaired.alias("repaired"), removed.alias("removed"), E.benchmark(F.concat(F.lit("x "), "p_brand"), r"^(Nifty)", else_text=True).alias("kept_text"))
 
 
+@query("m5b_benchmark_inputs", "SELECT p_partkey, p_brand || ' ' || p_size AS of_values, p_brand AS of_both FROM part")
+def m5b(spark, d):
+    """Benchmarks looked for in a dictionary's values alone, and in key and value together."""
+    p = table(spark, d, "part")
+    kv = F.array(F.struct(F.lit("one").alias("k"), F.col("p_brand").alias("v")), F.struct(F.lit("two").alias("k"), F.col("p_size").cast("string").alias("v")))
+    one = lambda n, key, kind, s, kv: F.struct(F.lit(n).cast("long").alias("ord"), key.alias("key"), F.lit(kind).alias("kind"), s.cast("string").alias("s"), F.lit(None).cast("array<string>").alias("arr"), kv.cast(E.KV).alias("kv"))
+    rows = F.array(one(0, F.lit("values"), "d", F.lit(None), kv), one(1, F.concat(F.lit("both of "), "p_brand"), "s", F.lit("tri"), F.lit(None)))
+    fields = p.select(F.col("p_partkey").alias("doc_id"), F.lit("f").alias("fund"), F.explode(rows).alias("x")).select("doc_id", "fund", "x.*")
+    level = [R.Dispatch("values", "benchmark", {"pattern": r"BRAND#\d+ \d+", "source": "values"}), R.Dispatch("both", "benchmark", {"pattern": r"(brand#\d+) TRI", "source": "both"})]
+    got = R.apply_level(fields, level).groupBy("doc_id").agg(F.max(F.when(F.col("ord") == 0, F.col("s"))).alias("of_values"), F.max(F.when(F.col("ord") == 1, F.col("s"))).alias("of_both"))
+    return got.select(F.col("doc_id").alias("p_partkey"), "of_values", "of_both")
+
+
 @query("m6_launch_dates", "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS first, strftime(o_orderdate, '%Y-%m-%d') || ' 2001-01-01' AS joined FROM orders")
 def m6(spark, d):
     text = F.concat(F.lit("launched "), F.col("o_orderdate").cast("date").cast("string"), F.lit(", again 2001-01-01"))

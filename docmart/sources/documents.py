@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,11 +16,29 @@ from ..functions.text import normalize_whitespace, title_case
 BLOCKS = "array<struct<type:int,lines:array<struct<spans:array<struct<size:double,text:string,color:int,x:double,y:double,font:string>>>>>>"
 RECORD = (
     "fund string, amc_name string, main_scheme_name string, scheme_launch_date string, benchmark_index string, min_amt string, min_amt_multiple string, "
+    "fund_manager array<struct<managing_fund_since:string,name:string,qualification:string,total_exp:string>>, "
     "load array<struct<comment:string,type:string>>, metrics array<struct<name:string,value:string>>"
 )
 DOCUMENT = f"metadata struct<document_name:string,file_type:string,process_date:string>, records array<struct<value:struct<{re.sub(r'(^|, )(\w+) ', r'\1\2:', RECORD)}>>>"
 
 
+def work_folder(spark: SparkSession) -> str:
+    """A new folder where driver and executors can all write: in ``spark.checkpoint.dir``; where that is not set, on a single machine only, a temporary one."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = tempfile.gettempdir()
+    return f"{base}/docmart-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The same rows, written to the shared folder and read from there: what they are cannot change any more."""
+    path = f"{work_folder(df.sparkSession)}/cut"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def list_files(spark: SparkSession, path: str, glob: str = "*.pdf") -> DataFrame:
     """Files below a folder as (path, mtime, length), without reading them."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
@@ -128,9 +148,9 @@ def append_ledger(processed: DataFrame, path: str) -> None:
 
 
 def jdbc_options(spark: SparkSession, table: str) -> dict[str, str]:
-    """Connection options from the session's configuration; none are kept in code."""
-    conf = lambda k, d="": spark.conf.get(f"spark.docmart.jdbc.{k}", d)
-    return {"url": conf("url"), "user": conf("user"), "password": conf("password"), "driver": conf("driver"), "dbtable": table}
+    """Connection options from the session's configuration; none are kept in code, and what is not set is left out."""
+    conf = {k: spark.conf.get(f"spark.docmart.jdbc.{k}", "") for k in ("url", "user", "password", "driver")}
+    return {k: v for k, v in conf.items() if v} | {"dbtable": table}
 
 
 def write_mart(rows: DataFrame, table: str, mode: str = "append") -> None:

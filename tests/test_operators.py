@@ -1,9 +1,12 @@
 """Operators on small tables."""
 
+import json
 import random
 
+import pandas as pd
 from pyspark.sql import functions as F
 
+from docmart.functions import extract as E
 from docmart.operators import cells as C
 from docmart.operators import layout as L
 from docmart.operators import mart as M
@@ -90,3 +93,116 @@ def test_two_sources(spark):
 
 def test_page_ranges(spark):
     assert spark.range(1).select(expand_pages(F.lit("3,4, 6-8,x,4,9-7"))).first()[0] == [3, 4, 6, 7, 8]
+
+
+def test_registered_extractors_dispatch(spark):
+    """A registered extractor, a list one and a pandas one, through a level of dispatch."""
+    E.register_extractor("upper", lambda c, rule: F.upper(c))
+    E.register_extractor("chars", lambda c, rule: F.split(c, ""), kind="a")
+
+    def backwards(text: pd.Series, rule: pd.Series) -> pd.Series:
+        return text.str[::-1] + rule.map(lambda r: json.loads(r)["end"])
+
+    E.register_pandas_extractor("reversed", backwards)
+    f = fields(spark, [("name", "s", "abc", None, None), ("list", "s", "xy", None, None), ("back", "s", "abc", None, None), ("other", "s", "z", None, None)])
+    level = [R.Dispatch("name", "upper"), R.Dispatch("list", "chars"), R.Dispatch("back", "reversed", {"end": "!"})]
+    assert shown(R.apply_level(f, level)) == {"name": "ABC", "list": ["x", "y"], "back": "cba!", "other": "z"}
+
+
+def test_every_registered_extractor_builds(spark):
+    two, people = {"pattern": r"(\w+) (\w+)"}, {"pattern": r"(\w+)", "fields": ("name",)}
+    rules = {
+        **dict.fromkeys(E.EXTRACTORS, two), "scheme": {"keywords": ["ab", "cd"]}, "metrics": {"key": "a", "value": "b"}, "aligned": {"key": "a", "value": "b"}, "managers": people, "reversed": {"end": ""},
+        "people": {"name": r"\w+", "since": r"\d+", "exp": r"\d+"}, "assets": {"pattern": r"(\w+) (\w+)", "order": ("instrument_type", "min")}, "text": {"pattern": "x"}, "first": {"pattern": "x"}, "first_or_text": {"pattern": "x"}, "benchmark": {"pattern": "x"}, "date": {"pattern": "x"},
+    }
+    kinds = {"s": "string", "a": "array<string>", "m": "array<string>", "d": "array<struct<k:string,v:string>>"}
+    for name, e in E.EXTRACTORS.items():
+        got = spark.range(1).select(e.build(F.lit("ab cd"), rules[name]).alias("v"))
+        assert got.schema["v"].dataType.simpleString() == kinds[e.kind_of(rules[name])], name
+        assert len(got.collect()) == 1
+
+
+def test_many_rules(spark):
+    f = fields(spark, [("k0", "s", "v", None, None)])
+    got = shown(K.clone_keys(f, [(f"k{i + 1}", f"k{i}$") for i in range(30)]))
+    assert got == {f"k{i}": "v" for i in range(31)}
+
+
+def test_keys_inside_dictionaries_are_dropped(spark):
+    f = fields(spark, [("a.b", "s", "1", None, None), ("d", "d", None, None, [("entry load", "x"), ("p.entry", "y"), ("exit", "z")])])
+    from docmart.operators.predicates import drop_keys_at_any_level
+
+    assert shown(drop_keys_at_any_level(f, ["^entry", "^b$"])) == {"d": [("exit", "z")]}
+
+
+def test_titles_of_one_key(spark):
+    rows = [(1, 0, 0, "A b"), (1, 0, 1, "x"), (1, 1, 0, "a  B"), (1, 1, 1, "y"), (1, 2, 0, None), (1, 2, 1, "z")]
+    df = spark.createDataFrame(rows, "doc_id long, row_no int, col_no int, text string")
+    got = {g.title: list(g.texts) for g in C.collect_by_title(C.fill_titles(df)).collect()}
+    assert got == ({"a_b": ["x"], "a__b": ["y", "z"]} if "a__b" in got else {"a_b": ["y", "z"]})
+    same = df.withColumn("text", F.regexp_replace("text", "  ", " "))
+    assert [list(g.texts) for g in C.collect_by_title(C.fill_titles(same)).collect()] == [["y", "z"]]
+
+
+def test_numbers_of_a_dimension(spark):
+    names = spark.createDataFrame([(f"Customer {k:05d}",) for k in range(500)] + [("Customer 00001",), (None,)], "name string").repartition(7)
+    known = spark.createDataFrame([("Customer 00010", 4), ("old", 9)], "name string, id long")
+    got = {r.name: r.id for r in M.dense_dimension_keys(names, known, "name", "id").collect()}
+    fresh = [f"Customer {k:05d}" for k in range(500) if k != 10]
+    assert got == {"Customer 00010": 4, "old": 9} | {n: 10 + k for k, n in enumerate(fresh)}
+    empty = M.dense_dimension_keys(names.limit(0), known.limit(0), "name", "id")
+    assert empty.count() == 0
+
+
+def test_report_keeps_every_hit(spark):
+    hits = spark.createDataFrame([(1, 1, ["a", "b", "c"], 3)], "doc_id long, page long, hits array<string>, n_hits int")
+    titles = spark.createDataFrame([(1, 1, "t"), (1, 2, "u")], "doc_id long, page long, title string")
+    got = {r.page: (r.n_hits, r.idx_1, r.idx_2, r.idx_3) for r in M.page_report(hits, titles, ["a", "b", "c"]).collect()}
+    assert got == {1: (3, "a", "b", "c"), 2: (0, None, None, None)}
+
+
+def test_two_named_keys(spark):
+    f = fields(spark, [("x.a", "a", None, ["1"], None), ("x.b", "a", None, ["2"], None), ("y.a", "s", "only", None, None), ("a", "s", "t", None, None), ("b", "d", None, None, [("k", "v")]), ("c", "s", "c", None, None)])
+    assert shown(K.merge_named(f, "a", "b")) == {"x.a": ["1", "2"], "y.a": "only", "a": ["t", "v"], "c": "c"}
+
+
+def test_rules_by_house(spark):
+    rows = [(1, "f", "h0", 0, "a", "s", "1", None, None), (2, "f", "h1", 0, "a", "s", "2", None, None), (3, "f", "h9", 0, "a", "s", "3", None, None)]
+    f = spark.createDataFrame(rows, "doc_id long, fund string, amc_key string, ord long, key string, kind string, s string, arr array<string>, kv array<struct<k:string,v:string>>")
+    got = lambda df: sorted((r.doc_id, r.key, r.s) for r in df.collect())
+    merged = K.merge_keys(f, R.Houses({"h0": [("m", ["a"])], "h1": [("n", ["zzz"]), ("m2", ["^a"])]}))
+    assert sorted((r.doc_id, r.key, r.amc_key) for r in merged.collect()) == [(1, "m", "h0"), (2, "m2", "h1"), (3, "a", "h9")]
+    filled = K.fill_defaults(f, R.Houses({"h1": {"a": "x", "b": "y"}}))
+    assert got(filled) == [(1, "a", "1"), (2, "a", "2"), (2, "b", "y"), (3, "a", "3")]
+    combined = K.combine_keys(f, R.Houses({"h0": [("all", ["a"])]}))
+    assert sorted(r.key for r in combined.collect()) == ["a", "a", "all"]
+
+
+def test_vintages_and_skipped_houses(spark, tmp_path):
+    path = tmp_path / "rules"
+    path.mkdir()
+    (path / "a.json").write_text('{"amc_key": "a", "rules": {"h": [["n", "p"]]}}\n{"amc_key": "a", "vintage": "2019", "rules": {"h": [["o", "q"], ["n", "p"]]}}\n{"amc_key": "b", "rules": {"h": [["x", "y"]]}}\n')
+    rules = R.read_rules(spark, str(path))
+    assert R.houses(rules, "h") == {"a": [("n", "p")], "b": [("x", "y")]}
+    assert R.houses(rules, "h", "2019") == {"a": [("o", "q"), ("n", "p")], "b": [("x", "y")]}
+    wanted = spark.createDataFrame([("a",), ("c",), (None,)], "amc_key string")
+    assert [r.amc_key for r in R.skipped(wanted, rules).collect() if r.amc_key] == ["c"]
+
+
+def test_keyword_spans_by_plain_search(spark):
+    import re
+
+    r = random.Random(5)
+    words = ["Alpha", "beta", "Gamma", "x", "\n", " ", "y z", "alphabet"]
+    texts = ["".join(r.choices(words, k=r.randint(0, 25))) for _ in range(150)] + ["", "Alpha", "Alpha beta", "beta Gamma Alpha x beta y"]
+    keys = ["Alpha", "beta", "Gamma", "END"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    for ignore in (False, True):
+        flags = re.S | (re.I if ignore else 0)
+        got = {g.id: [tuple(x) for x in g.kv] for g in df.select("id", E.keyword_spans("text", keys, ignore_case=ignore).alias("kv")).collect()}
+        for i, text in enumerate(texts):
+            want = {}
+            for a, b in zip(keys, keys[1:]):
+                for m in re.finditer(rf"(\b{a}\b)\s*(.*?)\s*(?:\b{b}\b|\Z|(?=\n\Z))", text.strip(), flags):
+                    want.setdefault(m[1].lower(), m[2].strip())
+            assert dict(got[i]) == want, text

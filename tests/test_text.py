@@ -106,4 +106,4 @@ def test_positional_pairs(spark):
 
 def test_registered_extractor(spark):
     E.register_extractor("upper", lambda c, rule: F.upper(c))
-    assert one(spark, E.EXTRACTORS["upper"](F.lit("a"), {})) == "A"
+    assert one(spark, E.EXTRACTORS["upper"].build(F.lit("a"), {})) == "A"
