@@ -432,19 +432,40 @@ def w2(spark, d):
     return W.settled(table(spark, d, "events"), F.lit("2024-01-15 00:00:00").cast("timestamp_ntz"), mtime="ts").select("event_id")
 
 
+@query("w2b_held_back", "SELECT event_id AS file_name, CASE WHEN ts <= TIMESTAMP '2024-01-15 00:00:00' - INTERVAL 300 SECOND THEN 0 ELSE 1 END AS batch FROM events WHERE ts <= TIMESTAMP '2024-02-01 00:00:00' - INTERVAL 300 SECOND")
+def w2b(spark, d):
+    """Two batches: what has not settled at the first waits, and is released with the second if it has by then."""
+    path = work_folder(spark)
+    clock = ["2024-01-15 00:00:00", "2024-02-01 00:00:00"]
+    now = lambda: F.lit(clock[batch[0]]).cast("timestamp_ntz")
+    batch = [0]
+    hold = W.hold_until_settled(f"{path}/held", lambda rows, k: rows.write.mode("overwrite").parquet(f"{path}/out/batch={k}"), now, mtime="ts")
+    e = table(spark, d, "events").select(F.col("event_id").alias("file_name"), "ts", "event_type", "value")
+    hold(e, 0)
+    batch[0] = 1
+    hold(e.limit(0), 1)  # no new files
+    return spark.read.parquet(f"{path}/out").select("file_name", F.col("batch").cast("int").alias("batch"))
+
+
 @query("w3_isolation", "SELECT event_id, concat_ws(',', CASE WHEN value < 5 THEN 'value' END, CASE WHEN event_type = 'error' THEN 'type' END) AS error FROM events WHERE value < 5 OR event_type = 'error' OR value IS NULL")
 def w3(spark, d):
     _, failed = W.isolate(table(spark, d, "events"), {"value": F.col("value") >= 5, "type": F.col("event_type") != "error"})
     return failed.select("event_id", "error")
 
 
-@query("w4_batch_outputs", "SELECT CASE WHEN value >= 5 THEN 'done' ELSE 'failed' END AS status, count(*) AS n FROM (SELECT value FROM events UNION ALL SELECT value FROM events WHERE event_id % 20 = 0) GROUP BY 1")
+@query("w4_batch_outputs", """
+WITH r AS (SELECT value FROM events UNION ALL SELECT value FROM events WHERE event_id % 20 = 0), t AS (SELECT CASE WHEN value >= 5 THEN 'done' ELSE 'failed' END AS status, count(*) AS n FROM r GROUP BY 1)
+SELECT status, n, n AS in_ledger, CASE status WHEN 'done' THEN n END AS in_json FROM t""")
 def w4(spark, d):
+    """JSON, ledger and summary of each batch; the files of finished batches move to the archive."""
     path = work_folder(spark)
     _drop_folder(spark, d, path)
     outputs = W.batch_outputs(f"{path}/out", {"value": F.col("value") >= 5})
-    W.run_batches(W.watch_folder(spark, f"{path}/drop", _EVENT_SCHEMA, per_trigger=3), outputs, f"{path}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{path}/out/summary").groupBy("status").agg(F.sum("n").alias("n"))
+    W.run_batches(W.watch_folder(spark, f"{path}/drop", _EVENT_SCHEMA, per_trigger=3, archive=f"{path}/archive"), outputs, f"{path}/checkpoint").awaitTermination()
+    summary = spark.read.parquet(f"{path}/out/summary").groupBy("status").agg(F.sum("n").alias("n"))
+    ledger = spark.read.parquet(f"{path}/out/ledger").groupBy("status").agg(F.count(F.lit(1)).alias("in_ledger"))
+    good = spark.read.schema("file_name long").json(f"{path}/out/good").groupBy().agg(F.count(F.lit(1)).alias("in_json")).withColumn("status", F.lit("done"))
+    return summary.join(ledger, "status").join(good, "status", "left").select("status", "n", "in_ledger", "in_json")
 
 
 @query("w5_repeats", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")

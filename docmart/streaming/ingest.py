@@ -1,26 +1,57 @@
-"""Incremental ingest: a drop folder as a stream, one good or failed row for each document, idempotent outputs by batch."""
+"""Incremental ingest: a drop folder as a stream, settled files, one good or failed row for each document, idempotent outputs by batch."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 
-def watch_folder(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", per_trigger: int | None = None) -> DataFrame:
-    """New files of a drop folder; the query's checkpoint remembers which were seen."""
+def watch_folder(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", per_trigger: int | None = None, archive: str | None = None) -> DataFrame:
+    """New files of a drop folder; the query's checkpoint remembers which were seen.
+
+    With ``archive``, a folder outside the drop folder, files of finished batches move there.
+    """
     reader = spark.readStream.format(fmt).schema(schema)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return (reader.option("maxFilesPerTrigger", per_trigger) if per_trigger else reader).load(path)
 
 
 def settled(rows: DataFrame, now: Column, seconds: int = 300, mtime: str = "mtime") -> DataFrame:
-    """Rows of files that have not changed for a while; the others wait for a later batch."""
+    """Rows of files that have not changed for a while."""
     return rows.where(F.col(mtime) <= now - F.make_interval(secs=F.lit(seconds)))
 
 
+def _table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def hold_until_settled(held: str, outputs: Callable[[DataFrame, int], None], now: Callable[[], Column] = F.current_timestamp, seconds: int = 300, mtime: str = "mtime") -> Callable[[DataFrame, int], None]:
+    """Batches in which rows of files that are not settled yet wait in the folder ``held`` and go on with a later batch.
+
+    Each batch writes what it holds back under its own number and reads that of the batch before, so a
+    repeated batch does the same again. Call the result with an empty batch to release what is held when no files come.
+    """
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        waiting = rows.unionByName(_table(rows.sparkSession, f"{held}/batch={batch_id - 1}", rows.schema))
+        ripe = F.coalesce(F.col(mtime) <= now() - F.make_interval(secs=F.lit(seconds)), F.lit(True))
+        waiting.where(~ripe).write.mode("overwrite").parquet(f"{held}/batch={batch_id}")
+        outputs(waiting.where(ripe), batch_id)
+
+    return write
+
+
 def isolate(rows: DataFrame, checks: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
     """Good rows, and failed ones with the names of the checks that did not hold as ``error``."""
     failed = F.array_compact(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in checks.items()]))
@@ -39,14 +70,20 @@ def run_batches(stream: DataFrame, outputs: Callable[[DataFrame, int], None], ch
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="10 seconds")).start()
 
 
-def batch_outputs(path: str, checks: dict[str, Column]) -> Callable[[DataFrame, int], None]:
-    """Good rows, failed rows and a summary of each batch, under its number: a repeated batch replaces its own output."""
+def batch_outputs(path: str, checks: dict[str, Column], name: Column | None = None) -> Callable[[DataFrame, int], None]:
+    """Good rows as JSON, failed rows, the ledger and a summary of each batch, under its number: a repeated batch replaces its own output.
+
+    ``name`` is the document's name in the ledger, ``file_name`` by default.
+    """
 
     def write(rows: DataFrame, batch_id: int) -> None:
         good, failed = isolate(rows, checks)
-        good.write.mode("overwrite").parquet(f"{path}/good/batch={batch_id}")
+        good.write.mode("overwrite").json(f"{path}/good/batch={batch_id}")
         failed.write.mode("overwrite").parquet(f"{path}/failed/batch={batch_id}")
-        counts = good.select(F.lit("done").alias("status")).unionByName(failed.select(F.lit("failed").alias("status"))).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
-        counts.write.mode("overwrite").parquet(f"{path}/summary/batch={batch_id}")
+        file_name = (F.col("file_name") if name is None else name).cast("string").alias("file_name")
+        entry = lambda df, status: df.select(F.lit(batch_id).cast("long").alias("run"), file_name, F.lit(f"{path}/{'good' if status == 'done' else 'failed'}").alias("path"), F.lit(status).alias("status"))
+        entry(good, "done").unionByName(entry(failed, "failed")).write.mode("overwrite").parquet(f"{path}/ledger/batch={batch_id}")
+        ledger = rows.sparkSession.read.parquet(f"{path}/ledger/batch={batch_id}")
+        ledger.groupBy("status").agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{path}/summary/batch={batch_id}")
 
     return write
