@@ -30,6 +30,7 @@ from .shared import batch
 
 #: Rounds of runs and pairs. A symbol then covers about (4/3)**ROUNDS words, 2**ROUNDS at most but for runs.
 ROUNDS = 3
+CONTEXT = 16
 
 RESULT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string())])
 
@@ -96,10 +97,16 @@ def recompress(names: np.ndarray, bounds: np.ndarray, rounds: int) -> tuple[np.n
 
 
 def interior_symbols(rounds: int):
-    """Anchor of each window: the least of the symbols that its own words decide."""
+    """Anchor of each window: of the symbols that its own words decide, the one whose words have the least name.
+
+    A symbol goes by the words that decided it, and ``CONTEXT`` words at least, so that two documents rarely share one by chance, however many there are.
+    """
 
     def anchors(codes, bounds, starts, width):
-        names, lo, hi = recompress(codes, bounds, rounds)
+        _, lo, hi = recompress(codes, bounds, rounds)
+        hi = np.maximum(hi, lo + min(CONTEXT, width))
+        pre = K.prefix(codes)
+        names = K.ranges(pre, np.clip(lo, 0, len(codes)), np.clip(hi, 0, len(codes)))
         a = np.searchsorted(np.minimum.accumulate(lo[::-1])[::-1], starts)
         b = np.searchsorted(np.maximum.accumulate(hi), starts + width, side="right")
         place_of = place_bits(len(names))
@@ -120,7 +127,7 @@ def interior_symbols(rounds: int):
         name = np.empty(len(starts), np.uint64)
         name[some] = names[place[some]]
         own = starts[~some]
-        name[~some] = K.ranges(K.prefix(codes), own, own + width)
+        name[~some] = K.ranges(pre, own, own + width)
         return place, name
 
     return anchors
