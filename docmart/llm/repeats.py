@@ -41,7 +41,9 @@ _ITEM = [np.uint64, np.int64, np.int32, np.uint8]
 _MEMBER = [np.uint64, np.int64, np.int64]
 _TEXT = [np.uint64, np.int64, np.int32, np.uint8, np.int32]
 #: Flush packed rows after so many bytes of text (first pass) and of stretches (second pass): the working memory of a task.
-FLUSH_BYTES, FLUSH_TEXTS = 16 << 20, 8 << 20
+FLUSH_BYTES, FLUSH_TEXTS = 8 << 20, 4 << 20
+#: Windows that are sorted at a time.
+CHUNK = 1 << 17
 #: Input text of a shuffle partition and of a bucket in it.
 PART_BYTES, BUCKET_BYTES = 64 << 20, 2 << 20
 HOT = 1 << 14
@@ -274,6 +276,21 @@ def _unpack_texts(blobs: list[np.ndarray]) -> list[np.ndarray]:
     return [np.concatenate(x) for x in zip(*heads, strict=True)] + [np.concatenate(data)]
 
 
+def _items(kind: Kind, t: Tokens, plain: np.ndarray, hot: np.ndarray, doc, at, n, name) -> Iterator[tuple[np.ndarray, ...]]:
+    """Stretches to send (document, first window, windows, name), those of hot anchors as single windows by their own names, some thousands at a time."""
+    own = np.flatnonzero(plain)
+    for i in range(0, len(own), CHUNK // 8):
+        k = own[i : i + CHUNK // 8]
+        yield doc[k], at[k], n[k], name[k]
+    own = np.flatnonzero(hot)
+    pre = K.prefix(t.codes) if len(own) else None
+    for i in range(0, len(own), CHUNK // LONGEST):
+        k = own[i : i + CHUNK // LONGEST]
+        m = n[k]
+        first = np.repeat(at[k] - (np.cumsum(m) - m), m) + np.arange(int(m.sum()))
+        yield np.repeat(doc[k], m), first, np.ones(len(first), np.int64), K.ranges(pre, first, first + kind.width)
+
+
 def texts_of(kind: Kind, bits: int):
     """Before the shuffle: the texts of shared stretches (rows doc, text, codes), without those that the batch itself has in a smaller document."""
     width = kind.width
@@ -283,7 +300,7 @@ def texts_of(kind: Kind, bits: int):
         start = np.cumsum(length.astype(np.int64)) - length
         gone = repeated(data, start, length, name, doc)
         rows = [*_pack_texts(bits, *(x[~gone] for x in (name, doc, at, n, length, start)), data)]
-        rows += pack(name[gone], bits, [doc[gone], _code(at[gone], n[gone])], kind=1)
+        rows += pack(K.mix(doc[gone].astype(np.uint64)), bits, [doc[gone], _code(at[gone], n[gone])], kind=1)  # done, so any bucket will do
         yield from _rows(rows)
 
     def run(batches):
@@ -306,23 +323,15 @@ def texts_of(kind: Kind, bits: int):
                     if z > a:
                         take[a + own], hot[a + own] = True, is_hot
                 hot &= take
-                for own, single in ((take & ~hot, False), (hot, True)):
-                    d, first, m, called = doc[own], at[own], n[own], name[own]
-                    if not len(d):
-                        continue
-                    if single:
-                        first = np.repeat(first - (np.cumsum(m) - m), m) + np.arange(int(m.sum()))
-                        d = np.repeat(d, m)
-                        called = K.ranges(K.prefix(t.codes), first, first + width)
-                        m = np.ones(len(d), np.int64)
+                for d, first, m, called in _items(kind, t, take & ~hot, hot, doc, at, n, name):
                     begin, stop = t.start[first], t.end[first + m - 2 + width]
                     text = gathered(t.data, begin, stop - begin)
                     for p, x in zip(parts, (called, ids[s.rows[d]], (first - t.bounds[d]).astype(np.int32), m.astype(np.uint8), (stop - begin).astype(np.int32), text), strict=True):
                         p.append(x)
                     size += len(text) + 25 * len(d)
-                if size >= FLUSH_TEXTS:
-                    yield from flush(parts)
-                    parts, size = [[] for _ in range(6)], 0
+                    if size >= FLUSH_TEXTS:
+                        yield from flush(parts)
+                        parts, size = [[] for _ in range(6)], 0
         if parts[0]:
             yield from flush(parts)
 
@@ -345,9 +354,9 @@ def settle_texts(kind: Kind):
         several = np.minimum.reduceat(doc[left], where) < np.maximum.reduceat(doc[left], where)
         left = left[np.repeat(several, np.diff(np.append(where, len(left))))]
         total = np.cumsum(n[left].astype(np.int64))
-        part = total // (1 << 20)
+        part = total // CHUNK
         _, group = np.unique(name[left], return_inverse=True)
-        # about a million windows at a time, all of a name together
+        # a chunk of windows at a time, all of a name together
         part = part[np.searchsorted(group, group)]
         for p in np.unique(part):
             own = left[part == p]
