@@ -133,7 +133,8 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
 
     Turns are ordered by turn, then role, then text, so ties and repeated rows
     have a fixed order and all stay.  Null roles and texts are empty; a null
-    turn comes first; rows with a null conversation form one.  Other columns are ignored.
+    turn comes first; rows with a null conversation form one.  A text is encoded whole, however long; an empty
+    table gives an empty one.  Other columns, of any name, are ignored.
     """
     blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     turn = F.struct(F.col(turn_col).alias("turn"), blank(role_col).alias("role"), blank(text_col).alias("text"))

@@ -30,7 +30,7 @@ def boilerplate(docs: DataFrame, host: Column, ratio: float, min_pages: int) ->
     return counts.join(totals, "host").where(F.col("n") > ratio * F.col("pages")).select("host", "name")
 
 
-def line_dedup(docs: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
+def line_dedup(docs: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", counts: bool = True) -> DataFrame:
     """Drop lines that more than ``ratio`` of a host's pages contain, and at least ``min_pages`` of them.
 
     Returns the input's columns, the text without those lines, and ``line_total``
@@ -39,9 +39,10 @@ def line_dedup(docs: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES
 
     A null text stays null with 0 lines but counts as a page; a null host is a
     host of its own.  Ids may be null or repeat: a page is a row.  Input
-    columns that are named line_total or line_dropped are replaced.
+    columns that are named line_total or line_dropped are replaced; without ``counts`` they pass through,
+    as all others do. Repeated rows give repeated rows, an empty table an empty one.
     """
-    row = [c for c in docs.columns if c not in ("line_total", "line_dropped")]
+    row = [c for c in docs.columns if not counts or c not in ("line_total", "line_dropped")]
     host = F.coalesce(F.concat(F.lit("h"), F.col("row")[host_col].cast("string")), F.lit(""))
     packed = docs.select(F.struct("*").alias("row")).select("row", F.col("row")[id_col].alias("id"), host.alias("host"), F.col("row")[text_col].alias("text"))
     common = boilerplate(packed, F.col("host"), ratio, min_pages)
@@ -55,7 +56,8 @@ def line_dedup(docs: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES
     total = F.when(F.col("text").isNull(), F.lit(0).cast("long")).otherwise(total)
     dropped = F.when(F.col("text").isNull(), F.lit(0).cast("long")).otherwise((F.size(_lines("text")) - F.size("kept")).cast("long"))
     text = F.when(F.col("text").isNotNull(), F.array_join("kept", "\n"))
-    return both.select(*[(text if c == text_col else F.col("row")[c]).alias(c) for c in row], total.alias("line_total"), dropped.alias("line_dropped"))
+    kept_row = [(text if c == text_col else F.col("row")[c]).alias(c) for c in row]
+    return both.select(*kept_row, *([total.alias("line_total"), dropped.alias("line_dropped")] if counts else []))
 
 
 def op9_line_dedup(spark, sf_dir: str) -> DataFrame:

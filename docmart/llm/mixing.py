@@ -64,7 +64,7 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, id_col
     (1, 2, ... for a document) and ``mix_order`` (the hash that rows are dealt and sorted by).
 
     A null source counts as the source ``''``, a null id as the text ``null``.  Rows
-    with equal ids get equal counts.  Input columns that are named mix_copy or mix_order are replaced.
+    with equal ids get equal counts; texts, null, empty or very long, are only carried along; an empty table gives an empty one.  Input columns that are named mix_copy or mix_order are replaced.
     """
     source, seeds = F.coalesce(F.col(source_col).cast("string"), F.lit("")), F.lit(str(seed))
     ident = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))

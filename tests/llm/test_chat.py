@@ -46,3 +46,13 @@ def test_conversations(spark):
     formatted = C.format_chats(df).collect()
     assert all(len(f.token_ids) == len(f.loss_mask) for f in formatted)
     assert C.format_chats(df.limit(0)).count() == 0
+
+
+def test_odd_tables(spark):
+    """A very long text, empty and null ones, repeated rows, and columns that clash with the operator's own."""
+    long = "tok <|end|> é " * 60_000
+    rows = [(1, 0, "user", long, "x", 1), (1, 1, "assistant", long, "x", 1), (2, 0, "assistant", "", None, None), (2, 0, "assistant", "", None, None), (3, 5, None, None, "x", 1)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, formatted string, loss_mask int").repartition(2)
+    got = {g.conv_id: (g.n_turns, g.loss_chars) for g in C.read_back(C.format_chats(df)).collect()}
+    assert got == {1: (2, len(long)), 2: (2, 0), 3: (1, 0)}
+    assert C.read_back(C.format_chats(df.limit(0))).count() == 0

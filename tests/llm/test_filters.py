@@ -237,6 +237,15 @@ def test_line_dedup(spark):
     assert line_dedup(df.limit(0)).columns == ["doc_id", "text", "source", "line_total", "line_dropped"]
 
 
+def test_line_dedup_on_odd_rows(spark):
+    rows = [(k, "foot\n\t\n" + ("long " * 100_000 if k == 0 else f"b{k}"), "h", 9, "x") for k in range(12)] + [(1, "foot\n\t\nb1", "h", 9, "x"), (None, "", None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, line_total int, name string")
+    got = line_dedup(df, ratio=0.5, min_pages=3).collect()
+    assert all(g.text == "" if g.doc_id is None else g.text.startswith("\t\n") and g.line_total == 3 and g.line_dropped == 1 for g in got)  # a line of a tab is blank
+    kept = line_dedup(df, ratio=0.5, min_pages=3, counts=False)
+    assert kept.columns == df.columns and {g.line_total for g in kept.collect()} == {9, None}
+
+
 # pipeline
 
 
@@ -264,3 +273,30 @@ def test_pipeline(spark, tmp_path):
     assert len(got) > 180 and sum(k % 4 == 0 for k in got) < 6
     ids = {x.doc_id for x in corpus_pipeline.run(spark, d).collect()}
     assert ids <= set(got) and len(ids) > 90
+
+
+def test_pipeline_on_odd_rows(spark, tmp_path):
+    """Nulls in any column, empty texts, ties, repeated rows, a very long text, and columns that clash with those of the operators."""
+    r = random.Random(10)
+    schema = "doc_id long, text string, lang string, source string, n_chars long, line_total int, class_id string, score double, a string, row string"
+    more = (7, "c", 0.5, "a", "r")
+    rows = [(k, prose(r, 120), "en", f"s{k % 2}", 1, *more) for k in range(80)] + [(100 + k, junk(r, 150), "en", "s0", 1, *more) for k in range(30)]
+    odd = [(None, prose(r, 90), None, None, None, *[None] * 5), (200, None, "en", "s0", None, *more), (201, "", "en", None, 0, *more), (202, rows[3][1], "en", "s1", 1, *more), rows[4], rows[4], (203, prose(r, 200_000), "en", "s0", 1, *more), (None, None, None, None, None, *[None] * 5)]
+    labels = [(k, 1) for k in range(80)] + [(100 + k, 0) for k in range(30)] + [(None, 1), (3, None)]
+    for name, docs in (("some", rows + odd), ("none", [])):
+        d = str(tmp_path / name)
+        spark.createDataFrame(docs, schema).repartition(3).write.parquet(f"{d}/documents.parquet")
+        spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{d}/labels.parquet")
+        spark.createDataFrame([(1, rows[7][1]), (None, "x"), (2, None)], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+        frame = spark.read.parquet(f"{d}/documents.parquet")
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            frame = stage(spark, frame, d)
+            assert frame.columns == [c.split()[0] for c in schema.split(", ")]
+        kept = frame.collect()
+        last = corpus_pipeline.STAGES[-1][1](spark, frame, d)
+        assert last.columns == [*frame.columns, "mix_copy", "mix_order"] and (last.count() > 0) == bool(docs)
+        if docs:
+            ids = Counter(x.doc_id for x in kept)
+            assert ids[4] == 1 and ids[3] == 1 and 202 not in ids and 7 not in ids and ids[203] == 1 and ids[None] >= 1
+            assert all((x.line_total, x.class_id, x.score, x.a, x.row) == (more if x.doc_id is not None else (None,) * 5) for x in kept)
+            assert all(x.n_chars == (None if x.text is None else len(x.text)) for x in kept)
