@@ -3,6 +3,10 @@
 A stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as
 Parquet and read again as the next stage's docs.  All stages but the last return
 the columns of ``documents``.
+
+In all stages a null text is like an empty one and stays null where it stays; a text is taken whole, however
+long; further columns of any name pass through; an empty table gives an empty one.  Rows with null ids and
+repeated rows are told apart below.
 """
 
 from __future__ import annotations
@@ -24,28 +28,47 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go.
+
+    A null or empty text has the score of one empty passage. Each row is judged by its own text, so
+    repeated rows, and rows with a null id, go or stay by that alone.
+    """
     return filter_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boilerplate lines of a source go; a document whose lines all go stays, with an empty text."""
-    out = line_dedup(docs).withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    """Boilerplate lines of a source go; a document whose lines all go stays, with an empty text.
+
+    No row goes: null texts stay null, a null source is a source of its own, and each repeated row, or row with
+    a null id, counts as a page. ``n_chars`` is counted anew, null for a null text.
+    """
+    out = line_dedup(docs, counts=False).withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
+    """One document of each group of near duplicates stays, that of the least id.
+
+    Null, empty and wordless texts are like no other and stay, and so do rows with a null id. Of rows with one id
+    and text one stays; rows of one id with different texts go or stay together.
+    """
     return drop_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which benchmark passages cover a twentieth or more go."""
+    """Documents of which benchmark passages cover a twentieth or more go.
+
+    Null and empty texts have no words and stay; ids are not looked at, so repeated rows go or stay together.
+    """
     return filter_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources get equal weights, in a global random order."""
+    """Sources get equal weights, in a global random order.
+
+    Rows with equal ids get equal numbers of copies, null ids count as one id and a null source as the source ``''``. Adds
+    ``mix_copy`` and ``mix_order``, and replaces columns of these names.
+    """
     return mix_sources(docs)
 
 
