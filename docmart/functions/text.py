@@ -186,15 +186,14 @@ def clean_metric(fund, name, value, turnover_as_is: str = "(?!)") -> Column:
         hundredfold = lambda x: (F.expr("try_cast(null as double)") if x is None else x.try_cast("double") * 100).cast("bigint").cast("string")
         times = strip(F.regexp_replace(v, "(?i)times?$", ""))
         turnover = (
-            F.when(F.lower(fund).rlike(turnover_as_is), v)
+            F.when(fund.rlike(f"(?i){turnover_as_is}"), v)
             .when(v.rlike("(?i)times?$"), F.when(is_numeric(times), hundredfold(times)).otherwise(times))
             .when(v.endswith("%"), strip(F.regexp_replace(v, "%+$", "")))
             .when(is_numeric(v), hundredfold(v))
             .otherwise(v)
         )
         percent = F.when(v.endswith("%"), strip(F.regexp_replace(v, "%+$", ""))).otherwise(v)
-        low = F.lower(v)
-        divide = F.when(low.contains("day"), 365).when(low.contains("month"), 12).otherwise(1)
+        divide = F.when(v.rlike("(?i)day"), 365).when(v.rlike("(?i)month"), 12).otherwise(1)
         digits = F.regexp_replace(v, "[^0-9.]+", "")
         duration = F.when(is_numeric(digits), F.round(digits.try_cast("double") / divide, 4).cast("string")).otherwise(digits)
         out = F.when(name == "port_turnover_ratio", turnover).when(name.isin("std_dev", "ytm", "tracking_error"), percent).when(name.isin("avg_maturity", "macaulay", "mod_duration"), duration).otherwise(v)

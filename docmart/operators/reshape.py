@@ -33,7 +33,7 @@ def clone_keys(fields: DataFrame, rules) -> DataFrame:
         first = F.min(F.when(hit, F.col("ord"))).over(Window.partitionBy(*_FUND))
         rows = out.withColumn("_first", matches(hit & (F.col("ord") == first)))
         copy = row(F.col("ord") + 100_000_000 * (no + 1), by_house(step, lambda r: F.lit(r[0])), F.col("kind"), F.col("s"), F.col("arr"), F.col("kv"))
-        out = last_per_key(emit(rows, same_row(), F.when(F.col("_first"), copy)))
+        out = last_per_key(emit(rows, same_row(), copy, F.col("_first")))
     return out
 
 
@@ -100,7 +100,7 @@ def promote_keys(fields: DataFrame, rules, search: bool = False) -> DataFrame:
         rows = out.withColumn("_at", F.coalesce(by_house(step, place), F.lit(0)))
         left = F.when(F.col("_at") > 0, F.filter("kv", lambda x, i: i != F.col("_at") - 1)).otherwise(F.col("kv"))
         moved = row(F.col("ord") + 200_000_000 + no, by_house(step, lambda r: F.lit(r[1])), "s", F.element_at("kv", F.col("_at"))["v"])
-        out = last_per_key(emit(rows, same_row(kv=left), F.when(F.col("_at") > 0, moved)))
+        out = last_per_key(emit(rows, same_row(kv=left), moved, F.col("_at") > 0))
     return out
 
 
@@ -174,7 +174,7 @@ def split_amounts(fields: DataFrame, keys: Sequence[str] = ("min_amt", "min_addl
     hit = F.col("key").isin(*keys) & (F.col("kind") == "d")
     get = lambda k: F.coalesce(kv_get(F.col("kv"), k), F.lit(""))
     one, two = row(F.col("ord"), F.col("key"), "s", get("amt")), row(F.col("ord") + 1, F.concat(F.col("key"), F.lit("_multiple")), "s", get("thraftr"))
-    return emit(fields, F.when(hit, one).otherwise(same_row()), F.when(hit, two))
+    return emit(fields, F.when(hit, one).otherwise(same_row()), two, hit)
 
 
 def load_list(kv: Column, item: str = "comment") -> Column:
@@ -254,15 +254,17 @@ def documents_of(records: DataFrame, run_date: str, file_type: str = "FS") -> Da
     return got.select(meta.alias("metadata"), F.transform("x", lambda x: x["r"]).alias("records"))
 
 
-def merge_and_select(fields: DataFrame, rules: dict) -> DataFrame:
+def merge_and_select(fields: DataFrame, rules: dict, partitioned: bool = False) -> DataFrame:
     """The full chain from refined fields to records, in this order: clone, merge, clone, select, map, split amounts, defaults, key names, metric names, special rules, promote, value and manager clean-up, assembly.
 
     Every part of ``rules`` may be by house; ``metrics`` maps metric names, ``stop_words`` is a pattern that goes from managers' names.
+    Fields that lie together by document and fund already (``partitioned``) are not exchanged again.
     """
     from .predicates import select_keys
     from .rules import map_keys, special_pass
 
-    out = clone_keys(fields.repartition("doc_id", "fund"), rules.get("clone", ()))  # the chain's one exchange
+    fields = fields if partitioned else fields.repartition(*_FUND)  # the chain's one exchange
+    out = clone_keys(fields, rules.get("clone", ()))
     out = merge_keys(out, rules.get("merge", ()))
     out = clone_keys(out, rules.get("clone", ()))
     out = select_keys(out, rules["select"])

@@ -88,9 +88,9 @@ def each(fields: DataFrame, rows: Column) -> DataFrame:
     return fields.select(*own, F.explode(rows).alias("x")).select(*own, "x.*")
 
 
-def emit(fields: DataFrame, *items: Column) -> DataFrame:
-    """For each field the given rows, nulls left out: fields are added and replaced in one pass, without reading the table twice."""
-    return each(fields, F.array_compact(F.array(*items)))
+def emit(fields: DataFrame, first: Column, second: Column, when: Column) -> DataFrame:
+    """For each field one row, and a second one where the condition holds: fields are added and replaced in one pass, without reading the table twice."""
+    return each(fields, F.when(when, F.array(first, second)).otherwise(F.array(first)))
 
 
 def last_per_key(fields: DataFrame) -> DataFrame:
@@ -198,7 +198,7 @@ def special_pass(fields: DataFrame, rules: Sequence[tuple]) -> DataFrame:
     key = F.coalesce(*[F.when(F.col("_no") == k, F.lit(r[1])) for k, r in enumerate(rules)])
     kind = F.coalesce(*[F.when(F.col("_no") == k, F.lit(d.kind)) for k, d in enumerate(level)])
     made = row(F.col("ord") + 500_000_000, key, kind, of("s", "string"), of("am", "array<string>"), of("d", KV))
-    return last_per_key(emit(rows, same_row(), F.when(F.col("_no") >= 0, made)))
+    return last_per_key(emit(rows, same_row(), made, F.col("_no") >= 0))
 
 
 RULE_ROWS = "amc_key string, rule_table string, priority int, name string, pattern string, vintage string"

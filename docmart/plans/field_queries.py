@@ -333,11 +333,11 @@ def k15(spark, d):
 @query("minimum_slice", "SELECT p_partkey AS doc_id, p_name || ' Fund' AS fund, p_brand || ' TRI' AS benchmark_index, CAST(p_size * 100 AS VARCHAR) AS min_amt, CAST(1 + p_size % 5 AS VARCHAR) AS min_amt_multiple FROM part")
 def minimum_slice(spark, d):
     """Benchmark and minimum amount of each scheme, from the factsheet text itself."""
-    facts = view(spark, d, FACT)
+    facts = view(spark, d, FACT).withColumn("doc_id", F.col("doc_id").cast("long")).repartition("doc_id", "fund")  # before the extraction, so that it runs in all tasks
     keywords = ["Inception Date", "Benchmark", "Entry Load", "Exit Load", "Minimum Amount", "Turnover", "EOL"]
-    spans = facts.select(F.col("doc_id").cast("long").alias("doc_id"), "fund", F.posexplode(E.keyword_spans("text", keywords)).alias("ord", "x"))
+    spans = facts.select("doc_id", "fund", F.posexplode(E.keyword_spans("text", keywords)).alias("ord", "x"))
     none = F.lit(None)
     fields = spans.select("doc_id", "fund", "ord", normalize_key(F.col("x.k")).alias("key"), F.lit("s").alias("kind"), F.col("x.v").alias("s"), none.cast("array<string>").alias("arr"), none.cast(E.KV).alias("kv"))
     fields = R.apply_level(fields, [R.Dispatch("minimum", "amount", {"pattern": r"Rs\.(\d+) and multiples of (\d+)"})])
     rules = {"select": ["benchmark", "minimum"], "map": [("benchmark_index", "benchmark"), ("min_amt", "minimum")], "record": ["benchmark_index", "min_amt", "min_amt_multiple"]}
-    return K.merge_and_select(fields, rules).select("doc_id", "fund", *rules["record"])
+    return K.merge_and_select(fields, rules, partitioned=True).select("doc_id", "fund", *rules["record"])
