@@ -86,9 +86,12 @@ def l1(spark, d):
     return table(spark, d, "pages").select("page_id", L.page_title("html", "<title>(.*?)</title>").alias("title"))
 
 
-@query("l2_block_dedupe", f"SELECT min(doc_id) AS doc_id, page, text, x, min(block_no) AS block_no FROM ({SPANS}) GROUP BY doc_id, page, text, x")
+@query("l2_block_dedupe", f"SELECT doc_id, page, x, y, t, min(block_no) AS block_no FROM (SELECT doc_id, page, block_no, min(x) AS x, min(y) AS y, min_by(text, span_no) AS t FROM ({SPANS}) GROUP BY ALL) GROUP BY ALL")
 def l2(spark, d):
-    return L.dedupe_blocks(L.dedupe_spans(view(spark, d, SPANS), ["doc_id", "page", "block_no"], ["text", "x"]), ["doc_id", "page"], ["text", "x"]).select("doc_id", "page", "text", "x", "block_no")
+    """Blocks with their box and the first text of their lines, each delivered twice, the second time as a later block."""
+    blocks = view(spark, d, SPANS).groupBy("doc_id", "page", "block_no").agg(F.min("x").alias("x"), F.min("y").alias("y"), F.min_by("text", "span_no").alias("t"))
+    twice = blocks.withColumn("block_no", F.explode(F.array("block_no", F.col("block_no") + 100)))
+    return L.dedupe_blocks(twice, ["doc_id", "page"], ["x", "y", "t"]).select("doc_id", "page", "x", "y", "t", "block_no")
 
 
 @query("l3_reading_order", f"SELECT doc_id, span_no, row_number() OVER (PARTITION BY doc_id, page ORDER BY y, x, span_no) AS ord FROM ({SPANS})")
@@ -176,9 +179,16 @@ def l10(spark, d):
     return L.suffix_canonical(secs, ["doc_id"]).select("doc_id", "section_no", "header")
 
 
-@query("l11_snap_lines", None)
+_SNAPPED = f"""
+WITH RECURSIVE s AS MATERIALIZED (SELECT doc_id, page, span_no, x, y, text, row_number() OVER (PARTITION BY doc_id, page ORDER BY span_no) AS i FROM ({SPANS})),
+g AS (SELECT *, y AS baseline, [y] AS bases FROM s WHERE i = 1 UNION ALL
+  SELECT doc_id, page, span_no, x, y, text, i, CASE WHEN near.d <= 3 THEN near.b ELSE y END, CASE WHEN near.d <= 3 THEN bases ELSE list_append(bases, y) END
+  FROM (SELECT s.*, g.bases, list_sort([{{'d': abs(g.bases[k] - s.y), 'k': k, 'b': g.bases[k]}} for k in range(1, len(g.bases) + 1)])[1] AS near FROM g JOIN s ON s.doc_id = g.doc_id AND s.page = g.page AND s.i = g.i + 1))"""
+
+
+@query("l11_snap_lines", f"{_SNAPPED} SELECT doc_id, page, row_number() OVER (PARTITION BY doc_id, page ORDER BY baseline, x, span_no) - 1 AS line_ord, baseline, x, span_no, text FROM g")
 def l11(spark, d):
-    """Greedy baselines in arrival order, which SQL windows cannot express."""
+    """Greedy baselines in arrival order: SQL goes span by span."""
     return L.snap_lines(view(spark, d, SPANS), ["doc_id", "page"])
 
 
@@ -189,10 +199,14 @@ def l11b(spark, d):
     return L.snap_by_gap(view(spark, d, SPANS), ["doc_id", "page"]).select("doc_id", "span_no", "line_no")
 
 
-@query("l12_original_order", f"SELECT doc_id, section_no, CASE WHEN regexp_matches(header, '(?i)^(the|an|in)') THEN array_to_string(lines, '|') ELSE array_to_string(list_sort(lines), '|') END AS lines FROM ({_SECTIONS})")
+@query("l12_original_order", f"""{_SNAPPED}, t AS (SELECT doc_id, page, min_by(text, span_no) AS header, string_agg(text, '|' ORDER BY span_no) AS orig, string_agg(text, '|' ORDER BY baseline, x, span_no) AS snapped FROM g GROUP BY ALL)
+SELECT doc_id, page, CASE WHEN regexp_matches(header, '(?i)^(red|blue|small)') THEN orig ELSE snapped END AS lines FROM t""")
 def l12(spark, d):
-    secs = sections(spark, d).withColumnRenamed("lines", "lines_orig").withColumn("lines_snapped", F.array_sort("lines_orig"))
-    return L.original_order(secs, ["the", "an", "in"]).select("doc_id", "section_no", F.array_join("lines", "|").alias("lines"))
+    """Pages as sections that go by their first text; their lines as they arrived and as they are snapped to baselines."""
+    texts = lambda *order: F.transform(F.array_sort(F.collect_list(F.struct(*order, F.col("text").alias("_t")))), lambda r: r["_t"])
+    lines = L.snap_lines(view(spark, d, SPANS), ["doc_id", "page"])
+    secs = lines.groupBy("doc_id", "page").agg(F.min_by("text", "span_no").alias("header"), texts("span_no").alias("lines_orig"), texts("line_ord").alias("lines_snapped"))
+    return L.original_order(secs, ["red", "blue", "small"]).select("doc_id", "page", F.array_join("lines", "|").alias("lines"))
 
 
 @query("l13_canonical_fund", "SELECT p_partkey, CASE WHEN p_name LIKE '%1%' THEN 'One' WHEN p_name LIKE '%2%' THEN 'Two' ELSE trim(p_name) END AS fund FROM part")
