@@ -54,6 +54,8 @@ def by_house(rules, build: Callable[[object], Column]) -> Column:
     """``build(rule)`` for all fields or, of rules by house ``{amc_key: rule}``, for the fields of each; null where a house has none."""
     if not isinstance(rules, Houses):
         return build(rules)
+    if not rules:
+        return F.lit(None)
     return F.coalesce(*[F.when(F.col("amc_key") == house, build(rule)) for house, rule in rules.items()])
 
 
