@@ -158,7 +158,7 @@ class Ledger:
         scan_blobs(blobs, rules).select("blob", "kind", named, "begin", "end").distinct().write.parquet(f"{self.folder}/{part}/found")
         names = F.array(*[F.lit(r.name) for r in rules])
         blobs.select("blob", F.explode(F.coalesce("todo", names)).alias("rule")).distinct().write.parquet(f"{self.folder}/{part}/scanned")
-        self.spark.createDataFrame([(part,)], "part string").coalesce(1).write.mode("append").json(f"{self.folder}/parts")
+        self.spark.range(1).select(F.lit(part).alias("part")).coalesce(1).write.mode("append").json(f"{self.folder}/parts")
         number = F.array_position(names, F.col("rule")).cast("int") - 1
         found = self.read("found", self.FOUND).select("blob", "kind", number.alias("rule_no"), "begin", "end").where("rule_no >= 0")
         return by_path(versions, found)
