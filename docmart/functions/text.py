@@ -22,9 +22,13 @@ def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+#: All characters that ``\s`` matches under ``(?U)``.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(c) -> Column:
     """Remove white space of any kind from both ends."""
-    return F.regexp_replace(_c(c), r"(?U)^\s+|\s+$", "")
+    return F.btrim(_c(c), F.lit(WHITE))
 
 
 def normalize_whitespace(c) -> Column:

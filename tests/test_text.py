@@ -107,3 +107,12 @@ def test_positional_pairs(spark):
 def test_registered_extractor(spark):
     E.register_extractor("upper", lambda c, rule: F.upper(c))
     assert one(spark, E.EXTRACTORS["upper"].build(F.lit("a"), {})) == "A"
+
+
+def test_strip_as_the_pattern_does(spark):
+    from docmart.functions.text import WHITE
+
+    texts = [None, "", "a", *(f"{c}a{c}b{c}{c}" for c in WHITE), WHITE, "​a​", "\x00 a", "\x1ca\x1c", "\x1fb"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select(T.strip("t").alias("a"), F.regexp_replace("t", r"(?U)^\s+|\s+$", "").alias("b")).collect()
+    assert [r.a for r in got] == [r.b for r in got]
