@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .attention import op3_attention
 from .chat import op10_chat
 from .decontamination import op2_decontamination
-from . import chat, decontamination, line_dedup, mixing, quality_rules, recompression, secrets
+from . import chat, decontamination, line_dedup, mixing, quality_rules, recompression, secrets, suffix_array
 from .line_dedup import op9_line_dedup
 from .minhash import op1_minhash
 from .mixing import op8_mixing
@@ -38,6 +38,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_decontamination": decontamination.ORACLE_SQL,
         "op4_quality_rules": quality_rules.ORACLE_SQL,
+        "op5_suffix_array": suffix_array.ORACLE_SQL,
         "op6_recompression": recompression.ORACLE_SQL,
         "op7_secrets": secrets.ORACLE_SQL,
         "op8_mixing": mixing.ORACLE_SQL,

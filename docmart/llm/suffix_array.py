@@ -91,3 +91,20 @@ def suffix_array_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def op5_suffix_array(spark, sf_dir: str) -> DataFrame:
     return suffix_array_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+
+
+#: Every window of every text, as hex digits; those that one document has, by a hash, are left out first.
+ORACLE_SQL = """
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+c AS (SELECT rid, doc_id, b, substr(h, 512 * b + 1, 610) AS part FROM (SELECT *, unnest(range(0, strlen(h) // 512 + 1)) AS b FROM d)),
+w AS MATERIALIZED (SELECT rid, doc_id, i, g, hash(g) AS name FROM (SELECT rid, doc_id, 256 * b + j AS i, substr(part, 2 * j + 1, 100) AS g FROM (SELECT *, unnest(range(0, least(256, strlen(part) // 2 - 49))) AS j FROM c WHERE strlen(part) >= 100))),
+f AS (SELECT name FROM w GROUP BY name HAVING min(doc_id) < max(doc_id)),
+x AS (SELECT rid, doc_id, i, g FROM w JOIN f USING (name)),
+m AS (SELECT rid, i FROM (SELECT rid, i, doc_id, min(doc_id) OVER (PARTITION BY g) AS least_id FROM x) WHERE doc_id > least_id),
+s AS (SELECT rid, i, sum(apart) OVER (PARTITION BY rid ORDER BY i) AS k FROM (SELECT rid, i, CASE WHEN i > lag(i) OVER (PARTITION BY rid ORDER BY i) + 50 THEN 1 ELSE 0 END AS apart FROM m)),
+r AS (SELECT rid, min(i) AS a, max(i) + 50 AS z FROM s GROUP BY rid, k),
+p AS (SELECT rid, a, z, lag(z, 1, 0) OVER (PARTITION BY rid ORDER BY a) AS before FROM r),
+g AS (SELECT rid, count(*) AS n_spans, sum(z - a) AS n_removed, max(z) AS last_z, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept FROM p JOIN d USING (rid) GROUP BY rid)
+SELECT doc_id, strlen(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept || substr(h, 2 * last_z + 1), h))) AS kept_sha256
+FROM d LEFT JOIN g USING (rid)
+"""
