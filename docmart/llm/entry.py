@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from .attention import op3_attention
 from .chat import op10_chat
 from .decontamination import op2_decontamination
-from . import chat, decontamination, line_dedup, mixing, quality_rules, recompression, secrets, suffix_array
+from . import chat, decontamination, line_dedup, mixing, quality_rules, recompression, secrets, structure, suffix_array
 from .line_dedup import op9_line_dedup
 from .minhash import op1_minhash
 from .mixing import op8_mixing
 from .quality_rules import op4_quality_rules
 from .recompression import op6_recompression
 from .secrets import op7_secrets
+from .structure import op11_structure_repair
 from .suffix_array import op5_suffix_array
 
 
@@ -31,6 +32,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": op8_mixing,
         "op9_line_dedup": op9_line_dedup,
         "op10_chat": op10_chat,
+        "op11_structure_repair": op11_structure_repair,
     }
 
 
@@ -44,4 +46,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_mixing": mixing.ORACLE_SQL,
         "op9_line_dedup": line_dedup.ORACLE_SQL,
         "op10_chat": chat.ORACLE_SQL,
+        "op11_structure_repair": structure.ORACLE_SQL,
     }
