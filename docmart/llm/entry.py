@@ -13,6 +13,7 @@ from . import chat, decontamination, line_dedup, mixing, quality_rules, recompre
 from .line_dedup import op9_line_dedup
 from .minhash import op1_minhash
 from .mixing import op8_mixing
+from .packing import op12_packing
 from .quality_rules import op4_quality_rules
 from .recompression import op6_recompression
 from .secrets import op7_secrets
@@ -33,6 +34,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_line_dedup": op9_line_dedup,
         "op10_chat": op10_chat,
         "op11_structure_repair": op11_structure_repair,
+        "op12_packing": op12_packing,
     }
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -47,6 +48,21 @@ def shared_folder(spark: SparkSession) -> str:
     return found
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """The same rows as a Parquet table in the shared folder, which goes when the application ends."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    drop_at_end(spark, path)
+    return spark.read.parquet(path)
+
+
+def drop_at_end(spark: SparkSession, path: str) -> None:
+    """Delete a folder when the application ends."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+
+
 def pack(key: np.ndarray, bits: int, columns: Iterable[np.ndarray], kind: int = 0) -> Iterator[tuple[int, int, bytes]]:
     """Rows (bucket, kind, blob): the columns of all items whose key has the same leading bits, one after another."""
     if not len(key):
