@@ -123,8 +123,8 @@ def test_documents(spark):
             want.append((k, piece, at, len(part), zlib.crc32(np.array(part, "<u4").tobytes())))
     key = lambda x: tuple(-1 if v is None else v for v in x)
     assert sorted(((p.doc_id, p.piece, p.start, p.length, zlib.crc32(p.ids)) for p in got), key=key) == sorted(want, key=key)
-    least = -(-sum(x[3] for x in want) // capacity)
-    assert placed(got, capacity) <= least + 2
+    counts = np.bincount([x[3] for x in want], minlength=capacity + 1)
+    assert placed(got, capacity) == held(P.packed(counts), capacity)[1] <= held(P.best_fit(counts), capacity)[1] + 1
     whole = {s.sequence_id: s for s in P.sequences(pieces).collect()}
     for p in got:
         assert whole[p.sequence_id].ids[4 * p.offset : 4 * (p.offset + p.length)] == p.ids
