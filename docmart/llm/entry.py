@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from .attention import op3_attention
 from .chat import op10_chat
 from .decontamination import op2_decontamination
-from . import chat, decontamination, line_dedup, mixing, quality_rules, recompression, secrets, structure, suffix_array
+from . import chat, decontamination, line_dedup, mixing, prefix_trie, quality_rules, recompression, secrets, structure, suffix_array
 from .line_dedup import op9_line_dedup
 from .minhash import op1_minhash
 from .mixing import op8_mixing
 from .packing import op12_packing
+from .prefix_trie import op13_prefix_trie
 from .quality_rules import op4_quality_rules
 from .recompression import op6_recompression
 from .secrets import op7_secrets
@@ -35,6 +36,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_chat": op10_chat,
         "op11_structure_repair": op11_structure_repair,
         "op12_packing": op12_packing,
+        "op13_prefix_trie": op13_prefix_trie,
     }
 
 
@@ -49,4 +51,5 @@ def oracle_sql() -> dict[str, str]:
         "op9_line_dedup": line_dedup.ORACLE_SQL,
         "op10_chat": chat.ORACLE_SQL,
         "op11_structure_repair": structure.ORACLE_SQL,
+        "op13_prefix_trie": prefix_trie.ORACLE_SQL,
     }

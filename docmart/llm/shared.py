@@ -52,7 +52,7 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     """The same rows as a Parquet table in the shared folder, which goes when the application ends."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     drop_at_end(spark, path)
     return spark.read.parquet(path)
 

@@ -326,15 +326,22 @@ def op11_structure_repair(spark, sf_dir: str) -> DataFrame:
 
 
 
-#: SQL reads forward only: the least label (cost, then audit) of each state behind each row.
-ORACLE_SQL = """
-WITH RECURSIVE tab AS (
+#: SQL for a table ``tab`` with the list ``t`` of what each byte does to a CRC-32.
+CRC_TABLE = """tab AS (
   SELECT list(v ORDER BY i) AS t
   FROM (SELECT i, list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]), lambda a, z: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v FROM range(256) r(i))
-), k AS (
-  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce(list_prepend(4294967295,
-           list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda c: CAST(ord(c) AS BIGINT))),
-           lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % 20 AS kind
+)"""
+
+
+def crc32_sql(text: str) -> str:
+    """SQL for the CRC-32 of an ASCII text, with ``tab`` in reach."""
+    return f"xor(list_reduce(list_prepend(4294967295, list_transform(string_split({text}, ''), lambda c: CAST(ord(c) AS BIGINT))), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295)"
+
+
+#: SQL reads forward only: the least label (cost, then audit) of each state behind each row.
+ORACLE_SQL = f"""
+WITH RECURSIVE {CRC_TABLE}, k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {crc32_sql("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS kind
   FROM conversations, tab
 ), d AS (
   SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
