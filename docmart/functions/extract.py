@@ -1,7 +1,7 @@
 """Extractors: from a section's text to values, as column expressions.
 
-A rule's pattern is known when the plan is made, so it is a literal and the number of
-its groups picks the branch.  Key/value results are arrays of (k, v) structs: order
+A rule's pattern is a literal or, where rules stand in a table, a :class:`Pattern` column;
+the number of its groups is known when the plan is made and picks the branch.  Key/value results are arrays of (k, v) structs: order
 and repeated keys matter, which a map would lose.
 """
 
@@ -20,10 +20,26 @@ from .text import _c, let, strip, title_case
 KV = "array<struct<k:string,v:string>>"
 
 
-def joined(c, escape: str | None = None) -> Column:
+@dataclass(frozen=True)
+class Pattern:
+    """A pattern that stands in a column, and how many groups it has."""
+
+    column: Column
+    n_groups: int = 0
+
+
+def regex(*parts: str | Pattern) -> Column:
+    """A pattern of literal and column parts."""
+    if not any(isinstance(p, Pattern) for p in parts):
+        return F.lit("".join(parts))
+    columns = [p.column if isinstance(p, Pattern) else F.lit(p) for p in parts if p != ""]
+    return columns[0] if len(columns) == 1 else F.concat(*columns)
+
+
+def joined(c, escape: str | Pattern | None = None) -> Column:
     """A text without what ``escape`` matches, stripped."""
     text = _c(c)
-    return strip(F.regexp_replace(text, escape, "")) if escape else text
+    return strip(F.regexp_replace(text, regex(escape), F.lit(""))) if escape else text
 
 
 def join_list(lines: Column) -> Column:
@@ -31,11 +47,11 @@ def join_list(lines: Column) -> Column:
     return F.array_join(lines, " ")
 
 
-def find_all(text: Column, pattern: str, group: int | None = None, ignore_case: bool = True) -> Column:
+def find_all(text: Column, pattern: str | Pattern, group: int | None = None, ignore_case: bool = True) -> Column:
     """All matches, case aside: the only group if there is one, else the whole match."""
     if group is None:
         group = 1 if groups(pattern) == 1 else 0
-    return F.regexp_extract_all(text, F.lit("(?iu)" * ignore_case + pattern), F.lit(group))
+    return F.regexp_extract_all(text, regex("(?iu)" * ignore_case, pattern), F.lit(group))
 
 
 def _python(pattern: str) -> str:
@@ -43,7 +59,9 @@ def _python(pattern: str) -> str:
     return re.sub(r"\(\?[iuUsm]+\)", "", pattern).replace(r"\p{L}", "A").replace(r"\p{N}", "0")
 
 
-def groups(pattern: str) -> int:
+def groups(pattern: str | Pattern) -> int:
+    if isinstance(pattern, Pattern):
+        return pattern.n_groups
     return re.compile(_python(pattern)).groups
 
 
@@ -81,11 +99,11 @@ def keyword_spans(c, keywords: Sequence[str], escape: str | None = None, ignore_
     text = joined(c, escape)
     flags = "(?isu)" if ignore_case else "(?s)"
 
-    def span(start: str, end: str) -> Column:
-        # one scan gives key and text; neither can hold the end of line that stands between them
-        lazily = rf"{flags}(\b{start}\b)\s*(.*?)\s*(?:\b{end}\b|$)"
-        found = F.regexp_extract_all(text, F.lit(lazily), F.lit(0))
-        part = lambda x, g: F.regexp_extract(x, rf"{flags}^(\b{start}\b)\s*(.*?)\s*(?:\b{end}\b)?$", g)
+    def span(start: str | Pattern, end: str | Pattern) -> Column:
+        # one scan finds the spans, and each span is then read by itself
+        found = F.regexp_extract_all(text, regex(rf"{flags}(\b", start, r"\b)\s*(.*?)\s*(?:\b", end, r"\b|$)"), F.lit(0))
+        whole = regex(rf"{flags}^(\b", start, r"\b)\s*(.*?)\s*(?:\b", end, r"\b)?$")
+        part = lambda x, g: F.call_function("regexp_extract", x, whole, F.lit(g))
         return F.transform(found, lambda x: F.struct(strip(F.lower(part(x, 1))).alias("k"), strip(part(x, 2)).alias("v")))
 
     return first_wins(F.flatten(F.array(*[span(a, b) for a, b in zip(keywords, keywords[1:], strict=False)])))
@@ -126,8 +144,9 @@ def positional_pairs(c, key: str, value: str, escape: str | None = None, skip_re
     a value goes to the key at its head, and a value that no key waits for is dropped.
     """
     text = joined(c, escape)
-    both = f"((?i:{key}))|({value})"
-    tokens = F.arrays_zip(find_all(text, both, 1).alias("k"), find_all(text, both, 2).alias("v"))
+    both = regex("(?iu)((?i:", key, "))|(", value, ")")
+    find = lambda g: F.regexp_extract_all(text, both, F.lit(g))
+    tokens = F.arrays_zip(find(1).alias("k"), find(2).alias("v"))
     start = F.struct(F.array().cast("array<string>").alias("wait"), F.array().cast("array<string>").alias("seen"), F.array().cast(KV).alias("out"))
 
     def step(acc, t):
@@ -215,7 +234,7 @@ def benchmark(c, pattern: str, remove: str | None = None, repair: Sequence[tuple
     for bad, good in repair:
         text = F.regexp_replace(text, f"(?i){bad}", good)
     if remove:
-        text = F.regexp_replace(text, f"(?iu){remove}", "")
+        text = F.regexp_replace(text, regex("(?iu)", remove), F.lit(""))
     return first_match(text, pattern, otherwise=text if else_text else None)
 
 
@@ -241,6 +260,8 @@ class Extractor:
     build: Callable[[Column, dict], Column]
     kind: str | Callable[[dict], str] = "s"
     source: str = "text"
+    #: Whether patterns may come as :class:`Pattern` columns. If not, every rule is a part of the plan.
+    columns: bool = True
 
     def kind_of(self, rule: dict) -> str:
         return self.kind(rule) if callable(self.kind) else self.kind
@@ -278,7 +299,7 @@ EXTRACTORS: dict[str, Extractor] = {
 
 def register_extractor(name: str, build: Callable[[Column, dict], Column], kind: str | Callable[[dict], str] = "s", source: str = "text") -> None:
     """Make an extractor available to dispatch rules; it builds a column of the given kind when the plan is made."""
-    EXTRACTORS[name] = Extractor(build, kind, source)
+    EXTRACTORS[name] = Extractor(build, kind, source, columns=False)
 
 
 def register_pandas_extractor(name: str, fn: Callable, kind: str = "s") -> None:

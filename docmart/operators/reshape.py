@@ -10,8 +10,9 @@ from pyspark.sql.window import Window
 
 from ..functions import text as T
 from ..functions.extract import KV, kv_get, last_wins
-from .predicates import contains_any, matches
-from .rules import by_house, each, emit, in_steps, last_per_key, owner, row, same_row
+from . import folds
+from .folds import fold
+from .rules import by_house, emit, owner, row, same_row
 
 _FUND = ("doc_id", "fund")
 
@@ -25,41 +26,10 @@ def normalize_keys(fields: DataFrame) -> DataFrame:
 def clone_keys(fields: DataFrame, rules) -> DataFrame:
     """For each (new key, pattern): the first key that matches at its start is copied, replacing a field of the new name.
 
-    Here and below rules are a list, or lists by house (:class:`~docmart.operators.rules.Houses`) that take effect on their house's funds.
+    Here and below rules are a list, or lists by house (:class:`~docmart.operators.rules.Houses`) that take effect on their house's
+    funds, and all rules of a call are one pass over the fund's fields.
     """
-    out = fields
-    for no, step in enumerate(in_steps(rules)):
-        hit = matches(by_house(step, lambda r: F.col("key").rlike(f"^(?:{r[1]})")))
-        first = F.min(F.when(hit, F.col("ord"))).over(Window.partitionBy(*_FUND))
-        rows = out.withColumn("_first", matches(hit & (F.col("ord") == first)))
-        copy = row(F.col("ord") + 100_000_000 * (no + 1), by_house(step, lambda r: F.lit(r[0])), F.col("kind"), F.col("s"), F.col("arr"), F.col("kv"))
-        out = last_per_key(emit(rows, same_row(), copy, F.col("_first")))
-    return out
-
-
-def _into_one(fields: DataFrame, hit: Column, new: Column, order: Column, lists_only: bool) -> DataFrame:
-    """The fields that are hit as one field ``new``; others stay, but for one of that name."""
-    own = owner(fields)
-    group = F.when(hit, F.lit("")).otherwise(F.concat_ws("\x00", F.lit("-"), "key", "ord"))
-    alone = lambda v: F.array(F.struct(F.col("key").alias("k"), v.alias("v")))
-    kv = F.when(F.col("kind") == "d", F.col("kv")).when(F.col("kind") == "a", alone(F.array_join("arr", " "))).otherwise(alone(F.col("s")))
-    item = F.struct(order.alias("o"), kv.alias("kv"), F.coalesce("arr", F.array("s")).alias("arr"))
-    got = fields.groupBy(*own, group.alias("_group")).agg(
-        F.min("ord").alias("ord"), F.min("key").alias("key"), F.min("kind").alias("kind"), F.max("s").alias("s"), F.every(F.col("kind") == "a").alias("_lists"), F.array_sort(F.collect_list(item)).alias("_all")
-    )
-    arr, pairs = F.flatten(F.transform("_all", lambda x: x["arr"])), F.flatten(F.transform("_all", lambda x: x["kv"]))
-    merged = F.col("_group") == ""
-    as_list = F.lit(lists_only) | F.col("_lists")
-    kind = F.when(merged, F.when(as_list, "a").otherwise("d")).otherwise(F.col("kind"))
-    out = got.select(
-        *own, "ord", F.when(merged, new).otherwise(F.col("key")).alias("key"), kind.alias("kind"), F.when(~merged, F.col("s")).alias("s"),
-        F.when(F.when(merged, as_list).otherwise(F.col("kind").isin("a", "m")), arr).alias("arr"),
-        F.when(merged & ~as_list, last_wins(pairs)).when(~merged & (F.col("kind") == "d"), pairs).cast(KV).alias("kv"), merged.alias("_merged"),
-    )
-    stored = F.col("_merged") & ((F.coalesce(F.size("arr"), F.lit(0)) > 0) | (F.coalesce(F.size("kv"), F.lit(0)) > 0))
-    replaced = F.max(stored).over(Window.partitionBy(*_FUND))
-    out = out.withColumn("_stored", stored).withColumn("_replaced", replaced)
-    return out.where(F.col("_stored") | (~F.col("_merged") & ~(F.col("_replaced") & F.coalesce(F.col("key") == new, F.lit(False))))).select(*own, "ord", "key", "kind", "s", "arr", "kv")
+    return fold(fields, folds.cloned(rules))
 
 
 def merge_keys(fields: DataFrame, rules) -> DataFrame:
@@ -69,20 +39,12 @@ def merge_keys(fields: DataFrame, rules) -> DataFrame:
     them, the result is a dictionary in which texts stand under their old key.
     An empty result is not stored.  Rules run in order on what the one before left.
     """
-    out = fields
-    for step in in_steps(rules):
-        hit = matches(by_house(step, lambda r: contains_any("key", r[1])))
-        out = _into_one(out, hit, by_house(step, lambda r: F.lit(r[0])), F.col("ord"), lists_only=False)
-    return out
+    return fold(fields, folds.merged(rules))
 
 
 def combine_keys(fields: DataFrame, rules) -> DataFrame:
     """For each (new key, keys): lists are joined and texts appended, in the order of the keys."""
-    out = fields
-    for step in in_steps(rules):
-        place = by_house(step, lambda r: F.array_position(F.array(*[F.lit(k) for k in r[1]]), F.col("key")).cast("long"))
-        out = _into_one(out, matches(place > 0), by_house(step, lambda r: F.lit(r[0])), place, lists_only=True)
-    return out
+    return fold(fields, folds.combined(rules))
 
 
 def promote_keys(fields: DataFrame, rules, search: bool = False) -> DataFrame:
@@ -90,18 +52,7 @@ def promote_keys(fields: DataFrame, rules, search: bool = False) -> DataFrame:
 
     The section is named exactly and the pattern stands at the start or, with ``search``, both are searched for.
     """
-    out, start = fields, "" if search else "^"
-
-    def place(r) -> Column:
-        is_section = (F.col("key").rlike(f"(?i){r[0]}") if search else F.col("key") == r[0]) & (F.col("kind") == "d")
-        return F.when(is_section, F.array_position(F.transform("kv", lambda x: x["k"].rlike(f"(?i){start}(?:{r[2]})")), F.lit(True)).cast("int"))
-
-    for no, step in enumerate(in_steps(rules)):
-        rows = out.withColumn("_at", F.coalesce(by_house(step, place), F.lit(0)))
-        left = F.when(F.col("_at") > 0, F.filter("kv", lambda x, i: i != F.col("_at") - 1)).otherwise(F.col("kv"))
-        moved = row(F.col("ord") + 200_000_000 + no, by_house(step, lambda r: F.lit(r[1])), "s", F.element_at("kv", F.col("_at"))["v"])
-        out = last_per_key(emit(rows, same_row(kv=left), moved, F.col("_at") > 0))
-    return out
+    return fold(fields, folds.promoted(rules, search))
 
 
 def merge_two(a: Column, b: Column, kind: str) -> Column:
@@ -141,32 +92,14 @@ def fan_out(funds: DataFrame, rules: Sequence[tuple[str, Sequence[str]]], fund:
     return funds.withColumn(fund, F.explode(names))
 
 
-def _with_extra(fields: DataFrame, extra: Column) -> DataFrame:
-    """Fields and, once for each fund, the rows of the array ``extra`` (which may use ``have``, the fund's keys)."""
-    w = Window.partitionBy(*_FUND)
-    rows = fields.withColumn("have", F.collect_set("key").over(w)).withColumn("_rn", F.row_number().over(w.orderBy("ord", "key")))
-    both = F.when(F.col("_rn") == 1, F.concat(F.array(same_row()), extra)).otherwise(F.array(same_row()))
-    return each(rows, both)
-
-
 def add_constants(fields: DataFrame, constants) -> DataFrame:
     """Constant text fields for every fund, after its other fields; ``{key: value}``, or that by house."""
-    if not constants:
-        return fields
-    want = by_house(constants, lambda c: F.array(*[row(F.lit(900_000_000 + i), k, "s", v) for i, (k, v) in enumerate(c.items())]))
-    return last_per_key(_with_extra(fields, F.coalesce(want, _no_rows())))
+    return fold(fields, [folds.added(constants)]) if constants else fields
 
 
 def fill_defaults(fields: DataFrame, defaults) -> DataFrame:
     """Every expected key that a fund lacks, with its default; ``{key: default}``, or that by house."""
-    if not defaults:
-        return fields
-    want = by_house(defaults, lambda d: F.array(*[row(F.lit(950_000_000), k, "s", F.lit(v)) for k, v in sorted(d.items())]))
-    return _with_extra(fields, F.filter(F.coalesce(want, _no_rows()), lambda x: ~F.array_contains("have", x["key"])))
-
-
-def _no_rows() -> Column:
-    return F.array().cast(f"array<struct<ord:bigint,key:string,kind:string,s:string,arr:array<string>,kv:{KV}>>")
+    return fold(fields, [folds.defaulted(defaults)]) if defaults else fields
 
 
 def split_amounts(fields: DataFrame, keys: Sequence[str] = ("min_amt", "min_addl_amt")) -> DataFrame:
@@ -229,7 +162,7 @@ def group_locations(records: DataFrame, pages: DataFrame, groups: dict[str, Sequ
 
 
 def assemble_records(fields: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row for each fund with the chosen text keys, whitespace-normalised, its loads, metrics and managers.
+    """One row for each fund with the chosen text keys, whitespace-normalised, its loads (a dictionary, or the list of a scheme document), metrics and managers.
 
     Null or empty metrics go, benchmark noise and load comments are cleaned, managers stay if there are any. A chosen key of
     another kind than text is left out, as are unknown kinds.
@@ -237,10 +170,13 @@ def assemble_records(fields: DataFrame, keys: Sequence[str]) -> DataFrame:
     text = T.normalize_whitespace(F.col("s"))
     columns = [F.max(F.when((F.col("key") == k) & (F.col("kind") == "s"), T.clean_leading_noise(text) if "benchmark" in k else text)).alias(k) for k in sorted(keys)]
     loads = F.max(F.when((F.col("key") == "load") & (F.col("kind") == "d"), F.col("kv"))).alias("_load")
+    listed = F.max(F.when((F.col("key") == "load") & (F.col("kind") == "m"), F.col("arr"))).alias("_listed")
     metrics = F.max(F.when((F.col("key") == "metrics") & (F.col("kind") == "d"), F.col("kv"))).alias("_metrics")
     people = F.max(F.when((F.col("key") == "fund_manager") & (F.col("kind") == "m"), F.col("arr"))).alias("_people")
-    got = fields.groupBy(*owner(fields)).agg(*columns, loads, metrics, people)
-    cleaned = F.transform(load_list(F.coalesce("_load", F.array().cast(KV))), lambda x: F.struct(T.clean_leading_noise(x["comment"]).alias("comment"), x["type"].alias("type")))
+    got = fields.groupBy(*owner(fields)).agg(*columns, loads, listed, metrics, people)
+    made = lambda t: F.from_json(t, "type string, comment string, value string")  # noqa: E731  scheme documents have their list already
+    given = F.transform(F.coalesce("_listed", F.array().cast("array<string>")), lambda t: F.struct(made(t)["type"].alias("type"), F.coalesce(made(t)["comment"], made(t)["value"]).alias("comment")))
+    cleaned = F.transform(F.concat(load_list(F.coalesce("_load", F.array().cast(KV))), given), lambda x: F.struct(T.clean_leading_noise(x["comment"]).alias("comment"), x["type"].alias("type")))
     named = F.transform(F.filter(F.coalesce("_metrics", F.array().cast(KV)), lambda x: F.coalesce(x["v"], F.lit("")) != ""), lambda x: F.struct(x["k"].alias("name"), x["v"].alias("value")))
     persons = F.from_json(F.concat(F.lit("["), F.array_join(F.coalesce("_people", F.array().cast("array<string>")), ","), F.lit("]")), PEOPLE)
     return got.select(*owner(fields), *sorted(keys), persons.alias("fund_manager"), cleaned.alias("load"), named.alias("metrics"))
@@ -258,35 +194,44 @@ def merge_and_select(fields: DataFrame, rules: dict, partitioned: bool = False)
     """The full chain from refined fields to records, in this order: clone, merge, clone, select, map, split amounts, defaults, key names, metric names, special rules, promote, value and manager clean-up, assembly.
 
     Every part of ``rules`` may be by house; ``metrics`` maps metric names, ``stop_words`` is a pattern that goes from managers' names.
-    Fields that lie together by document and fund already (``partitioned``) are not exchanged again.
+    Fields that lie together by document and fund already (``partitioned``) are not exchanged again. All rules up to the special ones are
+    one grouping and one fold.
     """
-    from .predicates import select_keys
-    from .rules import map_keys, special_pass
+    from .rules import special_pass
 
     fields = fields if partitioned else fields.repartition(*_FUND)  # the chain's one exchange
-    out = clone_keys(fields, rules.get("clone", ()))
-    out = merge_keys(out, rules.get("merge", ()))
-    out = clone_keys(out, rules.get("clone", ()))
-    out = select_keys(out, rules["select"])
-    out = map_keys(out, rules.get("map", ()))
-    out = split_amounts(out)
-    out = fill_defaults(out, rules.get("defaults", {}))
-    out = normalize_keys(out)
-    out = map_metrics(out, rules.get("metrics", ()))
-    out = special_pass(out, rules["special"]) if rules.get("special") else out
-    out = promote_keys(out, rules.get("promote", ()))
+    clone = folds.cloned(rules.get("clone", ()))
+    steps = [*clone, *folds.merged(rules.get("merge", ())), *clone, folds.selected(rules["select"]), folds.mapped(rules.get("map", ())), folds.amounts_split(AMOUNTS)]
+    steps += [folds.defaulted(rules["defaults"])] if rules.get("defaults") else []
+    steps += [folds.each_item(_normal_item)]
+    steps += [folds.each_item(lambda x: _metrics_item(x, rules["metrics"]))] if rules.get("metrics") else []
+    promote = folds.promoted(rules.get("promote", ()))
+    if rules.get("special"):
+        out = special_pass(fold(fields, steps), rules["special"])
+        out = fold(out, promote) if promote else out
+    else:
+        out = fold(fields, steps + promote)
     return assemble_records(clean_values(out, rules.get("stop_words")), rules["record"])
 
 
-def map_metrics(fields: DataFrame, keys) -> DataFrame:
-    """The canonical names of the metrics in ``metrics``; ``[(name, pattern)]``, or that by house. A later metric of one name wins."""
+AMOUNTS = ("min_amt", "min_addl_amt")
+
+
+def _normal_item(x: Column) -> Column:
+    inner = F.transform(x["kv"], lambda y: F.struct(T.normalize_key(y["k"]).alias("k"), y["v"].alias("v")))
+    return folds.with_(x, key=T.normalize_key(x["key"]), kv=inner)
+
+
+def _metrics_item(x: Column, keys) -> Column:
     from .rules import map_metric
 
-    if not keys:
-        return fields
-    hit = (F.col("key") == "metrics") & (F.col("kind") == "d")
-    named = F.transform("kv", lambda x: F.struct(F.coalesce(by_house(keys, lambda k: map_metric(x["k"], k)), x["k"]).alias("k"), x["v"].alias("v")))
-    return fields.withColumn("kv", F.when(hit, last_wins(named)).otherwise(F.col("kv")))
+    named = F.transform(x["kv"], lambda y: F.struct(F.coalesce(by_house(keys, lambda k: map_metric(y["k"], k)), y["k"]).alias("k"), y["v"].alias("v")))
+    return folds.with_(x, kv=F.when((x["key"] == "metrics") & (x["kind"] == "d"), last_wins(named)).otherwise(x["kv"]))
+
+
+def map_metrics(fields: DataFrame, keys) -> DataFrame:
+    """The canonical names of the metrics in ``metrics``; ``[(name, pattern)]``, or that by house. A later metric of one name wins."""
+    return fold(fields, [folds.each_item(lambda x: _metrics_item(x, keys))]) if keys else fields
 
 
 def clean_values(fields: DataFrame, stop_words: str | None = None) -> DataFrame:
@@ -306,18 +251,92 @@ def clean_values(fields: DataFrame, stop_words: str | None = None) -> DataFrame:
     return fields.withColumns({"s": s, "kv": F.when(key == "metrics", metric).otherwise(F.col("kv")), "arr": F.when(is_people, people).otherwise(F.col("arr"))})
 
 
-def merge_and_select_scheme(fields: DataFrame, rules: dict) -> DataFrame:
-    """The chain of scheme documents: clone, merge, clone, select, map, split amounts, defaults, special rules, promote by search, constants, delete, then assembly."""
-    from .predicates import delete_keys, select_keys
-    from .rules import map_keys, special_pass
+def scheme_steps(rules: dict, kim: bool = False) -> tuple[list[folds.Step], list[folds.Step]]:
+    """The steps of scheme documents before and after the special rules.
 
-    out = clone_keys(fields.repartition("doc_id", "fund"), rules.get("clone", ()))  # the chain's one exchange
-    out = clone_keys(merge_keys(out, rules.get("merge", ())), rules.get("clone", ()))
-    out = map_keys(select_keys(out, rules["select"]), rules.get("map", ()))
-    out = fill_defaults(split_amounts(out), rules.get("defaults", {}))
-    out = special_pass(out, rules["special"]) if rules.get("special") else out
-    out = promote_keys(out, rules.get("promote", ()), search=True)
-    out = add_constants(out, rules.get("constants", {}))
+    Clone, merge, clone, select, map; then, of a full document (SID), split amounts, defaults and the load list, of a key memorandum (KIM) the
+    asset list and defaults; after the special rules promotion by search and constants. Deletion comes at the very end, behind the locations.
+    """
+    clone = folds.cloned(rules.get("clone", ()))
+    steps = [*clone, *folds.merged(rules.get("merge", ())), *clone, folds.selected(rules["select"]), folds.mapped(rules.get("map", ()))]
+    steps += [folds.each_item(_assets_item)] if kim else [folds.amounts_split(AMOUNTS)]
+    steps += [folds.defaulted(rules["defaults"])] if rules.get("defaults") else []
+    steps += [] if kim else [folds.each_item(_loads_item)]
+    after = folds.promoted(rules.get("promote", ()), search=True)
+    after += [folds.added(rules["constants"])] if rules.get("constants") else []
+    return steps, after
+
+
+def _loads_item(x: Column) -> Column:
+    hit = (x["key"] == "load") & (x["kind"] == "d")
+    clean = F.transform(load_list(F.transform(x["kv"], lambda y: F.struct(y["k"].alias("k"), T.clean_leading_noise(T.normalize_whitespace(y["v"])).alias("v")))), lambda y: F.to_json(F.struct(y["comment"].alias("comment"), y["type"].alias("type"), F.lit("").alias("value"))))
+    return F.when(hit, folds.with_(x, kind=F.lit("m"), arr=clean, kv=F.lit(None).cast(KV))).otherwise(folds.with_(x))
+
+
+def _assets_item(x: Column) -> Column:
+    """Rows {instrument, min, max, total, risk_profile} of a KIM's allocation as {allocation, instrument_type, risk_profile}."""
+    def one(text: Column) -> Column:
+        r = F.from_json(text, "instrument string, instrument_type string, min string, max string, total string, risk_profile string")
+        blank = lambda c: F.coalesce(c, F.lit(""))
+        parts = F.array(*[F.struct(F.lit(t).alias("type"), blank(r[t]).alias("value")) for t in ("min", "max", "total")])
+        return F.to_json(F.struct(parts.alias("allocation"), T.normalize_whitespace(blank(F.coalesce(r["instrument"], r["instrument_type"]))).alias("instrument_type"), blank(r["risk_profile"]).alias("risk_profile")))
+
+    hit = (x["key"] == "asset_allocation_pattern") & (x["kind"] == "m")
+    return folds.with_(x, arr=F.when(hit, F.transform(x["arr"], lambda t: F.when(t.contains('"allocation"'), t).otherwise(one(t)))).otherwise(x["arr"]))
+
+
+def merge_and_select_scheme(fields: DataFrame, rules: dict, kim: bool = False, partitioned: bool = False) -> DataFrame:
+    """The chain of scheme documents up to assembly (:func:`scheme_steps`), as one row for each document with the texts of ``rules["record"]``, loads, metrics and managers."""
+    return assemble_records(_scheme_fields(fields, rules, kim, partitioned), rules["record"])
+
+
+def _scheme_fields(fields: DataFrame, rules: dict, kim: bool, partitioned: bool = False) -> DataFrame:
+    from .predicates import delete_keys
+    from .rules import special_pass
+
+    fields = fields if partitioned else fields.repartition(*_FUND)  # the chain's one exchange
+    before, after = scheme_steps(rules, kim)
+    if rules.get("special"):
+        out = special_pass(fold(fields, before), rules["special"])
+        out = fold(out, after) if after else out
+    else:
+        out = fold(fields, before + after)
     out = delete_keys(out, rules["delete"]) if rules.get("delete") else out
     amounts = F.when(F.col("key").rlike("^min_"), T.clean_amount_any(F.col("s"))).otherwise(F.col("s"))
-    return assemble_records(out.withColumn("s", amounts), rules["record"])
+    return out.withColumn("s", amounts)
+
+
+def variant_records(fields: DataFrame, pages: DataFrame | None = None, groups: dict[str, Sequence[str]] | None = None) -> DataFrame:
+    """One row for each fund: its fields, keys sorted, as one VARIANT ``value``, whatever the kinds: text, list, dictionary, or list of objects.
+
+    With ``pages(doc_id, group, page)`` and ``groups`` of field names the value has ``field_location``: [{field, page}] of the fields that are there.
+    Texts are cleaned as in :func:`assemble_records`; a key of unknown kind is left out; of equal keys the last stays.
+    """
+    quoted = lambda c: F.regexp_extract(F.to_json(F.struct(c.alias("x"))), r"(?s)^.{5}(.*).$", 1)
+    text = T.normalize_whitespace(F.col("s"))
+    text = F.when(F.col("key").contains("benchmark"), T.clean_leading_noise(text)).otherwise(text)
+    body = (
+        F.when(F.col("kind") == "s", F.when(F.col("s").isNull(), "null").otherwise(quoted(text)))
+        .when(F.col("kind") == "a", F.to_json(F.coalesce("arr", F.array().cast("array<string>"))))
+        .when(F.col("kind") == "d", F.to_json(F.map_from_entries(F.transform(last_wins(F.filter("kv", lambda x: x["k"].isNotNull())), lambda x: F.struct(x["k"], F.coalesce(x["v"], F.lit("")))))))
+        .when(F.col("kind") == "m", F.concat(F.lit("["), F.array_join("arr", ","), F.lit("]")))
+    )
+    own = owner(fields)
+    told = fields.select(*own, "ord", "key", body.alias("body")).where("body is not null")
+    item = F.struct("key", "ord", "body")
+    got = told.groupBy(*own).agg(F.array_sort(F.collect_list(item)).alias("_all"))
+    got = got.withColumn("_all", F.filter("_all", lambda x, i: F.coalesce(F.get("_all", i + 1)["key"] != x["key"], F.lit(True))))
+    if groups:
+        place = pages.groupBy("doc_id").agg(F.map_from_entries(F.collect_set(F.struct("group", F.col("page").cast("string")))).alias("_pages"))  # a document has a few groups
+        got = got.join(place, "doc_id", "left")
+        named = F.array(*[F.struct(F.lit(k).alias("field"), F.lit(g).alias("group")) for g, ks in groups.items() for k in ks])
+        here = F.filter(named, lambda n: F.exists("_all", lambda x: x["key"] == n["field"]) & F.col("_pages")[n["group"]].isNotNull())
+        where = F.to_json(F.transform(here, lambda n: F.struct(n["field"].alias("field"), F.col("_pages")[n["group"]].alias("page"))))
+        got = got.withColumn("_all", F.array_sort(F.concat("_all", F.array(F.struct(F.lit("field_location").alias("key"), F.lit(0).cast("long").alias("ord"), where.alias("body"))))))
+    parts = F.array_join(F.transform("_all", lambda x: F.concat(quoted(x["key"]), F.lit(":"), x["body"])), ",")
+    return got.select(*own, F.parse_json(F.concat(F.lit("{"), parts, F.lit("}"))).alias("value"))
+
+
+def scheme_records(fields: DataFrame, rules: dict, pages: DataFrame | None = None, groups: dict[str, Sequence[str]] | None = None, kim: bool = False) -> DataFrame:
+    """The chain of scheme documents to VARIANT records, with loads, allocations and locations (:func:`variant_records`)."""
+    return variant_records(_scheme_fields(fields, rules, kim), pages, groups)

@@ -2,6 +2,10 @@
 
 Rules are small tables in priority order.  A map from patterns to names becomes a chain of
 literal conditions, each compiled once, of which the first that holds decides.
+
+Extraction rules are data: a level finds the number of a field's rule, the rule's patterns come from a table by that
+number, and the plan holds one expression for each shape (extractor, options, groups), however many
+houses and rules there are.
 """
 
 from __future__ import annotations
@@ -14,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.extract import EXTRACTORS, KV
+from ..functions.extract import EXTRACTORS, KV, Pattern, groups
 from ..functions.text import _c, key_to_alnum_underscore, normalize_key, strip
 
 #: A field row: text in ``s``, list in ``arr``, dictionary in ``kv``, as ``kind`` says (s, a, d; m: a list of JSON texts in ``arr``).
@@ -29,6 +33,36 @@ def first_rule(c: Column, rules: Sequence[tuple[str, str]], ignore_case: bool =
     return F.coalesce(*tests) if tests else F.lit(None).cast("string")
 
 
+def sql_text(text: str) -> str:
+    """A text as SQL writes it."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def first_by_house(column: str, rules, ignore_case: bool = True) -> Column:
+    """The name or number of the first (name, pattern) that matches at the start, of a list or of the row's house in :class:`Houses`; else null.
+
+    Written as one SQL expression: hundreds of houses and rules make a plan in a moment. It stands in a function of arrays, which Spark
+    interprets: as generated code, a condition for each rule would be too long to compile. Each pattern is compiled once a task.
+    """
+    if not isinstance(rules, Houses):
+        return F.expr(first_by_house_sql(column, rules, ignore_case))
+    return F.expr(f"get(transform(array({column}), k -> {first_by_house_sql('k', rules, ignore_case)}), 0)")
+
+
+def first_by_house_sql(column: str, rules, ignore_case: bool = True) -> str:
+    flags = "(?i)" * ignore_case
+    name = lambda n: str(n) if isinstance(n, int) else sql_text(n)
+
+    def chain(own: Sequence[tuple]) -> str:
+        tests = " ".join(f"WHEN {column} RLIKE {sql_text(f'{flags}^(?:{p})')} THEN {name(n)}" for n, p in own)
+        return f"CASE {tests} END" if tests else "NULL"
+
+    if not isinstance(rules, Houses):
+        return chain(rules)
+    rest = chain(rules.rest)
+    return f"CASE amc_key {' '.join(f'WHEN {sql_text(h)} THEN {chain(own)}' for h, own in rules.items())} ELSE {rest} END" if rules else rest
+
+
 def map_header(c, heads: Sequence[tuple[str, str]]) -> Column:
     """The canonical head of a header, punctuation aside, else the header itself without punctuation."""
     text = strip(F.regexp_replace(_c(c), r"(?U)[^\w\s]", ""))
@@ -60,7 +94,9 @@ def by_house(rules, build: Callable[[object], Column]) -> Column:
 
 
 class Houses(dict):
-    """Rules by fund house, all in one plan: an operator takes its k-th rule of each house in its k-th step."""
+    """Rules by fund house, all in one plan: an operator takes its k-th rule of each house in its k-th step. ``rest`` is for other houses."""
+
+    rest: Sequence = ()
 
 
 def in_steps(rules) -> list:
@@ -85,9 +121,12 @@ def same_row(ord_: Column | None = None, kv: Column | None = None) -> Column:
 
 
 def each(fields: DataFrame, rows: Column) -> DataFrame:
-    """The rows of an array for each field. Document and fund stay outside it, so Spark knows that their partitioning holds."""
+    """The rows of an array for each field. Document and fund stay outside it, so Spark knows that their partitioning holds.
+
+    An inner explode would have Spark work the array out twice, once to filter by its size.
+    """
     own = owner(fields)
-    return fields.select(*own, F.explode(rows).alias("x")).select(*own, "x.*")
+    return fields.select(*own, F.explode_outer(rows).alias("x")).where("x is not null").select(*own, "x.*")
 
 
 def emit(fields: DataFrame, first: Column, second: Column, when: Column) -> DataFrame:
@@ -103,7 +142,7 @@ def last_per_key(fields: DataFrame) -> DataFrame:
 
 def map_keys(fields: DataFrame, keys) -> DataFrame:
     """Keys by their map, ``[(name, pattern)]`` or :class:`Houses` of them; a house without one keeps its keys."""
-    return last_per_key(fields.withColumn("key", F.coalesce(by_house(keys, lambda k: map_key("key", k)), F.col("key"))))
+    return last_per_key(fields.withColumn("key", F.coalesce(first_by_house("key", keys, ignore_case=False), F.col("key"))))
 
 
 @dataclass(frozen=True)
@@ -119,13 +158,32 @@ class Dispatch:
     def kind(self) -> str:
         return EXTRACTORS[self.extractor].kind_of(self.rule)
 
-    def applies(self) -> Column:
-        fits = F.col("key").rlike(f"(?i)^(?:{self.key_pattern})")
-        return fits if self.house is None else (F.col("amc_key") == self.house) & fits
+    def shape(self) -> tuple[str, list[str]]:
+        """What the plan must know of the rule, as a text to compare, and its patterns."""
+        if not EXTRACTORS[self.extractor].columns:
+            return json.dumps([self.extractor, self.rule], sort_keys=True), []
+        texts: list[str] = []
+        told = {n: _walk(n, v, texts.append) for n, v in sorted(self.rule.items())}
+        return json.dumps([self.extractor, [[n, [groups(t) for t in texts] if told[n] is not self.rule[n] else told[n]] for n in told]], default=list), texts
 
-    def value(self) -> Column:
-        e = EXTRACTORS[self.extractor]
-        return e.build(source_text(self.rule.get("source", e.source)), self.rule)
+    def open_rule(self) -> dict:
+        """The rule with columns of ``_p`` for its patterns."""
+        if not EXTRACTORS[self.extractor].columns:
+            return self.rule
+        count = iter(range(len(self.rule) + len(self.rule.get("keywords", ()))))
+        hold = lambda text: Pattern(F.get("_p", F.lit(next(count))), groups(text))
+        return {n: _walk(n, v, hold) for n, v in sorted(self.rule.items())}
+
+
+def _walk(name: str, value, use: Callable[[str], object]):
+    """A part of a rule with ``use`` of each of its patterns, or the part itself if it has none."""
+    if name == "keywords":
+        return [use(k) for k in value]
+    return use(value) if name in PATTERNS and isinstance(value, str) and value else value
+
+
+#: The parts of a rule that are patterns.
+PATTERNS = ("pattern", "escape", "key", "value", "name", "since", "exp", "remove")
 
 
 def value_text() -> Column:
@@ -145,24 +203,49 @@ def source_text(source: str) -> Column:
     return value_text()
 
 
-def apply_level(fields: DataFrame, level: Sequence[Dispatch]) -> DataFrame:
-    """One level of dispatch: the first rule for the field's house whose pattern fits the key extracts; other fields pass through.
+def _ruled(fields: DataFrame, level: Sequence[Dispatch]) -> DataFrame:
+    """Fields with ``_no``, the number of their rule (null: none), what it extracts in ``_s``, ``_arr`` or ``_kv``, the ``_kind`` of that, and ``_empty``, whether a miss leaves an empty dictionary.
 
-    An extractor that returns null leaves the field as it was or, where its rule says ``"on_miss": "empty"``, an empty dictionary.
+    The rules' patterns are joined by number: a local table as large as the rules, which are in the plan anyhow.
     """
-    no = F.coalesce(*[F.when(d.applies(), F.lit(k)) for k, d in enumerate(level)], F.lit(-1))
-    rows = fields.withColumn("_no", no)
+    by_house_: dict[str | None, list] = {}
+    for no, d in enumerate(level):
+        by_house_.setdefault(d.house, []).append((no, d.key_pattern))
+    rest = by_house_.pop(None, [])
+    rules = Houses({h: sorted(own + rest) for h, own in by_house_.items()}) if by_house_ else rest
+    if isinstance(rules, Houses):
+        rules.rest = rest
+    shapes: dict[str, tuple[int, Dispatch, dict]] = {}
+    rows = []
+    for no, d in enumerate(level):
+        told, texts = d.shape()
+        if told not in shapes:
+            shapes[told] = (len(shapes), d, d.open_rule())
+        rows.append((no, shapes[told][0], texts))
+    table = fields.sparkSession.createDataFrame(rows, "_no int, _shape int, _p array<string>")
+    out = fields.withColumn("_no", first_by_house("key", rules).cast("int")).join(F.broadcast(table), "_no", "left")
 
     def of(kinds: str, type_: str) -> Column:
-        return F.coalesce(*[F.when(F.col("_no") == k, d.value()) for k, d in enumerate(level) if d.kind in kinds], F.lit(None).cast(type_))
+        value = lambda d, rule: EXTRACTORS[d.extractor].build(source_text(rule.get("source", EXTRACTORS[d.extractor].source)), rule)
+        return F.coalesce(*[F.when(F.col("_shape") == k, value(d, rule)) for k, d, rule in shapes.values() if d.kind in kinds], F.lit(None).cast(type_))
+
+    kind = F.coalesce(*[F.when(F.col("_shape").isin([k for k, d, _ in shapes.values() if d.kind == kind]), F.lit(kind)) for kind in "samd"], F.lit("s"))
+    empty = F.col("_shape").isin([k for k, d, _ in shapes.values() if d.rule.get("on_miss") == "empty"])
+    return out.withColumns({"_s": of("s", "string"), "_arr": of("am", "array<string>"), "_kv": of("d", KV), "_kind": kind, "_empty": F.coalesce(empty, F.lit(False))})
+
 
-    rows = rows.withColumns({"_s": of("s", "string"), "_arr": of("am", "array<string>"), "_kv": of("d", KV)})
-    kind_of = F.coalesce(*[F.when(F.col("_no") == k, F.lit(d.kind)) for k, d in enumerate(level)], F.lit("s"))
-    empty = [k for k, d in enumerate(level) if d.rule.get("on_miss") == "empty"]
-    missed = F.col("_no").isin(empty) & F.coalesce("_s", F.array_join("_arr", ""), F.when(F.col("_kv").isNotNull(), "")).isNull()
+def apply_level(fields: DataFrame, level: Sequence[Dispatch]) -> DataFrame:
+    """One level of dispatch: the first rule for the field's house whose pattern fits the key extracts; other fields pass through.
+
+    An extractor that returns null leaves the field as it was or, where its rule says ``"on_miss": "empty"``, an empty dictionary.
+    """
+    if not level:
+        return fields
+    rows = _ruled(fields, level)
+    missed = F.col("_empty") & F.coalesce("_s", F.array_join("_arr", ""), F.when(F.col("_kv").isNotNull(), "")).isNull()
     rows = rows.withColumn("_missed", missed).withColumn("_kv", F.when(F.col("_missed"), F.array().cast(KV)).otherwise(F.col("_kv")))
     changed = F.col("_s").isNotNull() | F.col("_arr").isNotNull() | F.col("_kv").isNotNull()
-    kind = F.when(F.col("_missed"), F.lit("d")).when(changed, kind_of).otherwise(F.col("kind"))
+    kind = F.when(F.col("_missed"), F.lit("d")).when(changed, F.col("_kind")).otherwise(F.col("kind"))
     keep = lambda c: F.when(changed, F.col(f"_{c}")).otherwise(F.col(c)).alias(c)
     return rows.select(*owner(fields), "ord", "key", kind.alias("kind"), keep("s"), keep("arr"), keep("kv"))
 
@@ -182,7 +265,8 @@ def refine(fields: DataFrame, heads, primary: Sequence[Dispatch], secondary: Seq
     from .layout import suffix_canonical
 
     fields = fields.repartition("doc_id", "fund")
-    rows = apply_level(fields.withColumn("key", F.coalesce(by_house(heads, lambda h: map_header("key", h)), map_header("key", ()))), primary)
+    plain = fields.withColumn("key", map_header("key", ()))
+    rows = apply_level(plain.withColumn("key", F.coalesce(first_by_house("key", heads), F.col("key"))), primary)
     rows = rows.withColumn("kv", F.transform("kv", lambda x: F.struct(normalize_key(x["k"]).alias("k"), x["v"].alias("v"))))
     named = suffix_canonical(rows.withColumnRenamed("key", "header").withColumnRenamed("ord", "section_no"), ["doc_id", "fund"])
     rows = flatten(named.withColumnRenamed("header", "key").withColumnRenamed("section_no", "ord").select(*fields.columns))
@@ -193,14 +277,14 @@ def refine(fields: DataFrame, heads, primary: Sequence[Dispatch], secondary: Seq
 
 def special_pass(fields: DataFrame, rules: Sequence[tuple]) -> DataFrame:
     """For keys that match a special rule (pattern, new key, extractor, rule, house or none): the value computed for the new key, which replaces one of that name."""
+    if not rules:
+        return fields
     level = [Dispatch(r[0], r[2], r[3], r[4] if len(r) > 4 else None) for r in rules]
-    no = F.coalesce(*[F.when(d.applies(), F.lit(k)) for k, d in enumerate(level)], F.lit(-1))
-    rows = fields.withColumn("_no", no)
-    of = lambda kinds, type_: F.coalesce(*[F.when(F.col("_no") == k, d.value()) for k, d in enumerate(level) if d.kind in kinds], F.lit(None).cast(type_))
-    key = F.coalesce(*[F.when(F.col("_no") == k, F.lit(r[1])) for k, r in enumerate(rules)])
-    kind = F.coalesce(*[F.when(F.col("_no") == k, F.lit(d.kind)) for k, d in enumerate(level)])
-    made = row(F.col("ord") + 500_000_000, key, kind, of("s", "string"), of("am", "array<string>"), of("d", KV))
-    return last_per_key(emit(rows, same_row(), made, F.col("_no") >= 0))
+    rows = _ruled(fields, level)
+    names = fields.sparkSession.createDataFrame([(no, r[1]) for no, r in enumerate(rules)], "_no int, _new string")
+    rows = rows.join(F.broadcast(names), "_no", "left")  # as many rows as rules
+    made = row(F.col("ord") + 500_000_000, F.col("_new"), F.col("_kind"), F.col("_s"), F.col("_arr"), F.col("_kv"))
+    return last_per_key(emit(rows, same_row(), made, F.col("_no").isNotNull()))
 
 
 RULE_ROWS = "amc_key string, rule_table string, priority int, name string, pattern string, vintage string"
@@ -219,19 +303,24 @@ def read_rules(spark, path: str) -> DataFrame:
     return rows.select("amc_key", "rule_table", "priority", F.get("r", F.lit(0)).alias("name"), F.get("r", F.lit(1)).alias("pattern"), "vintage")
 
 
-def houses(rules: DataFrame, table: str, vintage: str = "current") -> Houses:
-    """One table of all houses' rules, of the vintage, or else of ``current`` where a house has none of it: {amc_key: [(name, pattern)]} in priority order.
+def rule_book(rules: DataFrame, vintage: str = "current") -> dict[str, Houses]:
+    """All tables of all houses' rules, of the vintage, or else of ``current`` where a house's table has none of it: {table: {amc_key: [(name, pattern)]}}.
 
-    Rules make the plan, so they come to the driver: a few hundred short rows a house.
+    One pass. Rules make the plan, so they come to the driver: a few hundred short rows a house.
     """
-    rows = rules.where((F.col("rule_table") == table) & F.col("vintage").isin(vintage, "current")).orderBy("amc_key", "priority").collect()
-    found: dict[str, dict[str, list]] = {}
-    for r in rows:
-        found.setdefault(r["amc_key"], {}).setdefault(r["vintage"], []).append((r["name"], r["pattern"]))
-    return Houses({h: by.get(vintage) or by["current"] for h, by in found.items()})
+    found: dict[str, dict[str, dict[str, list]]] = {}
+    for r in rules.where(F.col("vintage").isin(vintage, "current")).collect():
+        found.setdefault(r["rule_table"], {}).setdefault(r["amc_key"], {}).setdefault(r["vintage"], []).append((r["priority"], r["name"], r["pattern"]))
+    own = lambda by: [x[1:] for x in sorted(by.get(vintage) or by["current"])]
+    return {table: Houses({h: own(by) for h, by in sorted(houses_.items())}) for table, houses_ in found.items()}
+
+
+def houses(rules: DataFrame | dict[str, Houses], table: str, vintage: str = "current") -> Houses:
+    """One table of a rule book, or of rule rows."""
+    return (rules if isinstance(rules, dict) else rule_book(rules.where(F.col("rule_table") == table), vintage)).get(table, Houses())
 
 
-def dispatches(rules: DataFrame, level: str, vintage: str = "current") -> list[Dispatch]:
+def dispatches(rules: DataFrame | dict[str, Houses], level: str, vintage: str = "current") -> list[Dispatch]:
     """Dispatch rules of all houses: in rows of table ``level`` the name is the key's pattern and the pattern JSON ``{extractor, ...rule}``."""
     out = []
     for house, own in houses(rules, level, vintage).items():

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import extract as E
@@ -135,10 +135,8 @@ def k14(spark, d):
 @query("k14b_group_locations", "SELECT p_partkey AS doc_id, unnest(['benchmark_index', 'min_amt', 'min_amt_multiple']) AS field, unnest([CAST(p_size AS VARCHAR), '7', '7']) AS page FROM part")
 def k14b(spark, d):
     """Locations by field group, as scheme documents have them."""
-    part = table(spark, d, "part").select(F.col("p_partkey").cast("long").alias("doc_id"), "p_size")
-    found = F.explode(F.array(F.struct(F.lit("index").alias("group"), F.col("p_size").cast("int").alias("page")), F.struct(F.lit("amounts").alias("group"), F.lit(7).alias("page")))).alias("x")
     groups = {"index": ["benchmark_index"], "amounts": ["min_amt", "min_amt_multiple"]}
-    return K.group_locations(records(spark, d), part.select("doc_id", found).select("doc_id", "x.*"), groups).select("doc_id", "field", "page")
+    return K.group_locations(records(spark, d), scheme_pages(spark, d), groups).select("doc_id", "field", "page")
 
 
 @query("r1_header_map", r"""
@@ -180,10 +178,10 @@ _BLOCKS = [
 ]
 
 
-def rule_files(spark) -> DataFrame:
+def rule_files(spark, blocks=_BLOCKS) -> DataFrame:
     """The blocks written as rule files, one a house and vintage, and read."""
     path = work_folder(spark)
-    lines = spark.createDataFrame([(json.dumps(b), f"{b['amc_key']}-{b.get('vintage', 'current')}") for b in _BLOCKS], "value string, file string")
+    lines = spark.createDataFrame([(json.dumps(b), f"{b['amc_key']}-{b.get('vintage', 'current')}") for b in blocks], "value string, file string")
     lines.write.partitionBy("file").text(path)
     return R.read_rules(spark, path)
 
@@ -224,8 +222,41 @@ _REST = {**_METRICS_FLAT, "LaunchDate": BASE["Launch.Date"], "Blank": BASE["Blan
 }))
 def r5(spark, d):
     """All levels, over all fields, with the rules of three houses in one plan."""
-    rules = rule_files(spark)
-    return flat(R.refine(housed(spark, d), R.houses(rules, "headers"), *[R.dispatches(rules, t) for t in ("primary", "secondary", "tertiary")]))
+    book = R.rule_book(rule_files(spark))
+    return flat(R.refine(housed(spark, d), R.houses(book, "headers"), *[R.dispatches(book, t) for t in ("primary", "secondary", "tertiary")]))
+
+
+MANY, EACH = 54, 20
+
+
+def many_blocks() -> list[dict]:
+    """Two levels of 20 rules for each of 54 houses, every pattern its house's own; one rule of each level fits, at another place in each house."""
+    out = []
+    for h in range(MANY):
+        brand = (r"(?:h%d)?#(\d)", r"(?:h%d)?#(\d+)", r"(?:h%d)?(BRAND)#")[h % 3] % h
+        others = lambda level: [[f"none {level} {h} {k}", _rule("text", rf"h{h} (\d{{{k + 1}}})")] for k in range(EACH)]  # noqa: B023, E731
+        primary, secondary = others(1), others(2)
+        primary[h % EACH] = ["benchmark", _rule("text", brand)]
+        secondary[(7 * h) % EACH] = [r"metrics\.port", _rule("generic", rf"(?:h{h})?(\d+)\.5")] if h % 2 else ["launch", _rule("text", rf"(?:h{h})?(\d{{4}})$")]
+        out.append({"amc_key": f"h{h}", "rules": {"headers": [[f"bench_{h}", f"bench h{h}"]], "primary": primary, "secondary": secondary}})
+    return out
+
+
+_BRAND_PART = "CASE p_partkey % 54 % 3 WHEN 0 THEN substr(regexp_extract(p_brand, '[0-9]+'), 1, 1) WHEN 1 THEN regexp_extract(p_brand, '[0-9]+') ELSE 'Brand' END"
+
+
+@query("r5b_many_houses", rows_sql({
+    **_AMOUNT_FLAT, **_LOAD_FLAT, "Blank": BASE["Blank"], "Fund Lines": BASE["Fund Lines"], "Fund Lines Two": BASE["Fund Lines Two"], "Metrics.avg_maturity": _METRICS_FLAT["Metrics.avg_maturity"], "Metrics.beta": ("s", "''"),
+    "Benchmark Index": ("s", _BRAND_PART),
+    "Metrics.port_turnover_ratio": ("s", "CASE WHEN p_partkey % 54 % 2 = 1 THEN CAST(p_size % 7 AS VARCHAR) ELSE (p_size % 7) || '.5 times' END"),
+    "LaunchDate": ("s", f"CASE WHEN p_partkey % 54 % 2 = 0 THEN '2015' ELSE {BASE['Launch.Date'][1]} END"),
+}))
+def r5b(spark, d):
+    """A rule set of the size of a real one: 54 houses with 40 extraction rules each, in one plan."""
+    f = base_fields(spark, d)
+    own = R.with_house(f, f.select("doc_id").distinct().withColumn("amc_key", F.concat(F.lit("h"), F.col("doc_id") % MANY)))
+    book = R.rule_book(rule_files(spark, many_blocks()))
+    return flat(R.refine(own, R.houses(book, "headers"), *[R.dispatches(book, t) for t in ("primary", "secondary", "tertiary")]))
 
 
 _on_fields("r6_special", lambda f: R.special_pass(f, [("Launch", "launch_year", "text", {"pattern": r"(\d{4})$"}), ("Benchmark", "Blank", "text", {"pattern": r"(\d+)"})]), {**but("Blank"), "launch_year": ("s", "'2015'"), "Blank": ("s", "regexp_extract(p_brand, '[0-9]+')")})
@@ -306,19 +337,70 @@ def k16(spark, d):
     return r.select("doc_id", *CHAIN["record"], loads.alias("loads"), F.concat(F.lit("port_turnover_ratio:"), metric("port_turnover_ratio")).alias("turnover"), metric("avg_maturity").cast("double").alias("maturity"), F.size("metrics").alias("n_metrics"), people.alias("managers"))
 
 
+#: Promotion follows the load list, so the promoted text comes from the metrics, which are still a dictionary then.
+SCHEME = {
+    "merge": [("load", ["load structure"])], "select": ["benchmark", "min", "load", "metrics", "fund lines"], "map": [("benchmark_index", "Benchmark Index"), ("min_amt", "Min Amount")],
+    "promote": [("metrics", "maturity_note", "avg")], "constants": {"face_value": "10"}, "defaults": {"sponsor": "none"}, "delete": ["fund lines$", "^metrics"],
+}
 _SCHEME_SQL = """
-SELECT p_partkey AS doc_id, p_brand || ' TRI' AS benchmark_index, CAST(p_size * 100 AS VARCHAR) AS min_amt, 'Nil' AS entry_note, '10' AS face_value, 0 AS n_loads FROM part"""
+SELECT p_partkey AS doc_id, p_brand || ' TRI' AS benchmark_index, CAST(p_size * 100 AS VARCHAR) AS min_amt, CAST(1 + p_size % 5 AS VARCHAR) AS min_amt_multiple, p_size || ' days' AS maturity_note, '10' AS face_value, 'none' AS sponsor,
+  'entry_load:Nil|exit_load:' || p_size || '%' AS loads FROM part"""
 
 
 @query("k16b_scheme_chain", _SCHEME_SQL)
 def k16b(spark, d):
-    """The chain of scheme documents: promotion by search, constants, deletion at the end."""
-    rules = {
-        "merge": [("load", ["load structure"])], "select": ["benchmark", "min", "load", "fund lines"], "map": [("benchmark_index", "Benchmark Index"), ("min_amt", "Min Amount")],
-        "promote": [("load", "entry_note", "entry")], "constants": {"face_value": F.lit("10")}, "delete": ["^load$", "fund lines"], "record": ["benchmark_index", "min_amt", "entry_note", "face_value"],
-    }
-    r = K.merge_and_select_scheme(base_fields(spark, d), rules)
-    return r.select("doc_id", *rules["record"], F.size("load").alias("n_loads"))
+    """The chain of scheme documents: amounts, defaults, load list, promotion by search, constants, deletion at the end."""
+    keys = ["benchmark_index", "min_amt", "min_amt_multiple", "maturity_note", "face_value", "sponsor"]
+    r = K.merge_and_select_scheme(base_fields(spark, d), SCHEME | {"record": keys})
+    return r.select("doc_id", *keys, F.array_join(F.transform("load", lambda x: F.concat(x["type"], F.lit(":"), x["comment"])), "|").alias("loads"))
+
+
+def scheme_pages(spark, d) -> DataFrame:
+    """The page of each group of fields."""
+    part = table(spark, d, "part").select(F.col("p_partkey").cast("long").alias("doc_id"), "p_size")
+    groups = F.explode(F.array(F.struct(F.lit("index").alias("group"), F.col("p_size").cast("int").alias("page")), F.struct(F.lit("amounts").alias("group"), F.lit(7).alias("page")))).alias("x")
+    return part.select("doc_id", groups).select("doc_id", "x.*")
+
+
+def told(value: Column) -> Column:
+    """A VARIANT written as JSON, and read again: what a record holds survives its file."""
+    return F.parse_json(F.to_json(value))
+
+
+@query("k16c_sid_records", """
+SELECT p_partkey AS doc_id, p_brand || ' TRI' AS benchmark, 'entry_load|exit_load' AS load_types, 'Nil|' || p_size || '%' AS load_comments, CAST(1 + p_size % 5 AS VARCHAR) AS multiple, p_type AS kept_line,
+  'benchmark_index@' || p_size || '|min_amt@7|min_amt_multiple@7' AS places, 9 AS n_keys FROM part""")
+def k16c(spark, d):
+    """Full scheme documents as VARIANT records, with loads, a list and locations, through JSON and back."""
+    r = K.scheme_records(base_fields(spark, d), SCHEME, scheme_pages(spark, d), {"index": ["benchmark_index"], "amounts": ["min_amt", "min_amt_multiple"]})
+    r = r.withColumn("value", told(F.col("value")))
+    v = lambda path, t="string": F.try_variant_get("value", path, t)
+    listed = lambda path, kind, one: F.array_join(F.transform(v(path, kind), one), "|")
+    loads, places = "array<struct<type:string,comment:string>>", "array<struct<field:string,page:string>>"
+    return r.select(
+        "doc_id", v("$.benchmark_index").alias("benchmark"), listed("$.load", loads, lambda x: x["type"]).alias("load_types"), listed("$.load", loads, lambda x: x["comment"]).alias("load_comments"),
+        v("$.min_amt_multiple").alias("multiple"), v("$['Fund Lines Two'][0]").alias("kept_line"), listed("$.field_location", places, lambda x: F.concat_ws("@", x["field"], x["page"])).alias("places"),
+        F.size(F.map_keys(F.try_variant_get("value", "$", "map<string,variant>"))).alias("n_keys"),
+    )
+
+
+@query("k16d_kim_records", """
+SELECT p_partkey AS doc_id, unnest([0, 1]) AS n, unnest(['Equity ' || p_brand, 'Debt']) AS instrument, unnest(['High', '']) AS risk, unnest(['min=' || (p_size % 50) || '|max=100|total=', 'min=0|max=' || (50 - p_size % 50) || '|total=' || p_size]) AS allocation,
+  p_brand || ' TRI' AS benchmark FROM part""")
+def k16d(spark, d):
+    """Key memoranda as VARIANT records: the rows of their asset tables become nested allocations."""
+    size, none = F.col("p_size"), F.lit(None)
+    rows = F.array(
+        F.to_json(F.struct(F.concat(F.lit("Equity  "), "p_brand").alias("instrument"), (size % 50).cast("string").alias("min"), F.lit("100").alias("max"), F.lit("High").alias("risk_profile"))),
+        F.to_json(F.struct(F.lit("Debt").alias("instrument"), F.lit("0").alias("min"), (50 - size % 50).cast("string").alias("max"), size.cast("string").alias("total"))),
+    )
+    assets = table(spark, d, "part").select(F.col("p_partkey").cast("long").alias("doc_id"), F.concat("p_name", F.lit(" Fund")).alias("fund"), F.lit(60).alias("ord"), F.lit("asset_allocation_pattern").alias("key"), F.lit("m").alias("kind"), none.cast("string").alias("s"), rows.alias("arr"), none.cast(E.KV).alias("kv"))
+    rules = {"select": ["benchmark", "asset"], "map": [("benchmark_index", "Benchmark Index")], "defaults": {"scheme_type": ""}}
+    r = K.scheme_records(base_fields(spark, d).unionByName(assets), rules, kim=True).withColumn("value", told(F.col("value")))
+    pattern = "array<struct<allocation:array<struct<type:string,value:string>>,instrument_type:string,risk_profile:string>>"
+    one = r.select("doc_id", F.try_variant_get("value", "$.benchmark_index", "string").alias("benchmark"), F.posexplode(F.try_variant_get("value", "$.asset_allocation_pattern", pattern)).alias("n", "x"))
+    parts = F.array_join(F.transform("x.allocation", lambda y: F.concat_ws("=", y["type"], y["value"])), "|")
+    return one.select("doc_id", "n", F.col("x.instrument_type").alias("instrument"), F.col("x.risk_profile").alias("risk"), parts.alias("allocation"), "benchmark")
 
 
 @query("k15_documents", "SELECT CAST(p_partkey AS VARCHAR) AS document_name, 'FS' AS file_type, 1 AS n_records, p_name || ' Fund' AS fund, 2 AS n_managers, 10 AS n_locations, CAST(p_size + 1 AS VARCHAR) AS page FROM part")
