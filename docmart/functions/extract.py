@@ -244,6 +244,19 @@ def people(c, name: str, since: str, exp: str, how: str = "pad", escape: str | N
     return zip_people(*[find_all(text, p) for p in (name, since, exp)], how)
 
 
+def dated_people(c, name: str, date: str, year: str, exp: str, escape: str | None = None) -> Column:
+    """Managers from one text whose names, dates, years and experience are listed apart: all lists are cut to the years of experience, then to the shortest; "date, year" is since when."""
+    text = joined(c, escape)
+    found = {k: find_all(text, p) for k, p in (("exp", exp), ("name", name), ("date", date), ("year", year))}
+
+    def use(x: Column) -> Column:
+        n = F.least(*[F.size(x[k]) for k in found])
+        person = lambda i: F.struct(F.concat_ws(", ", F.get(x["date"], i), F.get(x["year"], i)).alias("managing_fund_since"), F.get(x["name"], i).alias("name"), F.lit("").alias("qualification"), F.concat(F.get(x["exp"], i), F.lit(" years")).alias("total_exp"))
+        return F.transform(F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>")), person)
+
+    return let(F.struct(*[v.alias(k) for k, v in found.items()]), use)
+
+
 def as_json(rows: Column) -> Column:
     """A list of structs as a list of texts, for a field of kind ``m``."""
     return F.transform(rows, lambda x: F.to_json(x))
@@ -291,6 +304,7 @@ EXTRACTORS: dict[str, Extractor] = {
     "aligned": Extractor(lambda c, rule: positional_pairs(c, rule["key"], rule["value"], rule.get("escape"), rule.get("skip_repeats", True)), "d"),
     "managers": Extractor(lambda c, rule: as_json(managers(c, rule["pattern"], rule["fields"], rule.get("escape"))), "m"),
     "people": Extractor(lambda c, rule: as_json(people(c, rule["name"], rule["since"], rule["exp"], rule.get("how", "pad"), rule.get("escape"))), "m"),
+    "dated_people": Extractor(lambda c, rule: as_json(dated_people(c, rule["name"], rule["date"], rule["year"], rule["exp"], rule.get("escape"))), "m"),
     "assets": Extractor(lambda c, rule: as_json(restructure_assets(asset_rows(c, rule["pattern"], rule["order"]))), "m"),
     "benchmark": Extractor(lambda c, rule: benchmark(c, rule["pattern"], rule.get("remove"), else_text=rule.get("else_text", False))),
     "date": Extractor(lambda c, rule: F.array(F.struct(F.lit("inception_date").alias("k"), date_from_key(c, rule["pattern"]).alias("v"))), "d", "key"),

@@ -212,3 +212,29 @@ def defaulted(defaults) -> Step:
     """Every expected key that is not there, with its default."""
     want = by_house(defaults, lambda d: F.array(*[field(F.lit(950_000_000), k, "s", F.lit(v)) for k, v in sorted(d.items())]))
     return lambda a: F.concat(a, F.filter(F.coalesce(want, _none()), lambda x: ~F.exists(a, lambda y: y["key"] == x["key"])))
+
+
+def people_zipped(new: str, keys: dict[str, str], patterns: dict[str, str], how: str = "pad") -> Step:
+    """Managers whose names, dates and experience stand in fields of different keys, zipped by position (:func:`~docmart.functions.extract.zip_people`) into a field ``new``.
+
+    ``keys`` and ``patterns`` are for ``name``, ``since`` and ``exp``: which keys hold the list, searched case aside, and what is taken from the text. A key that fits an earlier
+    part is not looked at for a later one; of several fields for a part the last counts. A fund without any of the fields stays as it is.
+    """
+    from ..functions.extract import as_json, find_all, zip_people
+
+    parts = ("name", "since", "exp")
+
+    def use(a: Column) -> Column:
+        part = lambda x: F.coalesce(*[F.when(found(x, F.lit(f"(?i){keys[p]}")), F.lit(p)) for p in parts])
+        text = lambda x: F.when(x["kind"] == "a", F.array_join(x["arr"], " ")).otherwise(x["s"])
+        of = F.transform(F.filter(a, lambda x: part(x).isNotNull()), lambda x: F.struct(part(x).alias("p"), text(x).alias("t"), x["ord"].alias("ord")))
+
+        def made(b: Column) -> Column:
+            last = lambda p: F.try_element_at(F.filter(b, lambda y: y["p"] == p), F.lit(-1))["t"]
+            lists = [F.coalesce(find_all(last(p), patterns[p]), F.array().cast("array<string>")) for p in parts]
+            one = field(F.array_max(F.transform(b, lambda y: y["ord"])), new, "m", arr=as_json(zip_people(*lists, how)))
+            return F.when(F.size(b) > 0, unique(F.concat(a, F.array(one)))).otherwise(a)
+
+        return let(of, made)
+
+    return use

@@ -60,17 +60,19 @@ def promote_headers(spans: DataFrame, lo: float, hi: float, colors: Sequence[int
 
 
 def merge_header_lines(spans: DataFrame, header_size: float, region: Sequence[str], order: str = "ord") -> DataFrame:
-    """Header spans on one line become one text; other lines keep their spans; lines are ordered by first appearance."""
+    """Header spans on one line become one text with the other attributes of the first of them; other lines keep their spans; lines are ordered by first appearance."""
     line = [*region, "line_y", "size"]
     spans = spans.withColumn("line_y", F.ceil("y"))
     first = F.min(order).over(Window.partitionBy(*line))
     spans = spans.withColumn("group_ord", first)
     head = F.col("size") == header_size
     item = F.struct(F.col(order).alias("o"), F.col("text").alias("t"))
-    got = spans.groupBy(*line, "group_ord", F.when(head, F.lit(None)).otherwise(F.col(order)).alias("_own")).agg(F.min(order).alias(order), F.array_sort(F.collect_list(item)).alias("_all"))
+    others = [c for c in spans.columns if c not in (*line, "group_ord", "text", order)]
+    first_of = [F.min_by(c, order).alias(c) for c in others]
+    got = spans.groupBy(*line, "group_ord", F.when(head, F.lit(None)).otherwise(F.col(order)).alias("_own")).agg(F.min(order).alias(order), F.array_sort(F.collect_list(item)).alias("_all"), *first_of)
     texts = F.filter(F.transform("_all", lambda x: x["t"]), lambda t: strip(t) != "")
     text = F.when(head, F.array_join(texts, " ")).otherwise(F.col("_all")[0]["t"])
-    return got.select(*line, "group_ord", order, text.alias("text")).where(~head | (F.col("text") != ""))
+    return got.select(*line, "group_ord", order, text.alias("text"), *others).where(~head | (F.col("text") != ""))
 
 
 def section_name(c) -> Column:

@@ -27,6 +27,15 @@ METRICS = (
 )
 
 
+#: The metric columns of a wide row.
+WIDE_METRICS = (
+    "alpha", "arithmetic_mean_ratio", "average_div_yield", "average_pb", "average_pe", "avg_maturity", "beta", "correlation_ratio", "downside_deviation", "information_ratio", "macaulay",
+    "mod_duration", "port_turnover_ratio", "r_squared_ratio", "roe_ratio", "sharpe", "sortino_ratio", "std_dev", "tracking_error", "treynor_ratio", "upside_deviation", "ytm",
+)
+#: The text columns of a wide row.
+WIDE_TEXTS = ("amc_name", "main_scheme_name", "mutual_fund_name", "benchmark_index", "monthly_aaum_date", "monthly_aaum_value", "scheme_launch_date", "min_addl_amt", "min_addl_amt_multiple", "min_amt", "min_amt_multiple")
+
+
 def load_columns(loads: Column) -> list[Column]:
     """entry_load and exit_load from a list of (type, comment), both spellings of the type, the last of each."""
     def last(kind: str) -> Column:
@@ -36,12 +45,18 @@ def load_columns(loads: Column) -> list[Column]:
     return [last("entry"), last("exit")]
 
 
-def wide_rows(records: DataFrame, static: Sequence[str], metrics: Sequence[str] = METRICS) -> DataFrame:
-    """One flat row for each record: static keys, entry and exit load, a column for each metric, '' where absent."""
+def wide_rows(records: DataFrame, static: Sequence[str] = WIDE_TEXTS, metrics: Sequence[str] = WIDE_METRICS) -> DataFrame:
+    """One flat row for each record: static keys (lists joined by ", "), entry and exit load, a column for each metric, '' where absent."""
+    def text(k: str) -> Column:
+        if k not in records.columns:
+            return F.lit("").alias(k)
+        value = F.array_join(k, ", ") if isinstance(records.schema[k].dataType, T.ArrayType) else F.col(k)
+        return F.coalesce(value, F.lit("")).alias(k)
+
     def metric(n: str) -> Column:
         return F.coalesce(F.try_element_at(F.filter("metrics", lambda x: x["name"] == n), F.lit(-1))["value"], F.lit("")).alias(n)
 
-    return records.select("doc_id", "fund", *[F.coalesce(k, F.lit("")).alias(k) for k in static], *load_columns(F.col("load")), *[metric(m) for m in metrics])
+    return records.select("doc_id", "fund", *[text(k) for k in static], *load_columns(F.col("load")), *[metric(m) for m in metrics])
 
 
 #: The text columns of the funds table.
@@ -175,6 +190,29 @@ def bridge_join(funds: DataFrame, side: DataFrame, schemes: Sequence[tuple[int,
     return funds.join(pairs, fund, "left").join(side, side_name, "left")
 
 
+def override_side(fields: DataFrame, side: DataFrame, schemes: Sequence[tuple[int, str]], by: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """A document's fields with those of its side tables: a fund takes the fields of every side fund in whose name one of its scheme rules is found too, in side order, later ones winning.
+
+    ``fields`` is a field table; ``side`` has the same columns with ``side_fund`` for the fund and ``side_no``, the order. A side field
+    takes the place of the field with its key, or comes behind all. Side fields are first reduced to one for each rule and key, so what a rule joins is funds times
+    keys and never funds times side funds.
+    """
+    item = F.struct("side_no", "ord", "kind", "s", "arr", "kv")
+    names = scheme_ids(side.select(*by, "side_fund").distinct(), "side_fund", schemes)
+    last = side.join(names, [*by, "side_fund"]).groupBy(*by, "rule_id", "key").agg(F.max(item).alias("_last"), F.min(F.struct("side_no", "ord")).alias("_first"))
+    funds = scheme_ids(fields.select(*by, "fund").distinct(), "fund", schemes)
+    new = funds.join(last, [*by, "rule_id"]).groupBy(*by, "fund", "key").agg(F.max("_last").alias("_last"), F.min("_first").alias("_first"))
+    own = fields.withColumn("_new", F.lit(None).cast(new.schema["_last"].dataType)).withColumn("_first", F.lit(None).cast(new.schema["_first"].dataType))
+    extra = new.select(*by, "fund", "key", F.col("_last").alias("_new"), "_first")
+    both = own.unionByName(extra, allowMissingColumns=True)
+    old = F.struct("ord", "kind", "s", "arr", "kv")
+    got = both.groupBy(*by, "fund", "key").agg(F.max(F.when(F.col("_new").isNull(), old)).alias("_old"), F.max("_new").alias("_new"), F.max("_first").alias("_first"))
+    take = lambda c: F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(f"_old.{c}")).alias(c)
+    # behind all fields of the fund, in the order in which the side tables bring new keys
+    place = F.coalesce("_old.ord", 1_000_000_000 + F.dense_rank().over(Window.partitionBy(*by, "fund").orderBy("_first", "key")))
+    return got.select(*by, "fund", place.cast("long").alias("ord"), "key", *[take(c) for c in ("kind", "s", "arr", "kv")])
+
+
 def read_mart(funds: DataFrame, loads: DataFrame, metrics: DataFrame, key: Sequence[str], like: tuple[str, str] | None = None, equal: dict[str, object] | None = None) -> DataFrame:
     """Funds with their loads and metrics where they have any, filtered by a LIKE pattern and by equality before the joins."""
     if like:

@@ -23,15 +23,49 @@ def contains_any(c, patterns: Sequence[str], ignore_case: bool = True) -> Column
     return _c(c).rlike(f"{'(?i)' * ignore_case}{any_of(patterns)}")
 
 
+def without_punctuation(text) -> Column:
+    return F.regexp_replace(_c(text), r"(?U)[^\w\s]", "")
+
+
 def term_hit(text, terms: Sequence[str]) -> Column:
-    """The first listed term found as a whole word, punctuation and case aside; null if none."""
-    plain = F.regexp_replace(_c(text), r"(?U)[^\w\s]", "")
-    return F.coalesce(*[F.when(plain.rlike(rf"(?iU)\b{t}\b"), F.lit(t)) for t in terms])
+    """The first listed term found as a whole word in the text without its punctuation, case aside; null if none. A term is no pattern: one with punctuation is in no such text."""
+    plain = without_punctuation(text)
+    quoted = lambda t: "\\Q" + t.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+    return F.coalesce(*[F.when(plain.rlike(rf"(?iU)\b{quoted(t)}\b"), F.lit(t)) for t in terms])
+
+
+def word_runs(text, longest: int) -> Column:
+    """All runs of one to ``longest`` words of the text without its punctuation, in lower case, white space between words as it is."""
+    parts = F.regexp_extract_all(F.lower(strip(without_punctuation(text))), F.lit(r"(?U)(\w+|\s+)"), F.lit(0))  # word, gap, word, ...
+    firsts = F.when(F.size(parts) > 0, F.sequence(F.lit(1), F.size(parts), F.lit(2))).otherwise(F.array().cast("array<int>"))
+    run = lambda i: F.transform(F.sequence(F.lit(1), F.lit(2 * longest - 1), F.lit(2)), lambda n: F.when(i + n - 1 <= F.size(parts), F.array_join(F.slice(parts, i, n), "")))
+    return F.array_distinct(F.array_compact(F.flatten(F.transform(firsts, run))))
+
 
+def term_hits(spans: DataFrame, terms: DataFrame, longest: int, page: Sequence[str] = ("doc_id", "page")) -> DataFrame:
+    """Per page and term: ``at``, the first span of which the term is the first listed one, as in :func:`term_hit`; for term lists of any length.
 
-def page_hits(spans: DataFrame, terms: Sequence[str], page: Sequence[str] = ("doc_id", "page")) -> DataFrame:
-    """Per page: distinct hit terms in the order of their first hit, and their number; pages without a hit have none."""
-    hits = spans.withColumn("term", term_hit("text", terms)).groupBy(*page, "term").agg(F.min("span_no").alias("at"))
+    ``terms(term, priority)``; ``longest`` is the number of words of the longest term that counts. Spans are cut into runs of words, which meet the terms by an equi-join, so the
+    cost does not grow with a pattern for each term. ``span_no`` is unique in a page. Terms without a word, or with punctuation, hit nothing;
+    white space around a term is ignored; of equal terms the least priority counts, and of equal priorities the first in order of text.
+    """
+    name = F.lower(strip("term"))
+    listed = terms.where(strip("term").rlike(r"(?U)^\w[\w\s]*$")).groupBy(name.alias("_run")).agg(F.min(F.struct("priority", "term")).alias("_term"))
+    runs = spans.repartition(*page).select(*page, "span_no", F.explode(word_runs("text", longest)).alias("_run"))
+    first = runs.join(listed, "_run").groupBy(*page, "span_no").agg(F.min("_term")["term"].alias("term"))
+    return first.groupBy(*page, "term").agg(F.min("span_no").alias("at"))
+
+
+def page_hits(spans: DataFrame, terms: Sequence[str] | DataFrame, page: Sequence[str] = ("doc_id", "page"), longest: int = 5) -> DataFrame:
+    """Per page: distinct hit terms in the order of their first hit, and their number; pages without a hit have none.
+
+    A few terms are a list; many are a table (:func:`term_hits`).
+    """
+    if isinstance(terms, DataFrame):
+        pages = spans.select(*page).distinct()
+        hits = pages.join(term_hits(spans, terms, longest, page), list(page), "left")
+    else:
+        hits = spans.withColumn("term", term_hit("text", terms)).groupBy(*page, "term").agg(F.min("span_no").alias("at"))
     found = F.array_sort(F.collect_list(F.when(F.col("term").isNotNull(), F.struct("at", "term"))))
     return hits.groupBy(*page).agg(found.alias("x")).select(*page, F.transform("x", lambda t: t["term"]).alias("hits"), F.size("x").alias("n_hits"))
 

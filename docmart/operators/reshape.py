@@ -55,6 +55,11 @@ def promote_keys(fields: DataFrame, rules, search: bool = False) -> DataFrame:
     return fold(fields, folds.promoted(rules, search))
 
 
+def zip_people_fields(fields: DataFrame, new: str, keys: dict[str, str], patterns: dict[str, str], how: str = "pad") -> DataFrame:
+    """Managers from lists under different keys, see :func:`~docmart.operators.folds.people_zipped`."""
+    return fold(fields, [folds.people_zipped(new, keys, patterns, how)])
+
+
 def merge_two(a: Column, b: Column, kind: str) -> Column:
     """Two values of one kind as one: lists join, dictionaries unite, texts join by a blank."""
     if kind == "a":

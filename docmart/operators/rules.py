@@ -183,7 +183,7 @@ def _walk(name: str, value, use: Callable[[str], object]):
 
 
 #: The parts of a rule that are patterns.
-PATTERNS = ("pattern", "escape", "key", "value", "name", "since", "exp", "remove")
+PATTERNS = ("pattern", "escape", "key", "value", "name", "since", "exp", "remove", "date", "year")
 
 
 def value_text() -> Column:

@@ -34,6 +34,27 @@ def f1(spark, d):
     return page_hits(spark, d).select("doc_id", "page", F.array_join("hits", ",").alias("hits"), "n_hits")
 
 
+#: One term for each name of a part and for some of its words, terms with punctuation, and one that is listed twice.
+_TERM_ROWS = """
+SELECT upper(p_name) AS term, min(p_partkey) AS priority FROM part GROUP BY p_name UNION ALL SELECT split_part(p_name, ' ', 2), 100000 + min(p_partkey) FROM part GROUP BY 1
+UNION ALL SELECT 'r.o.e ' || s_suppkey, -1 FROM supplier UNION ALL SELECT 'c++ (' || p_name, -2 FROM part UNION ALL SELECT 'goldenrod', -3 UNION ALL SELECT 'goldenrod', 5 UNION ALL SELECT 'blue ' || l_linenumber, l_linenumber FROM lineitem"""
+
+
+@query("f1b_term_index", f"""
+WITH s AS (SELECT doc_id, page, span_no, text FROM ({_TERM_SPANS}) x), t AS (SELECT lower(term) AS run, min({{'priority': priority, 'term': term}}) AS t FROM ({_TERM_ROWS}) y WHERE regexp_matches(term, '^[a-zA-Z0-9 ]+$') GROUP BY 1),
+w AS (SELECT DISTINCT text, string_split(lower(text), ' ') AS w FROM s),
+g AS (SELECT text, unnest(w) AS run FROM w UNION SELECT text, w[i] || ' ' || w[i + 1] FROM (SELECT text, w, unnest(range(1, len(w))) AS i FROM w)),
+h AS (SELECT text, min(t).term AS term FROM g JOIN t USING (run) GROUP BY text),
+p AS (SELECT doc_id, page, term, min(span_no) AS first_at FROM s LEFT JOIN h USING (text) GROUP BY ALL)
+SELECT doc_id, page, coalesce(string_agg(term, ',' ORDER BY first_at, term) FILTER (term IS NOT NULL), '') AS hits, count(term) AS n_hits FROM p GROUP BY ALL""")
+def f1b(spark, d):
+    """A term table instead of a list: names as terms, many of them, punctuation in some."""
+    spans = _words_of(view(spark, d, SPANS))
+    table(spark, d, "supplier").createOrReplaceTempView("supplier")
+    terms = spark.sql(_TERM_ROWS)
+    return P.page_hits(spans, terms, longest=2).select("doc_id", "page", F.array_join("hits", ",").alias("hits"), "n_hits")
+
+
 def _titles(spark, d):
     pages = view(spark, d, SPANS).select("doc_id", "page").distinct()
     return pages.select("doc_id", "page", F.when(F.col("page") == 3, "").otherwise(F.concat(F.lit("Fund "), (F.col("doc_id") % 5).cast("string"))).alias("title"), F.when(F.col("doc_id") % 2 == 0, "even").otherwise("odd").alias("amc_key"))
@@ -139,6 +160,16 @@ def l7(spark, d):
     return L.merge_header_lines(spans, 50.0, ["doc_id", "page"], order="span_no").select("doc_id", "page", "size", F.col("span_no").alias("ord"), "text")
 
 
+@query("l7b_header_attributes", f"""
+WITH s AS (SELECT *, CASE WHEN size >= 25 THEN 50.0 ELSE size END AS sz, ceil(y / 40) AS yy FROM ({SPANS}))
+SELECT doc_id, page, min(span_no) AS ord, arg_min(x, span_no) AS x, arg_min(color, span_no) AS color, arg_min(font, span_no) AS font FROM s WHERE sz = 50 GROUP BY doc_id, page, yy, sz
+UNION ALL SELECT doc_id, page, span_no, x, color, font FROM s WHERE sz <> 50""")
+def l7b(spark, d):
+    """Merged headers keep place, colour and font of their first span."""
+    spans = view(spark, d, SPANS).withColumn("size", F.when(F.col("size") >= 25, 50.0).otherwise(F.col("size"))).withColumn("y", F.col("y") / 40)
+    return L.merge_header_lines(spans, 50.0, ["doc_id", "page"], order="span_no").select("doc_id", "page", F.col("span_no").alias("ord"), "x", "color", "font")
+
+
 _NAME = r"lower(regexp_replace(trim(regexp_replace(text, '[^\p{L}\p{N}_\s]', '', 'g')), '\s+', '_', 'g'))"
 _SECTIONS = f"""
 SELECT doc_id, sec AS section_no, coalesce(max(CASE WHEN is_header THEN {_NAME} END), 'before') AS header, coalesce(list(text ORDER BY ord) FILTER (NOT is_header), []) AS lines

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 from pyspark.sql.window import Window
 
+from ..functions import extract as E
 from ..operators import cells as C
 from ..operators import mart as M
 from ..operators import reshape as K
@@ -131,6 +132,29 @@ def t12(spark, d):
     return C.scheme_side_table(stacked(spark, d), 0, [2], "(red|blue|small) [a-z]+", sep="; ")
 
 
+#: In each document the columns stand in another order.
+_TURNED = f"{_STACKED}, q AS (SELECT doc_id, row_no, max(text) FILTER (col_no = 0) AS name, coalesce(max(text) FILTER (col_no = 1), '') AS brand, coalesce(max(text) FILTER (col_no = 2), '') AS size FROM s GROUP BY ALL), f AS (SELECT *, nullif(regexp_extract(name, '(red|blue|small) [a-z]+'), '') AS own, last_value(nullif(regexp_extract(name, '(red|blue|small) [a-z]+'), '') IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY row_no) AS scheme FROM q)"
+
+
+def turned(spark, d):
+    cells = stacked(spark, d)
+    return cells.withColumn("col_no", (F.col("col_no") + F.col("doc_id") % 4) % 4)
+
+
+@query("t11b_side_columns", f"{_TURNED} SELECT doc_id, scheme, string_agg(CASE WHEN own IS NULL THEN brand ELSE brand || '|' || own || ' ' || brand END, '|' ORDER BY row_no) AS texts FROM f WHERE scheme IS NOT NULL AND doc_id IN (SELECT doc_id FROM q WHERE brand <> '') GROUP BY ALL")
+def t11b(spark, d):
+    """Columns found by keyword in each document; a row that names its scheme gives its text twice."""
+    got = C.side_table(turned(spark, d), {"name": (["red", "blue", "small"], 1), "brand": (["brand"], 1)}, "name", "(red|blue|small) [a-z]+", twice=True)
+    return got.select("doc_id", "scheme", F.array_join("brand", "|").alias("texts"))
+
+
+@query("t12b_side_columns", f"{_TURNED} SELECT doc_id, scheme, string_agg(brand, '; ' ORDER BY row_no) AS brand, string_agg(size, '; ' ORDER BY row_no) AS size FROM f WHERE scheme IS NOT NULL GROUP BY ALL")
+def t12b(spark, d):
+    """Two value columns found by their cells, joined for each scheme."""
+    roles = {"name": (["red", "blue", "small"], 1), "brand": (["brand"], 1), "size": ([r"^\d+$"], 1)}
+    return C.side_table(turned(spark, d), roles, "name", "(red|blue|small) [a-z]+", sep="; ")
+
+
 # joins
 
 _RULES = [(1, "ring"), (2, "widget"), (3, "bolt"), (4, "gear")]
@@ -147,6 +171,23 @@ def j1(spark, d):
     return M.bridge_join(names, side, _RULES).select("fund", "side_fund", F.col("side_value").cast("long").alias("side_value"))
 
 
+@query("j1b_override", """
+WITH p AS (SELECT *, p_partkey // 20 AS doc_id, p_name || ' ' || p_partkey AS fund FROM part), r AS (SELECT * FROM (VALUES (1, 'ring'), (2, 'widget'), (3, 'bolt'), (4, 'gear')) v(i, p)),
+l AS (SELECT doc_id, fund, i FROM p, r WHERE contains(p_name, r.p)), s AS (SELECT DISTINCT doc_id, i, p_partkey, p_brand, p_size FROM p, r WHERE contains(p_name, r.p) AND p_name LIKE '%e%'),
+m AS (SELECT l.doc_id, fund, arg_max(p_brand, p_partkey) AS brand, arg_max(CAST(p_size AS VARCHAR), p_partkey) FILTER (p_size % 2 = 0) AS size FROM l JOIN s USING (doc_id, i) GROUP BY ALL)
+SELECT doc_id, fund, 'type' AS key, 0 AS ord, p_type AS value FROM p UNION ALL SELECT p.doc_id, fund, 'brand', 1, coalesce(m.brand, 'own') FROM p LEFT JOIN m USING (doc_id, fund)
+UNION ALL SELECT doc_id, fund, 'size', 2, size FROM m WHERE size IS NOT NULL""")
+def j1b(spark, d):
+    """Fields of side tables override a fund's own, the last side fund winning; a new key comes behind."""
+    p = table(spark, d, "part").withColumn("doc_id", F.floor(F.col("p_partkey") / 20).cast("long"))
+    text = lambda n, key, v: F.struct(F.lit(n).cast("long").alias("ord"), F.lit(key).alias("key"), F.lit("s").alias("kind"), v.cast("string").alias("s"), F.lit(None).cast("array<string>").alias("arr"), F.lit(None).cast(E.KV).alias("kv"))
+    fields = p.select("doc_id", F.concat_ws(" ", "p_name", F.col("p_partkey").cast("string")).alias("fund"), F.explode(F.array(text(0, "type", F.col("p_type")), text(1, "brand", F.lit("own")))).alias("x")).select("doc_id", "fund", "x.*")
+    sides = F.when(F.col("p_size") % 2 == 0, F.array(text(0, "brand", F.col("p_brand")), text(1, "size", F.col("p_size")))).otherwise(F.array(text(0, "brand", F.col("p_brand"))))
+    side = p.where("p_name like '%e%'").select("doc_id", F.concat(F.lit("side of "), "p_name", F.lit(" "), F.col("p_partkey").cast("string")).alias("side_fund"), F.col("p_partkey").alias("side_no"), F.explode(sides).alias("x")).select("doc_id", "side_fund", "side_no", "x.*")
+    got = M.override_side(fields, side, _RULES)
+    return got.select("doc_id", "fund", "key", (F.row_number().over(Window.partitionBy("doc_id", "fund").orderBy("ord")) - 1).alias("ord"), F.col("s").alias("value"))
+
+
 @query("j2_mart_read", "SELECT o_orderkey, o_orderpriority, l.qty, m.disc FROM orders LEFT JOIN (SELECT l_orderkey, sum(l_quantity) AS qty FROM lineitem GROUP BY 1) l ON o_orderkey = l.l_orderkey LEFT JOIN (SELECT l_orderkey, max(l_discount) AS disc FROM lineitem WHERE l_linenumber = 1 GROUP BY 1) m ON o_orderkey = m.l_orderkey WHERE o_orderpriority LIKE '%LOW%' AND o_orderstatus = 'F'")
 def j2(spark, d):
     orders = table(spark, d, "orders").withColumnRenamed("o_orderkey", "key")
@@ -215,6 +256,22 @@ def a1(spark, d):
     return wide.withColumn("avg_maturity", F.col("avg_maturity").cast("double")).drop("fund")
 
 
+@query("a1b_wide_all", f"""
+SELECT p_partkey AS doc_id, {', '.join(f"{v} AS {k}" for k, v in {k: "''" for k in (*M.WIDE_TEXTS, *M.WIDE_METRICS)}.items() if k not in ('benchmark_index', 'min_amt', 'min_amt_multiple', 'average_div_yield', 'ytm', 'amc_name'))},
+ p_brand || ', ' || p_type AS benchmark_index, CAST(p_size * 100 AS VARCHAR) AS min_amt, CAST(1 + p_size % 5 AS VARCHAR) AS min_amt_multiple, 'House' AS amc_name, '1.5' AS average_div_yield, CAST(p_size AS VARCHAR) AS ytm, 'Nil' AS entry_load, p_size || '%' AS exit_load FROM part""")
+def a1b(spark, d):
+    """All 11 texts, both loads and 22 metrics of a wide row; a list of benchmarks is joined, of a repeated metric the last counts."""
+    size = F.col("p_size").cast("string")
+    pair = lambda a, k, b, v: F.struct(k.alias(a), v.alias(b))
+    metrics = F.array(*[pair("name", F.lit(k), "value", v) for k, v in (("average_div_yield", F.lit("1.5")), ("ytm", F.lit("0")), ("ytm", size), ("average_div_yld", F.lit("9")), ("unknown", F.lit("1")))])
+    loads = F.array(*[pair("type", F.lit(k), "comment", v) for k, v in (("entry_load", F.lit("old")), ("entry_load", F.lit("Nil")), ("exit_load", F.concat(size, F.lit("%"))))])
+    records = table(spark, d, "part").select(
+        F.col("p_partkey").cast("long").alias("doc_id"), F.col("p_name").alias("fund"), F.lit("House").alias("amc_name"), F.array("p_brand", "p_type").alias("benchmark_index"), F.lit(None).cast("string").alias("monthly_aaum_date"),
+        (F.col("p_size") * 100).cast("string").alias("min_amt"), (1 + F.col("p_size") % 5).cast("string").alias("min_amt_multiple"), metrics.alias("metrics"), loads.alias("load"),
+    )
+    return M.wide_rows(records).drop("fund")
+
+
 @query("a2_sheet_rows", "SELECT p_brand AS sheet, p_partkey AS doc_id, p_brand || ' TRI' AS benchmark_index, 'Nil' AS entry_load, count(*) OVER (PARTITION BY p_brand) AS n_rows FROM part")
 def a2(spark, d):
     """The wide rows of each house on a sheet of its own, written and read back."""

@@ -209,6 +209,37 @@ _people("cut", "m2_zip_cut", "substr('abc', i + 1, 1)", "s_suppkey % 3")
 _people("repeat", "m3_zip_repeat", "CASE WHEN s_suppkey % 3 = 0 THEN '' ELSE substr('abc', CAST(least(i + 1, s_suppkey % 3) AS BIGINT), 1) END", "3")
 
 
+@query("m1b_zip_fields", """
+SELECT s_suppkey, i, CASE i WHEN 0 THEN 'Asha Rao' WHEN 1 THEN 'Ben Sen' ELSE 'Cy Das' END AS name, CASE WHEN i < s_suppkey % 3 THEN CAST(2000 + i AS VARCHAR) ELSE '' END AS since, CASE WHEN i < 2 THEN CAST(s_suppkey % 9 + i AS VARCHAR) ELSE '' END AS exp
+FROM (SELECT s_suppkey, unnest(range(3)) AS i FROM supplier)""")
+def m1b(spark, d):
+    """Names, dates and experience under three keys, of unequal length."""
+    from ..operators.reshape import zip_people_fields
+
+    key = F.col("s_suppkey")
+    since = F.array_join(F.slice(F.array(F.lit("since 2000"), F.lit("since 2001")), F.lit(1), (key % 3).cast("int")), ", ")
+    texts = {"fund_manager": F.lit("Mr. Asha Rao; Mr. Ben Sen; Mr. Cy Das"), "managing_fund_since": since, "experience": F.concat((key % 9).cast("string"), F.lit(" years, "), (key % 9 + 1).cast("string"), F.lit(" years"))}
+    none = F.lit(None)
+    item = lambda n, k, v: F.struct(F.lit(n).cast("long").alias("ord"), F.lit(k).alias("key"), F.lit("s").alias("kind"), v.alias("s"), none.cast("array<string>").alias("arr"), none.cast(E.KV).alias("kv"))
+    fields = table(spark, d, "supplier").select(key.cast("long").alias("doc_id"), F.lit("f").alias("fund"), F.explode(F.array(*[item(n, k, v) for n, (k, v) in enumerate(texts.items())])).alias("x")).select("doc_id", "fund", "x.*")
+    got = zip_people_fields(fields, "people", {"name": r"\bfund_manager\b", "since": "managing_fund", "exp": "experience"}, {"name": r"Mr\. (\w+ \w+)", "since": r"since (\d+)", "exp": r"(\d+) years"})
+    m = F.from_json("j", "managing_fund_since string, name string, total_exp string")
+    rows = got.where("key = 'people'").select(F.col("doc_id").alias("s_suppkey"), F.posexplode("arr").alias("i", "j")).withColumn("m", m)
+    return rows.select("s_suppkey", F.col("i").cast("long").alias("i"), "m.name", F.col("m.managing_fund_since").alias("since"), F.col("m.total_exp").alias("exp"))
+
+
+@query("m2b_dated_people", """
+SELECT s_suppkey, i, CASE i WHEN 0 THEN 'Asha Rao' ELSE 'Ben Sen' END AS name, CASE i WHEN 0 THEN 'June 1, 2015' ELSE 'May 2, 2016' END AS since, (s_suppkey % 9 + i) || ' years' AS exp
+FROM (SELECT s_suppkey, unnest(range(CAST(1 + s_suppkey % 2 AS BIGINT))) AS i FROM supplier)""")
+def m2b(spark, d):
+    """Dates and years found apart and joined; names are cut to the years of experience."""
+    key = F.col("s_suppkey")
+    text = F.concat(F.lit("Asha Rao; Ben Sen; Cy Das; June 1, May 2, 2015 2016 2017 over "), (key % 9).cast("string"), F.when(key % 2 == 1, F.concat(F.lit(" over "), (key % 9 + 1).cast("string"))).otherwise(""))
+    got = E.dated_people(text, name=r"([A-Z][a-z]+ [A-Z][a-z]+);", date=r"([A-Za-z]+\s*\d+),", year=r"\b(\d{4})\b", exp=r"over (\d+)")
+    rows = table(spark, d, "supplier").select("s_suppkey", F.posexplode(got).alias("i", "m"))
+    return rows.select("s_suppkey", F.col("i").cast("long").alias("i"), "m.name", F.col("m.managing_fund_since").alias("since"), F.col("m.total_exp").alias("exp"))
+
+
 @query("m4_named_managers", "SELECT s_suppkey, 'Supplier' AS name, CAST(2000 + s_suppkey % 20 AS VARCHAR) AS managing_fund_since FROM supplier")
 def m4(spark, d):
     text = F.concat(F.lit("since "), (2000 + F.col("s_suppkey") % 20).cast("string"), F.lit(": supplier;"))
