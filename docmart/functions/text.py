@@ -176,6 +176,24 @@ def is_alpha(c) -> Column:
     return _c(c).rlike("^[A-Za-z]+$")
 
 
+def metric_suspect(name, value) -> Column:
+    """Why a metric's cleaned value should not be trusted, null if nothing speaks against it.
+
+    A duration of several numbers is read as one number and a minus sign is lost; other values may be no numbers at all.
+    """
+    name, v = _c(name), strip(value)
+    duration = name.isin("avg_maturity", "macaulay", "mod_duration")
+    numbers = F.regexp_count(v, F.lit(r"\d+(?:\.\d+)?"))
+    bare = strip(F.regexp_replace(v, r"(?i)%+$|times?$", ""))
+    return (
+        F.when(v.rlike("(?i)^NA$") | (v == ""), F.lit(None))
+        .when(duration & (numbers > 1), "several numbers")
+        .when(duration & v.startswith("-"), "sign lost")
+        .when(duration & (numbers == 0), "no number")
+        .when(~duration & ~is_numeric(bare), "no number")
+    )
+
+
 def clean_metric(fund, name, value, turnover_as_is: str = "(?!)") -> Column:
     """A metric's value by its name; null where the value means "not available".
 

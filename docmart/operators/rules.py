@@ -315,6 +315,29 @@ def rule_book(rules: DataFrame, vintage: str = "current") -> dict[str, Houses]:
     return {table: Houses({h: own(by) for h, by in sorted(houses_.items())}) for table, houses_ in found.items()}
 
 
+def dated_rule_book(rules: DataFrame) -> dict[str, Houses]:
+    """The rules of all vintages in one book, by ``house@vintage``; a table that a vintage lacks is the house's ``current`` one."""
+    found: dict[tuple[str, str], dict[str, list]] = {}
+    for r in rules.collect():  # as in rule_book
+        found.setdefault((r["amc_key"], r["vintage"]), {}).setdefault(r["rule_table"], []).append((r["priority"], r["name"], r["pattern"]))
+    book: dict[str, Houses] = {}
+    for (house, vintage), own in sorted(found.items()):
+        for table, block in {**found.get((house, "current"), {}), **own}.items():
+            book.setdefault(table, Houses())[f"{house}@{vintage}"] = [x[1:] for x in sorted(block)]
+    return book
+
+
+def with_vintage(documents: DataFrame, vintages: DataFrame, date: str = "doc_date") -> DataFrame:
+    """``documents(doc_id, amc_key, date)`` with the key ``house@vintage``: the house's last vintage that is valid at the document's date, else ``current``; for :func:`dated_rule_book`.
+
+    ``vintages(amc_key, vintage, valid_from)`` has a few rows a house, which are gathered for each house before the join. A null date is ``current``.
+    """
+    of_house_ = vintages.groupBy("amc_key").agg(F.array_sort(F.collect_list(F.struct("valid_from", "vintage"))).alias("_all"))
+    last = F.try_element_at(F.filter("_all", lambda v: v["valid_from"] <= F.col(date)), F.lit(-1))["vintage"]
+    dated = documents.join(of_house_, "amc_key", "left").withColumn("amc_key", F.concat_ws("@", "amc_key", F.coalesce(last, F.lit("current"))))
+    return dated.select(*documents.columns)
+
+
 def houses(rules: DataFrame | dict[str, Houses], table: str, vintage: str = "current") -> Houses:
     """One table of a rule book, or of rule rows."""
     return (rules if isinstance(rules, dict) else rule_book(rules.where(F.col("rule_table") == table), vintage)).get(table, Houses())

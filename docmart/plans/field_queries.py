@@ -288,6 +288,18 @@ def s7(spark, d):
     return R.lookup(table(spark, d, "nation").select("n_name", F.concat(F.lit("h"), F.col("n_regionkey").cast("string")).alias("amc_key")), rules).select("n_name", "amc_key", "priority", "name")
 
 
+@query("s7b_dated_rules", """
+SELECT p_partkey AS doc_id, CASE p_partkey % 4 WHEN 1 THEN CASE WHEN p_size % 4 IN (1, 2) THEN 'old_index' ELSE 'index' END WHEN 3 THEN 'Benchmark Index' ELSE 'benchmark' END AS key FROM part""")
+def s7b(spark, d):
+    """One run over documents of several years: each takes the vintage of its house that was valid at its date."""
+    f = base_fields(spark, d).where("key = 'Benchmark Index'")
+    year = table(spark, d, "part").select(F.col("p_partkey").cast("long").alias("doc_id"), F.concat(F.lit("h"), F.col("p_partkey") % 4).alias("amc_key"), F.expr("make_date(2018 + p_size % 4, 6, 1)").alias("doc_date"))
+    valid = spark.createDataFrame([("h1", "2019", "2019-01-01"), ("h1", "current", "2021-01-01")], "amc_key string, vintage string, valid_from string").withColumn("valid_from", F.to_date("valid_from"))
+    dated = R.with_house(f, R.with_vintage(year, valid))
+    book = R.dated_rule_book(rule_files(spark))
+    return dated.select("doc_id", F.coalesce(R.first_by_house("key", R.houses(book, "headers")), F.col("key")).alias("key"))
+
+
 @query("f11_types", "SELECT p_partkey, p_size % 3 = 0 AS numeric, p_size % 3 IN (0, 1) AS alphanumeric, p_size % 3 = 1 AS alpha FROM part")
 def f11(spark, d):
     k = F.col("p_size") % 3

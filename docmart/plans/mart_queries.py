@@ -9,6 +9,7 @@ from pyspark.sql import types as Ty
 from pyspark.sql.window import Window
 
 from ..functions import extract as E
+from ..functions.text import metric_suspect
 from ..operators import cells as C
 from ..operators import mart as M
 from ..operators import reshape as K
@@ -450,19 +451,51 @@ def s11(spark, d):
 def s12(spark, d):
     """Mart tables written to a database and read from it in parts.
 
-    The database is the session's; without one, on a single machine, an embedded one in a new folder.
+    The database is the session's; without one, on a single machine, an embedded one in a new folder, which only one process can open.
     """
-    name = f"m{uuid.uuid4().hex[:12]}"
+    name, own = f"m{uuid.uuid4().hex[:12]}", {}
     if not spark.conf.get("spark.docmart.jdbc.url", ""):
-        spark.conf.set("spark.docmart.jdbc.url", f"jdbc:derby:{work_folder(spark)};create=true")
-    r = Q.records(spark, d)
-    S.write_mart(r.select("doc_id", "benchmark_index"), f"{name}_funds")
-    S.write_mart(r.select("doc_id", *M.load_columns(F.col("load"))), f"{name}_loads")
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.docmart.jdbc.url to a database that all executors reach")
+        own = {"url": f"jdbc:derby:{work_folder(spark)};create=true"}
+    r = S.cut(Q.records(spark, d).select("doc_id", "benchmark_index", "load"))  # worked out once for all that follows
+    S.write_mart(r.select("doc_id", "benchmark_index"), f"{name}_funds", options=own)
+    S.write_mart(r.select("doc_id", *M.load_columns(F.col("load"))), f"{name}_loads", options=own)
     top = r.agg(F.max("doc_id")).first()[0] or 1
-    funds, loads = (S.read_mart_table(spark, f"{name}_{t}", "doc_id", 0, top, 4) for t in ("funds", "loads"))
+    funds, loads = (S.read_mart_table(spark, f"{name}_{t}", "doc_id", 0, top, 4, options=own) for t in ("funds", "loads"))
     return M.read_mart(funds, loads, r.select("doc_id"), ["doc_id"])
 
 
+@query("a7b_migration", """
+SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN s_name || ' 2' ELSE s_name END AS s_name, CASE WHEN s_suppkey % 3 = 0 THEN 1 ELSE 0 END AS run, true AS is_migrated, count(*) OVER (PARTITION BY s_nationkey) AS n_of_key FROM supplier""")
+def a7b(spark, d):
+    """Two batches migrated in two runs, the second of which breaks off before its flags and is made again."""
+    from ..operators.migrate import Migration
+
+    rows = table(spark, d, "supplier").select("s_suppkey", "s_name", F.concat(F.lit("nation "), "s_nationkey").alias("nation"))
+    m = Migration(spark, work_folder(spark), "s_suppkey bigint, s_name string, nation string", ["s_suppkey"], {"nation": "nation_id"})
+    m.stage(rows, 0)
+    m.run(0)
+    m.stage(rows.where("s_suppkey % 3 = 0").withColumn("s_name", F.concat("s_name", F.lit(" 2"))), 1)
+    m.load(1)  # broken off here
+    m.run(1)
+    m.run(2)  # finds nothing
+    state = m.staged().select("s_suppkey", "is_migrated")
+    got = m.mart().withColumn("n_of_key", F.count(F.lit(1)).over(Window.partitionBy("nation_id"))).join(state, "s_suppkey")
+    return got.select("s_suppkey", "s_name", "run", "is_migrated", "n_of_key")
+
+
+@query("w3b_observed", "SELECT count(*) AS rows, count(*) FILTER (p_size % 3 = 0) AS several, count(*) FILTER (p_size % 3 = 1) AS sign FROM part")
+def w3b(spark, d):
+    """Suspect values counted in the pass that writes the rows."""
+    size = F.col("p_size").cast("string")
+    value = F.when(F.col("p_size") % 3 == 0, F.concat(size, F.lit(" years 3 months"))).when(F.col("p_size") % 3 == 1, F.concat(F.lit("-"), size, F.lit(" days"))).otherwise(F.concat(size, F.lit(" days")))
+    why = metric_suspect(F.lit("avg_maturity"), value)
+    rows, seen = W.count_errors(table(spark, d, "part").select("p_partkey", why.alias("why")), {"several": F.when(F.col("why") == "several numbers", 1), "sign": F.when(F.col("why") == "sign lost", 1)})
+    rows.write.parquet(work_folder(spark))
+    return spark.createDataFrame([seen.get], "rows long, several long, sign long")
+
+
 # ingest
 
 _EVENT_SCHEMA = Ty.StructType([Ty.StructField("file_name", Ty.LongType()), Ty.StructField("ts", Ty.TimestampNTZType()), Ty.StructField("event_type", Ty.StringType()), Ty.StructField("value", Ty.DoubleType())])

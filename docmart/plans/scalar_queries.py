@@ -86,6 +86,14 @@ SELECT p_partkey AS doc_id, CAST((p_size % 7) * 100 + 50 AS VARCHAR) AS turnover
   round(p_size / CAST(365 AS DOUBLE), 4) AS days, round(p_size / CAST(12 AS DOUBLE), 4) AS months, CAST(NULL AS VARCHAR) AS missing FROM part"""
 
 
+@query("n20b_suspects", "SELECT p_partkey, CASE p_size % 5 WHEN 0 THEN 'several numbers' WHEN 1 THEN 'sign lost' WHEN 2 THEN NULL WHEN 3 THEN 'no number' ELSE NULL END AS why FROM part")
+def n20b(spark, d):
+    size, k = F.col("p_size").cast("string"), F.col("p_size") % 5
+    name = F.when(k == 3, "beta").when(k == 4, "ytm").otherwise("macaulay")
+    value = F.when(k == 0, F.concat(size, F.lit(" years 3 months"))).when(k == 1, F.concat(F.lit(" -"), size, F.lit(" days"))).when(k == 2, F.concat(size, F.lit(".5 years"))).when(k == 3, F.concat(size, F.lit(" or so"))).otherwise(F.concat(size, F.lit(" %")))
+    return table(spark, d, "part").select("p_partkey", T.metric_suspect(name, value).alias("why"))
+
+
 @query("n20_metric", _METRIC_SQL)
 def n20(spark, d):
     m = lambda name, value: T.clean_metric(F.lit("fund"), F.lit(name), value)

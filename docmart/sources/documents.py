@@ -147,19 +147,19 @@ def append_ledger(processed: DataFrame, path: str) -> None:
     processed.select("run", "file_name", "path", "status").write.mode("append").parquet(path)
 
 
-def jdbc_options(spark: SparkSession, table: str) -> dict[str, str]:
-    """Connection options from the session's configuration; none are kept in code, and what is not set is left out."""
+def jdbc_options(spark: SparkSession, table: str, more: dict[str, str] | None = None) -> dict[str, str]:
+    """Connection options from the session's configuration and those given, which come first; none are kept in code, and what is not set is left out."""
     conf = {k: spark.conf.get(f"spark.docmart.jdbc.{k}", "") for k in ("url", "user", "password", "driver")}
-    return {k: v for k, v in conf.items() if v} | {"dbtable": table}
+    return {k: v for k, v in conf.items() if v} | (more or {}) | {"dbtable": table}
 
 
-def write_mart(rows: DataFrame, table: str, mode: str = "append") -> None:
-    rows.write.format("jdbc").options(**jdbc_options(rows.sparkSession, table)).mode(mode).save()
+def write_mart(rows: DataFrame, table: str, mode: str = "append", options: dict[str, str] | None = None) -> None:
+    rows.write.format("jdbc").options(**jdbc_options(rows.sparkSession, table, options)).mode(mode).save()
 
 
-def read_mart_table(spark: SparkSession, table: str, column: str | None = None, lower: int = 0, upper: int = 0, parts: int = 1) -> DataFrame:
+def read_mart_table(spark: SparkSession, table: str, column: str | None = None, lower: int = 0, upper: int = 0, parts: int = 1, options: dict[str, str] | None = None) -> DataFrame:
     """A mart table; with a numeric column and its range, read in parts."""
-    reader = spark.read.format("jdbc").options(**jdbc_options(spark, table))
+    reader = spark.read.format("jdbc").options(**jdbc_options(spark, table, options))
     if column:
         reader = reader.options(partitionColumn=column, lowerBound=str(lower), upperBound=str(upper), numPartitions=str(parts))
     return reader.load()

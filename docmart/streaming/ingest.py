@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -59,6 +59,15 @@ def isolate(rows: DataFrame, checks: dict[str, Column]) -> tuple[DataFrame, Data
     return marked.where("error = ''").drop("error"), marked.where("error <> ''")
 
 
+def count_errors(rows: DataFrame, errors: dict[str, Column], name: str = "errors") -> tuple[DataFrame, Observation]:
+    """The rows as they are, and an observation that holds, once they have been written, how many there were (``rows``) and how many had each error (a column that is null where all is well).
+
+    Counted in the pass that writes, not in one of its own.
+    """
+    seen = Observation(name)
+    return rows.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(e) for e, c in errors.items()]), seen
+
+
 def drop_repeats(stream: DataFrame, keys: list[str], ts: str = "ts", delay: str = "1 day") -> DataFrame:
     """A document delivered again within the watermark is dropped; NTZ timestamps become timestamps first."""
     return stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
