@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .shared import shared_folder
+from .shared import drop_at_end, shared_folder
 
 
 @dataclass(frozen=True)
@@ -81,21 +81,26 @@ def versions_of(docs: DataFrame, path_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(path_col).alias("path"), F.sha2(F.encode(text, "UTF-8"), 256).alias("blob"), text.alias("text"))
 
 
-def unseen_blobs(versions: DataFrame, ledger: DataFrame | None, rules: tuple[Rule, ...]) -> DataFrame:
-    """(blob, text, todo), one row for each blob that some rule has not seen."""
-    first = versions.groupBy("blob").agg(F.min("path").alias("path"))
-    todo = F.lit(None).cast("array<string>")
-    if ledger is not None:
-        names = F.array(*[F.lit(r.name) for r in rules])
-        seen = ledger.groupBy("blob").agg(F.collect_set("rule").alias("seen"))
-        first = first.join(seen, "blob", "left").withColumn("todo", F.array_except(names, F.coalesce("seen", F.array().cast("array<string>")))).where(F.size("todo") > 0)
-    else:
-        first = first.withColumn("todo", todo)
+def unseen_blobs(paths: DataFrame, ledger: DataFrame | None, rules: tuple[Rule, ...]) -> DataFrame:
+    """(blob, path, todo), one row for each blob of ``paths(path, blob)`` that some rule has not seen, with one of its paths; todo lists the rules to run, null for all."""
+    first = paths.groupBy("blob").agg(F.min("path").alias("path"))
+    if ledger is None:
+        return first.withColumn("todo", F.lit(None).cast("array<string>"))
+    names = F.array(*[F.lit(r.name) for r in rules])
+    seen = ledger.groupBy("blob").agg(F.collect_set("rule").alias("seen"))
+    return first.join(seen, "blob", "left").withColumn("todo", F.array_except(names, F.coalesce("seen", F.array().cast("array<string>")))).where(F.size("todo") > 0).drop("seen")
+
+
+def with_text(first: DataFrame, versions: DataFrame) -> DataFrame:
+    """(blob, text, todo). Repeated rows may give a blob twice; its matches are made distinct before they are placed."""
     # Joined on blob and path as one key: by the blob alone, all paths of a very common blob would meet in one task.
     whole = F.concat_ws(":", "blob", F.coalesce(F.concat(F.lit("p"), F.col("path").cast("string")), F.lit("")))
-    first = first.select(whole.alias("whole"), "todo")
-    # Repeated rows may give a blob twice; its matches are made distinct before they are placed.
-    return versions.withColumn("whole", whole).join(first, "whole").select("blob", "text", "todo")
+    return versions.withColumn("whole", whole).join(first.select(whole.alias("whole"), "todo"), "whole").select("blob", "text", "todo")
+
+
+def scanned_pairs(first: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    """The ledger's new rows (blob, rule)."""
+    return first.select("blob", F.explode(F.coalesce("todo", F.array(*[F.lit(r.name) for r in rules]))).alias("rule"))
 
 
 def scan_secrets(docs: DataFrame, ledger: DataFrame | None = None, known: DataFrame | None = None, rules: tuple[Rule, ...] = RULES, path_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -109,12 +114,11 @@ def scan_secrets(docs: DataFrame, ledger: DataFrame | None = None, known: DataFr
     other; repeated rows give repeated rows; an empty table gives empty ones.  Other columns, of any name, are ignored.
     """
     versions = versions_of(docs, path_col, text_col)
-    blobs = unseen_blobs(versions, ledger, rules)
-    found = scan_blobs(blobs, rules)
+    first = unseen_blobs(versions.select("path", "blob"), ledger, rules)
+    found = scan_blobs(with_text(first, versions), rules)
     if known is not None:
         found = found.unionByName(known)
-    scanned = blobs.select("blob", F.explode(F.coalesce("todo", F.array(*[F.lit(r.name) for r in rules]))).alias("rule")).distinct()
-    return by_path(versions, found), found.distinct(), scanned
+    return by_path(versions, found), found.distinct(), scanned_pairs(first, rules)
 
 
 def by_path(versions: DataFrame, found: DataFrame) -> DataFrame:
@@ -151,17 +155,20 @@ class Ledger:
 
     def scan(self, docs: DataFrame, rules: tuple[Rule, ...] = RULES, path_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """Scan what the ledger lacks, add it, and return the findings of all paths by the rules given, as :func:`scan_secrets` does."""
-        versions = versions_of(docs, path_col, text_col)
-        blobs = unseen_blobs(versions, self.read("scanned", self.SCANNED), rules)
-        part = uuid.uuid4().hex
+        versions, part = versions_of(docs, path_col, text_col), uuid.uuid4().hex
+        # paths and what is to scan are worked out once and written; texts are read again for the scan alone
+        versions.select("path", "blob").write.parquet(f"{self.folder}/{part}/paths")
+        paths = self.spark.read.parquet(f"{self.folder}/{part}/paths")
+        unseen_blobs(paths, self.read("scanned", self.SCANNED), rules).write.parquet(f"{self.folder}/{part}/first")
+        first = self.spark.read.parquet(f"{self.folder}/{part}/first")
         named = F.element_at(F.array(*[F.lit(r.name) for r in rules]), F.col("rule_no") + 1).alias("rule")
-        scan_blobs(blobs, rules).select("blob", "kind", named, "begin", "end").distinct().write.parquet(f"{self.folder}/{part}/found")
+        scan_blobs(with_text(first, versions), rules).select("blob", "kind", named, "begin", "end").distinct().write.parquet(f"{self.folder}/{part}/found")
         names = F.array(*[F.lit(r.name) for r in rules])
-        blobs.select("blob", F.explode(F.coalesce("todo", names)).alias("rule")).distinct().write.parquet(f"{self.folder}/{part}/scanned")
+        scanned_pairs(first, rules).write.parquet(f"{self.folder}/{part}/scanned")
         self.spark.range(1).select(F.lit(part).alias("part")).coalesce(1).write.mode("append").json(f"{self.folder}/parts")
         number = F.array_position(names, F.col("rule")).cast("int") - 1
         found = self.read("found", self.FOUND).select("blob", "kind", number.alias("rule_no"), "begin", "end").where("rule_no >= 0")
-        return by_path(versions, found)
+        return by_path(paths, found)
 
 
 def _joined(findings: Column) -> Column:
@@ -169,7 +176,9 @@ def _joined(findings: Column) -> Column:
 
 
 def op7_secrets(spark, sf_dir: str) -> DataFrame:
-    ledger = Ledger(spark, f"{shared_folder(spark)}/secret-ledger-{uuid.uuid4().hex}")
+    folder = f"{shared_folder(spark)}/secret-ledger-{uuid.uuid4().hex}"
+    drop_at_end(spark, folder)  # a query's ledger is its own; one that is kept lies where its user puts it
+    ledger = Ledger(spark, folder)
     paths = ledger.scan(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     n = lambda kind: F.size(F.filter("findings", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
     base = F.filter("findings", lambda x: x["rule_no"] < len(BASE))
