@@ -80,8 +80,8 @@ def map_metric(c, keys: Sequence[tuple[str, str]]) -> Column:
 
 
 def owner(fields: DataFrame) -> list[str]:
-    """The columns that say whose a field is: document and fund, and the fund house where the table has it."""
-    return [c for c in ("doc_id", "fund", "amc_key") if c in fields.columns]
+    """The columns that say whose a field is: document and fund, and, where the table has them, the fund house and the fund's origin."""
+    return [c for c in ("doc_id", "fund", "amc_key", "first_page", "scheme_count") if c in fields.columns]
 
 
 def by_house(rules, build: Callable[[object], Column]) -> Column:
@@ -257,14 +257,14 @@ def flatten(fields: DataFrame) -> DataFrame:
     return each(fields, F.when(F.col("kind") == "d", inner).otherwise(F.array(same_row(at))))
 
 
-def refine(fields: DataFrame, heads, primary: Sequence[Dispatch], secondary: Sequence[Dispatch], tertiary: Sequence[Dispatch]) -> DataFrame:
+def refine(fields: DataFrame, heads, primary: Sequence[Dispatch], secondary: Sequence[Dispatch], tertiary: Sequence[Dispatch], partitioned: bool = False) -> DataFrame:
     """Three levels: canonical head, primary extraction, key normalisation and suffixes, flattening, then the other levels.
 
     Each level sees what the one before made; of equal keys the later overwrites. ``heads`` may be by house, as dispatch rules are.
     """
     from .layout import suffix_canonical
 
-    fields = fields.repartition("doc_id", "fund")
+    fields = fields if partitioned else fields.repartition("doc_id", "fund")
     plain = fields.withColumn("key", map_header("key", ()))
     rows = apply_level(plain.withColumn("key", F.coalesce(first_by_house("key", heads), F.col("key"))), primary)
     rows = rows.withColumn("kv", F.transform("kv", lambda x: F.struct(normalize_key(x["k"]).alias("k"), x["v"].alias("v"))))

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..operators import layout as L
 from ..operators import predicates as P
 from ..sources import documents as S
+from ..operators import rules as R
+from .chain import Sheet, factsheets
 from .harness import SPANS, TURNS, query, table, view
 
 _HIT = " ".join(f"WHEN regexp_matches(regexp_replace(text, '[^a-zA-Z0-9_\\s]', '', 'g'), '(?i)\\b{t}\\b') THEN '{t}'" for t in ("goldenrod", "lavender", "steel", "red"))
@@ -282,3 +285,37 @@ def a9(spark, d):
     from ..operators.mart import page_report
 
     return page_report(page_hits(spark, d), _titles(spark, d).drop("amc_key"), WORDS)
+
+
+#: Spans as a factsheet has them: titles above the page, headers of two kinds, body lines with a brand and an amount.
+_SHEET_SPANS = f"""
+SELECT doc_id, page - 1 AS page, block_no, span_no, x, cast(span_no * 10 AS double) AS y, size, color, font,
+  CASE WHEN size >= 25 THEN CASE WHEN size % 2 = 0 THEN 'Benchmark Index:' ELSE 'Min. Amount' END ELSE concat(font, ' TRI Rs.', cast(cast(size * 100 AS int) AS varchar(9))) END AS text
+FROM ({SPANS}) body
+UNION ALL SELECT DISTINCT doc_id, page - 1, 0, 0, cast(0 AS double), cast(-5 AS double), cast(9 AS double), 0, 't', CASE page WHEN 2 THEN 'The  Beta Fund, monthly' WHEN 3 THEN 'nothing' ELSE 'Alpha Fund' END FROM ({SPANS}) title"""
+
+
+def sheet() -> Sheet:
+    levels = ([R.Dispatch("benchmark", "first", {"pattern": r"(Brand#\d+)"}), R.Dispatch("min", "first", {"pattern": r"Rs\.(\d+)"})], (), ())
+    chain = {"select": ["benchmark", "min"], "map": [("benchmark_index", "benchmark_index$"), ("min_amt", "min_amt$")], "record": ["benchmark_index", "min_amt"]}
+    return Sheet(
+        title_box=F.col("y") < 0, title_pattern=r"(\w+\s+Fund)", terms=["brand3", "brand 1", "tri"], min_hits=1, header_size=50.0, body_sizes=(1.0, 24.0), schemes=[("Alpha", "alpha"), ("Beta", "beta")],
+        headers=(25.0, 51.0, range(4), [f"Brand#{i}" for i in range(1, 60)]), heads=[("benchmark_index", "benchmark"), ("min_amt", "min")], levels=levels, chain=chain,
+    )
+
+
+@query("chain_spans_to_records", f"""
+WITH s AS (SELECT * FROM ({_SHEET_SPANS}) z WHERE y >= 0), q AS (SELECT doc_id, page FROM s WHERE size < 25 AND page < 2 GROUP BY ALL),
+r AS (SELECT s.*, CASE page WHEN 1 THEN 'Beta' ELSE 'Alpha' END AS fund, row_number() OVER (PARTITION BY doc_id, page ORDER BY block_no, span_no) AS ord FROM s JOIN q USING (doc_id, page)),
+c AS (SELECT *, sum(CAST(size >= 25 AS INT)) OVER (PARTITION BY doc_id, fund ORDER BY ord) AS sec FROM r),
+n AS (SELECT doc_id, fund, sec, max(CASE WHEN size >= 25 THEN CASE WHEN size % 2 = 0 THEN 'b' ELSE 'm' END END) AS name, coalesce(string_agg(text, ' ' ORDER BY ord) FILTER (size < 25), '') AS lines FROM c GROUP BY ALL),
+f AS (SELECT doc_id, fund, name, arg_min(lines, sec) AS lines FROM n WHERE name IS NOT NULL GROUP BY ALL)
+SELECT doc_id, fund, max(regexp_extract(lines, 'Brand#[0-9]+')) FILTER (name = 'b') AS benchmark_index, max(regexp_extract(lines, 'Rs\\.([0-9]+)', 1)) FILTER (name = 'm') AS min_amt,
+  string_agg(CASE name WHEN 'b' THEN 'benchmark_index' ELSE 'min_amt' END || '@' || CASE fund WHEN 'Alpha' THEN 1 ELSE 2 END, ',' ORDER BY name) AS places,
+  count(*) OVER (PARTITION BY doc_id) AS n_funds
+FROM f GROUP BY doc_id, fund""")
+def chain(spark, d):
+    """From spans to records with locations, in one plan that deals spans by document once (tests/test_operators.py counts its exchanges)."""
+    r = factsheets(view(spark, d, _SHEET_SPANS), sheet())
+    places = F.array_join(F.transform("field_location", lambda x: F.concat_ws("@", x["field"], x["page"])), ",")
+    return r.select("doc_id", "fund", "benchmark_index", "min_amt", places.alias("places"), F.count(F.lit(1)).over(Window.partitionBy("doc_id")).alias("n_funds"))
