@@ -10,6 +10,7 @@ from docmart.functions import extract as E
 from docmart.operators import cells as C
 from docmart.operators import layout as L
 from docmart.operators import mart as M
+from docmart.operators import predicates as P
 from docmart.operators import reshape as K
 from docmart.operators import rules as R
 from docmart.operators.predicates import expand_pages
@@ -113,7 +114,7 @@ def test_every_registered_extractor_builds(spark):
     two, people = {"pattern": r"(\w+) (\w+)"}, {"pattern": r"(\w+)", "fields": ("name",)}
     rules = {
         **dict.fromkeys(E.EXTRACTORS, two), "scheme": {"keywords": ["ab", "cd"]}, "metrics": {"key": "a", "value": "b"}, "aligned": {"key": "a", "value": "b"}, "managers": people, "reversed": {"end": ""},
-        "people": {"name": r"\w+", "since": r"\d+", "exp": r"\d+"}, "assets": {"pattern": r"(\w+) (\w+)", "order": ("instrument_type", "min")}, "text": {"pattern": "x"}, "first": {"pattern": "x"}, "first_or_text": {"pattern": "x"}, "benchmark": {"pattern": "x"}, "date": {"pattern": "x"},
+        "people": {"name": r"\w+", "since": r"\d+", "exp": r"\d+"}, "dated_people": {"name": r"\w+", "date": r"\w+", "year": r"\d+", "exp": r"\d+"}, "assets": {"pattern": r"(\w+) (\w+)", "order": ("instrument_type", "min")}, "text": {"pattern": "x"}, "first": {"pattern": "x"}, "first_or_text": {"pattern": "x"}, "benchmark": {"pattern": "x"}, "date": {"pattern": "x"},
     }
     kinds = {"s": "string", "a": "array<string>", "m": "array<string>", "d": "array<struct<k:string,v:string>>"}
     for name, e in E.EXTRACTORS.items():
@@ -206,3 +207,89 @@ def test_keyword_spans_by_plain_search(spark):
                 for m in re.finditer(rf"(\b{a}\b)\s*(.*?)\s*(?:\b{b}\b|\Z|(?=\n\Z))", text.strip(), flags):
                     want.setdefault(m[1].lower(), m[2].strip())
             assert dict(got[i]) == want, text
+
+
+def test_terms_are_no_patterns(spark):
+    """Punctuation in a term is no pattern, and a table of terms hits as the list does."""
+    texts = ["r o e 5", "The C++ (net) fund", "alpha  beta", "Alpha beta, gamma", "xalpha beta", "", None, "  ünïted  ", "beta"]
+    spans = spark.createDataFrame([(1, k // 3, k, t) for k, t in enumerate(texts)], "doc_id long, page int, span_no long, text string")
+    terms = ["r.o.e", "c++ (net", "alpha beta", "ünïted", "beta", "Beta", "\\E.*", "(", "5"]
+    table = spark.createDataFrame([(t, k) for k, t in enumerate(terms)] + [("  ", 0), (None, 0)], "term string, priority int")
+    by_list = {(r.doc_id, r.page): (r.hits, r.n_hits) for r in P.page_hits(spans, terms).collect()}
+    by_table = {(r.doc_id, r.page): (r.hits, r.n_hits) for r in P.page_hits(spans, table, longest=3).collect()}
+    assert by_list == by_table == {(1, 0): (["5", "beta"], 2), (1, 1): (["alpha beta", "beta"], 2), (1, 2): (["ünïted", "beta"], 2)}
+
+
+def test_rules_in_a_table_extract_as_literals(spark):
+    """Every extractor gives the same with its patterns in a table as with literal ones."""
+    from docmart.functions.extract import EXTRACTORS
+    from docmart.operators import rules as R
+
+    text = "Entry Load Nil Exit Load 2% Mr. Asha Rao since 2011, 5 years; Turnover 3 Beta 4 amt 100 and 10"
+    cases = {
+        "text": {"pattern": r"Load (\w+)"}, "pairs": {"pattern": r"(\w+) Load (\S+)"}, "generic": {"pattern": r"(entry|exit) load (\S+)", "escape": r"\d%"}, "no_blanks": {"pattern": r"EntryLoad(\w{3})"}, "first": {"pattern": "zzz"},
+        "first_or_text": {"pattern": "zzz", "escape": "Entry"}, "scheme": {"keywords": ["Entry Load", "Exit Load", "Turnover", "EOL"]}, "amount": {"pattern": r"amt (\d+) and (\d+)"}, "load": {"pattern": r"Entry Load (\S+) Exit Load (\S+)"},
+        "lump": {"pattern": r"amt (\d+) and (\d+)"}, "metrics": {"key": "Turnover|Beta", "value": r"\b\d\b"}, "aligned": {"key": "Turnover|Beta", "value": r"\b\d\b"}, "managers": {"pattern": r"Mr\. (\w+ \w+) since (\d+)", "fields": ["name", "managing_fund_since"]},
+        "people": {"name": r"Mr\. (\w+ \w+)", "since": r"since (\d+)", "exp": r"(\d+) years"}, "dated_people": {"name": r"Mr\. (\w+)", "date": r"(\w+) Load", "year": r"(\d{4})", "exp": r"(\d+) years"},
+        "assets": {"pattern": r"(\w+) Load (\S+)", "order": ["instrument_type", "min"]}, "benchmark": {"pattern": r"(Exit Load)", "remove": "Entry Load Nil "}, "join": {"escape": "Load "}, "identity": {},
+    }
+    assert set(cases) | {"date"} <= set(EXTRACTORS)
+    fields = spark.createDataFrame([(1, "f", k, name, "s", text, None, None) for k, name in enumerate(cases)], R.FIELDS.replace("amc_key", "x"))
+    level = [R.Dispatch(f"{name}$", name, rule) for name, rule in cases.items()]
+    got = {r["key"]: (r["kind"], r["s"], r["arr"], r["kv"]) for r in R.apply_level(fields, level).collect()}
+    for name, rule in cases.items():
+        e = EXTRACTORS[name]
+        want = spark.range(1).select(e.build(F.lit(text), rule).alias("v")).first()["v"]
+        kind, *values = got[name]
+        if want is not None:
+            assert (kind, values[{"s": 0, "a": 1, "m": 1, "d": 2}[kind]]) == (e.kind_of(rule), want), name
+
+
+def test_rules_of_houses_and_of_all(spark):
+    """Rules for all houses and rules of one keep their common order; houses without rules take the rules for all."""
+    from docmart.operators import rules as R
+
+    rows = [(1, "f", k, "key", "s", "abc", None, None, h) for k, h in enumerate(["h0", "h1", "h2"])]
+    fields = spark.createDataFrame(rows, R.FIELDS + ", amc_key string")
+    level = [R.Dispatch("key", "text", {"pattern": "a"}, "h0"), R.Dispatch("key", "text", {"pattern": "b"}), R.Dispatch("key", "text", {"pattern": "c"}, "h1")]
+    assert {r["amc_key"]: r["s"] for r in R.apply_level(fields, level).collect()} == {"h0": "a", "h1": "b", "h2": "b"}
+
+
+def test_spans_to_records_deal_once(spark):
+    """The whole chain from spans to records has one exchange by key, and an empty table gives no records."""
+    import re
+
+    from docmart.plans.chain import factsheets
+    from docmart.plans.layout_queries import sheet
+
+    empty = spark.createDataFrame([], "doc_id long, page int, block_no int, span_no long, x double, y double, size double, color int, font string, text string")
+    got = factsheets(empty, sheet())
+    assert got.count() == 0
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = factsheets(empty, sheet())._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert len(re.findall(r"Exchange hashpartitioning|Exchange rangepartitioning|Exchange SinglePartition", plan)) == 1
+
+
+def test_migration_with_odd_rows(spark, tmp_path):
+    """Null keys and names, repeated rows, an empty batch, and a run that broke off."""
+    from docmart.operators.migrate import Migration
+
+    m = Migration(spark, str(tmp_path), "id int, name string, v int", ["id"], {"name": "name_id"})
+    rows = lambda r: spark.createDataFrame(r, "id int, name string, v int")
+    assert m.staged().count() == m.mart().count() == 0
+    m.stage(rows([(1, "a", 1), (1, "a", 1), (2, None, 2), (None, "a", 3)]), 0)
+    m.run(0)
+    assert {(r.id, r.name, r.v, r.name_id is None, r.run) for r in m.mart().collect()} == {(1, "a", 1, False, 0), (2, None, 2, True, 0), (None, "a", 3, False, 0)}
+    keys = {r.name: r.name_id for r in m.dimension("name").collect()}
+    m.stage(rows([(2, "b", 5)]), 1)
+    m.load(1)  # no flags: nothing of it is seen
+    assert {r.id: r.v for r in m.mart().collect()} == {1: 1, 2: 2, None: 3} and m.staged().where("not is_migrated").count() == 1
+    m.run(1)
+    m.stage(rows([]), 2)
+    m.run(2)
+    assert {(r.id, r.v, r.run) for r in m.mart().collect()} == {(1, 1, 0), (2, 5, 1), (None, 3, 0)} and m.staged().where("not is_migrated").count() == 0
+    assert {r.name: r.name_id for r in m.dimension("name").collect()}["a"] == keys["a"]
