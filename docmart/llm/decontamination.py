@@ -6,8 +6,9 @@ ends there.  Where that is at least a window long, the window's words are hit an
 state names the items that have it.  Whole stretches that no item can match are skipped
 first: a vectorised look-up finds the places whose short word strings occur in some item.
 
-One automaton holds ``PART_BYTES`` of item text.  A larger benchmark is cut into parts by item.
-Each part's automaton streams over the documents; hit places and items of the parts are then merged by text.
+One automaton holds ``PART_BYTES`` of item text.  A larger benchmark is cut into parts by item, and the documents are still read once:
+each window of an item, and of a document, is marked by the least name of its short word strings, and a join of the marks tells which
+texts can match which parts.  A part's automaton streams over those texts alone; hit places and items of the parts are then merged by text.
 """
 
 from __future__ import annotations
@@ -22,7 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .shared import batch, cut
+from .repeats import window_starts
+from .shared import batch, cut, kept
 
 REPORT = pa.schema(
     [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string()), ("contaminated", pa.bool_()), ("longest", pa.int64()), ("clean_text", pa.string())]
@@ -263,29 +265,95 @@ def _without(s: K.Slice, w: K.Words, hit: np.ndarray) -> list[str]:
     return [s.data[a:b][~gone[a:b]].tobytes().decode("utf-8", "replace") for a, b in zip(s.starts, s.ends, strict=True)]
 
 
-def automata_of(benchmark: DataFrame, item_col: str, item_text_col: str, window: int, part_bytes: int) -> tuple[int, Iterator[Automaton]]:
-    """The number of parts, and their automata, one at a time. Rows of one item are in one part."""
+def automata_of(benchmark: DataFrame, item_col: str, item_text_col: str, window: int, part_bytes: int) -> tuple[DataFrame, int, Iterator[Automaton]]:
+    """The items with their ``part``, the number of parts, and their automata, one at a time. Rows of one item are in one part."""
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("string").alias("text")).where("item is not null and text is not null")
     size = items.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     parts = max(1, -(-size // part_bytes))
+    items = items.withColumn("part", F.pmod(F.xxhash64("item"), F.lit(parts)).cast("int"))
 
     def of(k: int) -> Automaton:
-        own = items.where(F.pmod(F.xxhash64("item"), F.lit(parts)) == k)
+        own = items.where(F.col("part") == k)
         rows = sorted((r["item"], r["text"]) for r in own.collect())  # about part_bytes
         return Automaton(zip([r[0] for r in rows], item_words([r[1] for r in rows]), strict=True), window)
 
-    return parts, (of(k) for k in range(parts))
+    return items, parts, (of(k) for k in range(parts))
 
 
-def _named(docs: DataFrame, text: Column) -> DataFrame:
-    return docs.withColumns({"h1": F.xxhash64(text), "h2": F.xxhash64(F.lit(7), text)})
+def _named(docs: DataFrame, text: Column, row: Column) -> DataFrame:
+    """Rows with the two names of their text. A null or empty text has none (``h2`` is null) and is dealt by the row, so that such rows meet nothing and no task has them all."""
+    some = F.coalesce(text != "", F.lit(False))
+    return docs.withColumns({"h1": F.when(some, F.xxhash64(text)).otherwise(F.xxhash64(row)), "h2": F.when(some, F.xxhash64(F.lit(7), text))})
 
 
-def _merged_hits(texts: DataFrame, automata: Iterator[Automaton]) -> DataFrame:
+def _marks(s: K.Slice, lengths: Iterable[int], window: int, own_length: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each length of windows: the texts of the slice that have one, and the windows' marks, each once a text.
+
+    A mark is the least name of the window's strings of up to three words, so equal windows have equal marks and windows next to each other mostly share one. With ``own_length``
+    a text has windows of one length: of ``window`` words or, if it has fewer, of all its words.
+    """
+    w = _words(s)
+    pre, bounds = K.prefix(w.hashes()), w.first()
+    own = np.minimum(np.diff(bounds), window)
+    for n in lengths if lengths else np.unique(own[own > 0]).tolist():
+        starts = window_starts(bounds, n)
+        doc = np.searchsorted(bounds, starts, side="right") - 1
+        if own_length:
+            starts, doc = starts[own[doc] == n], doc[own[doc] == n]
+        if len(starts):
+            gram = min(3, n)
+            name = K.mix(K.sliding_min(K.rolling(pre, gram), n - gram + 1)[starts] + np.uint64(n))
+            order = np.lexsort((name, doc))
+            doc, name = doc[order], name[order]
+            new = np.concatenate(([True], (doc[1:] != doc[:-1]) | (name[1:] != name[:-1])))
+            yield n, doc[new], name[new].view(np.int64)
+
+
+def _item_marks(window: int):
+    schema = pa.schema([("part", pa.int32()), ("n", pa.int32()), ("mark", pa.int64())])
+
+    def run(batches):
+        for b in batches:
+            for s in K.slices(b.column(1)):
+                for n, doc, mark in _marks(s, (), window, True):
+                    yield batch(schema, b.column(0).take(pa.array(s.rows[doc])), np.full(len(doc), n, np.int32), mark)
+
+    return run
+
+
+def _text_marks(lengths: list[int], window: int):
+    schema = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("mark", pa.int64())])
+
+    def run(batches):
+        for b in batches:
+            for s in K.slices(b.column(2)):
+                for _, doc, mark in _marks(s, lengths, window, False) if lengths else ():
+                    at = pa.array(s.rows[doc])
+                    yield batch(schema, b.column(0).take(at), b.column(1).take(at), mark)
+
+    return run
+
+
+#: Tasks that the texts of one part are dealt to, so that a part that many documents match is in no single file.
+SPREAD = 16
+
+
+def candidates(texts: DataFrame, items: DataFrame, window: int) -> DataFrame:
+    """``texts(h1, h2, text)`` with each ``part`` of ``items(item, text, part)`` that they may match, in a table by part; one pass over the texts for their marks and one for those that are kept."""
+    marks = cut(items.select("part", "text").mapInArrow(_item_marks(window), "part int, n int, mark long").distinct())
+    lengths = sorted(r["n"] for r in marks.select("n").distinct().collect())  # window lengths: at most ``window`` rows
+    named = texts.mapInArrow(_text_marks(lengths, window), "h1 long, h2 long, mark long")
+    wanted = named.join(marks.select("part", "mark"), "mark").select("h1", "h2", "part").distinct()
+    found = texts.join(wanted, ["h1", "h2"]).repartition("part", F.pmod("h1", F.lit(SPREAD)))
+    return kept(found, "candidates", by="part")
+
+
+def _merged_hits(texts: DataFrame, items: DataFrame, automata: Iterator[Automaton], window: int) -> DataFrame:
     """``texts(h1, h2, text)`` to one row for each text with hits in some part: the runs and items of all parts together."""
-    found = None
-    for automaton in automata:
-        part = cut(texts.mapInArrow(_scan_part(automaton), _PART_SQL).dropDuplicates(["h1", "h2"]))
+    found, near = None, candidates(texts.where("h2 is not null"), items, window)
+    for k, automaton in enumerate(automata):
+        own = near.where(F.col("part") == k).select("h1", "h2", "text")
+        part = cut(own.mapInArrow(_scan_part(automaton), _PART_SQL).dropDuplicates(["h1", "h2"]))
         found = part if found is None else found.unionByName(part)
     return found.groupBy("h1", "h2").agg(F.first("n_words").alias("n_words"), F.max("longest").alias("longest"), F.flatten(F.collect_list("runs")).alias("runs"), F.flatten(F.collect_list("items")).alias("items"))
 
@@ -325,16 +393,16 @@ def decontamination_report(
     A null text has no words and is never contaminated; a text is read whole, however long.  Items without
     an id or without words are ignored, equal ids are one item.  Repeated rows get equal
     results; an empty table, or an empty benchmark, gives no hits; other columns, of any name, are ignored.
-    A benchmark of over ``part_bytes`` is scanned in parts, with the same result.
+    A benchmark of over ``part_bytes`` is matched in parts, with the same result; the documents are read as often whatever the number of parts.
     """
     limits = Limits(coverage_per_mille, max_hit)
     schema = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, longest long" + ", clean_text string" * with_text
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    parts, automata = automata_of(benchmark, item_col, item_text_col, window, part_bytes)
+    items, parts, automata = automata_of(benchmark, item_col, item_text_col, window, part_bytes)
     if parts == 1:
         return docs.mapInArrow(_scan(next(automata), limits, with_text), schema)
-    named = _named(docs, F.coalesce("text", F.lit("")))
-    found = _merged_hits(named.select("h1", "h2", "text"), automata)
+    named = _named(docs, F.col("text"), F.col("doc_id"))
+    found = _merged_hits(named.select("h1", "h2", "text"), items, automata, window)
     rows = named.join(found, ["h1", "h2"], "left").select("doc_id", "text", "longest", "runs", "items")
     return rows.mapInArrow(_finish(limits, with_text), schema)
 
@@ -346,11 +414,11 @@ def filter_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "
     together, ids are not looked at, and columns of any name pass through.
     """
     limits = Limits(coverage_per_mille)
-    parts, automata = automata_of(benchmark, item_col, item_text_col, window, part_bytes)
+    items, parts, automata = automata_of(benchmark, item_col, item_text_col, window, part_bytes)
     if parts > 1:
         whole = docs.select(F.struct("*").alias("row"))
-        named = _named(whole, F.coalesce(F.col("row")[text_col].cast("string"), F.lit("")))
-        found = _merged_hits(named.select("h1", "h2", F.col("row")[text_col].cast("string").alias("text")), automata)
+        named = _named(whole, F.col("row")[text_col].cast("string"), F.to_json("row"))
+        found = _merged_hits(named.select("h1", "h2", F.col("row")[text_col].cast("string").alias("text")), items, automata, window)
         hits = found.mapInArrow(_overlaid, "h1 long, h2 long, n_words long, n_hit long")
         bad = hits.where((F.col("n_hit") > 0) & (1000 * F.col("n_hit") >= limits.per_mille * F.col("n_words")))
         return named.join(bad.select("h1", "h2"), ["h1", "h2"], "left_anti").select(*[F.col("row")[c].alias(c) for c in docs.columns])

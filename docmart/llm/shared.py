@@ -48,13 +48,14 @@ def shared_folder(spark: SparkSession) -> str:
     return found
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
-    """The same rows as a Parquet table in the shared folder, which goes when the application ends."""
+def kept(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """The same rows as a Parquet table in the shared folder, which goes when the application ends; in one folder for each value of ``by``."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    writer = df.write.option("compression", "zstd")
+    (writer.partitionBy(by) if by else writer).parquet(path)
     drop_at_end(spark, path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_at_end(spark: SparkSession, path: str) -> None:

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+from docmart.llm import decontamination as D
 from docmart.llm.decontamination import decontamination_report, filter_contaminated
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -65,6 +66,37 @@ def test_parts_of_a_large_benchmark(spark):
     assert kept[0] == kept[1] == sorted((g.doc_id or -1, t or "", "x") for (d, t), g in zip(docs, sorted_like(docs, whole)) if not g.contaminated)
 
 
+def test_ten_parts_read_the_documents_as_often_as_two(spark, monkeypatch):
+    """The documents are scanned a fixed number of times; parts then see the texts that share a mark with them."""
+    r = random.Random(5)
+    items = [(k, " ".join(f"i{k}w{j}" for j in range(r.choice((1, 4, 13, 30))))) for k in range(60)]
+    docs = [(d, " ".join(f"d{r.randint(0, 500)}" for _ in range(60)) + " " + items[d % 60][1] * (d % 4 == 0)) for d in range(200)] + [(None, None), (900, "")] * 30
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    size = sum(len(t) for _, t in items)
+    read, whole = {}, sorted((g.doc_id or -1, g.n_hit, g.items_sha256) for g in decontamination_report(df, bench).collect())
+    for parts in (2, 10):
+        seen = spark.sparkContext.accumulator(0)
+
+        path = D._text_marks
+
+        def marked(lengths, window, path=path, seen=seen):
+            run = path(lengths, window)
+
+            def go(batches):
+                for b in batches:
+                    seen.add(b.num_rows)
+                    yield from run([b])
+
+            return go
+
+        monkeypatch.setattr(D, "_text_marks", marked)
+        got = sorted((g.doc_id or -1, g.n_hit, g.items_sha256) for g in decontamination_report(df, bench, part_bytes=-(-size // parts)).collect())
+        monkeypatch.setattr(D, "_text_marks", path)
+        assert got == whole
+        read[parts] = seen.value
+    assert read[2] == read[10] == 200
+
+
 def sorted_like(docs, report):
     by = {(g.doc_id, g.clean_text, g.n_words): g for g in report}
     by_id = {}
