@@ -22,7 +22,7 @@ from docmart.llm.decontamination import filter_contaminated
 from docmart.llm.line_dedup import line_dedup
 from docmart.llm.minhash import drop_near_duplicates
 from docmart.llm.mixing import mix_sources
-from docmart.llm.shared import shared_folder
+from docmart.llm.shared import drop_at_end, shared_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -86,6 +86,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what a stage returns is kept in the cluster's shared folder."""
     folder = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
+    drop_at_end(spark, folder)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
