@@ -522,6 +522,17 @@ def w2(spark, d):
     return W.settled(table(spark, d, "events"), F.lit("2024-01-15 00:00:00").cast("timestamp_ntz"), mtime="ts").select("event_id")
 
 
+@query("w2c_settle_once", "SELECT event_id AS file_name, event_type FROM events WHERE event_id % 50 <> 0")
+def w2c(spark, d):
+    """Repeats go and what changed a moment ago waits, in one stream with state and a timer for each document."""
+    path = work_folder(spark)
+    _drop_folder(spark, d, path)
+    soon = F.when(F.col("file_name") % 50 == 0, F.timestamp_millis(F.unix_millis(F.current_timestamp()) + 3_600_000)).otherwise(F.col("ts").cast("timestamp"))
+    stream = W.watch_folder(spark, f"{path}/drop", _EVENT_SCHEMA, per_trigger=2).withColumn("mtime", soon)
+    W.run_batches(W.settle_once(stream, "file_name"), lambda rows, k: rows.write.mode("overwrite").parquet(f"{path}/out/batch={k}"), f"{path}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{path}/out").select("file_name", "event_type")
+
+
 @query("w2b_held_back", "SELECT event_id AS file_name, CASE WHEN ts <= TIMESTAMP '2024-01-15 00:00:00' - INTERVAL 300 SECOND THEN 0 ELSE 1 END AS batch FROM events WHERE ts <= TIMESTAMP '2024-02-01 00:00:00' - INTERVAL 300 SECOND")
 def w2b(spark, d):
     """Two batches: what has not settled at the first waits, and is released with the second if it has by then."""

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.types import StructType
 
 
@@ -52,6 +54,45 @@ def hold_until_settled(held: str, outputs: Callable[[DataFrame, int], None], now
     return write
 
 
+#: What is kept of a document: when it was last changed, its last row as JSON, and whether it has gone on.
+_HELD = "mtime long, row string, released boolean"
+
+
+def settle_once(stream: DataFrame, key: str, mtime: str = "mtime", seconds: int = 300, forget: int = 86_400) -> DataFrame:
+    """A stream's documents, each once and as last delivered, when they have not changed for ``seconds``.
+
+    State for each key holds the last row and a timer at its time of change; a later delivery before that sets the timer anew, and one after the release is a
+    repeat and goes, until ``forget`` seconds without one have passed. Timers go by the clock, so held documents are released when no files come. A null
+    time of change counts as settled; rows with a null key are one document; of equal times the greatest row counts.
+    """
+    row = F.to_json(F.struct("*"))
+    told = stream.select(F.col(key).cast("string").alias("key"), F.coalesce(F.unix_millis(F.col(mtime).cast("timestamp")), F.lit(0)).alias("mtime"), row.alias("row"))
+
+    def step(_key, frames, state):
+        held = state.get if state.exists else None
+        if state.hasTimedOut:
+            if held[2]:
+                state.remove()
+            else:
+                state.update((held[0], held[1], True))
+                state.setTimeoutDuration(forget * 1000)
+                yield pd.DataFrame({"row": [held[1]]})
+            return
+        last = max((max(zip(f["mtime"].tolist(), f["row"], strict=True)) for f in frames), default=None)
+        if held and held[2]:
+            state.setTimeoutDuration(forget * 1000)
+            return
+        last = max(last, (held[0], held[1])) if held else last
+        wait = last[0] + seconds * 1000 - state.getCurrentProcessingTimeMs()
+        state.update((*last, wait <= 0))
+        state.setTimeoutDuration(wait if wait > 0 else forget * 1000)
+        if wait <= 0:
+            yield pd.DataFrame({"row": [last[1]]})
+
+    out = told.groupBy("key").applyInPandasWithState(step, "row string", _HELD, "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return out.select(F.from_json("row", stream.schema).alias("r")).select("r.*")
+
+
 def isolate(rows: DataFrame, checks: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
     """Good rows, and failed ones with the names of the checks that did not hold as ``error``."""
     failed = F.array_compact(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in checks.items()]))
