@@ -529,7 +529,8 @@ def w2c(spark, d):
     _drop_folder(spark, d, path)
     soon = F.when(F.col("file_name") % 50 == 0, F.timestamp_millis(F.unix_millis(F.current_timestamp()) + 3_600_000)).otherwise(F.col("ts").cast("timestamp"))
     stream = W.watch_folder(spark, f"{path}/drop", _EVENT_SCHEMA, per_trigger=2).withColumn("mtime", soon)
-    W.run_batches(W.settle_once(stream, "file_name"), lambda rows, k: rows.write.mode("overwrite").parquet(f"{path}/out/batch={k}"), f"{path}/checkpoint").awaitTermination()
+    run = W.run_batches(W.settle_once(stream, "file_name"), lambda rows, k: rows.write.mode("overwrite").parquet(f"{path}/out/batch={k}"), f"{path}/checkpoint", once=False, every="1 second")
+    W.drain(run)
     return spark.read.parquet(f"{path}/out").select("file_name", "event_type")
 
 

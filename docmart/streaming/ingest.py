@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 import pandas as pd
@@ -114,10 +115,27 @@ def drop_repeats(stream: DataFrame, keys: list[str], ts: str = "ts", delay: str
     return stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
 
 
-def run_batches(stream: DataFrame, outputs: Callable[[DataFrame, int], None], checkpoint: str, once: bool = True) -> StreamingQuery:
-    """Hand each batch to ``outputs(rows, batch_id)``, which must overwrite what it wrote for that batch before."""
+def run_batches(stream: DataFrame, outputs: Callable[[DataFrame, int], None], checkpoint: str, once: bool = True, every: str = "10 seconds") -> StreamingQuery:
+    """Hand each batch to ``outputs(rows, batch_id)``, which must overwrite what it wrote for that batch before; all there is ``once``, or for ever.
+
+    A stream with timers by the clock, as :func:`settle_once` makes, always has another batch to look at them: it is not for ``once``.
+    """
     writer = stream.writeStream.foreachBatch(outputs).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="10 seconds")).start()
+    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)).start()
+
+
+def drain(query: StreamingQuery, seconds: int = 600) -> None:
+    """Let a query with timers by the clock run until a batch has found no new rows, then stop it."""
+    end = time.monotonic() + seconds
+    try:
+        while query.isActive and time.monotonic() < end and not any(p["numInputRows"] == 0 for p in query.recentProgress):
+            time.sleep(0.2)
+        if query.exception():
+            raise query.exception()
+        if time.monotonic() >= end:
+            raise TimeoutError(f"new rows after {seconds} s")
+    finally:
+        query.stop()
 
 
 def batch_outputs(path: str, checks: dict[str, Column], name: Column | None = None) -> Callable[[DataFrame, int], None]:
