@@ -192,7 +192,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     Scores depend on the text alone, all of it however long, and not on what else is scored with it.  Labels with a null or other quality than 0
     and 1 are ignored; a document labelled both ways counts as 0.  A null or empty text is
     one empty passage and has a score too.  Without labels of both kinds the score is
-    the same for all.  Null ids are scored and not held out; repeated rows get equal scores; other columns are ignored.
+    the same for all.  Null ids are scored and not held out; repeated rows get equal scores; an empty table gives an empty one; other columns, also of
+    the result's names, are ignored.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     model = train(docs, labels, train_docs)
@@ -210,7 +211,7 @@ def filter_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     """The rows of ``docs``, with all their columns, whose score is at least ``threshold``.
 
     Cases as in :func:`quality_scores`: a null or empty text is scored as one empty passage, rows with null ids or
-    repeated rows each by their own text, and columns of any other name pass through.
+    repeated rows each by their own text, columns of any other name pass through, and an empty table gives an empty one.
     """
     model = train(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), labels, train_docs)
     place = docs.columns.index(text_col)

@@ -165,7 +165,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     A null or blank text has no words; one of fewer than ``width`` is kept whole, and one of any length is judged whole.
     A null id has no order: its row is kept whole and removes nothing.
     Repeated rows get equal results; if rows of one id hold different texts, their
-    removed places are pooled and cut to each text's length.  Other columns are ignored.
+    removed places are pooled and cut to each text's length.  An empty table gives an empty one; other columns, of any name, are ignored.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
     spans = repeated_spans(docs, Kind(word_tokens, interior_symbols(rounds), word_windows, width))

@@ -81,7 +81,7 @@ def suffix_array_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     id has no order: its row is kept whole and removes nothing.  Repeated rows
     get equal results, and equal ids never remove each other; if rows of one id
     hold different texts, their removed places are pooled and cut to each text's
-    length.  Other columns are ignored.
+    length.  An empty table gives an empty one; other columns, of any name, are ignored.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
     spans = repeated_spans(docs, Kind(byte_tokens, first_digits(digit), byte_windows, width))
