@@ -59,9 +59,11 @@ def kept(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
 
 
 def drop_at_end(spark: SparkSession, path: str) -> None:
-    """Delete a folder when the application ends."""
+    """Delete a folder, which is made if it is not there, when the application ends."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(place)  # only what is there can be marked
+    store.deleteOnExit(place)
 
 
 def pack(key: np.ndarray, bits: int, columns: Iterable[np.ndarray], kind: int = 0) -> Iterator[tuple[int, int, bytes]]:
