@@ -17,9 +17,9 @@ of a group and not with its pairs:
 3. What is then still outside is verified against all members of other classes that share enough samples, in
    blocks: a block's texts are sent to a task once, where all its pairs are verified.
 
-Only buckets that need more than ``COMPARED`` comparisons of samples are refined by further samples, in
-``REFINED`` ways so that true pairs stay together in some.  Links are joined to classes by star
-contraction on Spark tables.
+Buckets that need more than ``COMPARED`` comparisons of samples are replaced by smaller ones in which all pairs that share
+enough samples still meet (``refined``), so the same pairs are verified whatever a bucket's size.  Links are joined to
+classes by star contraction on Spark tables.
 """
 
 from __future__ import annotations
@@ -41,10 +41,10 @@ SAMPLES, ROWS, DEALS = 40, 5, 3
 AGREE = 24
 #: Documents that are verified against one leader in a group; open members and members of any kind of a block, and their bytes of text.
 GROUP, OPEN_BLOCK, BLOCK, BLOCK_BYTES = 256, 512, 1024, 4 << 20
-#: A bucket that needs more comparisons of samples is refined in so many ways by so many more samples: at a similarity
-#: of 0.8 a pair is parted in all ways in 2 of 1000 cases a step.
+#: A bucket that needs more comparisons of samples is replaced by smaller ones if they need at most half as many. It bounds time and no result.
 COMPARED = 1 << 28
-REFINED, REFINED_ROWS = 9, 3
+#: Samples that this part of the documents or more have are put in order by how many have them, others by their names.
+OFTEN = 1 << 12
 #: Hashed table of word frequencies, and the pieces in which tasks send their counts.
 DF_BITS, DF_BLOCK = 18, 1 << 12
 #: Random draws of the sampler are taken from a pool by a hash of (sample, shingle).
@@ -178,30 +178,47 @@ def band_keys(drawn: Column) -> Column:
     return F.array(*[F.xxhash64(F.lit(k), *[drawn[int(i)] for i in own]) for k, own in enumerate(BANDS)])
 
 
-def refined_keys(drawn: Column, key: Column, step: int) -> Column:
-    """The names of the smaller buckets of a member of a large bucket; no sample is taken twice for a name."""
-    turn = F.pmod(F.xxhash64(key, F.lit(step)), F.lit(SAMPLES)).cast("int")
-    deal = np.random.Generator(np.random.PCG64([20240904, step]))
-    ways = [deal.choice(SAMPLES, REFINED_ROWS, replace=False) for _ in range(REFINED)]
-    return F.array(*[F.xxhash64(key, F.lit(e), *[F.get(drawn, F.pmod(turn + int(i), F.lit(SAMPLES))) for i in own]) for e, own in enumerate(ways)])
+def rarest_first(drawn: DataFrame) -> DataFrame:
+    """(doc, tokens, bits): the names of each document's samples in one order for all documents, rare ones first, and 2 to the number of each."""
+    drawn, n = fitted(drawn)
+    tokens = F.array(*[F.struct(F.xxhash64(F.lit(j), F.col("drawn")[j]).alias("token"), F.lit(1 << j).cast("long").alias("bit")) for j in range(SAMPLES)])
+    named = drawn.select("doc", F.inline(tokens))
+    often = named.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") >= max(2, n // OFTEN))  # at most 1.5 * SAMPLES * OFTEN
+    order = F.sort_array(F.collect_list(F.struct(F.coalesce("m", F.lit(0)).alias("m"), "token", "bit"))).alias("t")
+    return named.join(F.broadcast(often), "token", "left").groupBy("doc").agg(order).select("doc", F.col("t.token").alias("tokens"), F.col("t.bit").alias("bits"))
+
+
+def refined_keys(tokens: Column, key: Column, step: int, after: Column | None = None) -> Column:
+    """The names of the smaller buckets of a member of a large bucket, by its tokens behind the place ``after``.
+
+    Tokens stand in one order for all documents.  Of two documents that share ``AGREE`` of ``SAMPLES`` or more, the first ``step``
+    tokens that they share are among the first ``SAMPLES - AGREE + step`` of both, so both have the bucket named by these.
+    """
+    after = F.lit(-1) if after is None else after
+    rest = F.slice(tokens, after + 2, F.lit(SAMPLES - AGREE + step - 1) - after)
+    return F.transform(rest, lambda token: F.xxhash64(key, token))
 
 
 _CANDIDATE = pa.schema([("doc", pa.int64()), ("other", pa.int64()), ("shared", pa.int32())])
-_NEEDED = pa.schema([("gid", pa.int64()), ("band", pa.int32()), ("doc", pa.int64()), ("c", pa.int64()), ("own", pa.bool_()), ("is_open", pa.bool_())])
+_NEEDED = pa.schema([("gid", pa.int64()), ("band", pa.int32()), ("doc", pa.int64()), ("c", pa.int64()), ("own", pa.bool_()), ("is_open", pa.bool_()), ("seen", pa.int64())])
 _LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 @dataclass
 class Members:
-    """One side of a block: documents, their classes so far, whether each is open, and their samples."""
+    """One side of a block: documents, their classes so far, whether each is open, their samples, and for a refined bucket ``seen``.
+
+    That has bits for the samples up to the last token that names the bucket, in the document's order, and above them the number of these tokens.
+    """
 
     doc: np.ndarray
     c: np.ndarray
     is_open: np.ndarray
     drawn: np.ndarray
+    seen: np.ndarray | None = None
 
     def pick(self, rows: np.ndarray) -> Members:
-        return Members(self.doc[rows], self.c[rows], self.is_open[rows], self.drawn[rows])
+        return Members(self.doc[rows], self.c[rows], self.is_open[rows], self.drawn[rows], None if self.seen is None else self.seen[rows])
 
 
 def shared_samples(x: Members, y: Members) -> np.ndarray:
@@ -214,10 +231,11 @@ def shared_samples(x: Members, y: Members) -> np.ndarray:
 
 
 def to_verify(x: Members, y: Members, band: int) -> np.ndarray:
-    """The pairs of a block that share enough samples, each in one block only: that of the first band that both share, and once of two open ones."""
+    """The pairs of a block that share enough samples, each in one block only: that of the first band that both share, of the first tokens that both share if the bucket is refined, and once of two open ones."""
     take = shared_samples(x, y) >= AGREE
     take &= ~(y.is_open[None, :] & (x.doc[:, None] >= y.doc[None, :]))
-    if band > 0:
+    seen = x.seen if x.seen is not None and x.seen.any() else None
+    if band > 0 or seen is not None:
         i, j = np.nonzero(take)
         for at in range(0, len(i), 1 << 15):
             k, m = i[at : at + (1 << 15)], j[at : at + (1 << 15)]
@@ -225,6 +243,8 @@ def to_verify(x: Members, y: Members, band: int) -> np.ndarray:
             before = np.zeros(len(k), bool)
             for own in BANDS[:band]:
                 before |= same[:, own].all(1)
+            if seen is not None:
+                before |= (same & (seen[k, None] >> np.arange(SAMPLES) & 1).astype(bool)).sum(1) != seen[k] >> SAMPLES
             take[k[before], m[before]] = False
     return take
 
@@ -237,7 +257,7 @@ def _blocks(pick):
             for gid, band, members in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
                 m = members.values
                 flag = lambda name: m.field(name).to_numpy(zero_copy_only=False)
-                every = Members(m.field("doc").to_numpy(), m.field("c").to_numpy(), flag("is_open"), m.field("drawn").flatten().to_numpy().reshape(-1, SAMPLES))
+                every = Members(m.field("doc").to_numpy(), m.field("c").to_numpy(), flag("is_open"), m.field("drawn").flatten().to_numpy().reshape(-1, SAMPLES), m.field("seen").to_numpy())
                 own = flag("own")
                 yield from pick(every.pick(np.flatnonzero(own)), every.pick(np.flatnonzero(~own)), band, gid)
 
@@ -264,7 +284,7 @@ def _needed(x: Members, y: Members, band: int, gid: int):
         others |= take.any(0)
     for side, keep, own in ((x, mine, True), (y, others, False)):
         n = int(keep.sum())
-        yield batch(_NEEDED, np.full(n, gid), np.full(n, band), side.doc[keep], side.c[keep], np.full(n, own), side.is_open[keep])
+        yield batch(_NEEDED, np.full(n, gid), np.full(n, band), side.doc[keep], side.c[keep], np.full(n, own), side.is_open[keep], side.seen[keep])
 
 
 class Others:
@@ -303,7 +323,7 @@ class Others:
 
 
 def _verify(idf: np.ndarray, size: int, least: float, masked: bool):
-    """Links within groups: rows (gid, own, band, doc, c, is_open, drawn, text) in the order of gid, own and doc.
+    """Links within groups: rows (gid, own, band, doc, c, is_open, seen, drawn, text) in the order of gid, own and doc.
 
     Each row that is ``own`` is verified against the others of its group, which come first,
     and linked with the most similar one of each other class.  ``masked`` leaves out pairs by their samples.
@@ -312,9 +332,9 @@ def _verify(idf: np.ndarray, size: int, least: float, masked: bool):
     def run(batches):
         gid, others, last = None, Others(), None
         for b in batches:
-            gids, own, bands, docs, cs, opens = (b.column(k).to_numpy(zero_copy_only=False) for k in range(6))
+            gids, own, bands, docs, cs, opens, seen = (b.column(k).to_numpy(zero_copy_only=False) for k in range(7))
             found: list[tuple[int, int]] = []
-            for s in K.slices(b.column(7)):
+            for s in K.slices(b.column(8)):
                 in_slice, name, weight = weighted_shingles(_words(s), idf, size)
                 at = np.searchsorted(in_slice, np.arange(len(s.rows) + 1))
                 for k, r in enumerate(s.rows):
@@ -324,7 +344,7 @@ def _verify(idf: np.ndarray, size: int, least: float, masked: bool):
                     if at[k] == at[k + 1] or last == (gid, own[r], docs[r]):  # a repeated row
                         continue
                     last = (gid, own[r], docs[r])
-                    drawn = b.column(6)[int(r)].values.to_numpy() if masked else None
+                    drawn = b.column(7)[int(r)].values.to_numpy() if masked else None
                     if not own[r]:
                         others.add(docs[r], cs[r], opens[r], drawn, name[x], weight[x])
                         continue
@@ -333,7 +353,7 @@ def _verify(idf: np.ndarray, size: int, least: float, masked: bool):
                     others.ready(masked)
                     side = others.side
                     if masked:
-                        me = Members(docs[r : r + 1], cs[r : r + 1], opens[r : r + 1], drawn[None, :])
+                        me = Members(docs[r : r + 1], cs[r : r + 1], opens[r : r + 1], drawn[None, :], seen[r : r + 1])
                         take = to_verify(me, side, int(bands[r]))[0]
                     else:
                         take = side.c != cs[r]
@@ -398,9 +418,9 @@ def leaders(open_: DataFrame) -> DataFrame:
     return best.select("doc", (-F.col("t.less")).alias("leader"), F.col("t.n").alias("n"))
 
 
-def unsettled(open_: DataFrame, label: DataFrame) -> tuple[DataFrame, int]:
-    """Members of the buckets of several classes; those outside the bucket's largest class are open. u and n count open ones and all."""
-    rows = open_.select("key", "band", "doc", "bytes").join(label.select(F.col("node").alias("doc"), "class"), "doc", "left").withColumn("c", F.coalesce("class", "doc"))
+def unsettled(open_: DataFrame, label: DataFrame, *more: str) -> tuple[DataFrame, int]:
+    """Members of the buckets of several classes, with ``more`` columns; those outside the bucket's largest class are open. u and n count open ones and all."""
+    rows = open_.select("key", "band", "doc", "bytes", *more).join(label.select(F.col("node").alias("doc"), "class"), "doc", "left").withColumn("c", F.coalesce("class", "doc"))
     kinds = rows.groupBy("key", "c").agg(F.count(F.lit(1)).alias("m"), F.sum("bytes").alias("size"))
     lead = F.max(F.struct("m", "c", "size")).alias("lead")
     counts = kinds.groupBy("key").agg(F.sum("m").alias("n"), F.sum("size").alias("n_bytes"), lead, F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
@@ -409,18 +429,39 @@ def unsettled(open_: DataFrame, label: DataFrame) -> tuple[DataFrame, int]:
 
 
 def refined(rows: DataFrame, label: DataFrame, drawn: DataFrame) -> DataFrame:
-    """The same table with each bucket that needs more than ``COMPARED`` comparisons replaced by smaller ones, by further samples."""
-    large = F.col("u") * F.col("n") > COMPARED
-    for step in range(1, SAMPLES):
-        if rows.where(large).isEmpty():
+    """The same table, and ``seen``, with large buckets replaced by smaller ones in which all pairs of several classes that share ``AGREE`` samples still meet.
+
+    A step replaces each bucket of more than ``COMPARED`` comparisons by one for each token behind those that name it; one whose
+    smaller ones need more than half of its comparisons stays whole.  Of buckets of the same members the one of the first token stays: it
+    has what the first tokens that two of them share.
+    """
+    work = F.col("u") * F.col("n")
+    rows = rows.withColumn("seen", F.lit(0).cast("long"))
+    found = rows.where(work > COMPARED)
+    if found.isEmpty():
+        return rows
+    tokens = cut(rarest_first(cut(drawn.join(found.select("doc").distinct(), "doc", "left_semi"))))
+    rows = rows.withColumn("after", F.lit(-1)).withColumn("whole", F.lit(False))
+    for step in range(1, AGREE + 1):
+        large = (work > COMPARED) & ~F.col("whole")
+        found = rows.where(large)
+        if found.isEmpty():
             break
-        keys = rows.where(large).join(drawn, "doc").select("doc", "bytes", F.lit(-1).alias("band"), "c", F.explode(refined_keys(F.col("drawn"), F.col("key"), step)).alias("key"))
-        print_ = F.sum(F.xxhash64("doc").cast("decimal(20,0)")).alias("print")  # buckets of the same members are needed once
-        again = keys.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), print_).where("lo <> hi").dropDuplicates(["print"]).select("key")
-        smaller, _ = unsettled(keys.join(again, "key"), label)
-        # with a bucket replaced, its pairs are not all met there, so each bucket verifies all of its own
-        rows, _ = fitted(cut(rows.where(~large).unionByName(smaller).withColumn("band", F.lit(-1))))
-    return rows
+        names = refined_keys(F.col("tokens"), F.col("key"), step, F.col("after"))
+        keys = found.join(tokens, "doc").select("doc", "bytes", "band", "c", "is_open", F.col("key").alias("parent"), "after", "bits", F.posexplode(names).alias("k", "key"))
+        keys = keys.withColumn("after", F.col("after") + 1 + F.col("k")).join(keys.where("is_open").select("key").distinct(), "key", "left_semi")
+        print_ = F.sum(F.xxhash64("doc").cast("decimal(20,0)")).alias("print")
+        met = keys.groupBy("parent", "key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("m"), print_, F.sum("after").alias("at"))
+        again = met.where("lo <> hi").groupBy("parent", "m", "print").agg(F.min(F.struct("at", "key")).alias("t")).select(F.col("t.key").alias("key"))
+        seen = F.aggregate(F.slice("bits", 1, F.col("after") + 1), F.lit(step << SAMPLES).cast("long"), lambda x, bit: x + bit)
+        smaller, _ = unsettled(keys.join(again, "key").withColumn("seen", seen), label, "parent", "after", "seen")
+        needs = smaller.groupBy("parent", "key").agg(F.max(work).alias("work")).groupBy("parent").agg(F.sum("work").alias("then"))
+        now = found.groupBy(F.col("key").alias("parent")).agg(F.max(work).alias("now"))
+        split = cut(now.join(needs, "parent", "left").where(2 * F.coalesce("then", F.lit(0)) <= F.col("now")).select("parent"))
+        stay = found.join(split.withColumnRenamed("parent", "key"), "key", "left_anti").withColumn("whole", F.lit(True))
+        smaller = smaller.join(split, "parent", "left_semi").withColumn("whole", F.lit(False)).drop("parent")
+        rows, _ = fitted(cut(rows.where(~large).unionByName(stay).unionByName(smaller)))
+    return rows.drop("after", "whole")
 
 
 def blocks(rows: DataFrame, drawn: DataFrame) -> DataFrame:
@@ -429,11 +470,11 @@ def blocks(rows: DataFrame, drawn: DataFrame) -> DataFrame:
     deal = lambda of, salt: F.pmod(F.xxhash64("doc", F.lit(salt)), of)
     every = lambda of: F.explode(F.sequence(F.lit(0).cast("long"), of - 1))
     i, j = parts("u", OPEN_BLOCK), parts("n", BLOCK)
-    same = ["key", "band", "doc", "c", "is_open"]
+    same = ["key", "band", "doc", "c", "is_open", "seen"]
     open_side = rows.where("is_open").select(*same, F.lit(True).alias("own"), deal(i, 1).alias("i"), every(j).alias("j"))
     all_side = rows.select(*same, F.lit(False).alias("own"), every(i).alias("i"), deal(j, 2).alias("j"))
     both = open_side.unionByName(all_side).join(drawn, "doc")
-    grouped = both.groupBy("key", "i", "j").agg(F.first("band").alias("band"), F.collect_list(F.struct("doc", "c", "own", "is_open", "drawn")).alias("members"))
+    grouped = both.groupBy("key", "i", "j").agg(F.first("band").alias("band"), F.collect_list(F.struct("doc", "c", "own", "is_open", "seen", "drawn")).alias("members"))
     return grouped.select(F.xxhash64("key", "i", "j").alias("gid"), "band", "members")
 
 
@@ -447,14 +488,14 @@ def similar_classes(texts: DataFrame, reps: DataFrame, idf: np.ndarray, size: in
 
     def verify(groups: DataFrame, masked: bool = False) -> DataFrame:
         drawn = F.col("drawn") if masked else F.lit(None).cast("array<int>").alias("drawn")
-        rows = groups.join(texts, "doc").select("gid", "own", "band", "doc", "c", "is_open", drawn, "text")
+        rows = groups.join(texts, "doc").select("gid", "own", "band", "doc", "c", "is_open", "seen", drawn, "text")
         rows = rows.repartition("gid").sortWithinPartitions("gid", "own", "doc")
         return fitted(cut(rows.mapInArrow(_verify(idf, size, similarity, masked), "a long, b long")))[0]
 
     def against(pairs: DataFrame, other: str, parts: Column) -> DataFrame:
         """Groups of one ``other`` and a part of the documents that are verified against it, so its text is sent once for many."""
         gid = F.xxhash64(other, parts, F.pmod(F.xxhash64("doc"), parts)).alias("gid")
-        plain = [F.lit(0).alias("band"), F.col("doc").alias("c"), F.lit(False).alias("is_open")]
+        plain = [F.lit(0).alias("band"), F.col("doc").alias("c"), F.lit(False).alias("is_open"), F.lit(0).cast("long").alias("seen")]
         mine = pairs.select(gid, "doc", F.lit(True).alias("own")).unionByName(pairs.select(gid, F.col(other).alias("doc"), F.lit(False).alias("own")).distinct())
         return mine.select("gid", "doc", "own", *plain)
 
@@ -472,10 +513,10 @@ def similar_classes(texts: DataFrame, reps: DataFrame, idf: np.ndarray, size: in
     partner = partner.groupBy("doc").agg(F.max(F.struct("shared", "other")).alias("t")).select("doc", F.col("t.other").alias("other"))
     label = joined(label, verify(against(partner, "other", F.lit(16))))
     # 3: what is still open, against all members of other classes that share enough samples
-    left, n = unsettled(left, label)
+    left, n = unsettled(left, label, "seen")
     if not n:
         return label
-    needed = blocks(left, drawn).mapInArrow(_blocks(_needed), "gid long, band int, doc long, c long, own boolean, is_open boolean")
+    needed = blocks(left, drawn).mapInArrow(_blocks(_needed), "gid long, band int, doc long, c long, own boolean, is_open boolean, seen long")
     return joined(label, verify(needed, masked=True))
 
 

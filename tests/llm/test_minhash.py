@@ -184,6 +184,75 @@ def test_chains_in_refined_buckets(spark, monkeypatch):
     assert sum(got[n] != want[n] for n in want) <= 1
 
 
+def test_refined_buckets_lose_no_pair(spark, monkeypatch):
+    """In a bucket far above the bound, all pairs that share enough samples are met, and each is verified in one place."""
+    r = np.random.Generator(np.random.PCG64(14))
+    family = r.integers(0, 1 << 30, (40, M.SAMPLES))
+    family[:, :10] = family[0, :10]
+    drawn = np.where(r.random((480, M.SAMPLES)) < 0.8, family[np.arange(480) % 40], r.integers(0, 1 << 30, (480, M.SAMPLES))).astype(np.int32)
+    drawn[:, M.BANDS[2]] = 7
+    table = spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(drawn)], "doc long, drawn array<int>")
+    label = spark.createDataFrame([(k, 5) for k in range(0, 480, 9)], "node long, class long")
+    left, _ = M.unsettled(table.select("doc", F.lit(1).alias("key"), F.lit(2).alias("band"), F.lit(100).alias("bytes")), label)
+    c = np.where(np.arange(480) % 9 == 0, 5, np.arange(480))
+    shared = (drawn[:, None] == drawn[None]).sum(2)
+    want = np.triu((shared >= M.AGREE) & (c[:, None] != c[None]), 1)
+    before = (drawn[:, None][..., M.BANDS[:2]] == drawn[None][..., M.BANDS[:2]]).all(3).any(2)
+    assert want.sum() > 1000 and 0 < (want & before).sum() < want.sum() / 2
+    for compared in (1 << 28, 50_000, 300):
+        monkeypatch.setattr(M, "COMPARED", compared)
+        buckets = {}
+        for x in M.refined(left, label, table).collect():
+            buckets.setdefault(x.key, []).append(x)
+        met, taken = np.zeros((480, 480), int), np.zeros((480, 480), int)
+        for rows in buckets.values():
+            docs = np.array([x.doc for x in rows])
+            met[docs[:, None], docs[None]] = 1
+            every = M.Members(docs, c[docs], np.array([x.is_open for x in rows]), drawn[docs], np.array([x.seen for x in rows]))
+            own = every.pick(np.flatnonzero(every.is_open))
+            np.add.at(taken, (own.doc[:, None], docs[None]), M.to_verify(own, every, rows[0].band))
+        assert (met >= want).all()
+        assert (np.triu(taken + taken.T, 1) == (want & ~before)).all()
+        assert (len(buckets) == 1) == (compared == 1 << 28)
+
+
+def pairs_in_one_bucket(monkeypatch, count):
+    """Texts by twos that are alike, all in one bucket, where two share just enough of the samples that stand in for theirs."""
+
+    def drawn(doc):
+        own, twins = np.random.Generator(np.random.PCG64([17, doc])), np.random.Generator(np.random.PCG64([18, doc // 2]))
+        out = own.integers(0, 1 << 30, M.SAMPLES)
+        free = np.setdiff1d(np.arange(M.SAMPLES), M.BANDS[0])
+        same = twins.permutation(free)[: M.AGREE - M.ROWS]
+        out[same] = twins.integers(0, 1 << 30, len(same))
+        out[M.BANDS[0]] = 7
+        return out.tolist()
+
+    def sketch(idf, size):
+        def run(batches):
+            for b in batches:
+                docs = b.column(0).to_pylist()
+                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((docs, docs, docs, [400] * len(docs), [drawn(d) for d in docs]), M._SKETCH, strict=True)], schema=M._SKETCH)
+
+        return run
+
+    monkeypatch.setattr(M, "_sketch", sketch)
+    r = random.Random(18)
+    rows = []
+    for k in range(count):
+        words = r.choices([f"w{k}" for k in range(900)], k=80)
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join([*words, "more"]))]
+    return rows
+
+
+def test_pairs_with_just_enough_samples_in_a_large_bucket(spark, monkeypatch):
+    rows = pairs_in_one_bucket(monkeypatch, 60)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for compared in (M.COMPARED, 1000):
+        monkeypatch.setattr(M, "COMPARED", compared)
+        assert {x.doc_id: x.class_id for x in M.near_duplicates(df).collect()} == {k: k - k % 2 for k, _ in rows}
+
+
 def dense_classes(df, rows):
     """As brute_classes, by one dense table of weights."""
     idf = M.inverse_frequencies(df)
