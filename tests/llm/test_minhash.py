@@ -220,12 +220,14 @@ def pairs_in_one_bucket(monkeypatch, count):
     """Texts by twos that are alike, all in one bucket, where two share just enough of the samples that stand in for theirs."""
 
     def drawn(doc):
-        own, twins = np.random.Generator(np.random.PCG64([17, doc])), np.random.Generator(np.random.PCG64([18, doc // 2]))
-        out = own.integers(0, 1 << 30, M.SAMPLES)
+        draw, twins = np.random.Generator(np.random.PCG64([17, doc])), np.random.Generator(np.random.PCG64([18, doc // 2]))
+        out = draw.integers(0, 1 << 30, M.SAMPLES)
         free = np.setdiff1d(np.arange(M.SAMPLES), M.BANDS[0])
-        same = twins.permutation(free)[: M.AGREE - M.ROWS]
+        same = M.BANDS[1]
+        while any(set(own) <= {*same, *M.BANDS[0]} for own in M.BANDS[1:].tolist()):  # the two share no other bucket
+            same = twins.permutation(free)[: M.AGREE - M.ROWS]
         out[same] = twins.integers(0, 1 << 30, len(same))
-        out[M.BANDS[0]] = 7
+        out[M.BANDS[0]] = 10
         return out.tolist()
 
     def sketch(idf, size):

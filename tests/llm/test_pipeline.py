@@ -92,3 +92,12 @@ def test_every_stage(spark, tmp_path):
     frame, rows = run("mixing", frame)
     assert Counter(x.doc_id for x in rows) == Counter({k: n for k, n in want.items() if n})
     assert sorted((x.doc_id, x.mix_copy) for x in rows) == sorted((k, c) for k, n in want.items() for c in range(1, n + 1))
+
+
+def test_near_duplicates_go_whatever_a_bucket_needs(spark, monkeypatch):
+    """The stage keeps the same rows whether its buckets are compared in full or replaced by smaller ones."""
+    rows = [(k, t, "en", "s", len(t)) for k, t in test_minhash.pairs_in_one_bucket(monkeypatch, 60)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    for compared in (test_minhash.M.COMPARED, 1000):
+        monkeypatch.setattr(test_minhash.M, "COMPARED", compared)
+        assert sorted(corpus_pipeline.near_duplicates(spark, df, "").collect()) == rows[::2]
