@@ -18,7 +18,8 @@ of a group and not with its pairs:
    blocks: a block's texts are sent to a task once, where all its pairs are verified.
 
 Buckets that need more than ``COMPARED`` comparisons of samples are replaced by smaller ones in which all pairs that share
-enough samples still meet (``refined``), so the same pairs are verified whatever a bucket's size.  Links are joined to
+enough samples still meet (``refined``), so the same pairs are verified whatever a bucket's size.  Which of two texts is
+verified against the other may differ by that; their similarity is the same from either side.  Links are joined to
 classes by star contraction on Spark tables.
 """
 
@@ -35,6 +36,8 @@ from . import kernels as K
 from .shared import batch, cut, fitted, ids_of
 
 SHINGLE, SIMILARITY = 5, 0.8
+#: Decimals of a shingle's mean inverse document frequency.
+DECIMALS = 4
 #: Samples of a document, and how many make a band. Bands are the pieces of ``DEALS`` random orders of the samples, so a sample serves in several.
 SAMPLES, ROWS, DEALS = 40, 5, 3
 #: A pair is verified if it shares so many samples: at a similarity of 0.8 it shares fewer in 2 of 1000 cases.
@@ -124,7 +127,7 @@ def weighted_shingles(w: K.Words, idf: np.ndarray, size: int) -> tuple[np.ndarra
     at = np.flatnonzero(new)
     times = np.diff(np.append(at, len(name)))
     # the mean is rounded so that it is the same wherever in a slice the shingle stands
-    weight = times * np.round((idfs[end[at]] - idfs[start[at]]) / (end[at] - start[at]), 4)
+    weight = times * np.round((idfs[end[at]] - idfs[start[at]]) / (end[at] - start[at]), DECIMALS)
     return doc[at], name[at], weight
 
 
@@ -287,6 +290,11 @@ def _needed(x: Members, y: Members, band: int, gid: int):
         yield batch(_NEEDED, np.full(n, gid), np.full(n, band), side.doc[keep], side.c[keep], np.full(n, own), side.is_open[keep], side.seen[keep])
 
 
+def units(weight: np.ndarray) -> np.ndarray:
+    """Weights as whole numbers of their last decimal, whose sums are exact in any order."""
+    return np.rint(weight * 10**DECIMALS)
+
+
 class Others:
     """The weighted shingles of one side of a group, by shingle."""
 
@@ -295,7 +303,7 @@ class Others:
         self.index = None
 
     def add(self, doc: int, c: int, is_open: bool, drawn: np.ndarray | None, name: np.ndarray, weight: np.ndarray) -> None:
-        self.parts.append((doc, c, is_open, drawn, name, weight))
+        self.parts.append((doc, c, is_open, drawn, name, units(weight)))
 
     def ready(self, masked: bool) -> None:
         if self.index is not None:
@@ -312,7 +320,8 @@ class Others:
         self.at = np.append(at, len(name))
 
     def similarity(self, name: np.ndarray, weight: np.ndarray) -> np.ndarray:
-        """Weighted Jaccard similarity of each to the given shingles."""
+        """Weighted Jaccard similarity of each to the given shingles: the same from either side, and at the bound exactly."""
+        weight = units(weight)
         place = np.minimum(np.searchsorted(self.index, name), len(self.index) - 1)
         met = self.index[place] == name
         place, own = place[met], weight[met]

@@ -255,6 +255,42 @@ def test_pairs_with_just_enough_samples_in_a_large_bucket(spark, monkeypatch):
         assert {x.doc_id: x.class_id for x in M.near_duplicates(df).collect()} == {k: k - k % 2 for k, _ in rows}
 
 
+def pairs_at_the_bound(monkeypatch):
+    """Texts by twos in one bucket, one the first four fifths of the other, and texts like no other; each word is in two texts, so all weigh the same."""
+    pairs_in_one_bucket(monkeypatch, 0)
+    words = [f"w{k}" for k in range(7000)]
+    terms = M._term(M._words(next(K.slices(pa.array([" ".join(words)])))).hashes())
+    words = iter([words[k] for k in np.unique(terms, return_index=True)[1]])
+    rows = []
+    for pair in range(30):
+        k = (5, 16, 17, 18, 19)[pair % 5]
+        long = [next(words) for _ in range(10 * k + 4)]
+        sides = [long, long[: 8 * k + 4]][:: 1 if pair % 2 else -1]
+        rest = long[8 * k + 4 :][::-1]
+        apart = [rest[:k], rest[k:]]
+        rows += [(at + side, " ".join(x[side])) for at, x in ((2 * pair, sides), (2 * pair + 60, apart)) for side in (0, 1)]
+    return sorted(rows)
+
+
+def test_pairs_at_the_bound_are_linked_whatever_a_bucket_needs(spark, monkeypatch):
+    rows = pairs_at_the_bound(monkeypatch)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for compared in (M.COMPARED, 1000):
+        monkeypatch.setattr(M, "COMPARED", compared)
+        assert {x.doc_id: x.class_id for x in M.near_duplicates(df).collect()} == {k: k - k % 2 if k < 60 else k for k, _ in rows}
+
+
+def test_similarity_is_exact_from_either_side():
+    for k in range(2, 40):
+        for weight in (2.3077, 4.2958, 4.6972, 5.3862):
+            sides = [(np.arange(n * k, dtype=np.uint64), np.full(n * k, weight)) for n in (10, 8)]
+            for (name, own), (other, its) in (sides, sides[::-1]):
+                others = M.Others()
+                others.add(1, 1, True, None, other, its)
+                others.ready(False)
+                assert others.similarity(name, own).tolist() == [0.8]
+
+
 def dense_classes(df, rows):
     """As brute_classes, by one dense table of weights."""
     idf = M.inverse_frequencies(df)

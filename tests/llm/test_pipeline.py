@@ -101,3 +101,12 @@ def test_near_duplicates_go_whatever_a_bucket_needs(spark, monkeypatch):
     for compared in (test_minhash.M.COMPARED, 1000):
         monkeypatch.setattr(test_minhash.M, "COMPARED", compared)
         assert sorted(corpus_pipeline.near_duplicates(spark, df, "").collect()) == rows[::2]
+
+
+def test_near_duplicates_at_the_bound_go_whatever_a_bucket_needs(spark, monkeypatch):
+    """As above, with pairs of a similarity of exactly the least that links."""
+    rows = [(k, t, "en", "s", len(t)) for k, t in test_minhash.pairs_at_the_bound(monkeypatch)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    for compared in (test_minhash.M.COMPARED, 1000):
+        monkeypatch.setattr(test_minhash.M, "COMPARED", compared)
+        assert sorted(corpus_pipeline.near_duplicates(spark, df, "").collect()) == [x for x in rows if x[0] >= 60 or x[0] % 2 == 0]
