@@ -10,7 +10,7 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
-@pytest.mark.parametrize("name", ["r4_dispatch", "r5_refine", "r5b_many_houses"])
+@pytest.mark.parametrize("name", ["r4_dispatch", "r5_refine", "r5b_many_houses", "r7_amc_rules"])
 def test_documents_with_a_house_are_not_sent_through_the_driver(spark, name):
     """Even where Spark takes the documents for a small table; the rules are one."""
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
