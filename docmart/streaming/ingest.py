@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import time
-from collections.abc import Callable
+import zlib
+from collections.abc import Callable, Iterable
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -55,42 +57,67 @@ def hold_until_settled(held: str, outputs: Callable[[DataFrame, int], None], now
     return write
 
 
-#: What is kept of a document: when it was last changed, its last row as JSON, and whether it has gone on.
-_HELD = "mtime long, row string, released boolean"
+#: What is kept of a bucket of documents, see :func:`_packed`.
+_HELD = "documents binary"
 
 
-def settle_once(stream: DataFrame, key: str, mtime: str = "mtime", seconds: int = 300, forget: int = 86_400) -> DataFrame:
+def _packed(documents: dict[str | None, list]) -> bytes:
+    """Documents by key: when each was last changed, its last row, and null; or, once it has gone on, two nulls and when it is forgotten."""
+    return zlib.compress(json.dumps([[k, *d] for k, d in documents.items()], ensure_ascii=False, separators=(",", ":")).encode(), 1)
+
+
+def _unpacked(held: bytes) -> dict[str | None, list]:
+    return {k: d for k, *d in json.loads(zlib.decompress(held))}
+
+
+def _advanced(documents: dict[str | None, list], rows: Iterable[tuple[str | None, int, str]], now: int, wait: int, forget: int) -> tuple[list[str], dict[str | None, list], int | None]:
+    """A bucket after new (key, time of change, row): the rows that go on now, what is kept, and when the next of it is due. Milliseconds."""
+    for k, at, row in rows:
+        held = documents.get(k)
+        if held and held[1] is None:
+            held[2] = now + forget
+        elif not held or (at, row) > (held[0], held[1]):
+            documents[k] = [at, row, None]
+    ripe, kept, timer = [], {}, None
+    for k, (at, row, until) in documents.items():
+        if row is not None and at + wait <= now:
+            ripe.append(row)
+            at, row, until = None, None, now + forget
+        due = until if row is None else at + wait
+        if due > now:
+            kept[k] = [at, row, until]
+            timer = due if timer is None else min(timer, due)
+    return ripe, kept, timer
+
+
+def settle_once(stream: DataFrame, key: str, mtime: str = "mtime", seconds: int = 300, forget: int = 86_400, buckets: int = 8192) -> DataFrame:
     """A stream's documents, each once and as last delivered, when they have not changed for ``seconds``.
 
-    State for each key holds the last row and a timer at its time of change; a later delivery before that sets the timer anew, and one after the release is a
+    A document's last row waits until that long after its time of change; a later delivery before that sets the time anew, and one after the release is a
     repeat and goes, until ``forget`` seconds without one have passed. Timers go by the clock, so held documents are released when no files come. A null
     time of change counts as settled; rows with a null key are one document; of equal times the greatest row counts.
+
+    State is kept for buckets of documents, by the hash of their key, with a timer for the earliest of each: what a document costs is its share of a bucket, not
+    a state and a call of its own, and of one that has gone on only its key is kept. A batch rewrites the buckets that it has documents of.
     """
-    row = F.to_json(F.struct("*"))
-    told = stream.select(F.col(key).cast("string").alias("key"), F.coalesce(F.unix_millis(F.col(mtime).cast("timestamp")), F.lit(0)).alias("mtime"), row.alias("row"))
-
-    def step(_key, frames, state):
-        held = state.get if state.exists else None
-        if state.hasTimedOut:
-            if held[2]:
-                state.remove()
-            else:
-                state.update((held[0], held[1], True))
-                state.setTimeoutDuration(forget * 1000)
-                yield pd.DataFrame({"row": [held[1]]})
-            return
-        last = max((max(zip(f["mtime"].tolist(), f["row"], strict=True)) for f in frames), default=None)
-        if held and held[2]:
-            state.setTimeoutDuration(forget * 1000)
-            return
-        last = max(last, (held[0], held[1])) if held else last
-        wait = last[0] + seconds * 1000 - state.getCurrentProcessingTimeMs()
-        state.update((*last, wait <= 0))
-        state.setTimeoutDuration(wait if wait > 0 else forget * 1000)
-        if wait <= 0:
-            yield pd.DataFrame({"row": [last[1]]})
-
-    out = told.groupBy("key").applyInPandasWithState(step, "row string", _HELD, "append", GroupStateTimeout.ProcessingTimeTimeout)
+    name = F.col(key).cast("string")
+    changed = F.coalesce(F.unix_millis(F.col(mtime).cast("timestamp")), F.lit(0))
+    told = stream.select(F.pmod(F.xxhash64(name), F.lit(buckets)).cast("int").alias("bucket"), name.alias("key"), changed.alias("mtime"), F.to_json(F.struct("*")).alias("row"))
+
+    def step(_bucket, frames, state):
+        now = state.getCurrentProcessingTimeMs()
+        documents = _unpacked(state.get[0]) if state.exists else {}
+        rows = () if state.hasTimedOut else (r for f in frames for r in zip(f["key"].tolist(), f["mtime"].tolist(), f["row"].tolist(), strict=True))
+        ripe, kept, timer = _advanced(documents, rows, now, seconds * 1000, forget * 1000)
+        if kept:
+            state.update((_packed(kept),))
+            state.setTimeoutDuration(timer - now)
+        elif state.exists:
+            state.remove()
+        if ripe:
+            yield pd.DataFrame({"row": ripe})
+
+    out = told.groupBy("bucket").applyInPandasWithState(step, "row string", _HELD, "append", GroupStateTimeout.ProcessingTimeTimeout)
     return out.select(F.from_json("row", stream.schema).alias("r")).select("r.*")
 
 
@@ -124,15 +151,16 @@ def run_batches(stream: DataFrame, outputs: Callable[[DataFrame, int], None], ch
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)).start()
 
 
-def drain(query: StreamingQuery, seconds: int = 600) -> None:
-    """Let a query with timers by the clock run until a batch has found no new rows, then stop it."""
-    end = time.monotonic() + seconds
+def drain(query: StreamingQuery, seconds: int | None = None) -> None:
+    """Let a query with timers by the clock run until a batch has found no new rows, then stop it; after ``seconds``, if given, it gives up. How long it takes depends on the rows that there are."""
+    end = None if seconds is None else time.monotonic() + seconds
+    late = lambda: end is not None and time.monotonic() >= end
     try:
-        while query.isActive and time.monotonic() < end and not any(p["numInputRows"] == 0 for p in query.recentProgress):
+        while query.isActive and not late() and not any(p["numInputRows"] == 0 for p in query.recentProgress):
             time.sleep(0.2)
         if query.exception():
             raise query.exception()
-        if time.monotonic() >= end:
+        if late():
             raise TimeoutError(f"new rows after {seconds} s")
     finally:
         query.stop()
