@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -132,37 +134,40 @@ def scheme_side_table(cells: DataFrame, name_col: int, value_cols: Sequence[int]
     return got if sep is None else got.withColumn("text", F.array_join("texts", sep)).drop("texts")
 
 
-def column_roles(cells: DataFrame, roles: dict[str, tuple[Sequence[str], int]], by: Sequence[str] = ("doc_id",), open_end: str | None = None) -> DataFrame:
-    """(*by, col_no, role): the columns of each document in which a role's keywords occur at least as often as it asks.
+def with_roles(cells: DataFrame, roles: dict[str, tuple[Sequence[str], int]], by: Sequence[str] = ("doc_id",), open_end: str | None = None) -> DataFrame:
+    """Cells with a truth value ``_is_<role>`` for each role: whether in their column of the document the role's keywords occur at least as often as it asks.
 
     ``roles`` are (keywords, threshold), keywords patterns in the cleaned text. The role ``open_end`` has its first column and all behind it.
-    A column may have several roles; a document without a role's column lacks that role.
+    A column may have several roles; a document without a role's column lacks that role. Windows over the document, no join.
     """
-    counts = cells.groupBy(*by, "col_no").agg(*[_column_hits(words).alias(role) for role, (words, _) in roles.items()])
-    own = F.array_compact(F.array(*[F.when(F.col(role) >= least, F.lit(role)) for role, (_, least) in roles.items()]))
+    column, hit = Window.partitionBy(*by, "col_no"), lambda role: F.col(f"_is_{role}")
+    found = {f"_is_{role}": F.regexp_count("_plain", F.lit(f"(?i){any_of(words)}")) for role, (words, _) in roles.items()}
+    rows = cells.withColumn("_plain", normalize_alphanumeric("text")).withColumns(found).drop("_plain")
+    rows = rows.withColumns({f"_is_{role}": F.coalesce(F.sum(hit(role)).over(column) >= least, F.lit(False)) for role, (_, least) in roles.items()})
     if open_end:
-        first = F.min(F.when(F.array_contains("_own", open_end), F.col("col_no"))).over(Window.partitionBy(*by))
-        own_open = F.when(F.col("col_no") >= first, F.array_union("_own", F.array(F.lit(open_end)))).otherwise(F.col("_own"))
-        return counts.withColumn("_own", own).select(*by, "col_no", F.explode(own_open).alias("role"))
-    return counts.select(*by, "col_no", F.explode(own).alias("role"))
+        first = F.min(F.when(hit(open_end), F.col("col_no"))).over(Window.partitionBy(*by))
+        rows = rows.withColumn(f"_is_{open_end}", F.coalesce(F.col("col_no") >= first, F.lit(False)))
+    return rows
 
 
 def side_table(
-    cells: DataFrame, roles: dict[str, tuple[Sequence[str], int]], name: str, name_pattern: str, by: Sequence[str] = ("doc_id",), sep: str | None = None, open_end: str | None = None, twice: bool = False
+    cells: DataFrame, roles: dict[str, tuple[Sequence[str], int]], name: str, name_pattern: str, by: Sequence[str] = ("doc_id",), sep: str | None = None, open_end: str | None = None, twice: bool = False, partitioned: bool = False
 ) -> DataFrame:
     """Scheme side tables whose columns each document lays out its own way: one row for each scheme with a column for each role but ``name``.
 
-    Columns are found by :func:`column_roles`; the scheme's name is what the pattern finds in the first column of role ``name`` and carries down. The texts of
+    Columns are found by :func:`with_roles`; the scheme's name is what the pattern finds in the first column of role ``name`` and carries down. The texts of
     the rows, a role's cells joined by a blank, are a list or joined by ``sep``. With ``twice`` a row that names its scheme gives its text once more, with the name before it.
+    All of it works on documents, in the exchange made here or, with ``partitioned``, in the one that :func:`stack_tables` made.
     """
-    cells = cells.repartition(*by)  # one partitioning for counting, joining and collecting
-    picked = column_roles(cells, roles, by, open_end)
-    first = F.min(F.when(F.col("role") == name, F.col("col_no"))).over(Window.partitionBy(*by))
-    placed = cells.join(picked.withColumn("_first", first).where((F.col("role") != name) | (F.col("col_no") == F.col("_first"))).drop("_first"), [*by, "col_no"])
+    cells = cells if partitioned else cells.repartition(*by)
+    cells = with_roles(cells.where(reduce(and_, [F.col(c).isNotNull() for c in (*by, "col_no")])), roles, by, open_end)
+    hit = lambda role: F.col(f"_is_{role}")
+    first = F.min(F.when(hit(name), F.col("col_no"))).over(Window.partitionBy(*by))
+    placed = cells.withColumn(f"_is_{name}", F.coalesce(F.col("col_no") == first, F.lit(False))).where(reduce(or_, map(hit, roles)))
     values = [r for r in roles if r != name]
     text = F.coalesce("text", F.lit(""))
-    joined = lambda r: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("role") == r, F.struct("col_no", text.alias("t"))))), lambda x: x["t"]), " ")
-    own = F.nullif(F.max(F.when(F.col("role") == name, F.regexp_extract("text", name_pattern, 0))), F.lit(""))
+    joined = lambda r: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(hit(r), F.struct("col_no", text.alias("t"))))), lambda x: x["t"]), " ")
+    own = F.nullif(F.max(F.when(hit(name), F.regexp_extract("text", name_pattern, 0))), F.lit(""))
     rows = placed.groupBy(*by, "row_no").agg(*[joined(r).alias(r) for r in values], own.alias("_own"))
     rows = rows.withColumn("scheme", F.last("_own", ignorenulls=True).over(Window.partitionBy(*by).orderBy("row_no"))).where("scheme is not null")
     each = lambda r: F.array(F.col(r), F.concat_ws(" ", "_own", r)) if twice else F.array(r)

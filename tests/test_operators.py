@@ -2,6 +2,7 @@
 
 import json
 import random
+import re
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -86,6 +87,39 @@ def test_cells(spark):
     assert [(g.title, list(g.texts)) for g in got] == [("t", ["a", "b"])]
 
 
+def side_rows(cells, roles, name, open_end, twice):
+    """Side tables of cells (doc_id, row_no, col_no, text), document by document."""
+    out = {}
+    for doc in {c[0] for c in cells if c[0] is not None}:
+        own = [c for c in cells if c[0] == doc and c[2] is not None]
+        cols = {r: {k for k in {c[2] for c in own} if sum(len(re.findall("|".join(words), t or "")) for _, _, x, t in own if x == k) >= least} for r, (words, least) in roles.items()}
+        if open_end and cols[open_end]:
+            cols[open_end] = {c[2] for c in own if c[2] >= min(cols[open_end])}
+        cols[name] = {min(cols[name])} if cols[name] else set()
+        scheme = None
+        for n in sorted({c[1] for c in own if any(c[2] in k for k in cols.values())}):
+            found = [m[0] for _, x, k, t in own if x == n and k in cols[name] and (m := re.search("red [a-z]+", t or ""))]
+            scheme = max(found) if found else scheme
+            if scheme is None:
+                continue
+            for r in roles.keys() - {name}:
+                text = " ".join(t or "" for _, x, k, t in sorted(own, key=lambda c: (c[2], c[3] or "")) if x == n and k in cols[r])
+                out.setdefault((doc, scheme), {}).setdefault(r, []).extend([text, f"{max(found)} {text}"] if found and twice else [text])
+    return out
+
+
+def test_side_table_by_brute_force(spark):
+    """Columns with several roles or none, an open end, null cells and names that change, against each document on its own."""
+    r = random.Random(5)
+    cells = [(d, n, k, r.choice([None, "red ant", "red bee", "brand 7", "12", "x red", "brand red cow", "plain", ""])) for d in range(25) for n in range(r.randint(1, 5)) for k in range(4) if r.random() < 0.8]
+    cells += [(3, 0, None, "brand red ant"), (None, 0, 0, "red ant"), (99, 0, 0, None)]
+    df = spark.createDataFrame(cells, "doc_id long, row_no int, col_no int, text string")
+    roles = {"name": (["red"], 2), "brand": (["brand"], 1), "size": ([r"^\d+$", "plain"], 1)}
+    for open_end, twice in ((None, False), ("size", True), ("brand", False)):
+        got = C.side_table(df, roles, "name", "red [a-z]+", open_end=open_end, twice=twice).collect()
+        assert {(g.doc_id, g.scheme): {"brand": list(g.brand), "size": list(g["size"])} for g in got} == side_rows(cells, roles, "name", open_end, twice)
+
+
 def test_two_sources(spark):
     a = spark.createDataFrame([("x", 1), ("y", 2)], "name string, v int")
     b = spark.createDataFrame([("x", 1), ("y", 3), ("z", 4)], "name string, v int")

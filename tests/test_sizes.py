@@ -21,3 +21,12 @@ def test_documents_with_a_house_are_not_sent_through_the_driver(spark, name):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert "SortMergeJoin [doc_id" in plan
     assert "BroadcastHashJoin [doc_id" not in plan
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+@pytest.mark.parametrize("name", ["t11b_side_columns", "t12b_side_columns"])
+def test_side_tables_read_and_deal_their_cells_once(spark, name):
+    """No join of the cells with themselves, and no exchange after the one that stacks a document's tables."""
+    plan = registry()[name][0](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2
+    assert plan.split("REPARTITION_BY_COL")[0].count("Exchange") == 1
