@@ -151,17 +151,18 @@ def run_batches(stream: DataFrame, outputs: Callable[[DataFrame, int], None], ch
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)).start()
 
 
-def drain(query: StreamingQuery, seconds: int | None = None) -> None:
-    """Let a query with timers by the clock run until a batch has found no new rows, then stop it; after ``seconds``, if given, it gives up. How long it takes depends on the rows that there are."""
-    end = None if seconds is None else time.monotonic() + seconds
-    late = lambda: end is not None and time.monotonic() >= end
+def drain(query: StreamingQuery, seconds: int = 600) -> None:
+    """Let a query with timers by the clock run until a batch has found no new rows, then stop it; it gives up when for ``seconds`` no batch has run. How long batches take depends on the rows that there are."""
+    end, done = time.monotonic() + seconds, 0
     try:
-        while query.isActive and not late() and not any(p["numInputRows"] == 0 for p in query.recentProgress):
+        while query.isActive and time.monotonic() < end and not any(p["numInputRows"] == 0 for p in query.recentProgress):
+            if query.status["isTriggerActive"] or len(query.recentProgress) != done:
+                end, done = time.monotonic() + seconds, len(query.recentProgress)
             time.sleep(0.2)
         if query.exception():
             raise query.exception()
-        if late():
-            raise TimeoutError(f"new rows after {seconds} s")
+        if time.monotonic() >= end:
+            raise TimeoutError(f"no batch for {seconds} s")
     finally:
         query.stop()
 

@@ -4,6 +4,8 @@ import json
 import random
 import time
 
+import pytest
+
 from docmart.streaming import ingest as W
 
 SCHEMA = "name string, mtime timestamp, v int"
@@ -91,8 +93,8 @@ def test_buckets_go_by_the_rule_of_each_document():
         assert {k: d[2] if d[1] is None else (d[0], d[1]) for k, d in bucket.items()} == alone
 
 
-def test_drain_waits_as_long_as_there_are_rows(monkeypatch):
-    """A run over many documents takes its time."""
+def test_drain_waits_as_long_as_batches_run(monkeypatch):
+    """A run over many documents takes its time; one in which nothing happens is given up."""
     clock, polls, stopped = [0.0], [0], []
     monkeypatch.setattr(W.time, "monotonic", lambda: clock[0])
     monkeypatch.setattr(W.time, "sleep", lambda s: (clock.__setitem__(0, clock[0] + 100), polls.__setitem__(0, polls[0] + 1)))
@@ -103,5 +105,12 @@ def test_drain_waits_as_long_as_there_are_rows(monkeypatch):
         exception = staticmethod(lambda: None)
         stop = staticmethod(lambda: stopped.append(polls[0]))
 
-    W.drain(Query())
+        def __init__(self, busy):
+            self.status = {"isTriggerActive": busy}
+
+    W.drain(Query(True))
     assert stopped == [50]
+    polls[0] = 0
+    with pytest.raises(TimeoutError):
+        W.drain(Query(False))
+    assert stopped[1] < 10
